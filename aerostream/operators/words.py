@@ -15,14 +15,23 @@ from aerostream.functions.text import java_split, sql_split
 
 
 def words(lines: DataFrame, value_col: str = "value", mode: str = "java", lower: bool = True) -> DataFrame:
-    """One row per token (``word``) of each non-null line."""
+    """One row per token (``word``) of each non-null line.
+
+    The token array is built in a projection (where common subexpressions are
+    evaluated once) and exploded afterwards, so each line is split once.
+    ``explode_outer`` + a null filter on the output is used instead of
+    ``explode`` because the optimizer would otherwise infer a ``size(arr) > 0``
+    filter that re-runs the whole split before the projection.
+    """
     v = F.col(value_col)
     src = lines.where(v.isNotNull())  # a null line would fail upstream; skip it
     if mode == "java":
-        return src.select(F.explode(java_split(v, lower)).alias("word"))
+        toks = src.select(java_split(v, lower).alias("_t"))
+        return toks.select(F.explode_outer("_t").alias("word")).where(F.col("word").isNotNull())
     if mode == "sql":
         w = F.col("word")
-        return src.select(F.explode(sql_split(v, lower)).alias("word")).where(w.isNotNull() & (w != F.lit("")))
+        toks = src.select(sql_split(v, lower).alias("_t"))
+        return toks.select(F.explode_outer("_t").alias("word")).where(w.isNotNull() & (w != F.lit("")))
     raise ValueError(f"mode must be 'java' or 'sql', got {mode!r}")
 
 
