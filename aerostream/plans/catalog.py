@@ -98,4 +98,8 @@ QUERIES: dict[str, Query] = {
     "sink_late": _sink(sinktable.late_rows),
 }
 
+from aerostream.plans.streams import STREAM_QUERIES  # noqa: E402
+
+QUERIES.update(STREAM_QUERIES)
+
 FLAGSHIP = "airline_performance"

@@ -78,8 +78,20 @@ class DelayedContribution(StatefulProcessor):
         pass
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+
+
+def require_rocksdb(spark) -> None:
+    """The stateful processor API needs the RocksDB state store; select it for
+    queries started from now on if the session uses another provider."""
+    if spark.conf.get(_PROVIDER_CONF, None) != ROCKSDB:
+        spark.conf.set(_PROVIDER_CONF, ROCKSDB)
+
+
 def delayed_deltas(flights: DataFrame) -> DataFrame:
     """Signed per-origin deltas (streaming or batch input with ``seq``)."""
+    require_rocksdb(flights.sparkSession)
     src = flights.where(F.col(FLIGHT_NUMBER).isNotNull()).select(FLIGHT_NUMBER, ORIGIN, STATUS, SEQ)
     return src.groupBy(FLIGHT_NUMBER).transformWithStateInPandas(
         statefulProcessor=DelayedContribution(),
