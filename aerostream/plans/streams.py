@@ -81,7 +81,11 @@ def latest_flight_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_count_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = text_lines(_table_stream(spark, sf_dir, "documents"))
+    docs = _table_stream(spark, sf_dir, "documents").select("doc_id", "text")
+    if not os.path.isdir(os.path.join(sf_dir, "documents.parquet")):
+        # one file arrives as one task; spread the CPU-heavy tokenising over all cores
+        docs = docs.repartition(spark.sparkContext.defaultParallelism, F.col("doc_id"))
+    lines = text_lines(docs)
     return run_update(words.word_count(lines), "word_count", "word").select("word", "count")
 
 

@@ -167,3 +167,29 @@ def test_last_per_key(spark):
     got = sorted(tuple(r) for r in last_per_key(df, ["k"], "batch").collect())
     assert got == [("a", 2), ("b", 5)]
     assert F is not None
+
+
+def test_word_count_app_and_state_reader(spark, workdir):
+    from aerostream.streaming.apps import read_state, state_lookup, word_count_query
+
+    src = os.path.join(workdir, "txt")
+    os.makedirs(src)
+    for i, text in enumerate(["Hello Kafka Streams", "Kafka Streams"]):
+        p = os.path.join(src, f"{i}.txt")
+        with open(p, "w") as fh:
+            fh.write(text + "\n")
+        os.utime(p, (1_000_000 + i, 1_000_000 + i))
+    ckpt = os.path.join(workdir, "ck-app")
+    out = []
+    q = start_view(word_count_query(text_file_stream(spark, src, 1)), "wc-app", "update",
+                   sink=lambda b, i: out.extend((i, r["key"], bytes(r["value"])) for r in b.collect()),
+                   checkpoint=ckpt, trigger={"availableNow": True})
+    q.awaitTermination(300)
+    last = {}
+    for _, k, v in sorted(out):
+        last[k] = int.from_bytes(v, "big", signed=True)
+    assert last == {"hello": 1, "kafka": 2, "streams": 2}
+    st = read_state(spark, ckpt)
+    assert st.count() == 3
+    row = state_lookup(st, "word", "kafka").first()
+    assert row is not None and row["value"][0] == 2
