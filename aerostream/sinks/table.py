@@ -117,6 +117,21 @@ def replay_sink(path: str, write: Callable[[DataFrame, str, str], None] | None =
     return _sink
 
 
+def replay(build: Callable[[], DataFrame], name: str, generation: int, target: str,
+           write: Callable[[DataFrame, str, str], None] | None = None, trigger: dict | None = None):
+    """Reset and replay: start ``build()`` (a stream whose source reads from the
+    earliest offset) under a fresh checkpoint generation and rebuild ``target``
+    from scratch (overwritten by the first batch). Nothing is deleted: the old
+    checkpoint generation stays as it was."""
+    df = build()
+    ckpt = replay_checkpoint(df.sparkSession, name, generation)
+    w = (df.writeStream.queryName(f"{name}-gen{generation}").outputMode("append")
+         .option("checkpointLocation", ckpt).foreachBatch(replay_sink(target, write)))
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None, mode: str = "append") -> None:
     w = df.write.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in (properties or {}).items():

@@ -15,7 +15,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerostream.functions.flight import epoch_ms_of_ntz
+from aerostream.functions.flight import epoch_ms_of_ntz, scheduled_ts
 from aerostream.functions.text import split_lines
 from aerostream.schema import (
     ACTUAL, AIRLINE, DESTINATION, FLIGHT_NUMBER, ORIGIN, SCHEDULED, SEQ, STATUS,
@@ -65,9 +65,11 @@ def flights_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def normalise(flights: DataFrame) -> DataFrame:
-    """Upper-case the status and drop records without a flight key."""
-    return flights.where(F.col(FLIGHT_NUMBER).isNotNull()).withColumn(STATUS, F.upper(F.col(STATUS)))
+def normalise(flights: DataFrame, unit: str = "ms", add_ts: bool = False) -> DataFrame:
+    """Upper-case the status, drop records without a flight key and, on request,
+    add ``scheduled_ts`` (the scheduled time as ``timestamp_ntz``)."""
+    out = flights.where(F.col(FLIGHT_NUMBER).isNotNull()).withColumn(STATUS, F.upper(F.col(STATUS)))
+    return out.withColumn("scheduled_ts", scheduled_ts(unit)) if add_ts else out
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,7 +65,7 @@ def start_flights(spark: SparkSession, kafka: dict[str, str], topic: str, table_
             sink=tbl.upsert_sink(f"{table_root}/flights", "flightNumber", "seq"),
             checkpoint=f"{base}/flights-store"),
         "delayed-by-origin-store": start_view(
-            qs["delayed-by-origin-store"].withColumn("_v", F.lit(0)), "delayed-by-origin-store", "update",
+            qs["delayed-by-origin-store"], "delayed-by-origin-store", "update",
             sink=_batch_ordered_upsert(f"{table_root}/delayed", "origin"),
             checkpoint=f"{base}/delayed-by-origin-store"),
     }
