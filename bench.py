@@ -1,7 +1,8 @@
 """Benchmark: run the query catalogue on one scale and print one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 2; the best of the repeats is reported per query),
+BENCH_REPEAT (default 2; after one untimed warm-up run per query, the best of
+the timed repeats is reported — steady-state throughput, JIT warm),
 BENCH_ONLY (optional comma-separated subset of query names).
 Each query is fully executed into the ``noop`` sink (no driver collect).
 """
@@ -37,6 +38,7 @@ def main() -> None:
     for name, q in QUERIES.items():
         if only and name not in only:
             continue
+        q(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
         best = None
         for _ in range(repeat):
             t0 = time.perf_counter()
