@@ -20,6 +20,11 @@ def long_be_bytes(c: Column) -> Column:
     return F.unhex(F.lpad(F.hex(c.cast("long")), 16, "0"))
 
 
+def json_documents(df: DataFrame, name: str = "json") -> DataFrame:
+    """One JSON document per row (all columns, nulls kept as JSON null)."""
+    return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias(name))
+
+
 def encode_word_counts(counts: DataFrame) -> DataFrame:
     """(word, count) -> key = word (string), value = count (8-byte long)."""
     return counts.select(F.col("word").alias("key"), long_be_bytes(F.col("count")).alias("value"))

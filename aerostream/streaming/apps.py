@@ -77,6 +77,14 @@ def _batch_ordered_upsert(path: str, key: str):
     return _sink
 
 
+def publish_lines(spark: SparkSession, path: str, kafka: dict[str, str], topic: str, header: bool = True) -> None:
+    """Send every line of a delimited text file (header skipped) to ``topic``
+    with a null key; the file is read in parallel byte ranges."""
+    from aerostream.sources.files import delimited_lines
+
+    ksink.write_batch(ksink.encode_lines(delimited_lines(spark, path, header)), kafka, topic)
+
+
 def peek(name: str):
     """``foreachBatch`` observer: log how many rows changed in each batch."""
     def _sink(batch: DataFrame, batch_id: int) -> None:

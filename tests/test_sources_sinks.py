@@ -82,3 +82,19 @@ def test_iceberg_conf():
 def test_read_or_placeholder(spark, workdir):
     df = read_or_placeholder(spark, lambda: spark.read.parquet(f"{workdir}/missing"))
     assert df.count() == 0 and "flightNumber" in df.columns
+
+
+def test_json_documents_keep_nulls(spark):
+    df = spark.createDataFrame([("AA1", None)], "flightNumber string, actualDeparture long")
+    doc = json.loads(ksink.json_documents(df).first()["json"])
+    assert doc == {"flightNumber": "AA1", "actualDeparture": None}
+
+
+def test_publish_lines_records(spark, workdir):
+    from aerostream.sources.files import delimited_lines
+
+    p = f"{workdir}/m.csv"
+    with open(p, "w") as fh:
+        fh.write("h\nx,1\ny,2\n")
+    recs = ksink.encode_lines(delimited_lines(spark, p)).collect()
+    assert [(r["key"], r["value"]) for r in recs] == [(None, "x,1"), (None, "y,2")]
