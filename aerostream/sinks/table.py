@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,17 +50,22 @@ def upsert(batch: DataFrame, path: str, key: str, order: str, buckets: int = 64)
     checkpoint_root(spark)
     new = newest_per_key(batch.where(F.col(key).isNotNull()), key, order)
     new = new.withColumn(BUCKET, F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)))
-    if _exists(spark, path):
-        touched = [r[0] for r in new.select(BUCKET).distinct().collect()]
-        if not touched:
-            return
-        cur = spark.read.option("mergeSchema", "true").parquet(path).where(F.col(BUCKET).isin(touched))
-        merged = newest_per_key(cur.unionByName(new, allowMissingColumns=True), key, order)
-    else:
-        merged = new
-    merged = merged.repartition(F.col(BUCKET)).sortWithinPartitions(BUCKET, key).checkpoint()
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(path))
+    # used twice (touched buckets, merge): compute the reduced batch once
+    new = new.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if _exists(spark, path):
+            touched = [r[0] for r in new.select(BUCKET).distinct().collect()]
+            if not touched:
+                return
+            cur = spark.read.option("mergeSchema", "true").parquet(path).where(F.col(BUCKET).isin(touched))
+            merged = newest_per_key(cur.unionByName(new, allowMissingColumns=True), key, order)
+        else:
+            merged = new
+        merged = merged.repartition(F.col(BUCKET)).sortWithinPartitions(BUCKET, key).checkpoint()
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BUCKET).parquet(path))
+    finally:
+        new.unpersist()
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
