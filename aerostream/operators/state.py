@@ -1,9 +1,9 @@
 """Keyed latest-value table and the retracting delayed count, batch form.
 
 ``latest_flight`` keeps, per flight, the record that arrived last (arrival order
-``seq``, never event time). It is one aggregation with a map-side partial
-``max_by``, so a flight with a huge number of updates is reduced inside each
-map task before the shuffle.
+``seq``, never event time); see ``latest_by_key`` for the two exact plans
+(broadcast semi-join of per-key maxima when the key set is provably small,
+else one map-side-reduced ``max_by`` aggregation).
 
 ``delayed_by_origin`` counts currently-delayed flights per origin over that
 table. Because it starts from the latest record per flight, a flight that
@@ -21,17 +21,73 @@ from aerostream.functions.flight import count_severity, status_is
 from aerostream.schema import DELAYED, FLIGHT_FIELDS, FLIGHT_NUMBER, ORIGIN, SEQ
 
 
-def latest_flight(flights: DataFrame, order: str = SEQ, keep_order: bool = False) -> DataFrame:
+# Bytes per broadcast (key, order) entry assumed when turning the broadcast
+# threshold into a key-count bound (key string + long + hash-table overhead).
+_BYTES_PER_KEY = 64
+
+
+def _bytes(raw: str) -> int:
+    """Parse a Spark byte-size setting ("10485760b", "10m", "64MB", "-1")."""
+    v = str(raw).strip().lower().removesuffix("b")
+    mult = 1
+    for suffix, m in (("k", 1 << 10), ("m", 1 << 20), ("g", 1 << 30), ("t", 1 << 40)):
+        if v.endswith(suffix):
+            v, mult = v[:-1], m
+            break
+    try:
+        return int(float(v) * mult)
+    except ValueError:
+        return 10 << 20
+
+
+def _broadcast_key_limit(spark, max_keys: int | None) -> int:
+    """Largest number of keys whose (key, order) table may be broadcast."""
+    threshold = _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b"))
+    if threshold <= 0:
+        return 0
+    by_size = threshold // _BYTES_PER_KEY
+    return min(by_size, max_keys) if max_keys is not None else by_size
+
+
+def latest_by_key(df: DataFrame, key: str, order: str, payload: list[str],
+                  max_broadcast_keys: int | None = None) -> DataFrame:
+    """Row with the highest ``order`` per ``key`` (nulls keys dropped), exact.
+
+    ``max_by(struct(payload), order)`` needs a struct aggregation buffer, which
+    Spark can only run as a sort-based aggregate. When the number of keys is
+    small enough to broadcast — checked with a count of the per-key maxima,
+    bounded by ``spark.sql.autoBroadcastJoinThreshold`` — the work is done with
+    fixed-width operators instead: a hash aggregate of ``max(order)`` per key
+    (reads only the key and order columns), a broadcast semi-join that keeps
+    the winning rows map-side without shuffling the table, and a ``max_by``
+    over those few rows to settle ties. Otherwise, and on streams, the single
+    ``max_by`` aggregation is used (partial aggregation map-side, spill-safe).
+    """
+    src = df.where(F.col(key).isNotNull())
+
+    def by_sort(d: DataFrame) -> DataFrame:
+        last = d.groupBy(key).agg(F.max_by(F.struct(*payload), F.col(order)).alias("_last"))
+        return last.select(key, *[F.col(f"_last.{c}").alias(c) for c in payload])
+
+    if df.isStreaming:
+        return by_sort(src)
+    limit = _broadcast_key_limit(df.sparkSession, max_broadcast_keys)
+    if limit <= 0:
+        return by_sort(src)
+    maxima = src.groupBy(key).agg(F.max(order).alias(order))
+    if maxima.count() > limit:
+        return by_sort(src)
+    winners = src.join(F.broadcast(maxima), [key, order], "left_semi")
+    return by_sort(winners)
+
+
+def latest_flight(flights: DataFrame, order: str = SEQ, keep_order: bool = False,
+                  max_broadcast_keys: int | None = None) -> DataFrame:
     """Last record per ``flightNumber`` by ``order`` (null keys dropped)."""
     payload = [c for c in FLIGHT_FIELDS if c != FLIGHT_NUMBER]
     if keep_order:
         payload.append(order)
-    last = (
-        flights.where(F.col(FLIGHT_NUMBER).isNotNull())
-        .groupBy(FLIGHT_NUMBER)
-        .agg(F.max_by(F.struct(*payload), F.col(order)).alias("_last"))
-    )
-    return last.select(FLIGHT_NUMBER, *[F.col(f"_last.{c}").alias(c) for c in payload])
+    return latest_by_key(flights, FLIGHT_NUMBER, order, payload, max_broadcast_keys)
 
 
 def delayed_by_origin(flights: DataFrame, latest: DataFrame | None = None) -> DataFrame:

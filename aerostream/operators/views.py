@@ -16,6 +16,7 @@ from aerostream.functions.agg import count_if, exact_mean, percent
 from aerostream.functions.flight import (
     delay_minutes, epoch_to_ts, late_delay, late_over_minutes, per_minute, scheduled_ts,
 )
+from aerostream.operators.state import latest_by_key
 from aerostream.schema import (
     ACTUAL, AIRLINE, CANCELLED, DELAYED, DESTINATION, FLIGHT_NUMBER, ON_TIME, ORIGIN, SCHEDULED, SEQ, STATUS,
 )
@@ -92,6 +93,5 @@ def flight_alerts_table(flights: DataFrame, minutes: int = 60, unit: str = "ms")
     alert per flight in arrival order."""
     alerts = flight_alerts(flights, minutes, unit, keep_seq=True)
     cols = [c for c in alerts.columns if c not in (SEQ, FLIGHT_NUMBER)]
-    last = alerts.groupBy(FLIGHT_NUMBER).agg(F.max_by(F.struct(*cols), F.col(SEQ)).alias("_a"))
-    return last.select(FLIGHT_NUMBER, *[F.col(f"_a.{c}").alias(c) for c in cols])
+    return latest_by_key(alerts, FLIGHT_NUMBER, SEQ, cols)
 

@@ -83,3 +83,28 @@ def test_hot_flight_skew_matches_brute_force(spark):
         total = int(((g.actualDeparture - g.scheduledDeparture).where(late, 0)).sum())
         assert perf[airline]["total_flights"] == len(g)
         assert perf[airline]["avg_delay_minutes"] == total / (len(g) * 60000)
+
+
+def test_latest_by_key_both_plans_agree(spark):
+    rng = random.Random(3)
+    rows = [(seq, "HOT" if seq % 3 == 0 else f"F{rng.randrange(50)}", "AL1", f"AP{rng.randrange(5)}", "AP0",
+             seq * 10, None, rng.choice(["DELAYED", "ON_TIME"])) for seq in range(3000)]
+    df = flights_df(spark, rows).repartition(4)
+    fast = state.latest_flight(df, keep_order=True)
+    slow = state.latest_flight(df, keep_order=True, max_broadcast_keys=0)
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert "BroadcastHashJoin" not in slow._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect()))
+
+
+def test_broadcast_limit_reads_threshold(spark):
+    from aerostream.operators.state import _broadcast_key_limit
+
+    assert _broadcast_key_limit(spark, None) > 0
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _broadcast_key_limit(spark, 100) == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
