@@ -49,8 +49,20 @@ def _broadcast_key_limit(spark, max_keys: int | None) -> int:
     return min(by_size, max_keys) if max_keys is not None else by_size
 
 
+# Inputs estimated below this size are reduced with the single max_by job: they
+# fit in one file split, so the extra job of the broadcast plan cannot pay off.
+SMALL_INPUT_BYTES = 128 << 20
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return SMALL_INPUT_BYTES
+
+
 def latest_by_key(df: DataFrame, key: str, order: str, payload: list[str],
-                  max_broadcast_keys: int | None = None) -> DataFrame:
+                  max_broadcast_keys: int | None = None, strategy: str = "auto") -> DataFrame:
     """Row with the highest ``order`` per ``key`` (nulls keys dropped), exact.
 
     ``max_by(struct(payload), order)`` needs a struct aggregation buffer, which
@@ -62,6 +74,10 @@ def latest_by_key(df: DataFrame, key: str, order: str, payload: list[str],
     the winning rows map-side without shuffling the table, and a ``max_by``
     over those few rows to settle ties. Otherwise, and on streams, the single
     ``max_by`` aggregation is used (partial aggregation map-side, spill-safe).
+
+    ``strategy``: "auto" (broadcast plan only for inputs the optimizer
+    estimates above ``SMALL_INPUT_BYTES``), "broadcast" (try it regardless of
+    input size, still behind the key-count check) or "sort".
     """
     src = df.where(F.col(key).isNotNull())
 
@@ -69,7 +85,9 @@ def latest_by_key(df: DataFrame, key: str, order: str, payload: list[str],
         last = d.groupBy(key).agg(F.max_by(F.struct(*payload), F.col(order)).alias("_last"))
         return last.select(key, *[F.col(f"_last.{c}").alias(c) for c in payload])
 
-    if df.isStreaming:
+    if df.isStreaming or strategy == "sort":
+        return by_sort(src)
+    if strategy == "auto" and _estimated_bytes(df) < SMALL_INPUT_BYTES:
         return by_sort(src)
     limit = _broadcast_key_limit(df.sparkSession, max_broadcast_keys)
     if limit <= 0:
@@ -82,12 +100,12 @@ def latest_by_key(df: DataFrame, key: str, order: str, payload: list[str],
 
 
 def latest_flight(flights: DataFrame, order: str = SEQ, keep_order: bool = False,
-                  max_broadcast_keys: int | None = None) -> DataFrame:
+                  max_broadcast_keys: int | None = None, strategy: str = "auto") -> DataFrame:
     """Last record per ``flightNumber`` by ``order`` (null keys dropped)."""
     payload = [c for c in FLIGHT_FIELDS if c != FLIGHT_NUMBER]
     if keep_order:
         payload.append(order)
-    return latest_by_key(flights, FLIGHT_NUMBER, order, payload, max_broadcast_keys)
+    return latest_by_key(flights, FLIGHT_NUMBER, order, payload, max_broadcast_keys, strategy)
 
 
 def delayed_by_origin(flights: DataFrame, latest: DataFrame | None = None) -> DataFrame:

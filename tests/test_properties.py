@@ -90,12 +90,15 @@ def test_latest_by_key_both_plans_agree(spark):
     rows = [(seq, "HOT" if seq % 3 == 0 else f"F{rng.randrange(50)}", "AL1", f"AP{rng.randrange(5)}", "AP0",
              seq * 10, None, rng.choice(["DELAYED", "ON_TIME"])) for seq in range(3000)]
     df = flights_df(spark, rows).repartition(4)
-    fast = state.latest_flight(df, keep_order=True)
-    slow = state.latest_flight(df, keep_order=True, max_broadcast_keys=0)
+    fast = state.latest_flight(df, keep_order=True, strategy="broadcast")
+    slow = state.latest_flight(df, keep_order=True, strategy="sort")
+    capped = state.latest_flight(df, keep_order=True, strategy="broadcast", max_broadcast_keys=10)
     plan = fast._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
     assert "BroadcastHashJoin" not in slow._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in capped._jdf.queryExecution().executedPlan().toString()  # 51 keys > 10
     assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect()))
+    assert sorted(map(tuple, capped.collect())) == sorted(map(tuple, slow.collect()))
 
 
 def test_broadcast_limit_reads_threshold(spark):
