@@ -35,6 +35,31 @@ def adhoc_sql(spark: SparkSession, sql: str) -> DataFrame:
     return spark.sql(sql)
 
 
+def register_catalogue_views(spark: SparkSession, flights: DataFrame, lines: DataFrame | None = None) -> list[str]:
+    """Register the maintained views as temp views for SQL users: ``flights``,
+    ``delayed_flights``, ``airline_performance``, ``hourly_flight_summary``,
+    ``airport_congestion``, ``flight_alerts``, ``flights_latest``,
+    ``delayed_by_origin`` and, given text lines, ``word_counts``. The views are
+    lazy plans: every SQL statement runs the operators on current data."""
+    from aerostream.operators import state, views, words
+
+    defs = {
+        "flights": flights,
+        "delayed_flights": views.delayed_flights(flights),
+        "airline_performance": views.airline_performance(flights),
+        "hourly_flight_summary": views.hourly_flight_summary(flights),
+        "airport_congestion": views.airport_congestion(flights),
+        "flight_alerts": views.flight_alerts(flights),
+        "flights_latest": state.latest_flight(flights, strategy="sort"),
+        "delayed_by_origin": state.delayed_by_origin(flights, state.latest_flight(flights, strategy="sort")),
+    }
+    if lines is not None:
+        defs["word_counts"] = words.word_count(lines)
+    for name, df in defs.items():
+        df.createOrReplaceTempView(name)
+    return list(defs)
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 

@@ -105,3 +105,20 @@ def test_delimited_lines_skip_header(spark, workdir):
         fh.write('title,year\n"Heat, the movie",1995\nAlien,1979\n')
     got = [r[0] for r in delimited_lines(spark, p).collect()]
     assert got == ['"Heat, the movie",1995', "Alien,1979"]
+
+
+def test_sql_over_registered_views(spark):
+    from aerostream.operators.catalog import adhoc_sql, register_catalogue_views, table_exists
+    from aerostream.sources.tables import flights
+    from tests.conftest import SF_SMALL
+
+    f = flights(spark, SF_SMALL)
+    names = register_catalogue_views(spark, f)
+    assert table_exists(spark, "airline_performance") and "flights_latest" in names
+    worst = adhoc_sql(spark, "SELECT * FROM delayed_flights ORDER BY delay_minutes DESC LIMIT 20")
+    assert worst.count() == 20
+    top = adhoc_sql(spark, "SELECT * FROM airline_performance ORDER BY delay_percentage DESC").collect()
+    assert [r["delay_percentage"] for r in top] == sorted((r["delay_percentage"] for r in top), reverse=True)
+    n = adhoc_sql(spark, "SELECT count(*) AS n FROM flights").first()["n"]
+    assert n == f.count()
+    assert adhoc_sql(spark, "SELECT * FROM hourly_flight_summary ORDER BY window_start DESC LIMIT 24").count() == 24
