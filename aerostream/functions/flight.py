@@ -52,6 +52,11 @@ def epoch_seconds_to_ntz(seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds, F.expr(_EPOCH_NTZ))
 
 
+def micros_to_ntz(micros: Column) -> Column:
+    """Epoch microseconds -> ``timestamp_ntz`` (UTC wall clock)."""
+    return F.timestamp_add("MICROSECOND", micros, F.expr(_EPOCH_NTZ))
+
+
 def epoch_to_ts(c: str | Column, unit: str = "ms") -> Column:
     """Epoch value -> ``timestamp_ntz`` truncated to whole seconds.
 

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from aerostream.functions.agg import count_if, exact_mean, percent
 from aerostream.functions.flight import (
-    delay_minutes, epoch_to_ts, late_delay, late_over_minutes, per_minute, scheduled_ts,
+    delay_minutes, epoch_to_ts, late_delay, late_over_minutes, micros_to_ntz, per_minute, per_second,
+    scheduled_ts, trunc_div,
 )
 from aerostream.operators.state import latest_by_key
 from aerostream.schema import (
@@ -46,21 +47,36 @@ def airline_performance(flights: DataFrame, unit: str = "ms") -> DataFrame:
 
 def hourly_flight_summary(flights: DataFrame, width: str = "1 hour", unit: str = "ms",
                           watermark: str | None = None) -> DataFrame:
-    """Tumbling windows on the scheduled time (seconds resolution)."""
-    src = flights.withColumn("scheduled_ts", scheduled_ts(unit))
+    """Tumbling windows on the scheduled time (seconds resolution).
+
+    Without ``watermark`` (as declared by the original view) the window state is
+    kept forever; with one, windows older than the watermark are finalised,
+    emitted once in append mode and dropped from state. Watermarks need an
+    instant, so the watermarked form windows on ``timestamp_seconds`` and turns
+    the bounds back into ``timestamp_ntz`` through epoch microseconds (no time
+    zone involved), giving the same rows either way.
+    """
     if watermark:
-        src = src.withWatermark("scheduled_ts", watermark)
+        secs = F.col(SCHEDULED) if unit == "s" else trunc_div(F.col(SCHEDULED), per_second(unit))
+        src = flights.withColumn("_event_ts", F.timestamp_seconds(secs)).withWatermark("_event_ts", watermark)
+        w = F.window("_event_ts", width)
+    else:
+        src = flights.withColumn("scheduled_ts", scheduled_ts(unit))
+        w = F.window("scheduled_ts", width)
     total = F.count(F.lit(1))
     on_time = count_if(F.col(STATUS) == F.lit(ON_TIME))
-    agg = src.groupBy(F.window("scheduled_ts", width).alias("w")).agg(
+    agg = src.groupBy(w.alias("w")).agg(
         total.alias("flights_scheduled"),
         on_time.alias("on_time_flights"),
         count_if(F.col(STATUS) == F.lit(DELAYED)).alias("delayed_flights"),
         count_if(F.col(STATUS) == F.lit(CANCELLED)).alias("cancelled_flights"),
         percent(on_time, total).alias("on_time_percentage"),
     )
+    start, end = F.col("w.start"), F.col("w.end")
+    if watermark:
+        start, end = micros_to_ntz(F.unix_micros(start)), micros_to_ntz(F.unix_micros(end))
     return agg.select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+        start.alias("window_start"), end.alias("window_end"),
         "flights_scheduled", "on_time_flights", "delayed_flights", "cancelled_flights", "on_time_percentage",
     )
 

@@ -220,3 +220,17 @@ def test_flight_app_tables(spark, workdir):
     for _, (o, n) in sorted(_run(qs["delayed-by-origin-store"], "update", workdir, "dbo2"), key=lambda x: x[0]):
         final[o] = n
     assert final == {"SFO": 0, "LAX": 1}
+
+
+def test_hourly_summary_with_watermark_append(spark, workdir):
+    rows, batches = _derived_batches(spark)
+    src = os.path.join(workdir, "in")
+    _write_json_batches(src, batches)
+    stream = flight_file_stream(spark, src, max_files_per_trigger=1)
+    seen = _run(views.hourly_flight_summary(stream, watermark="1 hour"), "append", workdir, "hourly-wm")
+    emitted = [r for _, r in seen]
+    want = {r[0]: tuple(r) for r in views.hourly_flight_summary(_batch_of(spark, rows)).collect()}
+    assert emitted, "closed windows are emitted"
+    assert len({r[0] for r in emitted}) == len(emitted)  # each window once
+    for r in emitted:  # a window is emitted once the watermark passed it, with its final values
+        assert want[r[0]] == r
