@@ -201,8 +201,9 @@ def test_replay_rebuilds_target(spark, workdir):
     src = os.path.join(workdir, "in")
     _write_json_batches(src, [[r] for r in RETRACTION_CASE])
     target = os.path.join(workdir, "replayed")
+    name = f"flights-{os.path.basename(workdir)}"  # generations live in the shared checkpoint folder
     for gen in (1, 2):  # a second generation replays from the start and overwrites
-        q = replay(lambda: flight_file_stream(spark, src, max_files_per_trigger=2), "flights", gen, target,
+        q = replay(lambda: flight_file_stream(spark, src, max_files_per_trigger=2), name, gen, target,
                    trigger={"availableNow": True})
         q.awaitTermination(300)
         assert spark.read.parquet(target).count() == len(RETRACTION_CASE)
