@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from aerostream.functions.flight import count_severity, status_is
 from aerostream.schema import DELAYED, FLIGHT_FIELDS, FLIGHT_NUMBER, ORIGIN, SEQ
+from aerostream.session import checkpoint_root
 
 
 # Bytes per broadcast (key, order) entry assumed when turning the broadcast
@@ -92,7 +93,9 @@ def latest_by_key(df: DataFrame, key: str, order: str, payload: list[str],
     limit = _broadcast_key_limit(df.sparkSession, max_broadcast_keys)
     if limit <= 0:
         return by_sort(src)
-    maxima = src.groupBy(key).agg(F.max(order).alias(order))
+    checkpoint_root(df.sparkSession)
+    # computed once: checkpointed (reliable storage, lineage cut) then counted and broadcast
+    maxima = src.groupBy(key).agg(F.max(order).alias(order)).checkpoint()
     if maxima.count() > limit:
         return by_sort(src)
     winners = src.join(F.broadcast(maxima), [key, order], "left_semi")

@@ -53,6 +53,13 @@ def main() -> None:
         print(f"## {name}\n\n```")
         print("\n".join(shape(plan)))
         print("```\n")
+    from aerostream.operators.state import latest_flight
+    from aerostream.sources.tables import flights
+
+    plan = latest_flight(flights(spark, sf_dir), strategy="broadcast")._jdf.queryExecution().executedPlan().toString()
+    print("## latest_flight, plan chosen for inputs above one file split\n\n```")
+    print("\n".join(shape(plan)))
+    print("```\n")
     print("Stream-backed entries (" + ", ".join(STREAM_QUERIES) + ") run the streaming operators through"
           " their sinks; their plans are the streaming forms of the batch plans above.")
 
