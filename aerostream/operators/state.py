@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from aerostream.functions.flight import count_severity, status_is
 from aerostream.schema import DELAYED, FLIGHT_FIELDS, FLIGHT_NUMBER, ORIGIN, SEQ
-from aerostream.session import checkpoint_root
+from aerostream.session import checkpoint_root, estimated_bytes
 
 
 # Bytes per broadcast (key, order) entry assumed when turning the broadcast
@@ -57,7 +57,7 @@ SMALL_INPUT_BYTES = 128 << 20
 
 def _estimated_bytes(df: DataFrame) -> int:
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return estimated_bytes(df)
     except Exception:
         return SMALL_INPUT_BYTES
 

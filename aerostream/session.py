@@ -59,3 +59,24 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def checkpoint_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(checkpoint_root(spark), *parts)
+
+
+def estimated_bytes(df) -> int:
+    """The optimizer's size estimate of a DataFrame (file sizes for scans)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def size_shuffle_partitions(spark: SparkSession, *inputs, bytes_per_partition: int = 256 << 20,
+                            min_partitions: int | None = None) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so the inputs' bytes give about
+    ``bytes_per_partition`` per shuffle partition (at least one per core), and
+    make AQE coalesce toward the same size. Partial aggregation shrinks most
+    shuffles far below the input, so this is an upper bound AQE trims at run
+    time; it keeps partitions of skew-free large shuffles within executor
+    memory instead of spilling."""
+    total = sum(estimated_bytes(df) for df in inputs)
+    floor = min_partitions or spark.sparkContext.defaultParallelism
+    n = max(floor, -(-total // bytes_per_partition))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(bytes_per_partition))
+    return n

@@ -122,3 +122,18 @@ def test_sql_over_registered_views(spark):
     n = adhoc_sql(spark, "SELECT count(*) AS n FROM flights").first()["n"]
     assert n == f.count()
     assert adhoc_sql(spark, "SELECT * FROM hourly_flight_summary ORDER BY window_start DESC LIMIT 24").count() == 24
+
+
+def test_size_shuffle_partitions(spark):
+    from aerostream.session import size_shuffle_partitions
+    from aerostream.sources.tables import read_table
+    from tests.conftest import SF_SMALL
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        docs = read_table(spark, SF_SMALL, "documents")
+        n = size_shuffle_partitions(spark, docs, bytes_per_partition=1 << 16)
+        assert n > spark.sparkContext.defaultParallelism  # ~290 KB input / 64 KB
+        assert size_shuffle_partitions(spark, docs) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
