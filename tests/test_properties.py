@@ -111,3 +111,17 @@ def test_broadcast_limit_reads_threshold(spark):
         assert _broadcast_key_limit(spark, 100) == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_newest_per_partition_chunks():
+    from aerostream.streaming.retract import _newest_per_partition
+
+    chunks = [
+        pd.DataFrame({"flightNumber": ["HOT", "HOT", "A"], "origin": ["X", "Y", "Z"], "status": ["D"] * 3,
+                      "seq": [1, 5, 2]}),
+        pd.DataFrame({"flightNumber": ["HOT", "A"], "origin": ["W", "V"], "status": ["D"] * 2, "seq": [3, 9]}),
+    ]
+    out = pd.concat(list(_newest_per_partition(iter(chunks))))
+    got = dict(zip(out.flightNumber, zip(out.origin, out.seq)))
+    assert got == {"HOT": ("Y", 5), "A": ("V", 9)}
+    assert list(_newest_per_partition(iter([]))) == []
