@@ -232,3 +232,22 @@ def test_hourly_summary_with_watermark_append(spark, workdir):
     assert len({r[0] for r in emitted}) == len(emitted)  # each window once
     for r in emitted:  # a window is emitted once the watermark passed it, with its final values
         assert want[r[0]] == r
+
+
+def test_json_word_count_stream(spark, workdir):
+    from aerostream.operators.words import word_count_json
+
+    src = os.path.join(workdir, "json")
+    os.makedirs(src)
+    batches = [['{"message": "Hello Flink"}', "Hello Flink"], ['{"message": "Hello Kafka"}', "{}"],
+               ['{"message": "Flink and Kafka"}']]
+    for i, lines in enumerate(batches):
+        p = os.path.join(src, f"{i}.txt")
+        with open(p, "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+        os.utime(p, (1_000_000 + i, 1_000_000 + i))
+    seen = _run(word_count_json(text_file_stream(spark, src, 1)), "update", workdir, "wcj")
+    final = {}
+    for _, (w, n) in sorted(seen, key=lambda x: x[0]):
+        final[w] = n
+    assert final == {"hello": 2, "flink": 2, "kafka": 2, "and": 1}
