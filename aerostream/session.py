@@ -48,12 +48,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Only when the setting is absent (local tests) a fresh local folder is made
     and registered; on a cluster the setting must point at shared storage.
+    ``DataFrame.checkpoint()`` writes under it (the context's RDD checkpoint
+    folder is set to it once).
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         root = tempfile.mkdtemp(prefix="aerostream-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
-    spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 
