@@ -52,7 +52,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder is set to it once).
     """
     sc = spark.sparkContext
-    root = spark.conf.get(CHECKPOINT_CONF, None)
+    root = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="aerostream-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
