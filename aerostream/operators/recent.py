@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from aerostream.functions.flight import (
     departure_status, epoch_to_ts, hour_of_day, per_second, time_of_day, whole_delay_minutes,
 )
+from aerostream.sources.layout import DATE_COL
 from aerostream.schema import ACTUAL, AIRLINE, CANCELLED, DESTINATION, FLIGHT_NUMBER, ORIGIN, SCHEDULED, STATUS
 
 _EPOCH_NTZ = "timestamp_ntz'1970-01-01 00:00:00'"
@@ -34,13 +35,26 @@ def _now_ts(as_of_ms: int | None) -> Column:
     return F.timestamp_add("MILLISECOND", _now_ms(as_of_ms), F.expr(_EPOCH_NTZ))
 
 
+def _prune_dates(flights: DataFrame, lo: Column, hi: Column | None, unit: str) -> DataFrame:
+    """Add a redundant predicate on the ``dep_date`` partition column when the
+    input has one (see ``sources.layout``): the window bounds are constants
+    after folding, so only the matching date folders are listed and read."""
+    if DATE_COL not in flights.columns:
+        return flights
+    to_date = (lambda c: F.to_date(epoch_to_ts(F.floor(c).cast("long"), unit)))
+    cond = F.col(DATE_COL) >= to_date(lo)
+    if hi is not None:
+        cond = cond & (F.col(DATE_COL) <= to_date(hi))
+    return flights.where(cond)
+
+
 def recent_cancelled(flights: DataFrame, as_of_ms: int | None = None, seconds: int = 3600,
                      unit: str = "ms") -> DataFrame:
     """Cancelled flights per (airline, origin) scheduled in the last ``seconds``."""
     hi = _now_in_unit(as_of_ms, unit)
     lo = hi - F.lit(seconds * per_second(unit))
     cond = (F.col(STATUS) == F.lit(CANCELLED)) & (F.col(SCHEDULED) >= lo) & (F.col(SCHEDULED) <= hi)
-    return flights.where(cond).groupBy(AIRLINE, ORIGIN).agg(
+    return _prune_dates(flights, lo, hi, unit).where(cond).groupBy(AIRLINE, ORIGIN).agg(
         F.count(F.lit(1)).alias("total_canceled_flights")
     ).select(AIRLINE, ORIGIN, "total_canceled_flights", _now_ts(as_of_ms).alias("calculation_time"))
 
@@ -52,7 +66,7 @@ def enriched_flights(flights: DataFrame, as_of_ms: int | None = None, seconds: i
     size of the original report (ordered by schedule for determinism)."""
     lo = _now_in_unit(as_of_ms, unit) - F.lit(seconds * per_second(unit))
     hour = hour_of_day(unit)
-    out = flights.where(F.col(SCHEDULED) >= lo).select(
+    out = _prune_dates(flights, lo, None, unit).where(F.col(SCHEDULED) >= lo).select(
         F.col(FLIGHT_NUMBER),
         epoch_to_ts(SCHEDULED, unit).alias("scheduled_departure_time"),
         F.col(AIRLINE), F.col(ORIGIN), F.col(DESTINATION),

@@ -126,6 +126,13 @@ def get_flight(latest: DataFrame, flight_number: str) -> DataFrame:
     return latest.where(F.col(FLIGHT_NUMBER) == F.lit(flight_number))
 
 
+def lookup_flight(flights: DataFrame, flight_number: str, order: str = SEQ) -> DataFrame:
+    """Current record of one flight straight from the record log: the key
+    predicate is applied before the latest-record step, so it reaches the scan
+    (row groups of a log sorted by flight are skipped by their statistics)."""
+    return latest_flight(flights.where(F.col(FLIGHT_NUMBER) == F.lit(flight_number)), order)
+
+
 def get_delayed(delayed: DataFrame, airport: str) -> DataFrame:
     """Exactly one row (airport, delayedCount); 0 for an unknown airport.
 

@@ -60,7 +60,7 @@ QUERIES: dict[str, Query] = {
     # keyed latest table, retracting count and lookups
     "latest_flight": _f(state.latest_flight),
     "delayed_by_origin": _f(lambda f: state.delayed_by_origin(f)),
-    "get_flight": _f(lambda f: state.get_flight(state.latest_flight(f), EXAMPLE_FLIGHT)),
+    "get_flight": _f(lambda f: state.lookup_flight(f, EXAMPLE_FLIGHT)),
     "get_delayed": _f(lambda f: state.get_delayed(state.delayed_by_origin(f), EXAMPLE_AIRPORT)),
     "all_delayed": _f(lambda f: state.all_delayed(state.delayed_by_origin(f))),
     # maintained views, the alert sink and the reads over them

@@ -137,3 +137,37 @@ def test_size_shuffle_partitions(spark):
         assert size_shuffle_partitions(spark, docs) == spark.sparkContext.defaultParallelism
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_flight_log_layout_prunes_dates(spark, workdir):
+    from aerostream.sources.layout import read_flight_log, write_flight_log
+    from aerostream.sources.tables import TEST_AS_OF_MS, flights
+    from tests.conftest import SF_MID
+
+    f = flights(spark, SF_MID)
+    path = f"{workdir}/log"
+    write_flight_log(f, path, files_per_date=2)
+    log = read_flight_log(spark, path)
+    for fn, kw in ((recent.recent_cancelled, {}), (recent.enriched_flights, {})):
+        a = sorted(map(tuple, fn(f, as_of_ms=TEST_AS_OF_MS, **kw).collect()))
+        b = sorted(map(tuple, fn(log, as_of_ms=TEST_AS_OF_MS, **kw).collect()))
+        assert a == b and a
+        plan = fn(log, as_of_ms=TEST_AS_OF_MS)._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(dep_date" in plan and "dep_date#" in plan
+    # every other query is unaffected by the extra column
+    assert views.airline_performance(log).count() == views.airline_performance(f).count()
+
+
+def test_lookup_flight_filters_before_latest(spark, workdir):
+    from aerostream.sources.layout import read_flight_log, write_flight_log
+    from aerostream.sources.tables import flights
+    from tests.conftest import SF_SMALL
+
+    f = flights(spark, SF_SMALL)
+    write_flight_log(f, f"{workdir}/log", files_per_date=1)
+    log = read_flight_log(spark, f"{workdir}/log").drop("dep_date")
+    got = [tuple(r) for r in state.lookup_flight(log, "FL1").collect()]
+    want = [tuple(r) for r in state.get_flight(state.latest_flight(f), "FL1").collect()]
+    assert got == want and len(got) == 1
+    plan = state.lookup_flight(log, "FL1")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(flightNumber,FL1)" in plan
