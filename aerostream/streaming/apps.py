@@ -77,6 +77,23 @@ def _batch_ordered_upsert(path: str, key: str):
     return _sink
 
 
+def start_flight_log(flights: DataFrame, path: str, name: str = "flight-log", unit: str = "ms",
+                     checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Append the record stream to the date-partitioned flight log (exactly-once
+    through the file sink's log). Snapshot analytics that Spark refuses on
+    streams — ``COUNT(DISTINCT)``, ``SUM(...) OVER ()``, sorting — run as batch
+    queries over ``sources.layout.read_flight_log(path)``; time-relative ones
+    prune to the dates they need."""
+    from aerostream.sources.layout import DATE_COL, with_dep_date
+
+    ckpt = checkpoint or checkpoint_path(flights.sparkSession, "apps", name)
+    w = (with_dep_date(flights, unit).writeStream.queryName(name).outputMode("append")
+         .format("parquet").option("path", path).option("checkpointLocation", ckpt).partitionBy(DATE_COL))
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
 def publish_lines(spark: SparkSession, path: str, kafka: dict[str, str], topic: str, header: bool = True) -> None:
     """Send every line of a delimited text file (header skipped) to ``topic``
     with a null key; the file is read in parallel byte ranges."""

@@ -251,3 +251,22 @@ def test_json_word_count_stream(spark, workdir):
     for _, (w, n) in sorted(seen, key=lambda x: x[0]):
         final[w] = n
     assert final == {"hello": 2, "flink": 2, "kafka": 2, "and": 1}
+
+
+def test_flight_log_stream_feeds_snapshot_analytics(spark, workdir):
+    from aerostream.operators import analytics
+    from aerostream.sources.layout import read_flight_log
+    from aerostream.streaming.apps import start_flight_log
+
+    rows, batches = _derived_batches(spark)
+    src = os.path.join(workdir, "in")
+    _write_json_batches(src, batches)
+    path = os.path.join(workdir, "log")
+    q = start_flight_log(flight_file_stream(spark, src, max_files_per_trigger=1), path,
+                         name=f"log-{os.path.basename(workdir)}", checkpoint=os.path.join(workdir, "ck-log"),
+                         trigger={"availableNow": True})
+    q.awaitTermination(300)
+    log = read_flight_log(spark, path)
+    batch = _batch_of(spark, rows)
+    for fn in (analytics.busiest_routes, analytics.status_share, analytics.delay_buckets):
+        assert sorted(map(tuple, fn(log).collect())) == sorted(map(tuple, fn(batch).collect())), fn.__name__
