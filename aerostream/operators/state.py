@@ -22,9 +22,9 @@ from aerostream.schema import DELAYED, FLIGHT_FIELDS, FLIGHT_NUMBER, ORIGIN, SEQ
 from aerostream.session import checkpoint_root, estimated_bytes
 
 
-# Bytes per broadcast (key, order) entry assumed when turning the broadcast
-# threshold into a key-count bound (key string + long + hash-table overhead).
-_BYTES_PER_KEY = 64
+# Bytes per broadcast (key, order) entry on top of the key's own bytes: the
+# order long plus hash-relation and row overhead.
+_ENTRY_OVERHEAD = 48
 
 
 def _bytes(raw: str) -> int:
@@ -41,13 +41,8 @@ def _bytes(raw: str) -> int:
         return 10 << 20
 
 
-def _broadcast_key_limit(spark, max_keys: int | None) -> int:
-    """Largest number of keys whose (key, order) table may be broadcast."""
-    threshold = _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b"))
-    if threshold <= 0:
-        return 0
-    by_size = threshold // _BYTES_PER_KEY
-    return min(by_size, max_keys) if max_keys is not None else by_size
+def _broadcast_threshold(spark) -> int:
+    return _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b"))
 
 
 # Inputs estimated below this size are reduced with the single max_by job: they
@@ -67,9 +62,9 @@ def latest_by_key(df: DataFrame, key: str, order: str, payload: list[str],
     """Row with the highest ``order`` per ``key`` (nulls keys dropped), exact.
 
     ``max_by(struct(payload), order)`` needs a struct aggregation buffer, which
-    Spark can only run as a sort-based aggregate. When the number of keys is
-    small enough to broadcast — checked with a count of the per-key maxima,
-    bounded by ``spark.sql.autoBroadcastJoinThreshold`` — the work is done with
+    Spark can only run as a sort-based aggregate. When the per-key maxima are
+    small enough to broadcast — their measured size (rows and key bytes) within
+    ``spark.sql.autoBroadcastJoinThreshold`` — the work is done with
     fixed-width operators instead: a hash aggregate of ``max(order)`` per key
     (reads only the key and order columns), a broadcast semi-join that keeps
     the winning rows map-side without shuffling the table, and a ``max_by``
@@ -90,13 +85,15 @@ def latest_by_key(df: DataFrame, key: str, order: str, payload: list[str],
         return by_sort(src)
     if strategy == "auto" and _estimated_bytes(df) < SMALL_INPUT_BYTES:
         return by_sort(src)
-    limit = _broadcast_key_limit(df.sparkSession, max_broadcast_keys)
-    if limit <= 0:
+    threshold = _broadcast_threshold(df.sparkSession)
+    if threshold <= 0 or max_broadcast_keys == 0:
         return by_sort(src)
     checkpoint_root(df.sparkSession)
-    # computed once: checkpointed (reliable storage, lineage cut) then counted and broadcast
+    # computed once: checkpointed (reliable storage, lineage cut), measured, then broadcast
     maxima = src.groupBy(key).agg(F.max(order).alias(order)).checkpoint()
-    if maxima.count() > limit:
+    n, key_bytes = maxima.agg(F.count(F.lit(1)), F.sum(F.length(F.col(key).cast("string")))).first()
+    size = (key_bytes or 0) + n * _ENTRY_OVERHEAD
+    if size > threshold or (max_broadcast_keys is not None and n > max_broadcast_keys):
         return by_sort(src)
     winners = src.join(F.broadcast(maxima), [key, order], "left_semi")
     return by_sort(winners)

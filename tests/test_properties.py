@@ -101,14 +101,14 @@ def test_latest_by_key_both_plans_agree(spark):
     assert sorted(map(tuple, capped.collect())) == sorted(map(tuple, slow.collect()))
 
 
-def test_broadcast_limit_reads_threshold(spark):
-    from aerostream.operators.state import _broadcast_key_limit
-
-    assert _broadcast_key_limit(spark, None) > 0
+def test_broadcast_disabled_uses_sort_plan(spark):
+    rows = [(i, f"F{i % 7}", "AL1", "AP1", "AP0", i, None, "DELAYED") for i in range(100)]
+    df = flights_df(spark, rows)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert _broadcast_key_limit(spark, 100) == 0
+        plan = state.latest_flight(df, strategy="broadcast")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
