@@ -51,12 +51,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     ``DataFrame.checkpoint()`` writes under it (the context's RDD checkpoint
     folder is set to it once).
     """
-    sc = spark.sparkContext
-    root = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote client: the server owns the checkpoint folder
+        sc = None
+    root = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getCheckpointDir() if sc else None)
     if not root:
         root = tempfile.mkdtemp(prefix="aerostream-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
 

@@ -84,8 +84,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     CPU-heavy text work to one task. Hashing a unique key keeps the shuffle
     deterministic under task retries.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+    except Exception:  # no access to the RDD layer (e.g. a remote client): leave the scan as is
         return df
     return df.repartition(cores, F.col(key))
 
