@@ -73,6 +73,53 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path).drop(BUCKET)
 
 
+# ---------------------------------------------------------------- merge-on-read
+
+def append_delta(batch: DataFrame, path: str, key: str, order: str, buckets: int = 64) -> None:
+    """Merge-on-read upsert: append the batch's newest row per key to its bucket
+    folder without reading the table, so a batch costs O(batch) however large
+    the table is. Readers reduce with ``read_merged``; ``compact`` folds the
+    deltas back into one file per bucket. Re-running a batch only appends rows
+    that the reduction already discards (same key and order)."""
+    new = newest_per_key(batch.where(F.col(key).isNotNull()), key, order)
+    new = new.withColumn(BUCKET, F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)))
+    new.repartition(F.col(BUCKET)).sortWithinPartitions(BUCKET, key) \
+        .write.mode("append").partitionBy(BUCKET).parquet(path)
+
+
+def read_merged(spark: SparkSession, path: str, key: str, order: str) -> DataFrame:
+    """Current row per key of a merge-on-read table (newest ``order`` wins)."""
+    from aerostream.operators.state import latest_by_key
+
+    raw = spark.read.option("mergeSchema", "true").parquet(path)
+    payload = [c for c in raw.columns if c not in (key, BUCKET)]
+    return latest_by_key(raw, key, order, payload)
+
+
+def compact(spark: SparkSession, path: str, key: str, order: str) -> None:
+    """Rewrite every bucket as its reduced, key-sorted rows (dynamic partition
+    overwrite from checkpointed data, so the files being replaced are not read
+    while written and a lost task recomputes from durable data)."""
+    checkpoint_root(spark)
+    raw = spark.read.option("mergeSchema", "true").parquet(path)
+    reduced = newest_per_key(raw, key, order)
+    reduced = reduced.repartition(F.col(BUCKET)).sortWithinPartitions(BUCKET, key).checkpoint()
+    (reduced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET).parquet(path))
+
+
+def delta_sink(path: str, key: str, order: str, buckets: int = 64,
+               transform: Callable[[DataFrame], DataFrame] | None = None, compact_every: int | None = None):
+    """``foreachBatch`` for the merge-on-read table, compacting every
+    ``compact_every`` batches."""
+    def _sink(batch: DataFrame, batch_id: int) -> None:
+        src = transform(batch) if transform else batch
+        append_delta(src, path, key, order, buckets)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact(batch.sparkSession, path, key, order)
+    return _sink
+
+
 def lookup(spark: SparkSession, path: str, key: str, value, buckets: int = 64) -> DataFrame:
     """Point lookup: the bucket predicate is a constant after folding, so only
     one bucket folder is listed; the sorted key prunes row groups inside it."""

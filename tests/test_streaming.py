@@ -270,3 +270,21 @@ def test_flight_log_stream_feeds_snapshot_analytics(spark, workdir):
     batch = _batch_of(spark, rows)
     for fn in (analytics.busiest_routes, analytics.status_share, analytics.delay_buckets):
         assert sorted(map(tuple, fn(log).collect())) == sorted(map(tuple, fn(batch).collect())), fn.__name__
+
+
+def test_merge_on_read_sink(spark, workdir):
+    src = os.path.join(workdir, "in")
+    _write_json_batches(src, [[r] for r in RETRACTION_CASE])
+    target = os.path.join(workdir, "mor")
+    q = start_view(flight_file_stream(spark, src, max_files_per_trigger=1), "mor", "append",
+                   sink=tbl.delta_sink(target, "flightNumber", "seq", buckets=4, compact_every=4),
+                   checkpoint=os.path.join(workdir, "ck-mor"), trigger={"availableNow": True})
+    q.awaitTermination(300)
+    want = {"AA100": ("SFO", "BOARDING"), "BA200": ("SFO", "ON_TIME"), "CA300": ("LAX", "DELAYED")}
+    got = {r["flightNumber"]: (r["origin"], r["status"]) for r in tbl.read_merged(spark, target, "flightNumber", "seq").collect()}
+    assert got == want
+    assert spark.read.parquet(target).count() > 3  # deltas after the last compaction are still there
+    tbl.compact(spark, target, "flightNumber", "seq")
+    assert spark.read.parquet(target).count() == 3
+    got = {r["flightNumber"]: (r["origin"], r["status"]) for r in tbl.read_merged(spark, target, "flightNumber", "seq").collect()}
+    assert got == want
