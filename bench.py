@@ -38,6 +38,7 @@ def main() -> None:
     for name, q in QUERIES.items():
         if only and name not in only:
             continue
+        spark.sparkContext._jvm.System.gc()  # untimed: start each query with a collected heap
         q(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
         best = None
         for _ in range(repeat):
