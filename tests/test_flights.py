@@ -171,3 +171,15 @@ def test_lookup_flight_filters_before_latest(spark, workdir):
     assert got == want and len(got) == 1
     plan = state.lookup_flight(log, "FL1")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(flightNumber,FL1)" in plan
+
+
+def test_airport_comparison_plans_agree(spark):
+    from aerostream.sources.tables import flights
+    from tests.conftest import SF_SMALL
+
+    f = flights(spark, SF_SMALL)
+    a = sorted(map(tuple, analytics.airport_comparison(f, limit=None).collect()))
+    b = sorted(map(tuple, analytics.airport_comparison(f, limit=None, plan="union").collect()))
+    assert a == b and a
+    plan = analytics.airport_comparison(f, plan="union")._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan
