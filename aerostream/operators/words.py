@@ -8,6 +8,8 @@ shuffle.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +49,22 @@ def word_count_json(messages: DataFrame, value_col: str = "value", lower: bool =
     return word_count(parsed.select(F.col("j.message").alias("message")), "message", mode="sql", lower=lower)
 
 
+def lookup_word(lines: DataFrame, word: str, value_col: str = "value", mode: str = "java",
+                lower: bool = True) -> DataFrame:
+    """(word, count) of one word straight from the lines, empty when unknown.
+
+    A line can only yield the token ``w`` if it contains ``w`` as a substring
+    (after lower-casing), so lines without it are dropped by a cheap ``instr``
+    test before the regex split; the result is the same as filtering the full
+    word count.
+    """
+    v = F.col(value_col)
+    if word and re.fullmatch(r"[A-Za-z0-9_]+", word):
+        text = F.lower(v) if lower else v
+        lines = lines.where(F.instr(text, word.lower() if lower else word) > 0)
+    return get_word(word_count(lines, value_col, mode, lower), word)
+
+
 def get_word(counts: DataFrame, word: str) -> DataFrame:
     """Point lookup: the (word, count) row, empty when the word is unknown."""
     return counts.where(F.col("word") == F.lit(word))

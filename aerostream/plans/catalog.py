@@ -56,7 +56,7 @@ QUERIES: dict[str, Query] = {
     # word counts over the text stream (documents as lines)
     "word_count_java": lambda s, d: words.word_count(lines(s, d), mode="java"),
     "word_count_sql": lambda s, d: words.word_count(lines(s, d), mode="sql"),
-    "get_word": lambda s, d: words.get_word(words.word_count(lines(s, d), mode="java"), EXAMPLE_WORD),
+    "get_word": lambda s, d: words.lookup_word(lines(s, d), EXAMPLE_WORD, mode="java"),
     # keyed latest table, retracting count and lookups
     "latest_flight": _f(state.latest_flight),
     "delayed_by_origin": _f(lambda f: state.delayed_by_origin(f)),

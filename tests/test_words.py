@@ -61,3 +61,14 @@ def test_get_word_known_and_unknown(spark):
     counts = word_count(_lines(spark, ["Hello Kafka"]))
     assert [tuple(r) for r in get_word(counts, "kafka").collect()] == [("kafka", 1)]
     assert get_word(counts, "nope").count() == 0
+
+
+def test_lookup_word_equals_full_count(spark):
+    from aerostream.operators.words import lookup_word
+    from aerostream.sources.tables import lines
+    from tests.conftest import SF_SMALL
+
+    ls = lines(spark, SF_SMALL)
+    full = word_count(ls)
+    for w in ["the", "data", "zzzz_unknown", "a1", ""]:
+        assert sorted(map(tuple, lookup_word(ls, w).collect())) == sorted(map(tuple, get_word(full, w).collect())), w
