@@ -20,6 +20,7 @@ bounded by ``buckets``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -96,16 +97,30 @@ def read_merged(spark: SparkSession, path: str, key: str, order: str) -> DataFra
     return latest_by_key(raw, key, order, payload)
 
 
-def compact(spark: SparkSession, path: str, key: str, order: str) -> None:
-    """Rewrite every bucket as its reduced, key-sorted rows (dynamic partition
-    overwrite from checkpointed data, so the files being replaced are not read
-    while written and a lost task recomputes from durable data)."""
+def compact(spark: SparkSession, path: str, key: str, order: str, min_files: int = 2) -> list[int]:
+    """Rewrite the buckets holding at least ``min_files`` files as their
+    reduced, key-sorted rows; returns the rewritten bucket numbers.
+
+    Which buckets need it comes from the file listing (metadata only). The
+    rewrite uses dynamic partition overwrite from checkpointed data, so the
+    files being replaced are not read while written and a lost task recomputes
+    from durable data.
+    """
     checkpoint_root(spark)
     raw = spark.read.option("mergeSchema", "true").parquet(path)
-    reduced = newest_per_key(raw, key, order)
+    per_bucket: dict[int, int] = {}
+    for f in raw.inputFiles():
+        m = re.search(rf"/{BUCKET}=(\d+)/", f)
+        if m:
+            per_bucket[int(m.group(1))] = per_bucket.get(int(m.group(1)), 0) + 1
+    todo = sorted(b for b, n in per_bucket.items() if n >= min_files)
+    if not todo:
+        return []
+    reduced = newest_per_key(raw.where(F.col(BUCKET).isin(todo)), key, order)
     reduced = reduced.repartition(F.col(BUCKET)).sortWithinPartitions(BUCKET, key).checkpoint()
     (reduced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET).parquet(path))
+    return todo
 
 
 def delta_sink(path: str, key: str, order: str, buckets: int = 64,
