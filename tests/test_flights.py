@@ -183,3 +183,17 @@ def test_airport_comparison_plans_agree(spark):
     assert a == b and a
     plan = analytics.airport_comparison(f, plan="union")._jdf.queryExecution().executedPlan().toString()
     assert "Union" in plan
+
+
+def test_time_relative_default_now(spark):
+    import datetime
+
+    now_ms = int(datetime.datetime.now(datetime.timezone.utc).timestamp() * 1000)
+    rows = [(0, "N1", "AL", "SFO", "JFK", now_ms - 60_000, None, "CANCELLED"),      # 1 min ago
+            (1, "N2", "AL", "SFO", "JFK", now_ms - 7_200_000, None, "CANCELLED"),   # 2 h ago
+            (2, "N3", "AL", "SFO", "JFK", now_ms - 30 * 86_400_000, None, "ON_TIME")]
+    f = flights_df(spark, rows)
+    got = recent.recent_cancelled(f).collect()
+    assert [(r["airline"], r["origin"], r["total_canceled_flights"]) for r in got] == [("AL", "SFO", 1)]
+    assert got[0]["calculation_time"] is not None
+    assert sorted(r["flightNumber"] for r in recent.enriched_flights(f).collect()) == ["N1", "N2"]
