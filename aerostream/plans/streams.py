@@ -105,7 +105,25 @@ def flight_alerts_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_append(views.flight_alerts(_flights_stream(spark, sf_dir)), "flight_alerts")
 
 
+def view_streamed(name: str, key: str | None):
+    """A maintained view run as a stream over the events table: update-mode views
+    are upserted by ``key``, append-mode views (``key=None``) appended."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from aerostream.streaming.views import FLIGHT_VIEWS
+
+        build, _mode = FLIGHT_VIEWS[name]
+        out = build(_flights_stream(spark, sf_dir))
+        if key is None:
+            return run_append(out, name)
+        return run_update(out, name, key).select(*out.columns)
+    return run
+
+
 STREAM_QUERIES = {
+    "delayed_flights_stream": view_streamed("delayed_flights", None),
+    "airline_performance_stream": view_streamed("airline_performance", "airline"),
+    "hourly_flight_summary_stream": view_streamed("hourly_flight_summary", "window_start"),
+    "airport_congestion_stream": view_streamed("airport_congestion", "airport"),
     "delayed_by_origin_stream": delayed_by_origin_streamed,
     "latest_flight_stream": latest_flight_streamed,
     "word_count_stream": word_count_streamed,
@@ -115,6 +133,10 @@ STREAM_QUERIES = {
 
 # the batch query whose oracle each streamed entry must equal
 STREAM_ORACLE_OF = {
+    "delayed_flights_stream": "delayed_flights",
+    "airline_performance_stream": "airline_performance",
+    "hourly_flight_summary_stream": "hourly_flight_summary",
+    "airport_congestion_stream": "airport_congestion",
     "delayed_by_origin_stream": "delayed_by_origin",
     "latest_flight_stream": "latest_flight",
     "word_count_stream": "word_count_java",
