@@ -4,7 +4,8 @@ Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8)
 BENCH_REPEAT (default 2; after one untimed warm-up run per query, the best of
 the timed repeats is reported — steady-state throughput, JIT warm),
 BENCH_ONLY (optional comma-separated subset of query names),
-BENCH_GC=1 (optional: force a JVM collection before each query, untimed).
+BENCH_GC=1 (optional: force a JVM collection before each query, untimed),
+BENCH_XMS (optional initial driver heap, e.g. 8g).
 Each query is fully executed into the ``noop`` sink (no driver collect).
 """
 
@@ -26,8 +27,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus,
-                          extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    if os.environ.get("BENCH_XMS"):
+        extra["spark.driver.extraJavaOptions"] = f"-Xms{os.environ['BENCH_XMS']}"
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, extra=extra)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 
