@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerostream.functions.flight import (
-    departure_status, epoch_to_ts, hour_of_day, per_second, time_of_day, whole_delay_minutes,
+    departure_status, epoch_to_ts, hour_of_day, per_second, scheduled_between, time_of_day, whole_delay_minutes,
 )
 from aerostream.sources.layout import DATE_COL
 from aerostream.schema import ACTUAL, AIRLINE, CANCELLED, DESTINATION, FLIGHT_NUMBER, ORIGIN, SCHEDULED, STATUS
@@ -53,7 +53,7 @@ def recent_cancelled(flights: DataFrame, as_of_ms: int | None = None, seconds: i
     """Cancelled flights per (airline, origin) scheduled in the last ``seconds``."""
     hi = _now_in_unit(as_of_ms, unit)
     lo = hi - F.lit(seconds * per_second(unit))
-    cond = (F.col(STATUS) == F.lit(CANCELLED)) & (F.col(SCHEDULED) >= lo) & (F.col(SCHEDULED) <= hi)
+    cond = (F.col(STATUS) == F.lit(CANCELLED)) & scheduled_between(lo, hi)
     return _prune_dates(flights, lo, hi, unit).where(cond).groupBy(AIRLINE, ORIGIN).agg(
         F.count(F.lit(1)).alias("total_canceled_flights")
     ).select(AIRLINE, ORIGIN, "total_canceled_flights", _now_ts(as_of_ms).alias("calculation_time"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerostream.functions.text import java_split, sql_split
+from aerostream.schema import MESSAGE_SCHEMA
 
 
 def words(lines: DataFrame, value_col: str = "value", mode: str = "java", lower: bool = True) -> DataFrame:
@@ -45,7 +46,7 @@ def word_count(lines: DataFrame, value_col: str = "value", mode: str = "java", l
 def word_count_json(messages: DataFrame, value_col: str = "value", lower: bool = True) -> DataFrame:
     """SQL-table variant: JSON records with a ``message`` field; bad JSON or a
     missing field gives a null message, which is dropped."""
-    parsed = messages.select(F.from_json(F.col(value_col).cast("string"), "message string").alias("j"))
+    parsed = messages.select(F.from_json(F.col(value_col).cast("string"), MESSAGE_SCHEMA).alias("j"))
     return word_count(parsed.select(F.col("j.message").alias("message")), "message", mode="sql", lower=lower)
 
 

@@ -71,15 +71,9 @@ SINK_RENAMES = {
 SINK_KEY = "flight_number"
 SINK_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-SINK_TABLE_SCHEMA = T.StructType(
-    [T.StructField(name, T.StringType(), True) for name in SINK_RENAMES.values()]
-)
 
 # Text stream record: one line per record, null key.
 TEXT_SCHEMA = T.StructType([T.StructField("value", T.StringType(), True)])
 # JSON text table of the SQL word count: one field, missing fields allowed.
 MESSAGE_SCHEMA = T.StructType([T.StructField("message", T.StringType(), True)])
 
-WORD_COUNT_SCHEMA = T.StructType(
-    [T.StructField("word", T.StringType(), True), T.StructField("count", T.LongType(), False)]
-)

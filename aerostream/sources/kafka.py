@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerostream.schema import FLIGHT_AVRO_SCHEMA, FLIGHT_SCHEMA, SEQ, STATUS
+from aerostream.schema import FLIGHT_AVRO_SCHEMA, FLIGHT_SCHEMA, MESSAGE_SCHEMA, SEQ, STATUS
 
 # fixed values: names of the client security settings copied onto every connection
 SECURITY_KEYS = (
@@ -135,7 +135,7 @@ def _flatten(rec: DataFrame) -> DataFrame:
 def decode_messages(records: DataFrame) -> DataFrame:
     """JSON ``{"message": ...}`` records; bad JSON or a missing field -> null."""
     return records.select(
-        F.from_json(F.col("value").cast("string"), "message string").getField("message").alias("message"))
+        F.from_json(F.col("value").cast("string"), MESSAGE_SCHEMA).getField("message").alias("message"))
 
 
 def decode(records: DataFrame, kind: str) -> DataFrame:

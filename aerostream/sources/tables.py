@@ -104,8 +104,3 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return text_lines(spread(docs, "doc_id"))
 
-
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Temp views ``flights`` and ``lines`` for ad-hoc SQL."""
-    flights(spark, sf_dir).createOrReplaceTempView("flights")
-    lines(spark, sf_dir).createOrReplaceTempView("lines")

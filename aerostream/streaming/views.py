@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aerostream.operators import state, views, words
-from aerostream.schema import FLIGHT_NUMBER
 from aerostream.session import checkpoint_path
 from aerostream.streaming.retract import delayed_by_origin_stream
 
@@ -35,15 +34,6 @@ FLIGHT_VIEWS: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
     "delayed_by_origin": (delayed_by_origin_stream, "update"),
 }
 
-KEYS = {
-    "airline_performance": ["airline"],
-    "hourly_flight_summary": ["window_start"],
-    "airport_congestion": ["airport"],
-    "latest_flight": [FLIGHT_NUMBER],
-    "delayed_by_origin": ["origin"],
-    "word_count": ["word"],
-}
-
 
 def start_view(df: DataFrame, name: str, output_mode: str, sink: str | Callable = "memory",
                checkpoint: str | None = None, trigger: dict | None = None,

@@ -197,3 +197,16 @@ def test_time_relative_default_now(spark):
     assert [(r["airline"], r["origin"], r["total_canceled_flights"]) for r in got] == [("AL", "SFO", 1)]
     assert got[0]["calculation_time"] is not None
     assert sorted(r["flightNumber"] for r in recent.enriched_flights(f).collect()) == ["N1", "N2"]
+
+
+def test_normalise_and_status_severity(spark):
+    from pyspark.sql import functions as F
+
+    from aerostream.functions.flight import status_severity
+    from aerostream.sources.tables import normalise
+
+    rows = [(0, None, "AA", "SFO", "JFK", 1000, None, "delayed"), (1, "X1", "AA", "SFO", "JFK", 3_600_000, 5, "on_time")]
+    out = normalise(flights_df(spark, rows), add_ts=True).collect()
+    assert len(out) == 1 and out[0]["status"] == "ON_TIME" and str(out[0]["scheduled_ts"]) == "1970-01-01 01:00:00"
+    sev = spark.createDataFrame([("DELAYED",), ("ON_TIME",), ("BOARDING",)], "s string")
+    assert [r[0] for r in sev.select(status_severity(F.col("s"))).collect()] == ["bad", "good", "neutral"]
