@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from aerostream.schema import DELAYED, FLIGHT_NUMBER, ORIGIN, SEQ, STATUS
+from aerostream.session import ship_package
 
 _STATE = T.StructType([
     T.StructField("origin", T.StringType(), True),
@@ -112,6 +113,7 @@ def delayed_deltas(flights: DataFrame, prereduce: bool = True) -> DataFrame:
     stateful processor.
     """
     require_rocksdb(flights.sparkSession)
+    ship_package(flights.sparkSession)  # the processor and the pre-reduction run in Python workers
     src = flights.where(F.col(FLIGHT_NUMBER).isNotNull() & F.col(SEQ).isNotNull()) \
         .select(FLIGHT_NUMBER, ORIGIN, STATUS, SEQ)
     if prereduce:
