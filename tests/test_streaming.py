@@ -289,3 +289,15 @@ def test_merge_on_read_sink(spark, workdir):
     assert tbl.compact(spark, target, "flightNumber", "seq") == []  # nothing left to fold
     got = {r["flightNumber"]: (r["origin"], r["status"]) for r in tbl.read_merged(spark, target, "flightNumber", "seq").collect()}
     assert got == want
+
+
+def test_keyed_tables_idempotent_on_batch_retry(spark, workdir):
+    rows = [("k1", 1, "a"), ("k2", 2, "b"), ("k1", 3, "c")]
+    batch = spark.createDataFrame(rows, "k string, o long, v string")
+    cow, mor = os.path.join(workdir, "cow"), os.path.join(workdir, "mor")
+    for _ in range(2):  # the same micro-batch delivered twice
+        tbl.upsert(batch, cow, "k", "o", buckets=2)
+        tbl.append_delta(batch, mor, "k", "o", buckets=2)
+    want = [("k1", 3, "c"), ("k2", 2, "b")]
+    assert sorted(tuple(r) for r in tbl.read_keyed(spark, cow).select("k", "o", "v").collect()) == want
+    assert sorted(tuple(r) for r in tbl.read_merged(spark, mor, "k", "o").select("k", "o", "v").collect()) == want
