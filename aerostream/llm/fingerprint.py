@@ -2,7 +2,7 @@
 
 A text's sketch keeps every hash of its word shingles that lies below a fixed
 fraction of the hash range; if none does, the smallest one. Hashes are the
-first 64 bits of the MD5 of the shingle, as hex; 5 words of the lower-cased
+first 60 bits of the MD5 of the shingle; 5 words of the lower-cased
 (A-Z) text make a shingle, a text of fewer words is one shingle, a text without
 words has an empty sketch. Sketches of parts can be merged by union, and as the
 fraction is the same for all, the share of a short document's hashes found in a
@@ -22,21 +22,28 @@ from aerostream.llm.common import WORD, lower_ascii, saved
 K = 5
 # first hex digit of the hashes kept: 2 of 16, an eighth of the range
 KEEP_BELOW = "2"
+# hex digits of a hash: 60 bits, so that it is a positive long
+DIGITS = 15
 
 
 def sketched(df: DataFrame, text_col: str, out: str, k: int = K, below: str = KEEP_BELOW) -> DataFrame:
-    """Add ``out``: the sorted distinct kept hashes of the text."""
-    h = F.col("_hashes")
+    """Add ``out``: the sorted distinct kept hashes of the text, as long."""
+    h, words = F.col("_hashes"), F.col("_words")
     kept = F.filter(h, lambda x: x < F.lit(below))
     kept = F.when(F.size(kept) > 0, kept).when(F.size(h) > 0, F.array(F.array_min(h))).otherwise(kept)
-    words = F.col("_words")
     low = df.withColumn("_words", F.regexp_extract_all(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))),
                                                        F.lit(WORD), F.lit(0)))
     n = F.size(words)
     at = F.when(n > 0, F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1)))).otherwise(F.array().cast("array<int>"))
     low = low.withColumn("_hashes", F.transform(
-        at, lambda i: F.substring(F.md5(F.array_join(F.slice(words, i, k), " ")), 1, 16)))
-    return low.withColumn(out, F.array_sort(F.array_distinct(kept))).drop("_words", "_hashes")
+        at, lambda i: F.substring(F.md5(F.array_join(F.slice(words, i, k), " ")), 1, DIGITS)))
+    as_long = F.transform(F.array_distinct(kept), lambda x: F.conv(x, 16, 10).cast("long"))
+    return low.withColumn(out, F.sort_array(as_long)).drop("_words", "_hashes")
+
+
+def as_text(sketch: Column) -> Column:
+    """The hashes as hex digits, one after the other."""
+    return F.array_join(F.transform(sketch, lambda x: F.lpad(F.lower(F.hex(x)), DIGITS, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -83,21 +90,27 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     serves both the row itself and its use as somebody's next document.
     """
     spark = docs.sparkSession
-    base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    base = base.withColumn("sha", F.sha2("text", 256)).withColumn("n_chars", F.length("text").cast("long"))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
+        .withColumn("sha", F.sha2("text", 256))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = successors(base.select("doc_id", "sha", "n_chars"), ["doc_id", "sha", "n_chars"], parts)
+    keys = base.select("doc_id", "sha", F.length("text").alias("n"))
+    pairs = successors(keys, ["doc_id", "sha", "n"], parts).alias("p")
+    # the same columns in both joins, so that both read one exchange
     full = sketched(base, "text", "sketch")
 
-    quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    nxt = full.select(F.col("doc_id").alias("_nid"), F.col("sha").alias("_nsha"),
-                      F.col("text").alias("_ntext"), F.col("sketch").alias("next_sketch"))
-    heads = pairs.join(nxt, F.col("next_doc_id").eqNullSafe(F.col("_nid")) & (F.col("next_sha") == F.col("_nsha"))) \
-        .select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"),
-                F.substring(F.col("_ntext"), F.lit(1), quarter).alias("head"), "next_sketch") \
+    def quarter(n: Column) -> Column:
+        return F.floor(n / 4).cast("int")
+
+    heads = pairs.join(full.alias("f"), F.col("p.next_doc_id").eqNullSafe(F.col("f.doc_id"))
+                       & (F.col("p.next_sha") == F.col("f.sha"))) \
+        .select(F.col("p.doc_id").alias("_id"), F.col("p.sha").alias("_sha"),
+                F.substring(F.col("f.text"), F.lit(1), quarter(F.col("p.n"))).alias("head"),
+                F.col("f.sketch").alias("next_sketch")) \
         .dropDuplicates(["_id", "_sha"])
     j = full.join(heads, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha")))
-    j = j.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - quarter), "head"))
+    n = F.length("text")
+    j = j.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), n - quarter(n)), "head")) \
+        .withColumn("n_chars", n.cast("long"))
     j = sketched(j, "edited", "edited_sketch")
     return j.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "sketch", "edited_sketch", "next_sketch")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerostream.llm import chat, fingerprint, langid, mixing, urlfilter, warc
+from aerostream.llm import chat, fingerprint, langid, mixing, packing, pii, urlfilter, warc
 from aerostream.llm.common import scratch, table
 
 
@@ -18,18 +18,38 @@ def op1_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ref").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents' personal data: base spans and those the trees add."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.found(docs, pii.trained(docs)).select(
+        "doc_id", *[f"_pii.{c}" for c in ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added")])
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents mixed to the weights of their sources."""
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def tokenizer() -> dict:
+    """The public tokenizer's files, as parameters of ``packing.packed``."""
+    import public_tokenizers as tokenizers
+
+    return {"tokenizer_json": tokenizers.path("byte_bpe_50k.json"), "ranks_file": tokenizers.path("byte_bpe_50k.tiktoken"),
+            "pattern": tokenizers.PATTERN}
+
+
+def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents packed into sequences of at most 1024 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"), **tokenizer())
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents and their edited texts, fingerprinted."""
     f = fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
     return f.select(
-        "doc_id", "n_chars", "edited_sha256", F.array_join("sketch", "").alias("fingerprint"),
-        F.array_join("edited_sketch", "").alias("edited_fingerprint"),
+        "doc_id", "n_chars", "edited_sha256", fingerprint.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprint.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
         fingerprint.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         fingerprint.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
         fingerprint.containment(F.col("sketch"), F.col("edited_sketch")).alias("contained_edited"))
@@ -75,7 +95,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_arc_to_warc, op3_mix, op5_fingerprints, op6_url_filter, op9_chat, op10_language)}
+QUERIES = {f.__name__: f for f in (op1_arc_to_warc, op2_pii, op3_mix, op4_pack, op5_fingerprints, op6_url_filter, op9_chat, op10_language)}
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -117,9 +137,9 @@ WITH b AS (SELECT doc_id, coalesce(text, '') AS text, sha256(coalesce(text, ''))
                   regexp_extract_all(translate(edited, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS we,
                   regexp_extract_all(translate(nxt, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS wn FROM e),
      h AS (SELECT *,
-             CASE WHEN len(wt) = 0 THEN [] ELSE [left(md5(array_to_string(wt[i:i + 4], ' ')), 16) FOR i IN range(1, greatest(len(wt) - 4, 1) + 1)] END AS ht,
-             CASE WHEN len(we) = 0 THEN [] ELSE [left(md5(array_to_string(we[i:i + 4], ' ')), 16) FOR i IN range(1, greatest(len(we) - 4, 1) + 1)] END AS he,
-             CASE WHEN len(wn) = 0 THEN [] ELSE [left(md5(array_to_string(wn[i:i + 4], ' ')), 16) FOR i IN range(1, greatest(len(wn) - 4, 1) + 1)] END AS hn
+             CASE WHEN len(wt) = 0 THEN [] ELSE [left(md5(array_to_string(wt[i:i + 4], ' ')), 15) FOR i IN range(1, greatest(len(wt) - 4, 1) + 1)] END AS ht,
+             CASE WHEN len(we) = 0 THEN [] ELSE [left(md5(array_to_string(we[i:i + 4], ' ')), 15) FOR i IN range(1, greatest(len(we) - 4, 1) + 1)] END AS he,
+             CASE WHEN len(wn) = 0 THEN [] ELSE [left(md5(array_to_string(wn[i:i + 4], ' ')), 15) FOR i IN range(1, greatest(len(wn) - 4, 1) + 1)] END AS hn
            FROM w),
      f AS (SELECT *, list_filter(ht, lambda x: x < '2') AS kt, list_filter(he, lambda x: x < '2') AS ke,
                   list_filter(hn, lambda x: x < '2') AS kn FROM h),
