@@ -11,7 +11,7 @@ and of the k characters. P_k = (n(context, next) + BETA * P_(k-1)) /
 (n(context) + BETA), P_(-1) = 1 / ALPHABET: an unseen context falls back to the
 shorter one. Counts are hashed into 2**BITS cells for either class, so the
 model's size is fixed whatever the input (half a MB); it is a constant of the
-scoring expression, and no url is exploded or shuffled to be scored. At most ``max_train`` labelled urls, chosen by hash, are
+scoring expression, and no url is exploded or shuffled to be scored. About ``max_train`` labelled urls, chosen by hash, are
 counted (a bounded sample of labelled rows); a fifth of them is held out for the
 threshold.
 
@@ -76,7 +76,8 @@ def counts(labelled: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.size(codes) - 1),
         lambda i: F.array(*[_cell(codes, i, k, w) for k in range(ORDER + 1) for w in (True, False)])))
     rows = labelled.withColumn("_codes", _codes(F.col("url"))).where(F.size("_codes") > 0)
-    rows = rows.withColumn("_cells", cells).select("good", F.explode("_cells").alias("cell"))
+    # the outer form: for a plain explode the optimizer infers a filter that computes every cell again
+    rows = rows.withColumn("_cells", cells).select("good", F.explode_outer("_cells").alias("cell")).where(F.col("cell").isNotNull())
     return rows.groupBy("cell").agg(F.sum(F.col("good").cast("long")).alias("good"),
                                     F.sum((~F.col("good")).cast("long")).alias("bad"))
 
