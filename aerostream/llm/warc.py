@@ -30,6 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerostream.llm.common import saved
+
 # fixed values: field lists of the ARC URL records, by version
 ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -178,7 +180,9 @@ def to_warc(records: DataFrame, least_bytes: int = 100) -> DataFrame:
     resource. Of HTTP captures with equal payloads of at least ``least_bytes``
     the one with the smallest ref stays a response, the others become revisits
     of it. First captures are found by a ``min`` per digest (summed up before
-    its shuffle); only digests seen more than once are joined back.
+    its shuffle); only digests seen more than once are written to the shared folder
+    and joined back, so that Spark knows their size and shuffles payloads only if
+    they are too many to send to every task.
     """
     r = records.where(F.col("kind") != "damaged")
     digest = F.sha2("payload", 256)
@@ -186,10 +190,10 @@ def to_warc(records: DataFrame, least_bytes: int = 100) -> DataFrame:
     r = r.withColumn("digest", digest).withColumn("warc_date", date) \
         .withColumn("record_id", _uuid(F.col("url"), F.col("archive_date"), F.col("ref"), F.col("digest")))
     counts = (F.col("kind") == "http") & (F.octet_length("payload") >= least_bytes)
-    first = (r.where(counts).groupBy(F.col("digest").alias("_d"))
+    first = saved(r.where(counts).groupBy(F.col("digest").alias("_d"))
              .agg(F.min(F.struct(F.col("ref").isNull().alias("none"), "ref", "record_id")).alias("_first"),
                   F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > 1))
+             .where(F.col("_n") > 1), "warc-first")
     j = r.join(first, (F.col("digest") == F.col("_d")) & counts, "left")
     again = F.coalesce(F.col("_first.ref").isNotNull() & (F.col("ref").isNull() | (F.col("ref") > F.col("_first.ref"))),
                        F.lit(False))
