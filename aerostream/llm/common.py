@@ -55,6 +55,24 @@ def running(df: DataFrame, group: str, cell: str, order: list, value: str, out:
             .drop("_g", "_c", "_before", "_within"))
 
 
+def tiled(rows: DataFrame, keys: list[str], item: str, size: int) -> DataFrame:
+    """Deal the items of every key into tiles of some ``size`` items and give
+    each pair of tiles, and each tile by itself, its rows: (keys, tile_a,
+    tile_b, side, item). side is 0 for the rows of tile_a, else 1.
+
+    Keys with one item are left out. An item is sent once per tile of its key,
+    so the rows grow with the number of tiles, not with pairs of items.
+    """
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    counts = counts.select(*[F.col(k).alias(f"_{k}") for k in keys], F.expr(f"(_n + {size - 1}L) div {size}L").alias("_tiles"))
+    on = [F.col(k) == F.col(f"_{k}") for k in keys]
+    own = F.pmod(F.xxhash64(item, *keys), F.col("_tiles"))
+    dealt = rows.join(counts, on).withColumn("_own", own)
+    other = dealt.select(*keys, item, "_own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_tiles") - 1)).alias("_other"))
+    return other.select(*keys, F.least("_own", "_other").alias("tile_a"), F.greatest("_own", "_other").alias("tile_b"),
+                        (F.col("_own") > F.col("_other")).cast("int").alias("side"), item)
+
+
 def components(edges: DataFrame, name: str, max_rounds: int = 64) -> DataFrame:
     """Connected components of ``edges(a, b)``, both long and not null.
 

@@ -58,59 +58,68 @@ def containment(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)).cast("double") / F.size(a))
 
 
-def successors(keys: DataFrame, order: list[str], parts: int) -> DataFrame:
-    """Each distinct row of ``keys`` with the next one in order as ``next_*``,
-    the first one after the last.
+def in_order(rows: DataFrame, id_col: str, tie_col: str, cells: int) -> DataFrame:
+    """Add cell: the place of a row's stretch of the order by ``id_col`` (null
+    last) and ``tie_col`` (hex digits), all stretches holding about as many rows.
 
-    Keys are dealt to ranges; inside a range the next row comes from a window,
-    across ranges from the first rows of the ranges, of which there are few.
+    Stretches end at quantiles of the id, ``cells`` numbers. An id so frequent
+    that it fills several stretches is dealt to them by its tie, null likewise.
     """
-    dealt = keys.distinct().repartitionByRange(parts, *[F.col(c).asc_nulls_last() for c in order]) \
-        .withColumn("_part", F.spark_partition_id())
-    dealt = saved(dealt, "order")
-    by = [F.col(c).asc_nulls_last() for c in order]
-    within = Window.partitionBy("_part").orderBy(*by)
-    row = F.struct(*order)
-    dealt = dealt.withColumn("_next", F.lead(row).over(within)).withColumn("_nth", F.row_number().over(within))
-    firsts = dealt.where(F.col("_nth") == 1).select(F.col("_part").alias("_p"), row.alias("_first"))
-    along = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    firsts = firsts.select("_p", F.coalesce(F.lead("_first").over(Window.orderBy("_p")),
-                                            F.first("_first").over(along)).alias("_wrap"))
-    out = dealt.join(firsts, F.col("_part") == F.col("_p")).withColumn("_next", F.coalesce("_next", "_wrap"))
-    return out.select(*order, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in order])
+    some = rows.agg(F.expr(f"approx_percentile({id_col}, {_quantiles(cells)}, 10000)").alias("q"),
+                    F.count(F.lit(1)).alias("n"), F.count(id_col).alias("known")).first()
+    bounds = sorted(some["q"] or [])
+    nulls = -(-(some["n"] - some["known"]) * cells // max(some["n"], 1))
+    share = F.conv(F.substring(tie_col, 1, 8), 16, 10).cast("long") / F.lit(float(2 ** 32))
+    b = F.array(*[F.lit(x) for x in bounds]).cast("array<bigint>")
+    low = F.size(F.filter(b, lambda x: x < F.col(id_col)))
+    wide = F.size(F.filter(b, lambda x: x == F.col(id_col)))
+    known = low + F.floor(F.greatest(wide - 1, F.lit(0)) * share)
+    return rows.withColumn("cell", F.when(F.col(id_col).isNull(), F.lit(len(bounds) + 1) + F.floor(share * nulls))
+                           .otherwise(known).cast("long"))
+
+
+def _quantiles(cells: int) -> str:
+    return "array(" + ", ".join(f"{i / cells:.9f}D" for i in range(1, max(cells, 2))) + ")"
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprint every text and its edited text (the last quarter replaced by
     as many code points from the start of the next document).
 
-    Documents are ordered by id (null last), rows of one id by text hash;
-    repeated rows have the same next document; a single document follows
-    itself. Texts are shuffled once, keyed by id and text hash; the exchange
-    serves both the row itself and its use as somebody's next document.
+    Documents are ordered by id (null last), then text hash; repeated rows
+    follow each other; the last is followed by the first, a single one by itself.
+    Texts are shuffled once, by stretches of that order; the next row comes from
+    a window over a stretch, that of a stretch's last row from the first rows of
+    all stretches, a few per partition.
     """
     spark = docs.sparkSession
-    base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
         .withColumn("sha", F.sha2("text", 256))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = base.select("doc_id", "sha", F.length("text").alias("n"))
-    pairs = successors(keys, ["doc_id", "sha", "n"], parts).alias("p")
-    # the same columns in both joins, so that both read one exchange
-    full = sketched(base, "text", "sketch")
-
-    def quarter(n: Column) -> Column:
-        return F.floor(n / 4).cast("int")
-
-    heads = pairs.join(full.alias("f"), F.col("p.next_doc_id").eqNullSafe(F.col("f.doc_id"))
-                       & (F.col("p.next_sha") == F.col("f.sha"))) \
-        .select(F.col("p.doc_id").alias("_id"), F.col("p.sha").alias("_sha"),
-                F.substring(F.col("f.text"), F.lit(1), quarter(F.col("p.n"))).alias("head"),
-                F.col("f.sketch").alias("next_sketch")) \
-        .dropDuplicates(["_id", "_sha"])
-    j = full.join(heads, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha")))
+    cells = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = in_order(base, "doc_id", "sha", cells)
+
+    # the first row of every stretch, as the next one of the stretch before it
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha")
+    firsts = base.groupBy("cell").agg(F.min(key).alias("k"))
+    along = Window.orderBy("cell")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    firsts = firsts.select(F.col("cell").alias("_cell"), F.coalesce(F.lead("k").over(along), F.first("k").over(whole)).alias("k"))
+    firsts = saved(firsts, "first-rows").select("_cell", F.col("k.doc_id").alias("_id"), F.col("k.sha").alias("_sha"))
+    ends = base.select("doc_id", "sha", "text").join(
+        F.broadcast(firsts),  # a row per stretch, the number of which is fixed above
+        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha"))) \
+        .select("_cell", F.col("text").alias("end_text")).dropDuplicates(["_cell"])
+    ends = sketched(saved(ends, "end-rows"), "end_text", "end_sketch")
+
+    step = Window.partitionBy("cell").orderBy(F.col("doc_id").asc_nulls_last(), "sha")
+    full = sketched(base, "text", "sketch") \
+        .withColumn("next_text", F.lead("text").over(step)).withColumn("next_sketch", F.lead("sketch").over(step))
+    j = full.join(ends, F.col("cell") == F.col("_cell"))
     n = F.length("text")
-    j = j.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), n - quarter(n)), "head")) \
-        .withColumn("n_chars", n.cast("long"))
-    j = sketched(j, "edited", "edited_sketch")
+    quarter = F.floor(n / 4).cast("int")
+    head = F.substring(F.coalesce("next_text", "end_text"), F.lit(1), quarter)
+    j = j.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), n - quarter), head)) \
+        .withColumn("n_chars", n.cast("long")).withColumn("next_sketch", F.coalesce("next_sketch", "end_sketch"))
+    j = sketched(j.select("doc_id", "n_chars", "sketch", "next_sketch", "edited"), "edited", "edited_sketch")
     return j.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "sketch", "edited_sketch", "next_sketch")

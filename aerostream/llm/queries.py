@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerostream.llm import chat, fingerprint, langid, mixing, packing, pii, urlfilter, warc
+from aerostream.llm import chat, fingerprint, langid, mixing, packing, pii, urlfilter, vectors, warc
 from aerostream.llm.common import scratch, table
 
 
@@ -66,6 +66,11 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """embeddings linked to near ones of the same label."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """conversations, and one that tries to break out of its turn, formatted."""
     rows = table(spark, sf_dir, "conversations").select(
@@ -95,7 +100,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_arc_to_warc, op2_pii, op3_mix, op4_pack, op5_fingerprints, op6_url_filter, op9_chat, op10_language)}
+QUERIES = {f.__name__: f for f in (op1_arc_to_warc, op2_pii, op3_mix, op4_pack, op5_fingerprints, op6_url_filter, op8_embeddings, op9_chat, op10_language)}
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -127,12 +132,10 @@ SELECT doc_id, size, source_size, target,
        greatest(0, least(c + size, take) - c) + greatest(0, least(c + size, take - source_size) - c) AS taken FROM s""",
     "op5_fingerprints": rf"""
 WITH b AS (SELECT doc_id, coalesce(text, '') AS text, sha256(coalesce(text, '')) AS sha FROM documents),
-     k AS (SELECT DISTINCT doc_id, sha, text FROM b),
-     n AS (SELECT doc_id, sha, text, coalesce(lead(text) OVER o, first_value(text) OVER o) AS nxt
-           FROM k WINDOW o AS (ORDER BY doc_id NULLS LAST, sha ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
-     e AS (SELECT b.doc_id, b.text, n.nxt, CAST(length(b.text) AS BIGINT) AS n_chars,
-                  substr(b.text, 1, length(b.text) - length(b.text) // 4) || substr(n.nxt, 1, length(b.text) // 4) AS edited
-           FROM b JOIN n ON b.doc_id IS NOT DISTINCT FROM n.doc_id AND b.sha = n.sha),
+     n AS (SELECT doc_id, text, coalesce(lead(text) OVER o, first_value(text) OVER o) AS nxt
+           FROM b WINDOW o AS (ORDER BY doc_id NULLS LAST, sha ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+     e AS (SELECT *, CAST(length(text) AS BIGINT) AS n_chars,
+                  substr(text, 1, length(text) - length(text) // 4) || substr(nxt, 1, length(text) // 4) AS edited FROM n),
      w AS (SELECT *, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS wt,
                   regexp_extract_all(translate(edited, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS we,
                   regexp_extract_all(translate(nxt, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS wn FROM e),
