@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -73,6 +76,55 @@ def tiled(rows: DataFrame, keys: list[str], item: str, size: int) -> DataFrame:
                         (F.col("_own") > F.col("_other")).cast("int").alias("side"), item)
 
 
+def together(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of equal keys side by side in one partition, with their hash as tile."""
+    return rows.withColumn("tile", F.xxhash64(*keys)).repartition("tile").sortWithinPartitions("tile", *keys)
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Stretches of rows with equal (long) keys, as tables; holds one stretch
+    and a batch."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        cols = [b.column(b.schema.get_field_index(k)).to_numpy() for k in keys]
+        change = np.zeros(b.num_rows, bool)
+        for c in cols:
+            change[1:] |= c[1:] != c[:-1]
+        if b.num_rows:
+            change[0] = last is not None and last != tuple(c[0] for c in cols)
+            last = tuple(c[-1] for c in cols)
+        at = 0
+        for cut in np.flatnonzero(change):
+            held.append(b.slice(at, cut - at))
+            yield pa.Table.from_batches(held)
+            held, at = [], cut
+        held.append(b.slice(at))
+    held = [b for b in held if b.num_rows]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class Forest:
+    """Union-find over the classes of one tile."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while self.up.get(x, x) != x:
+            self.up[x] = self.up.get(self.up[x], self.up[x])
+            x = self.up[x]
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.root(a), self.root(b)
+        if a == b:
+            return False
+        self.up[max(a, b)] = min(a, b)
+        return True
+
+
 def components(edges: DataFrame, name: str, max_rounds: int = 64) -> DataFrame:
     """Connected components of ``edges(a, b)``, both long and not null.
 

@@ -42,10 +42,14 @@ def size_of(text: Column) -> Column:
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(doc_id, source, size, key): key is the hash that shuffles a source."""
-    key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"),
-                         F.coalesce(F.col(text_col), F.lit(""))))
     return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                       size_of(F.col(text_col)).alias("size"), key.alias("key"))
+                       size_of(F.col(text_col)).alias("size"),
+                       row_key(F.col(id_col), F.col(source_col), F.col(text_col)).alias("key"))
+
+
+def row_key(ident: Column, source: Column, text: Column) -> Column:
+    return F.md5(F.concat(F.coalesce(ident.cast("string"), F.lit("")), F.lit(":"),
+                          F.coalesce(F.concat(F.lit("s"), source), F.lit("")), F.lit(":"), F.coalesce(text, F.lit(""))))
 
 
 def targets(sizes: DataFrame, share: float = 1.5, most: int = 2, weights: tuple = WEIGHTS) -> DataFrame:
@@ -146,3 +150,19 @@ def mix(docs: DataFrame, **kw) -> DataFrame:
     taken = plan.groupBy(F.col("idx").alias("_idx"), F.col("start").alias("_start")).agg(F.sum("words").alias("taken"))
     return d.join(taken, (F.col("idx") == F.col("_idx")) & (F.col("start") == F.col("_start")), "left").select(
         "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "key")
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kw) -> DataFrame:
+    """docs as the mix takes them: a row for each time a document is taken
+    whole, and one with its first words where a target cuts it."""
+    plan = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **kw)
+    per = saved(plan.where(F.col("taken") > 0).groupBy("key").agg(F.first("size").alias("_size"), F.sum("taken").alias("_taken")),
+                "mix-taken")
+    j = docs.withColumn("key", row_key(F.col(id_col), F.col(source_col), F.col(text_col)))
+    j = j.select(*docs.columns, F.col("key").alias("_key")).join(per, F.col("_key") == F.col("key")).dropDuplicates(["_key"])
+    j = j.withColumn("_words", F.explode(F.concat(
+        F.array_repeat(F.col("_size"), F.expr("_taken div _size").cast("int")),
+        F.when(F.col("_taken") % F.col("_size") > 0, F.array(F.col("_taken") % F.col("_size"))).otherwise(F.array().cast("array<bigint>")))))
+    pieces = F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("_words").cast("int")), "")
+    return j.withColumn(text_col, F.when(F.col("_words") == F.col("_size"), F.col(text_col)).otherwise(cut)).select(*docs.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerostream.llm import chat, fingerprint, langid, mixing, packing, pii, urlfilter, vectors, warc
+from aerostream.llm import chat, fingerprint, langid, mixing, ngrams, packing, pii, urlfilter, vectors, warc
 from aerostream.llm.common import scratch, table
 
 
@@ -66,6 +66,11 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents grouped by 3-word shingles at a Jaccard similarity of 0.9."""
+    return ngrams.jaccard_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """embeddings linked to near ones of the same label."""
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
@@ -100,7 +105,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_arc_to_warc, op2_pii, op3_mix, op4_pack, op5_fingerprints, op6_url_filter, op8_embeddings, op9_chat, op10_language)}
+QUERIES = {f.__name__: f for f in (op1_arc_to_warc, op2_pii, op3_mix, op4_pack, op5_fingerprints, op6_url_filter, op7_ngram_jaccard, op8_embeddings, op9_chat, op10_language)}
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -115,7 +120,7 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha AS payload_digest,
 FROM m""",
     "op3_mix": rf"""
 WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{_WORD}')), 0) AS BIGINT) AS size,
-                  md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS k FROM documents),
+                  md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce('s' || source, '') || ':' || coalesce(text, '')) AS k FROM documents),
      per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
      idx AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM per),
      wt AS (SELECT *, CASE i % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS w, 2 * source_size AS cap FROM idx),
@@ -156,6 +161,20 @@ SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, coalesce(array_to_strin
        CASE WHEN len(st) + len(sn) - cn = 0 THEN 1.0::DOUBLE ELSE cn::DOUBLE / (len(st) + len(sn) - cn) END AS near_next,
        CASE WHEN len(st) = 0 THEN 1.0::DOUBLE ELSE ce::DOUBLE / len(st) END AS contained_edited
 FROM c""",
+    "op7_ngram_jaccard": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS a FROM documents),
+     s AS (SELECT doc_id, list_distinct(CASE WHEN coalesce(len(a), 0) = 0 THEN [] ELSE
+             [array_to_string(a[i:i + 2], ' ') FOR i IN range(1, greatest(len(a) - 2, 1) + 1)] END) AS g FROM w),
+     x AS (SELECT doc_id, len(g) AS n, unnest(g) AS h FROM s),
+     p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.h = b.h AND a.doc_id < b.doc_id
+             AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+           GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+     e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+     r AS (SELECT doc_id AS node, doc_id AS root FROM documents
+           UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node WHERE r.root < e.b)
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, m.root AS component_id
+FROM s JOIN (SELECT node, min(root) AS root FROM r GROUP BY node) m ON m.node = s.doc_id""",
     "op9_chat": r"""
 WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'

@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerostream.llm.common import components, saved, tiled
+from aerostream.llm.common import components, runs, saved, tiled, together
 
 TABLES = 10
-HASHES = 2
+HASHES = 3
 TILE = 1024
 SEED = 20240130
 
@@ -86,7 +86,8 @@ def keys_of(vectors: np.ndarray, tables: int = TABLES, hashes: int = HASHES, see
 
 
 def _hashed(classes: DataFrame, tables: int, hashes: int, seed: int) -> DataFrame:
-    """Add keys (array of long) to classes (cls, label, vector, copies)."""
+    """Add keys (array of long: every table's own one, then every probe) to
+    classes (cls, label, vector, copies)."""
     schema = "cls long, label string, vector array<double>, copies long, keys array<long>"
     out = pa.schema([("cls", pa.int64()), ("label", pa.string()), ("vector", pa.list_(pa.float64())),
                      ("copies", pa.int64()), ("keys", pa.list_(pa.int64()))])
@@ -97,67 +98,80 @@ def _hashed(classes: DataFrame, tables: int, hashes: int, seed: int) -> DataFram
             keys: list = [None] * len(vecs)
             for dim in {len(v) for v in vecs}:
                 at = [i for i, v in enumerate(vecs) if len(v) == dim]
-                for i, k in zip(at, keys_of(np.array([vecs[i] for i in at]), tables, hashes, seed).tolist(), strict=True):
-                    keys[i] = sorted(set(k))
+                for i, k in zip(at, keys_of(np.array([vecs[i] for i in at]), tables, hashes, seed), strict=True):
+                    keys[i] = k
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, out.field(4).type)], schema=out)
 
     return classes.mapInArrow(run, schema)
 
 
+def first_shared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Least key that rows of x and y (own keys, then probes) share."""
+    t = x.shape[1] // 2
+    none = np.int64(2 ** 62)
+    best = np.full(len(x), none)
+    for i in range(t - 1, -1, -1):  # keys of earlier tables are smaller
+        for k in (x[:, i], x[:, t + i]):
+            hit = (k == y[:, i]) | (k == y[:, t + i])
+            best = np.where(hit & ((best >= none) | (k < best)), k, best)
+    return best
+
+
+def _tile_links(t: pa.Table, least: float) -> list[tuple]:
+    """(a, b, n) of one pair of tiles: class a gained n linked vectors; or b is
+    a class of the same component."""
+    cls, side, copies = t["cls"].to_numpy(), t["side"].to_numpy(), t["copies"].to_numpy()
+    key, one = t["key"][0].as_py(), t["tile_a"][0].as_py() == t["tile_b"][0].as_py()
+    keys = np.stack(t["keys"].to_numpy(zero_copy_only=False))
+    vecs = t["vector"].to_numpy(zero_copy_only=False)
+    dims = np.array([len(v) for v in vecs])
+    rows: list[tuple] = []
+    for dim in np.unique(dims):
+        at = np.flatnonzero(dims == dim)
+        x = np.stack(vecs[at]).astype(np.float64)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        p, q = np.nonzero(x @ x.T >= least)
+        # within one tile each pair once; between two tiles only pairs across
+        keep = p < q if one else (side[at][p] == 0) & (side[at][q] == 1)
+        p, q = at[p[keep]], at[q[keep]]
+        # a pair that shares an earlier key is counted there
+        counted = first_shared(keys[p], keys[q]) == key
+        p, q = p[counted], q[counted]
+        gained = np.bincount(p, copies[q], len(cls)) + np.bincount(q, copies[p], len(cls))
+        rows += [(int(cls[i]), None, int(gained[i])) for i in np.flatnonzero(gained)]
+        root = np.arange(len(cls))
+        while len(p):
+            low = np.minimum(root[p], root[q])
+            new = root.copy()
+            np.minimum.at(new, p, low)
+            np.minimum.at(new, q, low)
+            new = np.minimum(new, new[new])
+            if (new == root).all():
+                break
+            root = new
+        rows += [(int(cls[i]), int(cls[root[i]]), 0) for i in np.flatnonzero(root != np.arange(len(cls)))]
+    return rows
+
+
 def _verified(tiles: DataFrame, least: float) -> DataFrame:
-    """Rows (tile key columns, side, cls, vector, copies, keys) in tiles ->
-    (a, b, n): class a gained n linked vectors; b is a linked class or null."""
-    schema = "a long, b long, n long"
+    """(a, b, n) of all tiles; see ``_tile_links``."""
     out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 
-    def run(key, t):
-        cls = t["cls"].to_numpy()
-        vecs, side, copies = t["vector"].to_pylist(), t["side"].to_numpy(), t["copies"].to_numpy()
-        keys, own = t["keys"].to_pylist(), int(key[1].as_py())
-        sets = [frozenset(k) for k in keys]
-        gained: dict[int, int] = {}
-        forest, links = Forest(), []
-        for dim in {len(v) for v in vecs}:
-            at = np.array([i for i, v in enumerate(vecs) if len(v) == dim])
-            x = np.array([vecs[i] for i in at], np.float64)
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
-            near = x @ x.T >= least
-            # within one tile each pair once; between two tiles only pairs across
-            one = key[2].as_py() == key[3].as_py()
-            near &= np.triu(np.ones(near.shape, bool), 1) if one else (side[at][:, None] == 0) & (side[at][None, :] == 1)
-            for p, q in np.argwhere(near):
-                i, j = int(at[p]), int(at[q])
-                if min(sets[i] & sets[j]) != own:  # counted under an earlier key
-                    continue
-                a, b = int(cls[i]), int(cls[j])
-                gained[a] = gained.get(a, 0) + int(copies[j])
-                gained[b] = gained.get(b, 0) + int(copies[i])
-                if forest.join(a, b):
-                    links.append((max(a, b), min(a, b), 0))
-        rows = [(a, None, n) for a, n in gained.items()] + links
-        return pa.Table.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], schema=out)
-
-    return tiles.groupBy("label", "key", "tile_a", "tile_b").applyInArrow(run, schema)
-
-
-class Forest:
-    """Union-find over the classes of one tile."""
-
-    def __init__(self):
-        self.up: dict[int, int] = {}
-
-    def root(self, x: int) -> int:
-        while self.up.get(x, x) != x:
-            self.up[x] = self.up.get(self.up[x], self.up[x])
-            x = self.up[x]
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.root(a), self.root(b)
-        if a == b:
-            return False
-        self.up[max(a, b)] = min(a, b)
-        return True
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for t in runs(batches, ("tile", "key", "tile_a", "tile_b")):
+            held += _tile_links(t, least)
+            if len(held) > 50_000:
+                yield _links(held, out)
+                held = []
+        if held:
+            yield _links(held, out)
+
+    return together(tiles, ["label", "key", "tile_a", "tile_b"]).drop("label").mapInArrow(run, "a long, b long, n long")
+
+
+def _links(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
@@ -176,7 +190,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         F.min("vec_id").alias("least_id"))
     classes = saved(classes, "vec-classes")
     hashed = saved(_hashed(classes.select("cls", "label", "vector", "copies"), tables, hashes, seed), "vec-keys")
-    keyed = hashed.select("cls", "label", F.explode("keys").alias("key"))
+    keyed = hashed.select("cls", "label", F.explode(F.array_distinct("keys")).alias("key"))
     tiles = tiled(keyed, ["label", "key"], "cls", TILE)
     got = saved(_verified(tiles.join(hashed.drop("label"), "cls"), least), "vec-links")
     n = got.where(F.col("b").isNull()).groupBy(F.col("a").alias("_c")).agg(F.sum("n").alias("n"))
