@@ -156,10 +156,10 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """docs as the mix takes them: a row for each time a document is taken
     whole, and one with its first words where a target cuts it."""
     plan = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **kw)
-    per = saved(plan.where(F.col("taken") > 0).groupBy("key").agg(F.first("size").alias("_size"), F.sum("taken").alias("_taken")),
+    per = saved(plan.where(F.col("taken") > 0).groupBy(F.col("key").alias("_mix_key")).agg(F.first("size").alias("_size"), F.sum("taken").alias("_taken")),
                 "mix-taken")
-    j = docs.withColumn("key", row_key(F.col(id_col), F.col(source_col), F.col(text_col)))
-    j = j.select(*docs.columns, F.col("key").alias("_key")).join(per, F.col("_key") == F.col("key")).dropDuplicates(["_key"])
+    j = docs.withColumn("_key", row_key(F.col(id_col), F.col(source_col), F.col(text_col)))
+    j = j.join(per, F.col("_key") == F.col("_mix_key")).dropDuplicates(["_key"])
     j = j.withColumn("_words", F.explode(F.concat(
         F.array_repeat(F.col("_size"), F.expr("_taken div _size").cast("int")),
         F.when(F.col("_taken") % F.col("_size") > 0, F.array(F.col("_taken") % F.col("_size"))).otherwise(F.array().cast("array<bigint>")))))

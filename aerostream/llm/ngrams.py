@@ -8,21 +8,25 @@ similarity of ``num / den`` or more; documents are grouped by reachability.
 * Size bands. A pair's sizes a <= b meet a / b >= num / den, so it lies in the
   band of its larger set; a set enters its own band and, near its end, the next.
 * Tiles. In a band of sizes up to s, a linked pair differs in at most
-  d = 2 s (den - num) / (den + num) shingles. The hash range is dealt into more
-  than d + SLACK parts, so a linked pair agrees in SLACK + 1 whole parts at
-  least: the hash of a part (with band and place) is a tile key, and pairs that
-  share no key cannot link. Empty parts are keys only of sets that have more than
-  SLACK of them.
-* First, every class is verified against one class of its tiles, the smallest; a
-  ``min`` per key finds it, summed up before the shuffle. That joins most groups
-  of near copies. What is not yet connected in a tile is dealt into tiles of
-  ``TILE`` classes, compared two by two: the bit count of the exclusive or of two
-  hashed bitmap signatures is a lower bound of the difference, so an upper bound
-  of the overlap; what passes is intersected exactly as sorted arrays. Pairs that
-  are already connected are skipped, none is dropped.
-
-Copies within a task send their keys once; copies in all cost their class's row.
-Shingles are made again for the classes that have candidates only.
+  d = 2 s (den - num) / (den + num) shingles. The hash range is dealt into
+  d + 1 + m parts, so a linked pair agrees in m + 1 whole parts at least: the
+  hash of a part (with band and place) is a tile key, and pairs that share no key
+  cannot link. m is chosen so that hardly a set has more than m empty parts;
+  empty parts are keys only of sets that have.
+* Keys are shared out in two steps. A task reduces its own chunks of documents
+  first: of classes that share a key in a chunk only the smallest goes on, so a
+  key that a third of all documents hold costs a row per chunk, not per document.
+* Every class is verified against the smallest class of its keys, which joins
+  most groups of near copies. What is not yet connected under a key is dealt into
+  tiles of ``TILE`` classes, compared two by two: the bit count of the exclusive
+  or of two hashed bitmap signatures is a lower bound of the difference, so an
+  upper bound of the overlap; what passes is intersected exactly as sorted
+  arrays. A tile proposes a spanning forest at a time; pairs that fail are
+  remembered and the tiles that proposed look again, until nothing is left to
+  propose. No pair is dropped unless its bound or its intersection rules it out.
+
+Shingles are made again for the classes that share keys only: their row keys are
+sent to every task if they are at most ``SENT`` (16 MB), else joined.
 
 Defined results: null text, or text without words, is an empty set, linked with
 nothing; a text of fewer than n words is one shingle; a null id is kept, the
@@ -32,19 +36,21 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerostream.llm.common import Forest, components, runs, saved, tiled, together
 
-SLACK = 2
 RATIO = 1.5
 TILE = 1024
-SEEN = 200_000
+CHUNK = 2_000_000  # keys
+SENT = 2_000_000
 
 # fixed values: multipliers of 64-bit hashing
 _M1, _M2, _BASE = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15
@@ -106,11 +112,22 @@ def band_of(size: int) -> int:
     return int(np.floor(np.log(size) / np.log(RATIO) + 1e-9))
 
 
-def parts_in(band: int, num: int, den: int) -> int:
-    """Parts of a band: more than a linked pair of it can differ in, by SLACK."""
+@functools.cache
+def parts_in(band: int, num: int, den: int) -> tuple[int, int]:
+    """(parts of a band, m): parts exceed by m + 1 what a linked pair can differ in."""
     top = int(np.floor(RATIO ** (band + 1) + 1e-6))
     differ = 2 * top * (den - num) // (den + num)
-    return 1 if differ == 0 else differ + 1 + SLACK
+    if differ == 0:
+        return 1, 0
+    least = RATIO ** band * num / den  # the smallest set of the band
+    m, most = 1, max(2, differ // 4)
+    while m < most:
+        p = differ + 1 + m
+        empty = p * math.exp(-least / p)  # expected
+        if m >= empty + 3 * math.sqrt(empty):
+            break
+        m += 1
+    return differ + 1 + m, m
 
 
 def tile_keys(hashes: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -124,13 +141,13 @@ def tile_keys(hashes: np.ndarray, num: int, den: int) -> np.ndarray:
     out = []
     high = hashes >> np.uint64(32)
     for b in bands:
-        p = parts_in(b, num, den)
+        p, m = parts_in(b, num, den)
         part = (high * np.uint64(p)) >> np.uint64(32)  # hashes are sorted, so parts are stretches
         first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
         sums = np.add.reduceat(mixed(hashes + np.uint64(b)), first)
         count = np.diff(np.append(first, n)).astype(np.uint64)
         place = part[first]
-        if p - len(first) > SLACK and p > 1:
+        if p - len(first) > m and p > 1:
             none = np.setdiff1d(np.arange(p, dtype=np.uint64), place)
             place, sums = np.concatenate([place, none]), np.concatenate([sums, np.zeros(len(none), np.uint64)])
             count = np.concatenate([count, np.zeros(len(none), np.uint64)])
@@ -144,73 +161,122 @@ def class_of(hashes: np.ndarray) -> int:
     return int(mixed(total + np.uint64(len(hashes))).view(np.int64)[0])
 
 
-def _signed(x: np.ndarray) -> np.ndarray:
-    return x.astype(np.uint64).view(np.int64)
-
-
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for b in batches:
         yield from zip(*(b.column(i).to_pylist() for i in range(b.num_columns)), strict=True)
 
 
-def sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(doc_id, row_key, n_shingles, cls, keys) of (doc_id, text, row_key): cls is
-    null for an empty set; keys is null where the task has sent the class's keys
-    before."""
+def _chunks(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, buckets: int) -> Iterator[tuple]:
+    """(documents, keys, classes): the documents' (doc_id, row_key, n_shingles,
+    cls), and the keys of the classes among them, sorted, with their classes."""
+    docs, keys, classes, seen, size = [], [], [], set(), 0
+
+    def chunk() -> tuple:
+        k = np.concatenate(keys) if keys else np.empty(0, np.uint64)
+        c = np.repeat(np.array([c for c, _ in classes], np.int64), np.array([x for _, x in classes], np.int64))
+        # a key is its bucket and 32 bits
+        k = ((k % np.uint64(buckets)) << np.uint64(32) | k >> np.uint64(32)).view(np.int64)
+        order = np.lexsort((c, k))
+        return docs, k[order], c[order]
+
+    for ident, text, key in _texts(batches):
+        h = shingles(text, n)
+        cls = class_of(h) if len(h) else None
+        docs.append((ident, key, len(h), cls))
+        if cls is not None and cls not in seen:
+            seen.add(cls)
+            keys.append(tile_keys(h, num, den))
+            classes.append((cls, len(keys[-1])))
+            size += len(keys[-1])
+        if size >= CHUNK or len(docs) >= CHUNK // 20:
+            yield chunk()
+            docs, keys, classes, seen, size = [], [], [], set(), 0
+    if docs:
+        yield chunk()
+
+
+def sets(docs: DataFrame, n: int, num: int, den: int, buckets: int) -> DataFrame:
+    """Of (doc_id, text, row_key): one row per document (doc_id, row_key,
+    n_shingles, cls; cls is null for an empty set, key is null), and one for each
+    class and key shared within a chunk (cls, key)."""
     out = pa.schema([("doc_id", pa.int64()), ("row_key", pa.string()), ("n_shingles", pa.int64()), ("cls", pa.int64()),
-                     ("keys", pa.list_(pa.int64()))])
+                     ("key", pa.int64())])
+
+    def run(batches):
+        for rows, key, cls in _chunks(batches, n, num, den, buckets):
+            ident, name, size, own = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(ident, pa.int64()), pa.array(name), pa.array(size, pa.int64()),
+                                              pa.array(own, pa.int64()), pa.nulls(len(rows), pa.int64())], schema=out)
+            same = key[1:] == key[:-1]
+            shared = np.concatenate((same, [False])) | np.concatenate(([False], same)) if len(key) else np.empty(0, bool)
+            if shared.any():
+                none = [pa.nulls(int(shared.sum()), t) for t in (pa.int64(), pa.string(), pa.int64())]
+                yield pa.RecordBatch.from_arrays([*none, pa.array(cls[shared]), pa.array(key[shared])], schema=out)
+
+    return docs.mapInArrow(run, "doc_id long, row_key string, n_shingles long, cls long, key long")
+
+
+def leaders(docs: DataFrame, n: int, num: int, den: int, buckets: int) -> DataFrame:
+    """(bucket, cls, low): for the smallest class of each key in a chunk, its
+    keys by bucket, as their lower 32 bits."""
+    out = pa.schema([("bucket", pa.int64()), ("cls", pa.int64()), ("low", pa.list_(pa.int32()))])
 
     def run(batches):
-        seen: set[int] = set()
-        held, size = ([], [], [], [], []), 0
-
-        def batch():
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(held, out, strict=True)], schema=out)
-
-        for ident, text, key in _texts(batches):
-            h = shingles(text, n)
-            cls, keys = None, None
-            if len(h):
-                cls = class_of(h)
-                if cls not in seen:
-                    if len(seen) >= SEEN:
-                        seen.clear()
-                    seen.add(cls)
-                    keys = _signed(tile_keys(h, num, den))
-                    size += len(keys)
-            for c, v in zip(held, (ident, key, len(h), cls, keys), strict=True):
-                c.append(v)
-            size += 4
-            if size > 200_000:
-                yield batch()
-                held, size = ([], [], [], [], []), 0
-        if held[0]:
-            yield batch()
-
-    return docs.mapInArrow(run, "doc_id long, row_key string, n_shingles long, cls long, keys array<long>")
-
-
-def contents(docs: DataFrame, n: int) -> DataFrame:
-    """(cls, size, hashes, bits): sorted hashes and bitmap signature, as bytes."""
+        for _, key, cls in _chunks(batches, n, num, den, buckets):
+            first = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.empty(0, bool)
+            key, cls = key[first], cls[first]
+            bucket = key >> 32
+            order = np.lexsort((cls, bucket))
+            bucket, cls, low = bucket[order], cls[order], (key[order] & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
+            cut = np.flatnonzero(np.concatenate(([True], (bucket[1:] != bucket[:-1]) | (cls[1:] != cls[:-1])))) if len(key) else []
+            for at in range(0, len(cut), 200_000):
+                some = cut[at:at + 200_000]
+                end = cut[at + 200_000] if at + 200_000 < len(cut) else len(low)
+                ends = np.append(some, end)
+                lists = pa.ListArray.from_arrays(pa.array(ends - some[0], pa.int32()), pa.array(low[some[0]:end]))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[some]), pa.array(cls[some]), lists], schema=out)
+
+    return docs.mapInArrow(run, "bucket long, cls long, low array<int>")
+
+
+def contents(docs: DataFrame, n: int, wanted: np.ndarray | None) -> DataFrame:
+    """(cls, size, hashes, bits) of (doc_id, text, row_key): sorted hashes and
+    bitmap signature, as bytes; of the rows whose key begins as a wanted one."""
     out = pa.schema([("cls", pa.int64()), ("size", pa.int64()), ("hashes", pa.binary()), ("bits", pa.binary())])
+    sent = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
-        held, size = [], 0
-        for _, text, _ in _texts(batches):
-            h = shingles(text, n)
-            if not len(h):
-                continue
-            held.append((class_of(h), len(h), h.tobytes(), bitmap(h)))
-            size += 9 * len(h)
-            if size > 8 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), out, strict=True)], schema=out)
-                held, size = [], 0
+        held, size, seen = [], 0, set()
+        chosen = None if sent is None else frozenset(sent.value.tolist())
+        for b in batches:
+            names = b.column(2).to_pylist()
+            for i, name in enumerate(names):
+                if chosen is not None and key_prefix(name) not in chosen:
+                    continue
+                h = shingles(b.column(1)[i].as_py(), n)
+                cls = class_of(h) if len(h) else None
+                if cls is None or cls in seen:
+                    continue
+                seen.add(cls)
+                held.append((cls, len(h), h.tobytes(), bitmap(h)))
+                size += 9 * len(h)
+                if size > 8 << 20:
+                    yield _rows(held, out)
+                    held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), out, strict=True)], schema=out)
+            yield _rows(held, out)
 
     return docs.mapInArrow(run, "cls long, size long, hashes binary, bits binary")
 
 
+def key_prefix(name: str) -> int:
+    return int(name[:15], 16)
+
+
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+
 def bitmap(hashes: np.ndarray) -> bytes:
     """Bitmap signature: bit (hash mod m) for every hash, m a power of two of 4
     to 8 times the size; folded down to a shorter one's length for comparing."""
@@ -233,47 +299,47 @@ def alike(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * common >= num * (len(a) + len(b) - common)
 
 
-def _stars(edges: DataFrame, content: DataFrame, num: int, den: int) -> DataFrame:
-    """The (a, b) of edges that are links."""
+def _verified(pairs: DataFrame, content: DataFrame, num: int, den: int) -> DataFrame:
+    """Add ok to (a, b): whether they link."""
     x = content.select("cls", "hashes")
-    j = edges.join(x.select(F.col("cls").alias("a"), F.col("hashes").alias("ha")), "a") \
+    j = pairs.join(x.select(F.col("cls").alias("a"), F.col("hashes").alias("ha")), "a") \
         .join(x.select(F.col("cls").alias("b"), F.col("hashes").alias("hb")), "b").select("a", "b", "ha", "hb")
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("ok", pa.bool_())])
 
     def run(batches):
         for t in batches:
-            a, b = t.column(0), t.column(1)
             ha, hb = t.column(2), t.column(3)
             ok = [alike(np.frombuffer(ha[i].as_py(), np.uint64), np.frombuffer(hb[i].as_py(), np.uint64), num, den)
                   for i in range(t.num_rows)]
-            yield pa.RecordBatch.from_arrays([a, b], schema=out).filter(pa.array(ok, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), pa.array(ok, pa.bool_())], schema=out)
 
-    return j.mapInArrow(run, "a long, b long")
+    return j.mapInArrow(run, "a long, b long, ok boolean")
 
 
-def _within(tiles: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) that join classes of different components inside tiles of
-    (key, tile_a, tile_b, side, cls, root, size, hashes, bits)."""
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _proposed(tiles: DataFrame, num: int, den: int) -> DataFrame:
+    """(key, a, b) to verify, from tiles of (key, tile_a, tile_b, side, cls,
+    root, size, bits, failed)."""
+    out = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
-        held: list[tuple] = []
         for t in runs(batches, ("tile", "key", "tile_a", "tile_b")):
-            held += _tile_links(t, num, den)
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*held, strict=True)], schema=out)
+            found = _tile_pairs(t, num, den)
+            if found:
+                yield _rows(found, out)
 
-    return together(tiles, ["key", "tile_a", "tile_b"]).mapInArrow(run, "a long, b long")
+    return together(tiles, ["key", "tile_a", "tile_b"]).mapInArrow(run, "key long, a long, b long")
 
 
-def _tile_links(t: pa.Table, num: int, den: int) -> list[tuple]:
+def _tile_pairs(t: pa.Table, num: int, den: int) -> list[tuple]:
+    """A spanning forest, over components, of the pairs that pass the bound and
+    have not failed."""
     cls, root = t["cls"].to_numpy(), t["root"].to_numpy()
     size, side = t["size"].to_numpy(), t["side"].to_numpy()
-    one = t["tile_a"][0].as_py() == t["tile_b"][0].as_py()
-    raw, bits = t["hashes"].to_pylist(), t["bits"].to_pylist()
+    key, one = t["key"][0].as_py(), t["tile_a"][0].as_py() == t["tile_b"][0].as_py()
+    bits, failed = t["bits"].to_pylist(), [frozenset(x or ()) for x in t["failed"].to_pylist()]
     words = min(len(b) for b in bits) // 8
     sig = np.stack([folded(b, words) for b in bits])
-    forest, links = Forest(), []
+    forest, found = Forest(), []
     left = np.flatnonzero(side == 0)
     right = left if one else np.flatnonzero(side == 1)
     for i in left:
@@ -282,14 +348,10 @@ def _tile_links(t: pa.Table, num: int, den: int) -> list[tuple]:
         near = ((den + num) * lower <= (den - num) * (size[right] + size[i])) & (root[right] != root[i])
         if one:
             near &= right > i
-        found = right[near]
-        mine = np.frombuffer(raw[i], np.uint64)
-        for j in found[np.argsort(lower[near], kind="stable")]:
-            a, b = int(root[i]), int(root[j])
-            if forest.root(a) != forest.root(b) and alike(mine, np.frombuffer(raw[j], np.uint64), num, den):
-                forest.join(a, b)
-                links.append((int(cls[i]), int(cls[j])))
-    return links
+        for j in right[near][np.argsort(lower[near], kind="stable")]:
+            if int(cls[j]) not in failed[i] and forest.join(int(root[i]), int(root[j])):
+                found.append((key, int(max(cls[i], cls[j])), int(min(cls[i], cls[j]))))
+    return found
 
 
 def row_key(ident: Column, text: Column) -> Column:
@@ -304,40 +366,66 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     group, null for an empty set), component_id (smallest doc_id that links reach)."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     src = src.withColumn("row_key", row_key(F.col("doc_id"), F.col("text")))
-    rows = saved(sets(src, n, num, den), "jac-sets")
-    keyed = rows.where(F.col("keys").isNotNull()).select("cls", F.explode("keys").alias("key"))
-
-    # keys that classes share, and the smallest class of each
-    shared = saved(keyed.groupBy("key").agg(F.min("cls").alias("hub"), F.max("cls").alias("top"))
-                   .where(F.col("hub") != F.col("top")).select(F.col("key").alias("_key"), "hub"), "jac-shared")
-    members = saved(keyed.join(shared, F.col("key") == F.col("_key")).select("key", "cls", "hub").distinct(), "jac-members")
+    spark = docs.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = saved(sets(src, n, num, den, buckets), "jac-sets")
+    rows, local = both.where(F.col("key").isNull()).drop("key"), both.where(F.col("key").isNotNull()).select("key", "cls")
+
+    # classes that share keys: within a chunk, and the leaders of several chunks
+    lead = leaders(src, n, num, den, buckets).repartition("bucket") \
+        .select("bucket", "cls", F.explode_outer("low").alias("low")).where(F.col("low").isNotNull())
+    held = Window.partitionBy("bucket", "low")
+    lead = lead.withColumn("least", F.min("cls").over(held)).withColumn("most", F.max("cls").over(held)) \
+        .where(F.col("least") != F.col("most")) \
+        .select((F.col("bucket") * F.lit(2 ** 32) + F.pmod(F.col("low").cast("long"), F.lit(2 ** 32))).alias("key"), "cls")
+    members = saved(lead.unionByName(local).distinct(), "jac-members")
+    hubs = members.groupBy("key").agg(F.min("cls").alias("hub")).withColumnRenamed("key", "_key")
+    edges = members.join(hubs, F.col("key") == F.col("_key")).where(F.col("cls") != F.col("hub")) \
+        .groupBy(F.col("cls").alias("a")).agg(F.min("hub").alias("b"))
 
     # contents of the classes that share keys, from one document of each
     wanted = members.select("cls").distinct()
-    one = rows.select("cls", "row_key").join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("row_key").alias("row_key"))
-    texts = src.join(saved(one.select("row_key"), "jac-ids"), "row_key", "left_semi").select("doc_id", "text", "row_key")
-    content = saved(contents(texts, n).dropDuplicates(["cls"]), "jac-content")
-
-    edges = members.where(F.col("cls") != F.col("hub")).groupBy(F.col("cls").alias("a")).agg(F.min("hub").alias("b"))
-    stars = saved(_stars(edges, content, num, den), "jac-stars")
-    roots = components(stars, "jac-star")
-
-    # tiles whose classes are not all connected yet
-    m = members.select("key", "cls").join(roots, F.col("cls") == F.col("node"), "left") \
-        .select("key", "cls", F.coalesce("root", "cls").alias("root"))
-    m = saved(m, "jac-rooted")
-    who = F.sum(F.xxhash64("cls").cast("decimal(38,0)"))
-    mixed_keys = m.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), who.alias("who"),
-                                      F.count(F.lit(1)).alias("n")).where(F.col("lo") != F.col("hi"))
-    # tiles with the very same classes are looked at once
-    mixed_keys = saved(mixed_keys.groupBy("who", "n").agg(F.min("key").alias("_key")).select("_key"), "jac-open")
-    open_rows = m.join(mixed_keys, F.col("key") == F.col("_key")).select("key", "cls", "root")
-    tiles = tiled(open_rows.select("key", "cls"), ["key"], "cls", TILE)
-    rooted = m.select("cls", "root").distinct()
-    tiles = tiles.join(rooted, "cls").join(content, "cls")
-    links = saved(_within(tiles, num, den), "jac-links")
-
-    roots = components(stars.unionByName(links), "jac")
+    ids = saved(rows.select("cls", "row_key").join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("row_key").alias("row_key"))
+                .select("row_key"), "jac-ids")
+    if ids.count() <= SENT:
+        few = np.array([key_prefix(r[0]) for r in ids.toLocalIterator()], np.int64)
+        content = contents(src, n, few)
+    else:
+        content = contents(src.join(ids, "row_key", "left_semi").select("doc_id", "text", "row_key"), n, None)
+    content = saved(content, "jac-content")
+
+    links = saved(_verified(edges, content, num, den).where("ok").select("a", "b"), "jac-stars")
+    failed, rooted = None, members
+    while True:
+        roots = components(links, "jac")
+        rooted = rooted.select("key", "cls").join(roots, F.col("cls") == F.col("node"), "left") \
+            .select("key", "cls", F.coalesce("root", "cls").alias("root"))
+        rooted = saved(rooted, "jac-rooted")
+        who = F.sum(F.xxhash64("cls").cast("decimal(38,0)"))
+        pending = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), who.alias("who"),
+                                            F.count(F.lit(1)).alias("n")).where(F.col("lo") != F.col("hi"))
+        # keys of the very same classes are looked at once
+        pending = saved(pending.groupBy("who", "n").agg(F.min("key").alias("_key")).select("_key"), "jac-open")
+        rooted = saved(rooted.join(pending, F.col("key") == F.col("_key"), "left_semi"), "jac-open-rows")
+        tiles = tiled(rooted.select("key", "cls"), ["key"], "cls", TILE)
+        about = rooted.select("cls", "root").distinct().join(content.select("cls", "size", "bits"), "cls")
+        if failed is None:
+            about = about.withColumn("failed", F.lit(None).cast("array<bigint>"))
+        else:
+            not_with = failed.unionByName(failed.select(F.col("b").alias("a"), F.col("a").alias("b"))) \
+                .groupBy(F.col("a").alias("cls")).agg(F.collect_set("b").alias("failed"))
+            about = about.join(not_with, "cls", "left")
+        found = saved(_proposed(tiles.join(about, "cls"), num, den), "jac-pairs")
+        pairs = found.select("a", "b").distinct()
+        if not found.limit(1).count():
+            break
+        checked = saved(_verified(pairs, content, num, den), "jac-checked")
+        links = saved(links.unionByName(checked.where("ok").select("a", "b")), "jac-links")
+        bad = checked.where(~F.col("ok")).select("a", "b")
+        failed = bad if failed is None else failed.unionByName(bad)
+        again = found.select(F.col("key").alias("_key")).distinct()
+        rooted = rooted.join(again, F.col("key") == F.col("_key"), "left_semi")
+
     classes = rows.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("_least"))
     classes = classes.join(roots, F.col("cls") == F.col("node"), "left") \
         .select(F.col("cls").alias("_c"), "_least", F.coalesce("root", "cls").alias("root"))
@@ -354,7 +442,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = jaccard_groups(docs, id_col, text_col, **kw)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
     first = groups.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(order).alias("k")).select("k.row_key")
-    kept = saved(first.unionByName(groups.where(F.col("root").isNull()).select("row_key")).distinct(), "jac-kept")
+    kept = saved(first.unionByName(groups.where(F.col("root").isNull()).select("row_key")).distinct()
+                 .withColumnRenamed("row_key", "_kept_key"), "jac-kept")
     key = row_key(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return docs.withColumn("_row_key", key).join(kept, F.col("_row_key") == F.col("row_key"), "left_semi") \
+    return docs.withColumn("_row_key", key).join(kept, F.col("_row_key") == F.col("_kept_key"), "left_semi") \
         .dropDuplicates(["_row_key"]).select(*docs.columns)

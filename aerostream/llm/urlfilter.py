@@ -9,9 +9,10 @@ on held-out labelled urls decides.
 Model: for each order k = 0..ORDER the counts of (k characters, next character)
 and of the k characters. P_k = (n(context, next) + BETA * P_(k-1)) /
 (n(context) + BETA), P_(-1) = 1 / ALPHABET: an unseen context falls back to the
-shorter one. Counts are hashed into 2**BITS cells for either class, so the
-model's size is fixed whatever the input (half a MB); it is a constant of the
-scoring expression, and no url is exploded or shuffled to be scored. About ``max_train`` labelled urls, chosen by hash, are
+shorter one. Counts are hashed into two of 2**BITS cells, the smaller of which
+counts, and no event counts more than its context; so the model's size is fixed
+whatever the input (2 MB). It is a constant of the scoring expression, and no url
+is exploded or shuffled to be scored. About ``max_train`` labelled urls, chosen by hash, are
 counted (a bounded sample of labelled rows); a fifth of them is held out for the
 threshold.
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from aerostream.llm.common import lower_ascii, saved
 
 ORDER = 4
-BITS = 16
+BITS = 18
 BETA = 2.0
 ALPHABET = 128.0
 
@@ -58,12 +59,12 @@ def _codes(url: Column) -> Column:
     return F.transform(chars, F.ascii)
 
 
-def _cell(codes: Column, i: Column, k: int, with_next: bool) -> Column:
-    """Cell of the k characters before place i (from 0), with that at i or not;
-    places before the start count as null."""
+def _cells(codes: Column, i: Column, k: int, with_next: bool) -> list[Column]:
+    """The two cells of the k characters before place i (from 0), with that at i
+    or not; places before the start count as null."""
     before = [F.get(codes, i - j) for j in range(k, 0, -1)]
-    return F.pmod(F.xxhash64(F.lit(k if with_next else -1 - k), *before, *([F.get(codes, i)] if with_next else [])),
-                  F.lit(2 ** BITS)).cast("int")
+    h = F.xxhash64(F.lit(k if with_next else -1 - k), *before, *([F.get(codes, i)] if with_next else []))
+    return [F.pmod(x, F.lit(2 ** BITS)).cast("int") for x in (h, F.shiftrightunsigned(h, 32))]
 
 
 def counts(labelled: DataFrame) -> DataFrame:
@@ -74,7 +75,7 @@ def counts(labelled: DataFrame) -> DataFrame:
     codes = F.col("_codes")
     cells = F.flatten(F.transform(
         F.sequence(F.lit(0), F.size(codes) - 1),
-        lambda i: F.array(*[_cell(codes, i, k, w) for k in range(ORDER + 1) for w in (True, False)])))
+        lambda i: F.array(*[c for k in range(ORDER + 1) for w in (True, False) for c in _cells(codes, i, k, w)])))
     rows = labelled.withColumn("_codes", _codes(F.col("url"))).where(F.size("_codes") > 0)
     # the outer form: for a plain explode the optimizer infers a filter that computes every cell again
     rows = rows.withColumn("_cells", cells).select("good", F.explode_outer("_cells").alias("cell")).where(F.col("cell").isNotNull())
@@ -98,20 +99,27 @@ def scored(df: DataFrame, table: str, url_col: str = "url") -> DataFrame:
     cells = F.split(F.lit(table), ",").cast("array<bigint>")  # folded to a constant
     codes, width = F.col("_codes"), 2 * (ORDER + 1)
     last = F.size(codes) - 1
+    low = 2 ** 31 - 1
     look = F.flatten(F.transform(F.sequence(F.lit(0), last), lambda i: F.array(
-        *[_cell(codes, i, k, w) for k in range(ORDER + 1) for w in (True, False)])))
+        *[F.struct(*[c.alias(n) for c, n in zip(_cells(codes, i, k, w), "ab", strict=True)])
+          for k in range(ORDER + 1) for w in (True, False)])))
+
+    def least(c: Column) -> Column:
+        a, b = F.get(cells, c["a"]), F.get(cells, c["b"])
+        return F.least(F.shiftright(a, 31), F.shiftright(b, 31)) * F.lit(2 ** 31) + F.least(a.bitwiseAND(low), b.bitwiseAND(low))
 
     def place(i: Column) -> Column:
         pa = pb = F.lit(1.0 / ALPHABET)
         for k in range(ORDER + 1):
             seen, context = F.get("_seen", i * width + 2 * k), F.get("_seen", i * width + (2 * k + 1))
-            pa = (F.shiftright(seen, 31) + F.lit(BETA) * pa) / (F.shiftright(context, 31) + F.lit(BETA))
-            pb = (seen.bitwiseAND(2 ** 31 - 1) + F.lit(BETA) * pb) / (context.bitwiseAND(2 ** 31 - 1) + F.lit(BETA))
+            ga, gb = F.shiftright(context, 31), context.bitwiseAND(low)
+            pa = (F.least(F.shiftright(seen, 31), ga) + F.lit(BETA) * pa) / (ga + F.lit(BETA))
+            pb = (F.least(seen.bitwiseAND(low), gb) + F.lit(BETA) * pb) / (gb + F.lit(BETA))
         return F.log(pa) - F.log(pb)
 
     total = F.aggregate(F.sequence(F.lit(0), last), F.lit(0.0), lambda acc, i: acc + place(i))
     out = df.withColumn("_codes", _codes(F.col(url_col)))
-    out = out.withColumn("_seen", F.when(F.size(codes) > 0, F.transform(look, lambda c: F.get(cells, c))))
+    out = out.withColumn("_seen", F.when(F.size(codes) > 0, F.transform(look, least)))
     return out.withColumn("score", F.when(F.size(codes) > 0, total / F.size(codes)).otherwise(F.lit(0.0))) \
         .drop("_codes", "_seen")
 
