@@ -17,13 +17,12 @@ similarity of ``num / den`` or more; documents are grouped by reachability.
   first: of classes that share a key in a chunk only the smallest goes on, so a
   key that a third of all documents hold costs a row per chunk, not per document.
 * Every class is verified against the smallest class of its keys, which joins
-  most groups of near copies. What is not yet connected under a key is dealt into
-  tiles of ``TILE`` classes, compared two by two: the bit count of the exclusive
-  or of two hashed bitmap signatures is a lower bound of the difference, so an
-  upper bound of the overlap; what passes is intersected exactly as sorted
-  arrays. A tile proposes a spanning forest at a time; pairs that fail are
-  remembered and the tiles that proposed look again, until nothing is left to
-  propose. No pair is dropped unless its bound or its intersection rules it out.
+  most groups of near copies. The classes of keys that are not all connected yet
+  make bundles, dealt into tiles of some ``TILE`` classes, compared two by two:
+  the bit count of the exclusive or of two hashed bitmap signatures is a lower
+  bound of the difference, so an upper bound of the overlap; what passes is
+  intersected exactly as sorted arrays. Pairs already connected are skipped; no
+  other pair is dropped unless its bound or its intersection rules it out.
 
 Shingles are made again for the classes that share keys only: their row keys are
 sent to every task if they are at most ``SENT`` (16 MB), else joined.
@@ -49,7 +48,7 @@ from aerostream.llm.common import Forest, components, runs, saved, tiled, togeth
 
 RATIO = 1.5
 TILE = 1024
-CHUNK = 2_000_000  # keys
+CHUNK = 500_000  # keys
 SENT = 2_000_000
 
 # fixed values: multipliers of 64-bit hashing
@@ -188,7 +187,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, bucke
             keys.append(tile_keys(h, num, den))
             classes.append((cls, len(keys[-1])))
             size += len(keys[-1])
-        if size >= CHUNK or len(docs) >= CHUNK // 20:
+        if size >= CHUNK or len(docs) >= CHUNK // 10:
             yield chunk()
             docs, keys, classes, seen, size = [], [], [], set(), 0
     if docs:
@@ -316,42 +315,46 @@ def _verified(pairs: DataFrame, content: DataFrame, num: int, den: int) -> DataF
     return j.mapInArrow(run, "a long, b long, ok boolean")
 
 
-def _proposed(tiles: DataFrame, num: int, den: int) -> DataFrame:
-    """(key, a, b) to verify, from tiles of (key, tile_a, tile_b, side, cls,
-    root, size, bits, failed)."""
-    out = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+def _within(tiles: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) that join classes of different components inside tiles of
+    (bundle, tile_a, tile_b, side, cls, root, size, hashes, bits)."""
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
-        for t in runs(batches, ("tile", "key", "tile_a", "tile_b")):
-            found = _tile_pairs(t, num, den)
+        for t in runs(batches, ("tile", "bundle", "tile_a", "tile_b")):
+            found = _tile_links(t, num, den)
             if found:
                 yield _rows(found, out)
 
-    return together(tiles, ["key", "tile_a", "tile_b"]).mapInArrow(run, "key long, a long, b long")
+    return together(tiles, ["bundle", "tile_a", "tile_b"]).mapInArrow(run, "a long, b long")
 
 
-def _tile_pairs(t: pa.Table, num: int, den: int) -> list[tuple]:
-    """A spanning forest, over components, of the pairs that pass the bound and
-    have not failed."""
+def _tile_links(t: pa.Table, num: int, den: int) -> list[tuple]:
     cls, root = t["cls"].to_numpy(), t["root"].to_numpy()
     size, side = t["size"].to_numpy(), t["side"].to_numpy()
-    key, one = t["key"][0].as_py(), t["tile_a"][0].as_py() == t["tile_b"][0].as_py()
-    bits, failed = t["bits"].to_pylist(), [frozenset(x or ()) for x in t["failed"].to_pylist()]
+    one = t["tile_a"][0].as_py() == t["tile_b"][0].as_py()
+    raw, bits = t["hashes"], t["bits"].to_pylist()
     words = min(len(b) for b in bits) // 8
     sig = np.stack([folded(b, words) for b in bits])
-    forest, found = Forest(), []
+    forest, links = Forest(), []
     left = np.flatnonzero(side == 0)
     right = left if one else np.flatnonzero(side == 1)
     for i in left:
-        # overlap <= (a + b - differing bits) / 2
-        lower = np.bitwise_count(sig[right] ^ sig[i]).sum(axis=1, dtype=np.int64)
-        near = ((den + num) * lower <= (den - num) * (size[right] + size[i])) & (root[right] != root[i])
+        near = (root[right] != root[i]) & (np.minimum(size[right], size[i]) * den >= np.maximum(size[right], size[i]) * num)
         if one:
             near &= right > i
-        for j in right[near][np.argsort(lower[near], kind="stable")]:
-            if int(cls[j]) not in failed[i] and forest.join(int(root[i]), int(root[j])):
-                found.append((key, int(max(cls[i], cls[j])), int(min(cls[i], cls[j]))))
-    return found
+        some = right[near]
+        # overlap <= (a + b - differing bits) / 2
+        lower = np.bitwise_count(sig[some] ^ sig[i]).sum(axis=1, dtype=np.int64)
+        near = (den + num) * lower <= (den - num) * (size[some] + size[i])
+        some = some[near][np.argsort(lower[near], kind="stable")]
+        mine = np.frombuffer(raw[i].as_py(), np.uint64) if len(some) else None
+        for j in some:
+            a, b = int(root[i]), int(root[j])
+            if forest.root(a) != forest.root(b) and alike(mine, np.frombuffer(raw[j].as_py(), np.uint64), num, den):
+                forest.join(a, b)
+                links.append((int(cls[i]), int(cls[j])))
+    return links
 
 
 def row_key(ident: Column, text: Column) -> Column:
@@ -394,37 +397,20 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         content = contents(src.join(ids, "row_key", "left_semi").select("doc_id", "text", "row_key"), n, None)
     content = saved(content, "jac-content")
 
-    links = saved(_verified(edges, content, num, den).where("ok").select("a", "b"), "jac-stars")
-    failed, rooted = None, members
-    while True:
-        roots = components(links, "jac")
-        rooted = rooted.select("key", "cls").join(roots, F.col("cls") == F.col("node"), "left") \
-            .select("key", "cls", F.coalesce("root", "cls").alias("root"))
-        rooted = saved(rooted, "jac-rooted")
-        who = F.sum(F.xxhash64("cls").cast("decimal(38,0)"))
-        pending = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), who.alias("who"),
-                                            F.count(F.lit(1)).alias("n")).where(F.col("lo") != F.col("hi"))
-        # keys of the very same classes are looked at once
-        pending = saved(pending.groupBy("who", "n").agg(F.min("key").alias("_key")).select("_key"), "jac-open")
-        rooted = saved(rooted.join(pending, F.col("key") == F.col("_key"), "left_semi"), "jac-open-rows")
-        tiles = tiled(rooted.select("key", "cls"), ["key"], "cls", TILE)
-        about = rooted.select("cls", "root").distinct().join(content.select("cls", "size", "bits"), "cls")
-        if failed is None:
-            about = about.withColumn("failed", F.lit(None).cast("array<bigint>"))
-        else:
-            not_with = failed.unionByName(failed.select(F.col("b").alias("a"), F.col("a").alias("b"))) \
-                .groupBy(F.col("a").alias("cls")).agg(F.collect_set("b").alias("failed"))
-            about = about.join(not_with, "cls", "left")
-        found = saved(_proposed(tiles.join(about, "cls"), num, den), "jac-pairs")
-        pairs = found.select("a", "b").distinct()
-        if not found.limit(1).count():
-            break
-        checked = saved(_verified(pairs, content, num, den), "jac-checked")
-        links = saved(links.unionByName(checked.where("ok").select("a", "b")), "jac-links")
-        bad = checked.where(~F.col("ok")).select("a", "b")
-        failed = bad if failed is None else failed.unionByName(bad)
-        again = found.select(F.col("key").alias("_key")).distinct()
-        rooted = rooted.join(again, F.col("key") == F.col("_key"), "left_semi")
+    stars = saved(_verified(edges, content, num, den).where("ok").select("a", "b"), "jac-stars")
+    roots = components(stars, "jac-star")
+    rooted = members.join(roots, F.col("cls") == F.col("node"), "left") \
+        .select("key", "cls", F.coalesce("root", "cls").alias("root"))
+    rooted = saved(rooted, "jac-rooted")
+    # keys whose classes are not all connected; those with the same least
+    # component make one bundle, as near copies share many keys
+    pending = rooted.groupBy(F.col("key").alias("_key")).agg(F.min("root").alias("bundle"), F.max("root").alias("_hi")) \
+        .where(F.col("bundle") != F.col("_hi")).select("_key", "bundle")
+    bundles = saved(rooted.join(pending, F.col("key") == F.col("_key")).select("bundle", "cls", "root").distinct(), "jac-bundles")
+    tiles = tiled(bundles.select("bundle", "cls"), ["bundle"], "cls", TILE)
+    about = bundles.select("cls", "root").distinct().join(content, "cls")
+    links = saved(_within(tiles.join(about, "cls"), num, den), "jac-links")
+    roots = components(stars.unionByName(links), "jac")
 
     classes = rows.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("_least"))
     classes = classes.join(roots, F.col("cls") == F.col("node"), "left") \
