@@ -20,8 +20,9 @@ similarity of ``num / den`` or more; documents are grouped by reachability.
   most groups of near copies. The classes of keys that are not all connected yet
   make bundles, dealt into tiles of some ``TILE`` classes, compared two by two:
   the bit count of the exclusive or of two hashed bitmap signatures is a lower
-  bound of the difference, so an upper bound of the overlap; what passes is
-  intersected exactly as sorted arrays. Pairs already connected are skipped; no
+  bound of the difference, so an upper bound of the overlap. The classes that
+  are in a passing pair are dealt into tiles again, with their sorted arrays,
+  which are intersected exactly. Pairs already connected are skipped; no
   other pair is dropped unless its bound or its intersection rules it out.
 
 Shingles are made again for the classes that share keys only: their row keys are
@@ -48,7 +49,7 @@ from aerostream.llm.common import Forest, components, runs, saved, tiled, togeth
 
 RATIO = 1.5
 TILE = 1024
-CHUNK = 500_000  # keys
+CHUNK = 250_000  # keys
 SENT = 2_000_000
 
 # fixed values: multipliers of 64-bit hashing
@@ -161,8 +162,10 @@ def class_of(hashes: np.ndarray) -> int:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for b in batches:
-        yield from zip(*(b.column(i).to_pylist() for i in range(b.num_columns)), strict=True)
+    for whole in batches:
+        for at in range(0, whole.num_rows, 500):  # few texts as Python objects at a time
+            b = whole.slice(at, 500)
+            yield from zip(*(b.column(i).to_pylist() for i in range(b.num_columns)), strict=True)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, buckets: int) -> Iterator[tuple]:
@@ -187,7 +190,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, bucke
             keys.append(tile_keys(h, num, den))
             classes.append((cls, len(keys[-1])))
             size += len(keys[-1])
-        if size >= CHUNK or len(docs) >= CHUNK // 10:
+        if size >= CHUNK or len(docs) >= CHUNK // 5:
             yield chunk()
             docs, keys, classes, seen, size = [], [], [], set(), 0
     if docs:
@@ -329,14 +332,14 @@ def _within(tiles: DataFrame, num: int, den: int) -> DataFrame:
     return together(tiles, ["bundle", "tile_a", "tile_b"]).mapInArrow(run, "a long, b long")
 
 
-def _tile_links(t: pa.Table, num: int, den: int) -> list[tuple]:
-    cls, root = t["cls"].to_numpy(), t["root"].to_numpy()
-    size, side = t["size"].to_numpy(), t["side"].to_numpy()
+def _passing(t: pa.Table, num: int, den: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, rows), best first, of the pairs of a tile table that are not yet
+    connected and pass the bound."""
+    root, size, side = t["root"].to_numpy(), t["size"].to_numpy(), t["side"].to_numpy()
     one = t["tile_a"][0].as_py() == t["tile_b"][0].as_py()
-    raw, bits = t["hashes"], t["bits"].to_pylist()
+    bits = t["bits"].to_pylist()
     words = min(len(b) for b in bits) // 8
     sig = np.stack([folded(b, words) for b in bits])
-    forest, links = Forest(), []
     left = np.flatnonzero(side == 0)
     right = left if one else np.flatnonzero(side == 1)
     for i in left:
@@ -347,8 +350,31 @@ def _tile_links(t: pa.Table, num: int, den: int) -> list[tuple]:
         # overlap <= (a + b - differing bits) / 2
         lower = np.bitwise_count(sig[some] ^ sig[i]).sum(axis=1, dtype=np.int64)
         near = (den + num) * lower <= (den - num) * (size[some] + size[i])
-        some = some[near][np.argsort(lower[near], kind="stable")]
-        mine = np.frombuffer(raw[i].as_py(), np.uint64) if len(some) else None
+        if near.any():
+            yield int(i), some[near][np.argsort(lower[near], kind="stable")]
+
+
+def _live(tiles: DataFrame, num: int, den: int) -> DataFrame:
+    """(bundle, cls) of the classes that are in a passing pair."""
+    out = pa.schema([("bundle", pa.int64()), ("cls", pa.int64())])
+
+    def run(batches):
+        for t in runs(batches, ("tile", "bundle", "tile_a", "tile_b")):
+            found = np.zeros(t.num_rows, bool)
+            for i, some in _passing(t, num, den):
+                found[i] = found[some] = True
+            if found.any():
+                yield pa.RecordBatch.from_arrays([pa.array(t["bundle"].to_numpy()[found]), pa.array(t["cls"].to_numpy()[found])],
+                                                 schema=out)
+
+    return together(tiles, ["bundle", "tile_a", "tile_b"]).mapInArrow(run, "bundle long, cls long").distinct()
+
+
+def _tile_links(t: pa.Table, num: int, den: int) -> list[tuple]:
+    cls, root, raw = t["cls"].to_numpy(), t["root"].to_numpy(), t["hashes"]
+    forest, links = Forest(), []
+    for i, some in _passing(t, num, den):
+        mine = np.frombuffer(raw[i].as_py(), np.uint64)
         for j in some:
             a, b = int(root[i]), int(root[j])
             if forest.root(a) != forest.root(b) and alike(mine, np.frombuffer(raw[j].as_py(), np.uint64), num, den):
@@ -370,7 +396,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     src = src.withColumn("row_key", row_key(F.col("doc_id"), F.col("text")))
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     both = saved(sets(src, n, num, den, buckets), "jac-sets")
     rows, local = both.where(F.col("key").isNull()).drop("key"), both.where(F.col("key").isNotNull()).select("key", "cls")
 
@@ -407,9 +433,11 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pending = rooted.groupBy(F.col("key").alias("_key")).agg(F.min("root").alias("bundle"), F.max("root").alias("_hi")) \
         .where(F.col("bundle") != F.col("_hi")).select("_key", "bundle")
     bundles = saved(rooted.join(pending, F.col("key") == F.col("_key")).select("bundle", "cls", "root").distinct(), "jac-bundles")
-    tiles = tiled(bundles.select("bundle", "cls"), ["bundle"], "cls", TILE)
-    about = bundles.select("cls", "root").distinct().join(content, "cls")
-    links = saved(_within(tiles.join(about, "cls"), num, den), "jac-links")
+    root_of = bundles.select("cls", "root").distinct()
+    signed = root_of.join(content.select("cls", "size", "bits"), "cls")
+    live = saved(_live(tiled(bundles.select("bundle", "cls"), ["bundle"], "cls", TILE).join(signed, "cls"), num, den), "jac-live")
+    whole = root_of.join(content, "cls")
+    links = saved(_within(tiled(live, ["bundle"], "cls", TILE).join(whole, "cls"), num, den), "jac-links")
     roots = components(stars.unionByName(links), "jac")
 
     classes = rows.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("_least"))
