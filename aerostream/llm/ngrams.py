@@ -453,11 +453,19 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """docs without all but one document of each group: the one with the smallest
     id (null last). Rows with the same id and text count as one document; texts
     without words are kept."""
-    groups = jaccard_groups(docs, id_col, text_col, **kw)
+    groups = saved(jaccard_groups(docs, id_col, text_col, **kw), "jac-groups")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
     first = groups.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(order).alias("k")).select("k.row_key")
-    kept = saved(first.unionByName(groups.where(F.col("root").isNull()).select("row_key")).distinct()
-                 .withColumnRenamed("row_key", "_kept_key"), "jac-kept")
+    rows = groups.groupBy("row_key", F.col("root").isNull().alias("empty")).agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.join(first.withColumn("kept", F.lit(True)), "row_key", "left") \
+        .withColumn("kept", F.col("empty") | F.coalesce("kept", F.lit(False)))
+    # rows that go, and rows that stay but are there more than once; all others stay as they are
+    apart = saved(rows.where(~F.col("kept") | (F.col("n") > 1))
+                  .select(F.conv(F.substring("row_key", 1, 15), 16, 10).cast("long").alias("_apart"), "kept"), "jac-apart")
+    few = F.broadcast if apart.count() <= SENT else (lambda x: x)
     key = row_key(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return docs.withColumn("_row_key", key).join(kept, F.col("_row_key") == F.col("_kept_key"), "left_semi") \
-        .dropDuplicates(["_row_key"]).select(*docs.columns)
+    named = docs.withColumn("_row_key", F.conv(F.substring(key, 1, 15), 16, 10).cast("long"))
+    stay = named.join(few(apart.select("_apart")), F.col("_row_key") == F.col("_apart"), "left_anti")
+    once = named.join(few(apart.where("kept").select("_apart")), F.col("_row_key") == F.col("_apart"), "left_semi") \
+        .dropDuplicates(["_row_key"])
+    return stay.unionByName(once).select(*docs.columns)
