@@ -39,12 +39,17 @@ def col(c: str | Column) -> Column:
 def epoch_ms_of_ntz(ts: str | Column) -> Column:
     """Epoch milliseconds (floor) of a ``timestamp_ntz`` column, time-zone free."""
     micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), col(ts))
-    return F.floor(micros / F.lit(1000)).cast("long")
+    return floor_div(micros, 1000)
 
 
 def trunc_div(c: Column, k: int) -> Column:
     """Integer division truncating toward zero (bigint ``/`` in SQL engines)."""
-    return ((c - c % F.lit(k)) / F.lit(k)).cast("long")
+    return F.call_function("div", c.cast("long"), F.lit(k))
+
+
+def floor_div(c: Column, k: int) -> Column:
+    """Integer division rounding down, exact for every long."""
+    return trunc_div(c - F.pmod(c, F.lit(k)), k)
 
 
 def epoch_seconds_to_ntz(seconds: Column) -> Column:
@@ -75,7 +80,7 @@ def scheduled_ts(unit: str = "ms") -> Column:
 def format_epoch(c: str | Column, unit: str = "ms", fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """Epoch value -> formatted UTC string; null stays null (floor to seconds)."""
     c = col(c)
-    secs = F.floor(c / F.lit(per_second(unit))).cast("long") if unit != "s" else c
+    secs = floor_div(c, per_second(unit)) if unit != "s" else c
     return F.date_format(epoch_seconds_to_ntz(secs), fmt)
 
 

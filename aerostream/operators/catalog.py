@@ -50,8 +50,8 @@ def register_catalogue_views(spark: SparkSession, flights: DataFrame, lines: Dat
         "hourly_flight_summary": views.hourly_flight_summary(flights),
         "airport_congestion": views.airport_congestion(flights),
         "flight_alerts": views.flight_alerts(flights),
-        "flights_latest": state.latest_flight(flights, strategy="sort"),
-        "delayed_by_origin": state.delayed_by_origin(flights, state.latest_flight(flights, strategy="sort")),
+        "flights_latest": state.latest_flight(flights),
+        "delayed_by_origin": state.delayed_by_origin(flights, state.latest_flight(flights)),
     }
     if lines is not None:
         defs["word_counts"] = words.word_count(lines)
@@ -60,10 +60,6 @@ def register_catalogue_views(spark: SparkSession, flights: DataFrame, lines: Dat
     return list(defs)
 
 
-def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
-
-
 def list_tables(spark: SparkSession) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables())
 
@@ -85,10 +81,8 @@ def drop_view(spark: SparkSession, name: str) -> None:
     for q in spark.streams.active:
         if q.name == name:
             q.stop()
-    spark.sql(f"DROP VIEW IF EXISTS `{name}`")
-    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
-
-
-def health(spark: SparkSession) -> DataFrame:
-    """Literal liveness query."""
-    return spark.sql("SELECT 'ok' AS status")
+    spark.catalog.dropTempView(name)
+    if not spark.catalog.tableExists(name):
+        return
+    kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+    spark.sql(f"DROP {kind} IF EXISTS `{name}`")

@@ -1,9 +1,7 @@
 """Keyed latest-value table and the retracting delayed count, batch form.
 
 ``latest_flight`` keeps, per flight, the record that arrived last (arrival order
-``seq``, never event time); see ``latest_by_key`` for the two exact plans
-(broadcast semi-join of per-key maxima when the key set is provably small,
-else one map-side-reduced ``max_by`` aggregation).
+``seq``, never event time); see ``latest_by_key`` for its rule on nulls and ties.
 
 ``delayed_by_origin`` counts currently-delayed flights per origin over that
 table. Because it starts from the latest record per flight, a flight that
@@ -19,93 +17,29 @@ from pyspark.sql import functions as F
 
 from aerostream.functions.flight import count_severity, status_is
 from aerostream.schema import DELAYED, FLIGHT_FIELDS, FLIGHT_NUMBER, ORIGIN, SEQ
-from aerostream.session import checkpoint_root, estimated_bytes
 
 
-# Bytes per broadcast (key, order) entry on top of the key's own bytes: the
-# order long plus hash-relation and row overhead.
-_ENTRY_OVERHEAD = 48
+def latest_by_key(df: DataFrame, key: str, order: str, payload: list[str]) -> DataFrame:
+    """Row with the highest ``order`` per ``key``, one plan for every size.
 
+    ``max(struct(order, payload))``: a null order loses against any other, equal
+    orders go to the greater payload, so the result never depends on the plan or
+    on the order of rows. A null key is a key of its own. Partial aggregation
+    runs before the shuffle (a sort-based aggregate that spills), so a hot key
+    costs one row per task. Works on batch and streaming input.
+    """
+    rest = [c for c in payload if c != order]
+    last = df.groupBy(key).agg(F.max(F.struct(order, *rest)).alias("_last"))
+    return last.select(key, *[F.col(f"_last.{c}").alias(c) for c in payload])
 
-def _bytes(raw: str) -> int:
-    """Parse a Spark byte-size setting ("10485760b", "10m", "64MB", "-1")."""
-    v = str(raw).strip().lower().removesuffix("b")
-    mult = 1
-    for suffix, m in (("k", 1 << 10), ("m", 1 << 20), ("g", 1 << 30), ("t", 1 << 40)):
-        if v.endswith(suffix):
-            v, mult = v[:-1], m
-            break
-    try:
-        return int(float(v) * mult)
-    except ValueError:
-        return 10 << 20
-
-
-def _broadcast_threshold(spark) -> int:
-    return _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b"))
-
-
-# Inputs estimated below this size are reduced with the single max_by job: they
-# fit in one file split, so the extra job of the broadcast plan cannot pay off.
-SMALL_INPUT_BYTES = 128 << 20
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    try:
-        return estimated_bytes(df)
-    except Exception:
-        return SMALL_INPUT_BYTES
-
-
-def latest_by_key(df: DataFrame, key: str, order: str, payload: list[str],
-                  max_broadcast_keys: int | None = None, strategy: str = "auto") -> DataFrame:
-    """Row with the highest ``order`` per ``key`` (nulls keys dropped), exact.
-
-    ``max_by(struct(payload), order)`` needs a struct aggregation buffer, which
-    Spark can only run as a sort-based aggregate. When the per-key maxima are
-    small enough to broadcast — their measured size (rows and key bytes) within
-    ``spark.sql.autoBroadcastJoinThreshold`` — the work is done with
-    fixed-width operators instead: a hash aggregate of ``max(order)`` per key
-    (reads only the key and order columns), a broadcast semi-join that keeps
-    the winning rows map-side without shuffling the table, and a ``max_by``
-    over those few rows to settle ties. Otherwise, and on streams, the single
-    ``max_by`` aggregation is used (partial aggregation map-side, spill-safe).
 
-    ``strategy``: "auto" (broadcast plan only for inputs the optimizer
-    estimates above ``SMALL_INPUT_BYTES``), "broadcast" (try it regardless of
-    input size, still behind the key-count check) or "sort".
-    """
-    src = df.where(F.col(key).isNotNull())
-
-    def by_sort(d: DataFrame) -> DataFrame:
-        last = d.groupBy(key).agg(F.max_by(F.struct(*payload), F.col(order)).alias("_last"))
-        return last.select(key, *[F.col(f"_last.{c}").alias(c) for c in payload])
-
-    if df.isStreaming or strategy == "sort":
-        return by_sort(src)
-    if strategy == "auto" and _estimated_bytes(df) < SMALL_INPUT_BYTES:
-        return by_sort(src)
-    threshold = _broadcast_threshold(df.sparkSession)
-    if threshold <= 0 or max_broadcast_keys == 0:
-        return by_sort(src)
-    checkpoint_root(df.sparkSession)
-    # computed once: checkpointed (reliable storage, lineage cut), measured, then broadcast
-    maxima = src.groupBy(key).agg(F.max(order).alias(order)).checkpoint()
-    n, key_bytes = maxima.agg(F.count(F.lit(1)), F.sum(F.length(F.col(key).cast("string")))).first()
-    size = (key_bytes or 0) + n * _ENTRY_OVERHEAD
-    if size > threshold or (max_broadcast_keys is not None and n > max_broadcast_keys):
-        return by_sort(src)
-    winners = src.join(F.broadcast(maxima), [key, order], "left_semi")
-    return by_sort(winners)
-
-
-def latest_flight(flights: DataFrame, order: str = SEQ, keep_order: bool = False,
-                  max_broadcast_keys: int | None = None, strategy: str = "auto") -> DataFrame:
-    """Last record per ``flightNumber`` by ``order`` (null keys dropped)."""
+def latest_flight(flights: DataFrame, order: str = SEQ, keep_order: bool = False) -> DataFrame:
+    """Last record per ``flightNumber`` by ``order``. Records without a flight
+    number have no place in a table keyed by it and are left out."""
     payload = [c for c in FLIGHT_FIELDS if c != FLIGHT_NUMBER]
     if keep_order:
         payload.append(order)
-    return latest_by_key(flights, FLIGHT_NUMBER, order, payload, max_broadcast_keys, strategy)
+    return latest_by_key(flights.where(F.col(FLIGHT_NUMBER).isNotNull()), FLIGHT_NUMBER, order, payload)
 
 
 def delayed_by_origin(flights: DataFrame, latest: DataFrame | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerostream.operators import state, views, words
 from aerostream.operators.sinktable import SINK_COLUMNS, flatten_for_table
@@ -24,7 +24,8 @@ from aerostream.sources.tables import flights_from_events, text_lines
 from aerostream.streaming.retract import delayed_by_origin_stream
 from aerostream.streaming.views import start_view
 
-_ORDER = "_batch_id"
+# files of one micro-batch: a backlog is worked off in steps
+FILES_PER_BATCH = 1000
 
 
 def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,27 +33,25 @@ def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     glob; a single-file table is addressed by a glob matching just that file."""
     path = os.path.join(sf_dir, f"{name}.parquet")
     schema = spark.read.parquet(path).schema
-    src = path if os.path.isdir(path) else path[:-1] + f"[{path[-1]}]"
-    return spark.readStream.schema(schema).parquet(src)
+    # as a glob that matches just this name, a file and a folder are read alike, on any file system
+    return spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", FILES_PER_BATCH) \
+        .parquet(path[:-1] + f"[{path[-1]}]")
 
 
 def _run_dir(spark: SparkSession, name: str) -> str:
     return checkpoint_path(spark, "catalogue", name, uuid.uuid4().hex)
 
 
-def run_update(df: DataFrame, name: str, key: str, buckets: int = 8) -> DataFrame:
+def run_update(df: DataFrame, name: str, key: str) -> DataFrame:
     """Run an update-mode stream to completion; return the final row per key."""
     spark = df.sparkSession
     base = _run_dir(spark, name)
     target = os.path.join(base, "table")
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        tbl.upsert(batch.withColumn(_ORDER, F.lit(batch_id).cast("long")), target, key, _ORDER, buckets)
-
-    q = start_view(df, f"{name}-{os.path.basename(base)}", "update", sink=sink,
+    q = start_view(df, f"{name}-{os.path.basename(base)}", "update", sink=tbl.upsert_sink(target, key),
                    checkpoint=os.path.join(base, "ckpt"), trigger={"availableNow": True})
     q.awaitTermination()
-    return tbl.read_keyed(spark, target).drop(_ORDER)
+    schema = T.StructType([*df.schema.fields, T.StructField("_batch", T.LongType())])
+    return tbl.read_keyed(spark, target, key, "_batch", schema).drop("_batch")
 
 
 def run_append(df: DataFrame, name: str) -> DataFrame:
@@ -82,9 +81,6 @@ def latest_flight_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_count_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table_stream(spark, sf_dir, "documents").select("doc_id", "text")
-    if not os.path.isdir(os.path.join(sf_dir, "documents.parquet")):
-        # one file arrives as one task; spread the CPU-heavy tokenising over all cores
-        docs = docs.repartition(spark.sparkContext.defaultParallelism, F.col("doc_id"))
     lines = text_lines(docs)
     return run_update(words.word_count(lines), "word_count", "word").select("word", "count")
 
@@ -95,10 +91,10 @@ def flight_status_sink_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _run_dir(spark, "flight_status_sink")
     target = os.path.join(base, "table")
     q = start_view(rows, f"flight_status_sink-{os.path.basename(base)}", "append",
-                   sink=tbl.upsert_sink(target, SINK_KEY, "stored_seq", buckets=8),
+                   sink=tbl.upsert_sink(target, SINK_KEY, "stored_seq"),
                    checkpoint=os.path.join(base, "ckpt"), trigger={"availableNow": True})
     q.awaitTermination()
-    return tbl.read_keyed(spark, target).select(*SINK_COLUMNS)
+    return tbl.read_keyed(spark, target, SINK_KEY, "stored_seq", rows.schema).select(*SINK_COLUMNS)
 
 
 def flight_alerts_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,6 +58,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     root = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getCheckpointDir() if sc else None)
     if not root:
+        if sc is not None and not sc.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="aerostream-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     if sc is not None and not sc.getCheckpointDir():

@@ -1,158 +1,85 @@
-"""Keyed upsert tables, table creation/evolution, export and replay.
-
-``upsert`` keeps a Parquet table with one row per key, last write (by an order
-column) wins. The table is hash-partitioned into ``buckets`` folders; a batch
-rewrites only the buckets it touches:
-
-1. the batch is reduced to its newest row per key (partial ``max_by``, so a
-   key updated a million times in one batch ships one row);
-2. the touched buckets of the current table are read (partition pruning),
-   unioned with the batch (by name, new columns allowed) and reduced again;
-3. the result is checkpointed into the shared checkpoint folder, which cuts
-   the lineage from the files about to be replaced and lets a lost executor's
-   tasks be recomputed from durable data;
-4. those buckets are replaced with dynamic partition overwrite, each written
-   sorted by key so point lookups prune row groups by min/max statistics.
-
-The only value brought to the driver is the set of touched bucket numbers,
-bounded by ``buckets``.
+"""Keyed tables, table creation/evolution, export and replay.
+
+A keyed table is a folder of Parquet files to which every batch adds its newest
+row per key under ``gen=<generation>/batch=<batch id>``; readers keep the newest
+row of each key (``read_keyed``). A batch costs what it holds, however large the
+table is; a batch that is delivered again replaces its own folder; a replay
+counts as a new generation, whose rows win over all older ones. Rows with a null
+key are the row of the key null. Schemas may grow: old rows read new columns as
+null. A batch without rows writes nothing.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
-from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from aerostream.session import checkpoint_path, checkpoint_root
+from aerostream.operators.state import latest_by_key
+from aerostream.session import checkpoint_path
 
-BUCKET = "_bucket"
+GENERATION, BATCH = "gen", "batch"
 
 
 def newest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    payload = [c for c in df.columns if c != key]
-    last = df.groupBy(key).agg(F.max_by(F.struct(*payload), F.col(order)).alias("_r"))
-    return last.select(key, *[F.col(f"_r.{c}").alias(c) for c in payload])
+    return latest_by_key(df, key, order, [c for c in df.columns if c != key])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
-def upsert(batch: DataFrame, path: str, key: str, order: str, buckets: int = 64) -> None:
-    """Merge ``batch`` into the keyed Parquet table at ``path``."""
-    spark = batch.sparkSession
-    checkpoint_root(spark)
-    new = newest_per_key(batch.where(F.col(key).isNotNull()), key, order)
-    new = new.withColumn(BUCKET, F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)))
-    # used twice (touched buckets, merge): compute the reduced batch once
-    new = new.persist(StorageLevel.MEMORY_AND_DISK)
+def upsert(batch: DataFrame, path: str, key: str, order: str, batch_id: int, generation: int = 0) -> None:
+    """Add ``batch``'s newest row per key to the keyed table at ``path``."""
+    if batch.isEmpty():
+        return
+    new = newest_per_key(batch, key, order)
+    new.write.mode("overwrite").parquet(f"{path}/{GENERATION}={generation}/{BATCH}={batch_id}")
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """All rows of a keyed table; None if no batch with rows has come yet. The
+    schema is given by the caller, so no footers are read to merge schemas."""
+    full = T.StructType([*schema.fields, T.StructField(GENERATION, T.LongType()), T.StructField(BATCH, T.LongType())])
     try:
-        if _exists(spark, path):
-            touched = [r[0] for r in new.select(BUCKET).distinct().collect()]
-            if not touched:
-                return
-            cur = spark.read.option("mergeSchema", "true").parquet(path).where(F.col(BUCKET).isin(touched))
-            merged = newest_per_key(cur.unionByName(new, allowMissingColumns=True), key, order)
-        else:
-            merged = new
-        merged = merged.repartition(F.col(BUCKET)).sortWithinPartitions(BUCKET, key).checkpoint()
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET).parquet(path))
-    finally:
-        new.unpersist()
-
-
-def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    """The upsert table without its bucket column (schema merged across versions)."""
-    return spark.read.option("mergeSchema", "true").parquet(path).drop(BUCKET)
-
-
-# ---------------------------------------------------------------- merge-on-read
-
-def append_delta(batch: DataFrame, path: str, key: str, order: str, buckets: int = 64) -> None:
-    """Merge-on-read upsert: append the batch's newest row per key to its bucket
-    folder without reading the table, so a batch costs O(batch) however large
-    the table is. Readers reduce with ``read_merged``; ``compact`` folds the
-    deltas back into one file per bucket. Re-running a batch only appends rows
-    that the reduction already discards (same key and order)."""
-    new = newest_per_key(batch.where(F.col(key).isNotNull()), key, order)
-    new = new.withColumn(BUCKET, F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)))
-    new.repartition(F.col(BUCKET)).sortWithinPartitions(BUCKET, key) \
-        .write.mode("append").partitionBy(BUCKET).parquet(path)
-
-
-def read_merged(spark: SparkSession, path: str, key: str, order: str) -> DataFrame:
-    """Current row per key of a merge-on-read table (newest ``order`` wins)."""
-    from aerostream.operators.state import latest_by_key
-
-    raw = spark.read.option("mergeSchema", "true").parquet(path)
-    payload = [c for c in raw.columns if c not in (key, BUCKET)]
-    return latest_by_key(raw, key, order, payload)
-
-
-def compact(spark: SparkSession, path: str, key: str, order: str, min_files: int = 2) -> list[int]:
-    """Rewrite the buckets holding at least ``min_files`` files as their
-    reduced, key-sorted rows; returns the rewritten bucket numbers.
-
-    Which buckets need it comes from the file listing (metadata only). The
-    rewrite uses dynamic partition overwrite from checkpointed data, so the
-    files being replaced are not read while written and a lost task recomputes
-    from durable data.
-    """
-    checkpoint_root(spark)
-    raw = spark.read.option("mergeSchema", "true").parquet(path)
-    per_bucket: dict[int, int] = {}
-    for f in raw.inputFiles():
-        m = re.search(rf"/{BUCKET}=(\d+)/", f)
-        if m:
-            per_bucket[int(m.group(1))] = per_bucket.get(int(m.group(1)), 0) + 1
-    todo = sorted(b for b, n in per_bucket.items() if n >= min_files)
-    if not todo:
-        return []
-    reduced = newest_per_key(raw.where(F.col(BUCKET).isin(todo)), key, order)
-    reduced = reduced.repartition(F.col(BUCKET)).sortWithinPartitions(BUCKET, key).checkpoint()
-    (reduced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(path))
-    return todo
-
-
-def delta_sink(path: str, key: str, order: str, buckets: int = 64,
-               transform: Callable[[DataFrame], DataFrame] | None = None, compact_every: int | None = None):
-    """``foreachBatch`` for the merge-on-read table, compacting every
-    ``compact_every`` batches."""
-    def _sink(batch: DataFrame, batch_id: int) -> None:
-        src = transform(batch) if transform else batch
-        append_delta(src, path, key, order, buckets)
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            compact(batch.sparkSession, path, key, order)
-    return _sink
+        return spark.read.schema(full).option("basePath", path).parquet(path)
+    except AnalysisException as e:
+        if (e.getCondition() or "").split(".")[0] == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
-def lookup(spark: SparkSession, path: str, key: str, value, buckets: int = 64) -> DataFrame:
-    """Point lookup: the bucket predicate is a constant after folding, so only
-    one bucket folder is listed; the sorted key prunes row groups inside it."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    bucket = F.pmod(F.xxhash64(F.lit(value)), F.lit(buckets))
-    return df.where((F.col(BUCKET) == bucket) & (F.col(key) == F.lit(value))).drop(BUCKET)
+def read_keyed(spark: SparkSession, path: str, key: str, order: str, schema: T.StructType) -> DataFrame:
+    """Current row per key: the newest by generation, ``order`` and batch."""
+    raw = _read(spark, path, schema)
+    if raw is None:
+        return spark.createDataFrame([], schema)
+    return _current(raw, key, order, schema)
 
 
-def upsert_sink(path: str, key: str, order: str, buckets: int = 64,
-                transform: Callable[[DataFrame], DataFrame] | None = None):
-    """``foreachBatch`` function that upserts each micro-batch into ``path``.
+def _current(raw: DataFrame, key: str, order: str, schema: T.StructType) -> DataFrame:
+    rank = F.struct(GENERATION, order, BATCH)
+    names = [f.name for f in schema.fields]
+    return latest_by_key(raw.withColumn("_rank", rank), key, "_rank", [c for c in names if c != key]).select(*names)
+
 
-    Re-running a batch after a failure is harmless: the merge is idempotent
-    (same rows, same order values).
-    """
+def lookup(spark: SparkSession, path: str, key: str, value, order: str, schema: T.StructType) -> DataFrame:
+    """Current row of one key, no row for an unknown one. The key predicate goes
+    below the newest-row step and into the Parquet reader."""
+    raw = _read(spark, path, schema)
+    if raw is None:
+        return spark.createDataFrame([], schema)
+    return _current(raw.where(F.col(key).eqNullSafe(F.lit(value).cast(schema[key].dataType))), key, order, schema)
+
+
+def upsert_sink(path: str, key: str, order: str | None = None, generation: int = 0,
+                transform: Callable[[DataFrame], DataFrame] | None = None):
+    """``foreachBatch`` function that upserts each micro-batch into ``path``;
+    without ``order`` a later batch wins (column ``_batch``)."""
     def _sink(batch: DataFrame, batch_id: int) -> None:
         src = transform(batch) if transform else batch
-        upsert(src, path, key, order, buckets)
+        if order is None:
+            src = src.withColumn("_batch", F.lit(batch_id).cast("long"))
+        upsert(src, path, key, order or "_batch", batch_id, generation)
     return _sink
 
 
@@ -173,28 +100,29 @@ def replay_checkpoint(spark: SparkSession, name: str, generation: int) -> str:
     return checkpoint_path(spark, "replay", name, f"gen-{generation}")
 
 
-def replay_sink(path: str, write: Callable[[DataFrame, str, str], None] | None = None):
-    """``foreachBatch`` that overwrites ``path`` on the first batch of a replay
-    and appends afterwards (the target is rebuilt from the start of the topic)."""
+def replay_sink(path: str, generation: int):
+    """``foreachBatch`` that writes each batch to its own folder of the
+    generation; a batch delivered again replaces it."""
     def _sink(batch: DataFrame, batch_id: int) -> None:
-        mode = "overwrite" if batch_id == 0 else "append"
-        if write:
-            write(batch, path, mode)
-        else:
-            batch.write.mode(mode).parquet(path)
+        if not batch.isEmpty():
+            batch.write.mode("overwrite").parquet(f"{path}/{GENERATION}={generation}/{BATCH}={batch_id}")
     return _sink
 
 
-def replay(build: Callable[[], DataFrame], name: str, generation: int, target: str,
-           write: Callable[[DataFrame, str, str], None] | None = None, trigger: dict | None = None):
+def read_replayed(spark: SparkSession, path: str, generation: int) -> DataFrame:
+    """Rows of one generation of a replayed table."""
+    return spark.read.option("basePath", f"{path}/{GENERATION}={generation}").parquet(f"{path}/{GENERATION}={generation}").drop(BATCH)
+
+
+def replay(build: Callable[[], DataFrame], name: str, generation: int, target: str, trigger: dict | None = None):
     """Reset and replay: start ``build()`` (a stream whose source reads from the
-    earliest offset) under a fresh checkpoint generation and rebuild ``target``
-    from scratch (overwritten by the first batch). Nothing is deleted: the old
-    checkpoint generation stays as it was."""
+    earliest offset) under a fresh checkpoint generation and build generation
+    ``generation`` of ``target`` from scratch. Nothing is deleted: older
+    checkpoints and generations stay as they were."""
     df = build()
     ckpt = replay_checkpoint(df.sparkSession, name, generation)
     w = (df.writeStream.queryName(f"{name}-gen{generation}").outputMode("append")
-         .option("checkpointLocation", ckpt).foreachBatch(replay_sink(target, write)))
+         .option("checkpointLocation", ckpt).foreachBatch(replay_sink(target, generation)))
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
@@ -215,7 +143,7 @@ def jdbc_upsert_sink(url: str, table: str, key: str, order: str, properties: dic
     database executes (SQLite / PostgreSQL syntax)."""
     def _sink(batch: DataFrame, batch_id: int) -> None:
         src = transform(batch) if transform else batch
-        new = newest_per_key(src.where(F.col(key).isNotNull()), key, order).drop(order)
+        new = newest_per_key(src, key, order).drop(order)
         stage = f"{table}__stage"
         write_jdbc(new, url, stage, properties, mode="overwrite")
         cols = ", ".join(new.columns)
@@ -243,8 +171,3 @@ def _execute_jdbc(spark: SparkSession, url: str, properties: dict, sql: str) ->
 def export_parquet(df: DataFrame, path: str) -> None:
     """COPY ... TO 'x.parquet': write the table as Parquet."""
     df.write.mode("overwrite").parquet(path)
-
-
-def drop_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
-

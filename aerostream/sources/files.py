@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerostream.schema import SEQUENCED_FLIGHT_SCHEMA, STATUS, TEXT_SCHEMA
+from aerostream.sources.tables import normalise
 
 
 def parquet_view(spark: SparkSession, path: str, name: str = "flights") -> DataFrame:
-    """Register a Parquet file/folder as a temp view (schema from the footer)."""
-    df = spark.read.parquet(path)
+    """Register a Parquet file/folder of flight records as a temp view, normalised
+    like every other flight source (schema from the footer)."""
+    df = normalise(spark.read.parquet(path))
     df.createOrReplaceTempView(name)
     return df
 
@@ -18,18 +21,17 @@ def parquet_view(spark: SparkSession, path: str, name: str = "flights") -> DataF
 def delimited_lines(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     """Raw lines of a delimited text file as ``value`` (header line skipped).
 
-    The CSV reader is used with a separator and quote that never occur, so a
-    whole line is one column, quotes are kept and the header is dropped; files
-    are split by byte ranges, so a large file is read in parallel.
+    Read as text, so blank lines and any character stay; files are split by byte
+    ranges, so a large file is read in parallel. The header is the line at the
+    start of each file: of the rows of a file's first block, the first one.
     """
-    return (
-        spark.read.schema(TEXT_SCHEMA)
-        .option("header", header)
-        .option("sep", "\u0001")
-        .option("quote", "")
-        .option("escape", "")
-        .csv(path)
-    )
+    if not header:
+        return spark.read.schema(TEXT_SCHEMA).text(path)
+    first = F.col("_metadata.file_block_start") == 0
+    lines = spark.read.schema(TEXT_SCHEMA).text(path).select(
+        "value", first.alias("_first"), F.monotonically_increasing_id().alias("_at"), F.col("_metadata.file_path").alias("_file"))
+    heads = lines.where("_first").groupBy("_file").agg(F.min("_at").alias("_head")).select(F.col("_head").alias("_at"))
+    return lines.join(heads, "_at", "left_anti").select("value")
 
 
 def placeholder_flights(spark: SparkSession) -> DataFrame:
@@ -39,14 +41,24 @@ def placeholder_flights(spark: SparkSession) -> DataFrame:
 
 
 def read_or_placeholder(spark: SparkSession, read) -> DataFrame:
-    """``read()`` or, on any failure (missing path, bad schema, timeout), the
-    placeholder table."""
+    """``read()`` or, if there is nothing to read (missing path or table, no
+    schema to be found, a source that does not answer in time), the placeholder
+    table. Any other failure is raised: a table that exists is never taken for an
+    empty one."""
     try:
         df = read()
         df.schema  # forces analysis: missing files or columns fail here
         return df
-    except Exception:
+    except TimeoutError:
         return placeholder_flights(spark)
+    except AnalysisException as e:
+        if (e.getCondition() or "").split(".")[0] in NOTHING_TO_READ:
+            return placeholder_flights(spark)
+        raise
+
+
+# fixed values: Spark's error conditions for a source that is not there
+NOTHING_TO_READ = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

@@ -26,8 +26,8 @@ SECURITY_KEYS = (
     "ssl.endpoint.identification.algorithm",
     "client.dns.lookup",
 )
-# fixed values: accepted names of the schema-registry credential setting
-REGISTRY_AUTH_KEYS = ("basic.auth.user.info", "schema.registry.basic.auth.user.info")
+# fixed values: accepted names of the schema-registry credential setting, the first that is not blank wins
+REGISTRY_AUTH_KEYS = ("schema.registry.basic.auth.user.info", "basic.auth.user.info")
 
 _PLAIN_JAAS = 'org.apache.kafka.common.security.plain.PlainLoginModule required username="{u}" password="{p}";'
 
@@ -61,7 +61,7 @@ def registry_settings(url: str, client: dict | None = None, api_key: str | None
     either accepted key name, or from an explicit key/secret pair."""
     client = client or {}
     out = {"schema.registry.url": url}
-    info = next((client[k] for k in REGISTRY_AUTH_KEYS if client.get(k)), None)
+    info = next((client[k] for k in REGISTRY_AUTH_KEYS if str(client.get(k) or "").strip()), None)
     if info is None and api_key:
         info = f"{api_key}:{api_secret or ''}"
     if info:
@@ -99,9 +99,23 @@ def read_snapshot(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 
 # ------------------------------------------------------------------- decoders
 
+def arrival() -> Column:
+    """Arrival order over all partitions of a topic, as one long.
+
+    Offsets order the records of a partition only. Across partitions the
+    record's timestamp (ms) goes first, then offset and partition: 42 bits of
+    time, 11 of the offset's last digits, 10 of the partition. Records of one key
+    share a partition, so up to 2,048 of them within a millisecond keep their
+    order.
+    """
+    ms = F.unix_millis("timestamp")
+    return (ms * F.lit(1 << 21) + F.pmod(F.col("offset"), F.lit(1 << 11)) * F.lit(1 << 10)
+            + F.pmod(F.col("partition"), F.lit(1 << 10))).cast("long")
+
+
 def decode_text(records: DataFrame) -> DataFrame:
     """String key/value records -> ``value`` lines (plus arrival ``seq``)."""
-    return records.select(F.col("value").cast("string").alias("value"), F.col("offset").alias(SEQ))
+    return records.select(F.col("value").cast("string").alias("value"), arrival().alias(SEQ))
 
 
 def registry_payload(value: Column) -> Column:
@@ -114,7 +128,7 @@ def decode_flights_avro(records: DataFrame, registry_framed: bool = True) -> Dat
     from pyspark.sql.avro.functions import from_avro
 
     payload = registry_payload(F.col("value")) if registry_framed else F.col("value")
-    rec = records.select(from_avro(payload, FLIGHT_AVRO_SCHEMA).alias("f"), F.col("offset").alias(SEQ))
+    rec = records.select(from_avro(payload, FLIGHT_AVRO_SCHEMA).alias("f"), arrival().alias(SEQ))
     return _flatten(rec)
 
 
@@ -122,7 +136,7 @@ def decode_flights_json(records: DataFrame) -> DataFrame:
     """JSON flight values -> sequenced records; unparsable values become nulls and
     are dropped with the null key."""
     rec = records.select(F.from_json(F.col("value").cast("string"), FLIGHT_SCHEMA).alias("f"),
-                         F.col("offset").alias(SEQ))
+                         arrival().alias(SEQ))
     return _flatten(rec)
 
 
@@ -147,5 +161,5 @@ def decode(records: DataFrame, kind: str) -> DataFrame:
     if kind == "avro":
         return decode_flights_avro(records)
     if kind == "binary":
-        return records.select("key", "value", F.col("offset").alias(SEQ))
+        return records.select("key", "value", arrival().alias(SEQ))
     raise ValueError(f"unknown decoder {kind!r}")

@@ -1,10 +1,10 @@
 """Physical layout of the flight log for large scans.
 
 ``write_flight_log`` stores records as Parquet partitioned by the UTC date of
-the scheduled departure (``dep_date``). Each date is spread over ``files_per_date``
-writer tasks by a hash of the flight number, so a date holding a third of all
-rows is still written in parallel, and rows are sorted by flight and arrival
-order inside each file, so per-flight lookups prune row groups. Time-relative
+the scheduled departure (``dep_date``). Rows are dealt to writer tasks by ranges
+of (date, flight, arrival order), so a date, or a flight, that holds a third of
+all rows is written by a third of the tasks, and rows are sorted by flight and
+arrival order inside each file, so per-flight lookups prune row groups. Time-relative
 queries add a ``dep_date`` predicate (see ``operators.recent``), which Spark turns
 into partition pruning: "the last hour" lists one or two date folders.
 """
@@ -24,11 +24,11 @@ def with_dep_date(flights: DataFrame, unit: str = "ms") -> DataFrame:
     return flights.withColumn(DATE_COL, F.to_date(scheduled_ts(unit)))
 
 
-def write_flight_log(flights: DataFrame, path: str, unit: str = "ms", files_per_date: int = 8,
+def write_flight_log(flights: DataFrame, path: str, unit: str = "ms",
                      max_records_per_file: int = 5_000_000, mode: str = "overwrite") -> None:
-    spread = F.pmod(F.xxhash64(F.col(FLIGHT_NUMBER)), F.lit(files_per_date))
+    # ranges over (date, flight, arrival): a date or a flight with many rows gets as many tasks as its rows need
     out = (with_dep_date(flights, unit)
-           .repartition(F.col(DATE_COL), spread)
+           .repartitionByRange(DATE_COL, FLIGHT_NUMBER, SEQ)
            .sortWithinPartitions(DATE_COL, FLIGHT_NUMBER, SEQ))
     (out.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(DATE_COL).parquet(path))

@@ -76,23 +76,6 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flights_from_events(read_table(spark, sf_dir, "events"))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan over all cores when it arrives in fewer partitions.
-
-    A large input already comes in thousands of file splits and is left
-    alone; a single big file (one row group) would otherwise leave the
-    CPU-heavy text work to one task. Hashing a unique key keeps the shuffle
-    deterministic under task retries.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-    except Exception:  # no access to the RDD layer (e.g. a remote client): leave the scan as is
-        return df
-    return df.repartition(cores, F.col(key))
-
-
 def text_lines(documents: DataFrame, text_col: str = "text") -> DataFrame:
     """documents -> one row per line (``value``), like a line producer sends them."""
     parts = documents.select(split_lines(F.col(text_col)).alias("_l"))
@@ -102,5 +85,5 @@ def text_lines(documents: DataFrame, text_col: str = "text") -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return text_lines(spread(docs, "doc_id"))
+    return text_lines(docs)
 

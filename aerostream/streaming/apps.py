@@ -53,30 +53,25 @@ def flight_queries(flights: DataFrame) -> dict[str, DataFrame]:
 
 
 def start_flights(spark: SparkSession, kafka: dict[str, str], topic: str, table_root: str,
-                  registry_framed: bool = True, checkpoint: str | None = None) -> dict[str, StreamingQuery]:
+                  registry_framed: bool = True, checkpoint: str | None = None, generation: int = 0) -> dict[str, StreamingQuery]:
     """Start both maintained tables, each upserted into a keyed Parquet table
-    under ``table_root`` (``flights`` keyed by flight, ``delayed`` by origin)."""
+    under ``table_root`` (``flights`` keyed by flight, ``delayed`` by origin). A
+    replay with a fresh checkpoint passes the next ``generation``."""
     src = ksrc.decode_flights_avro(ksrc.read_stream(spark, {**kafka, "subscribe": topic}), registry_framed)
     qs = flight_queries(src)
     base = checkpoint or checkpoint_path(spark, "apps", "flights")
     return {
         "flights-store": start_view(
             qs["flights-store"], "flights-store", "update",
-            sink=tbl.upsert_sink(f"{table_root}/flights", "flightNumber", "seq"),
+            sink=tbl.upsert_sink(f"{table_root}/flights", "flightNumber", "seq", generation),
             checkpoint=f"{base}/flights-store"),
         "delayed-by-origin-store": start_view(
             qs["delayed-by-origin-store"], "delayed-by-origin-store", "update",
-            sink=_batch_ordered_upsert(f"{table_root}/delayed", "origin"),
+            sink=tbl.upsert_sink(f"{table_root}/delayed", "origin", generation=generation),
             checkpoint=f"{base}/delayed-by-origin-store"),
     }
 
 
-def _batch_ordered_upsert(path: str, key: str):
-    def _sink(batch: DataFrame, batch_id: int) -> None:
-        tbl.upsert(batch.withColumn("_v", F.lit(batch_id).cast("long")), path, key, "_v")
-    return _sink
-
-
 def start_flight_log(flights: DataFrame, path: str, name: str = "flight-log", unit: str = "ms",
                      checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Append the record stream to the date-partitioned flight log (exactly-once

@@ -67,11 +67,9 @@ def word_count_stream(lines: DataFrame, mode: str = "java", value_col: str = "va
     return words.word_count(lines, value_col, mode)
 
 
-def last_per_key(updates: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+def last_per_key(updates: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Collapse a changelog (rows emitted per micro-batch in update mode) to the
     final row per key: the row of the highest ``order`` (batch id) wins."""
-    if order is None:
-        return updates.dropDuplicates(keys)
     payload = [c for c in updates.columns if c not in keys and c != order]
     last = updates.groupBy(*keys).agg(F.max_by(F.struct(*payload), F.col(order)).alias("_v"))
     return last.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in payload])

@@ -108,13 +108,18 @@ def test_delimited_lines_skip_header(spark, workdir):
 
 
 def test_sql_over_registered_views(spark):
-    from aerostream.operators.catalog import adhoc_sql, register_catalogue_views, table_exists
+    from aerostream.operators.catalog import adhoc_sql, drop_view, register_catalogue_views, save_table
+    from aerostream.sources.files import table_exists
     from aerostream.sources.tables import flights
     from tests.conftest import SF_SMALL
 
     f = flights(spark, SF_SMALL)
     names = register_catalogue_views(spark, f)
     assert table_exists(spark, "airline_performance") and "flights_latest" in names
+    save_table(spark.range(3), "dropped_table")
+    for name in ("dropped_table", "never_there"):
+        drop_view(spark, name)
+        assert not table_exists(spark, name)
     worst = adhoc_sql(spark, "SELECT * FROM delayed_flights ORDER BY delay_minutes DESC LIMIT 20")
     assert worst.count() == 20
     top = adhoc_sql(spark, "SELECT * FROM airline_performance ORDER BY delay_percentage DESC").collect()
@@ -146,7 +151,7 @@ def test_flight_log_layout_prunes_dates(spark, workdir):
 
     f = flights(spark, SF_MID)
     path = f"{workdir}/log"
-    write_flight_log(f, path, files_per_date=2)
+    write_flight_log(f, path)
     log = read_flight_log(spark, path)
     for fn, kw in ((recent.recent_cancelled, {}), (recent.enriched_flights, {})):
         a = sorted(map(tuple, fn(f, as_of_ms=TEST_AS_OF_MS, **kw).collect()))
@@ -158,13 +163,28 @@ def test_flight_log_layout_prunes_dates(spark, workdir):
     assert views.airline_performance(log).count() == views.airline_performance(f).count()
 
 
+def test_hot_date_and_flight_are_written_by_many_tasks(spark, workdir):
+    from aerostream.sources.layout import read_flight_log, write_flight_log
+
+    rows = [(i, "HOT" if i % 2 else f"F{i}", "AL1", "AP1", "AP2", 1706572800000 + i, None, "DELAYED") for i in range(4000)]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",)}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else so few rows are put together again
+    try:
+        write_flight_log(flights_df(spark, rows).repartition(4), f"{workdir}/hot")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    hot = read_flight_log(spark, f"{workdir}/hot").where("flightNumber = 'HOT'").select("_metadata.file_name").distinct().count()
+    assert hot >= 2
+
+
 def test_lookup_flight_filters_before_latest(spark, workdir):
     from aerostream.sources.layout import read_flight_log, write_flight_log
     from aerostream.sources.tables import flights
     from tests.conftest import SF_SMALL
 
     f = flights(spark, SF_SMALL)
-    write_flight_log(f, f"{workdir}/log", files_per_date=1)
+    write_flight_log(f, f"{workdir}/log")
     log = read_flight_log(spark, f"{workdir}/log").drop("dep_date")
     got = [tuple(r) for r in state.lookup_flight(log, "FL1").collect()]
     want = [tuple(r) for r in state.get_flight(state.latest_flight(f), "FL1").collect()]

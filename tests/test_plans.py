@@ -15,7 +15,6 @@ BATCH = sorted(n for n in QUERIES if n not in STREAM_QUERIES)
 # followed by a grouping, or the distinct-count level
 TWO_LEVEL = {"busiest_routes", "delay_buckets", "delayed_by_origin", "get_delayed", "all_delayed",
              "sink_by_status", "sink_by_airline", "sink_count"}
-TEXT = {"word_count_java", "word_count_sql", "get_word"}  # + the spread of a single-file text scan
 
 
 def _plan(spark, name):
@@ -29,7 +28,7 @@ def test_plan_shape(spark, name):
         assert bad not in plan, f"{name}: {bad}"
     assert "BroadcastExchange" not in plan, f"{name}: unchecked broadcast"
     hash_ex = len(re.findall(r"Exchange hashpartitioning", plan))
-    budget = 1 + (name in TWO_LEVEL) + (name in TEXT)
+    budget = 1 + (name in TWO_LEVEL)
     assert hash_ex <= budget, f"{name}: {hash_ex} hash exchanges"
     # every shuffle that feeds an aggregate carries partial aggregates
     lines = plan.splitlines()
@@ -43,6 +42,6 @@ def test_plan_shape(spark, name):
 
 
 def test_scans_prune_columns(spark):
-    assert "ReadSchema: struct<doc_id:bigint,text:string>" in _plan(spark, "word_count_java")
+    assert "ReadSchema: struct<text:string>" in _plan(spark, "word_count_java")
     plan = _plan(spark, "recent_cancelled")  # value is not needed: pruned from the scan
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan

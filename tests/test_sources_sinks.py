@@ -1,5 +1,6 @@
 """Connector option mapping, record decoders and Kafka encoders (no broker)."""
 
+import datetime as dt
 import json
 
 from pyspark.sql import functions as F
@@ -34,8 +35,8 @@ def test_connectors_are_gated(spark):
 
 
 def _records(spark, values):
-    rows = [(None, v.encode() if isinstance(v, str) else v, "t", 0, i) for i, v in enumerate(values)]
-    return spark.createDataFrame(rows, "key binary, value binary, topic string, partition int, offset long")
+    rows = [(None, v.encode() if isinstance(v, str) else v, "t", 0, i, dt.datetime(2024, 1, 1)) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "key binary, value binary, topic string, partition int, offset long, timestamp timestamp")
 
 
 def test_decode_text_and_messages(spark):
@@ -50,7 +51,7 @@ def test_decode_flights_json(spark):
            "scheduledDeparture": 1000, "actualDeparture": None, "status": "delayed"}
     recs = _records(spark, [json.dumps(rec), "not json"])
     got = ksrc.decode_flights_json(recs).collect()
-    assert len(got) == 1 and got[0]["status"] == "DELAYED" and got[0]["seq"] == 0
+    assert len(got) == 1 and got[0]["status"] == "DELAYED" and got[0]["seq"] == 1704067200000 * 2 ** 21
 
 
 def test_registry_payload_strips_header(spark):
@@ -98,3 +99,44 @@ def test_publish_lines_records(spark, workdir):
         fh.write("h\nx,1\ny,2\n")
     recs = ksink.encode_lines(delimited_lines(spark, p)).collect()
     assert [(r["key"], r["value"]) for r in recs] == [(None, "x,1"), (None, "y,2")]
+
+
+def test_arrival_order_over_partitions(spark):
+    rows = [(2, 7, 1000), (0, 9, 1001), (1, 3, 1001), (0, 10, 1001), (0, 2047, 1002), (0, 2048, 1003)]
+    df = spark.createDataFrame([(p, o, dt.datetime.fromtimestamp(ms / 1000, dt.timezone.utc)) for p, o, ms in rows],
+                               "partition int, offset long, timestamp timestamp")
+    got = [(r.partition, r.offset) for r in df.orderBy(ksrc.arrival()).collect()]
+    assert got == [(2, 7), (1, 3), (0, 9), (0, 10), (0, 2047), (0, 2048)]
+
+
+def test_registry_key_precedence():
+    both = {"basic.auth.user.info": "a:b", "schema.registry.basic.auth.user.info": "c:d"}
+    assert ksrc.registry_settings("http://r", both)["basic.auth.user.info"] == "c:d"
+    both["schema.registry.basic.auth.user.info"] = "  "
+    assert ksrc.registry_settings("http://r", both)["basic.auth.user.info"] == "a:b"
+
+
+def test_lines_are_kept_whole(spark, tmp_path):
+    from aerostream.sources.files import delimited_lines
+
+    (tmp_path / "a.csv").write_text('h1,h2\n"x, y",1\n\n  \nleft\x01right\nlast\n')
+    got = [r.value for r in delimited_lines(spark, str(tmp_path / "a.csv")).collect()]
+    assert sorted(got) == sorted(['"x, y",1', "", "  ", "left\x01right", "last"])
+    assert delimited_lines(spark, str(tmp_path / "a.csv"), header=False).count() == 6
+
+
+def test_placeholder_only_where_there_is_nothing(spark, tmp_path):
+    import pytest
+
+    from aerostream.sources.files import parquet_view, read_or_placeholder
+
+    assert read_or_placeholder(spark, lambda: spark.read.parquet(str(tmp_path / "none"))).count() == 0
+
+    def refused():
+        raise PermissionError("no access")
+
+    with pytest.raises(PermissionError):
+        read_or_placeholder(spark, refused)
+    path = str(tmp_path / "flights")
+    spark.createDataFrame([("F1", "delayed")], "flightNumber string, status string").write.parquet(path)
+    assert parquet_view(spark, path).first().status == "DELAYED"

@@ -1,8 +1,11 @@
 """Streams: the same operators over a file-source stream equal the batch result."""
 
 import json
+import glob
 import os
 
+from pyspark.sql import functions as F
+
 from aerostream.operators import state, views, words
 from aerostream.sinks import table as tbl
 from aerostream.sources.files import flight_file_stream, text_file_stream
@@ -141,25 +144,71 @@ def test_upsert_sink_stream(spark, workdir):
     _write_json_batches(src, [[r] for r in RETRACTION_CASE])
     target = os.path.join(workdir, "table")
     stream = flight_file_stream(spark, src, max_files_per_trigger=2)
-    q = start_view(stream, "upsert", "append", sink=tbl.upsert_sink(target, "flightNumber", "seq", buckets=4),
+    q = start_view(stream, "upsert", "append", sink=tbl.upsert_sink(target, "flightNumber", "seq"),
                    checkpoint=os.path.join(workdir, "ck-up"), trigger={"availableNow": True})
     q.awaitTermination(300)
-    got = {r["flightNumber"]: (r["origin"], r["status"]) for r in tbl.read_keyed(spark, target).collect()}
+    got = {r["flightNumber"]: (r["origin"], r["status"]) for r in tbl.read_keyed(spark, target, "flightNumber", "seq", stream.schema).collect()}
     assert got == {"AA100": ("SFO", "BOARDING"), "BA200": ("SFO", "ON_TIME"), "CA300": ("LAX", "DELAYED")}
-    hit = tbl.lookup(spark, target, "flightNumber", "BA200", buckets=4).collect()
-    assert [r["status"] for r in hit] == ["ON_TIME"]
+    hit = tbl.lookup(spark, target, "flightNumber", "BA200", "seq", stream.schema)
+    assert [r["status"] for r in hit.collect()] == ["ON_TIME"]
+    assert tbl.lookup(spark, target, "flightNumber", "ZZ1", "seq", stream.schema).count() == 0
+    assert "flightNumber" in hit._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1]
 
 
 def test_upsert_evolves_schema(spark, workdir):
     target = os.path.join(workdir, "t")
     a = spark.createDataFrame([("k1", 1, "x")], "k string, o long, v string")
     b = spark.createDataFrame([("k2", 2, "y", 7)], "k string, o long, v string, extra int")
-    tbl.upsert(a, target, "k", "o", buckets=2)
-    tbl.upsert(b, target, "k", "o", buckets=2)
-    got = sorted(tuple(r) for r in tbl.read_keyed(spark, target).select("k", "v", "extra").collect())
+    tbl.upsert(a, target, "k", "o", 0)
+    tbl.upsert(b, target, "k", "o", 1)
+    got = sorted(tuple(r) for r in tbl.read_keyed(spark, target, "k", "o", b.schema).select("k", "v", "extra").collect())
     assert got == [("k1", "x", None), ("k2", "y", 7)]
 
 
+def test_keyed_table_before_its_first_row(spark, workdir):
+    target = os.path.join(workdir, "t")
+    none = spark.createDataFrame([], "k long, o long")
+    assert tbl.read_keyed(spark, target, "k", "o", none.schema).count() == 0
+    tbl.upsert(none, target, "k", "o", 0)
+    assert tbl.lookup(spark, target, "k", 1, "o", none.schema).count() == 0
+    tbl.upsert(spark.range(20).selectExpr("id AS k", "id AS o"), target, "k", "o", 1)
+    tbl.upsert(none, target, "k", "o", 2)
+    assert tbl.read_keyed(spark, target, "k", "o", none.schema).count() == 20
+    assert all(tbl.lookup(spark, target, "k", k, "o", none.schema).count() == 1 for k in range(3))  # an int literal finds a bigint key
+
+
+def test_replay_wins_over_older_generations(spark, workdir):
+    target = os.path.join(workdir, "t")
+    old = spark.createDataFrame([("SFO", 9), ("LAX", 4), (None, 1)], "origin string, n long")
+    tbl.upsert_sink(target, "origin")(old, 5)
+    tbl.upsert_sink(target, "origin", generation=1)(spark.createDataFrame([("SFO", 1)], old.schema), 0)
+    schema = old.withColumn("_batch", F.lit(0).cast("long")).schema
+    got = {r.origin: r.n for r in tbl.read_keyed(spark, target, "origin", "_batch", schema).collect()}
+    assert got == {"SFO": 1, "LAX": 4, None: 1}  # the null key is a row like any other
+
+
+def test_batch_touches_only_its_own_folder(spark, workdir):
+    target = os.path.join(workdir, "t")
+    tbl.upsert(spark.range(1000).selectExpr("id AS k", "id AS o"), target, "k", "o", 0)
+    before = {f: os.path.getmtime(f) for f in glob.glob(f"{target}/**/*.parquet", recursive=True)}
+    tbl.upsert(spark.range(3).selectExpr("id AS k", "id + 5000 AS o"), target, "k", "o", 1)
+    after = {f: os.path.getmtime(f) for f in glob.glob(f"{target}/**/*.parquet", recursive=True)}
+    assert before.items() <= after.items()
+    assert spark.read.parquet(f"{target}/gen=0/batch=1").count() == 3
+
+
+def test_update_stream_survives_a_batch_without_groups(spark, workdir):
+    """airport_congestion emits nothing while no airport has more than five flights."""
+    from aerostream.operators import views
+    from aerostream.plans.streams import run_update
+
+    src = os.path.join(workdir, "in")
+    rows = [(i, f"F{i}", "AL1", "AP1", "AP2", i, None, "DELAYED") for i in range(9)]
+    _write_json_batches(src, [rows[:3], rows[3:]])
+    out = run_update(views.airport_congestion(flight_file_stream(spark, src, max_files_per_trigger=1)), "congestion", "airport")
+    assert [tuple(r)[:3] for r in out.collect()] == [("AP1", 9, 9)]
+
+
 def test_last_per_key(spark):
     df = spark.createDataFrame([("a", 1, 0), ("a", 2, 1), ("b", 5, 0)], "k string, v long, batch long")
     got = sorted(tuple(r) for r in last_per_key(df, ["k"], "batch").collect())
@@ -193,17 +242,21 @@ def test_word_count_app_and_state_reader(spark, workdir):
 
 
 def test_replay_rebuilds_target(spark, workdir):
-    from aerostream.sinks.table import replay
+    from aerostream.sinks.table import read_replayed, replay, replay_sink
 
     src = os.path.join(workdir, "in")
     _write_json_batches(src, [[r] for r in RETRACTION_CASE])
     target = os.path.join(workdir, "replayed")
     name = f"flights-{os.path.basename(workdir)}"  # generations live in the shared checkpoint folder
-    for gen in (1, 2):  # a second generation replays from the start and overwrites
+    for gen in (1, 2):  # a second generation replays from the start
         q = replay(lambda: flight_file_stream(spark, src, max_files_per_trigger=2), name, gen, target,
                    trigger={"availableNow": True})
         q.awaitTermination(300)
-        assert spark.read.parquet(target).count() == len(RETRACTION_CASE)
+        assert read_replayed(spark, target, gen).count() == len(RETRACTION_CASE)
+    batch = spark.createDataFrame(read_replayed(spark, target, 2).limit(2).collect())
+    for _ in range(2):  # a batch delivered twice
+        replay_sink(target, 3)(batch, 1)
+    assert read_replayed(spark, target, 3).count() == 2
 
 
 def test_flight_app_tables(spark, workdir):
@@ -272,32 +325,11 @@ def test_flight_log_stream_feeds_snapshot_analytics(spark, workdir):
         assert sorted(map(tuple, fn(log).collect())) == sorted(map(tuple, fn(batch).collect())), fn.__name__
 
 
-def test_merge_on_read_sink(spark, workdir):
-    src = os.path.join(workdir, "in")
-    _write_json_batches(src, [[r] for r in RETRACTION_CASE])
-    target = os.path.join(workdir, "mor")
-    q = start_view(flight_file_stream(spark, src, max_files_per_trigger=1), "mor", "append",
-                   sink=tbl.delta_sink(target, "flightNumber", "seq", buckets=4, compact_every=4),
-                   checkpoint=os.path.join(workdir, "ck-mor"), trigger={"availableNow": True})
-    q.awaitTermination(300)
-    want = {"AA100": ("SFO", "BOARDING"), "BA200": ("SFO", "ON_TIME"), "CA300": ("LAX", "DELAYED")}
-    got = {r["flightNumber"]: (r["origin"], r["status"]) for r in tbl.read_merged(spark, target, "flightNumber", "seq").collect()}
-    assert got == want
-    assert spark.read.parquet(target).count() > 3  # deltas after the last compaction are still there
-    assert tbl.compact(spark, target, "flightNumber", "seq")  # some buckets had deltas
-    assert spark.read.parquet(target).count() == 3
-    assert tbl.compact(spark, target, "flightNumber", "seq") == []  # nothing left to fold
-    got = {r["flightNumber"]: (r["origin"], r["status"]) for r in tbl.read_merged(spark, target, "flightNumber", "seq").collect()}
-    assert got == want
-
-
 def test_keyed_tables_idempotent_on_batch_retry(spark, workdir):
     rows = [("k1", 1, "a"), ("k2", 2, "b"), ("k1", 3, "c")]
     batch = spark.createDataFrame(rows, "k string, o long, v string")
-    cow, mor = os.path.join(workdir, "cow"), os.path.join(workdir, "mor")
+    target = os.path.join(workdir, "t")
     for _ in range(2):  # the same micro-batch delivered twice
-        tbl.upsert(batch, cow, "k", "o", buckets=2)
-        tbl.append_delta(batch, mor, "k", "o", buckets=2)
-    want = [("k1", 3, "c"), ("k2", 2, "b")]
-    assert sorted(tuple(r) for r in tbl.read_keyed(spark, cow).select("k", "o", "v").collect()) == want
-    assert sorted(tuple(r) for r in tbl.read_merged(spark, mor, "k", "o").select("k", "o", "v").collect()) == want
+        tbl.upsert(batch, target, "k", "o", 7)
+    assert spark.read.parquet(target).count() == 2
+    assert sorted(tuple(r) for r in tbl.read_keyed(spark, target, "k", "o", batch.schema).collect()) == [("k1", 3, "c"), ("k2", 2, "b")]

@@ -56,7 +56,7 @@ def main() -> None:
     from aerostream.operators.state import latest_flight
     from aerostream.sources.tables import flights
 
-    plan = latest_flight(flights(spark, sf_dir), strategy="broadcast")._jdf.queryExecution().executedPlan().toString()
+    plan = latest_flight(flights(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
     print("## latest_flight, plan chosen for inputs above one file split\n\n```")
     print("\n".join(shape(plan)))
     print("```\n")
