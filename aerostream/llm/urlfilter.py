@@ -11,7 +11,7 @@ and of the k characters. P_k = (n(context, next) + BETA * P_(k-1)) /
 (n(context) + BETA), P_(-1) = 1 / ALPHABET: an unseen context falls back to the
 shorter one. Counts are hashed into two of 2**BITS cells, the smaller of which
 counts, and no event counts more than its context; so the model's size is fixed
-whatever the input (2 MB). It is a constant of the scoring expression, and no url
+whatever the input (1 MB). It is a constant of the scoring expression, and no url
 is exploded or shuffled to be scored. About ``max_train`` labelled urls, chosen by hash, are
 counted (a bounded sample of labelled rows); a fifth of them is held out for the
 threshold.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from aerostream.llm.common import lower_ascii, saved
 
 ORDER = 4
-BITS = 18
+BITS = 17
 BETA = 2.0
 ALPHABET = 128.0
 
