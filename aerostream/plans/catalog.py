@@ -6,14 +6,19 @@ entries take their key from fixed example values that exist in every scale.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerostream.functions.flight import status_severity
 from aerostream.operators import analytics, catalog, recent, sinktable, state, views, words
-from aerostream.schema import FLIGHT_FIELDS, SCHEDULED, SEQ
-from aerostream.sources.tables import TEST_AS_OF_MS, flights, lines
+from aerostream.schema import FLIGHT_FIELDS, FLIGHT_NUMBER, ORIGIN, SCHEDULED, SEQ, STATUS
+from aerostream.session import checkpoint_path
+from aerostream.sinks import kafka as ksink
+from aerostream.sinks import table as tbl
+from aerostream.sources.tables import TEST_AS_OF_MS, flights, lines, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +26,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 EXAMPLE_FLIGHT = "FL1"
 EXAMPLE_AIRPORT = "AP3"
 EXAMPLE_WORD = "the"
+UNKNOWN = "none"
+UNKNOWN_WORD = "no word"
 
 
 def _f(fn):
@@ -52,6 +59,42 @@ def _top_congested(f: DataFrame) -> DataFrame:
     return views.airport_congestion(f).orderBy(F.desc("delay_rate_percentage"), F.asc("airport")).limit(10)
 
 
+def _word_count_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as JSON records with a ``message`` field, counted by word."""
+    docs = read_table(spark, sf_dir, "documents")
+    return words.word_count_json(ksink.json_documents(docs.select(F.col("text").alias("message")), "value"))
+
+
+def _word_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changelog topic's records: word, and its count as 8 bytes (in hex)."""
+    return ksink.encode_word_counts(words.word_count(lines(spark, sf_dir))).select("key", F.hex("value").alias("value"))
+
+
+def _severity(f: DataFrame) -> DataFrame:
+    return state.latest_flight(f).select(FLIGHT_NUMBER, STATUS, status_severity(F.col(STATUS)).alias("severity"))
+
+
+def _kept(df: DataFrame, key: str, order: str) -> Callable[[object], DataFrame]:
+    """Point lookup in a keyed table that holds ``df``: the rows are added as a
+    batch, then the key's row is read from the table."""
+    spark = df.sparkSession
+    path = checkpoint_path(spark, "lookups", uuid.uuid4().hex)
+    tbl.upsert(df, path, key, order, 0)
+    return lambda value: tbl.lookup(spark, path, key, value, order, df.schema)
+
+
+def _flight_in_table(number: str):
+    return _f(lambda f: _kept(f, FLIGHT_NUMBER, SEQ)(number).select(*FLIGHT_FIELDS))
+
+
+def _delayed_in_table(airport: str):
+    return _f(lambda f: state.get_delayed(_kept(state.delayed_by_origin(f), ORIGIN, "delayed_count")(airport), airport))
+
+
+def _word_in_table(word: str):
+    return lambda s, d: _kept(words.word_count(lines(s, d)), "word", "count")(word).select("word", "count")
+
+
 QUERIES: dict[str, Query] = {
     # word counts over the text stream (documents as lines)
     "word_count_java": lambda s, d: words.word_count(lines(s, d), mode="java"),
@@ -63,6 +106,16 @@ QUERIES: dict[str, Query] = {
     "get_flight": _f(lambda f: state.lookup_flight(f, EXAMPLE_FLIGHT)),
     "get_delayed": _f(lambda f: state.get_delayed(state.delayed_by_origin(f), EXAMPLE_AIRPORT)),
     "all_delayed": _f(lambda f: state.all_delayed(state.delayed_by_origin(f))),
+    # the same records as JSON, as changelog records, and lookups in maintained tables
+    "word_count_json": _word_count_json,
+    "word_changelog": _word_changelog,
+    "flight_severity": _f(_severity),
+    "get_flight_table": _flight_in_table(EXAMPLE_FLIGHT),
+    "get_flight_unknown": _flight_in_table(UNKNOWN),
+    "get_delayed_table": _delayed_in_table(EXAMPLE_AIRPORT),
+    "get_delayed_unknown": _delayed_in_table(UNKNOWN),
+    "get_word_table": _word_in_table(EXAMPLE_WORD),
+    "get_word_unknown": _word_in_table(UNKNOWN_WORD),
     # maintained views, the alert sink and the reads over them
     "delayed_flights": _f(views.delayed_flights),
     "airline_performance": _f(views.airline_performance),

@@ -13,6 +13,7 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerostream.operators import state, views, words
@@ -20,12 +21,14 @@ from aerostream.operators.sinktable import SINK_COLUMNS, flatten_for_table
 from aerostream.schema import FLIGHT_FIELDS, SINK_KEY
 from aerostream.session import checkpoint_path
 from aerostream.sinks import table as tbl
-from aerostream.sources.tables import flights_from_events, text_lines
-from aerostream.streaming.retract import delayed_by_origin_stream
+from aerostream.sources.tables import flights_from_events, read_table, text_lines
+from aerostream.streaming.retract import read_changes, read_delayed, retraction_sink
 from aerostream.streaming.views import start_view
 
 # files of one micro-batch: a backlog is worked off in steps
 FILES_PER_BATCH = 1000
+# steps in which the events of the retracting count arrive
+STEPS = 4
 
 
 def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,9 +72,38 @@ def _flights_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flights_from_events(_table_stream(spark, sf_dir, "events"))
 
 
+def _retracted(spark: SparkSession, sf_dir: str) -> str:
+    """Let the events arrive in ``STEPS`` steps by ``event_id``: each step's files
+    are added to the input folder, then the query is started again from its
+    checkpoint and works off what is new. Returns the maintained tables' folder."""
+    events = read_table(spark, sf_dir, "events")
+    base = _run_dir(spark, "delayed_by_origin_changes")
+    source, target = os.path.join(base, "in"), os.path.join(base, "table")
+    first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
+    if first is None:
+        return target
+    step = F.expr(f"(event_id - {first}L) * {STEPS}L div {last - first + 1}L")
+    for k in range(STEPS):
+        events.where(step == k).write.parquet(os.path.join(source, f"step-{k}"))
+        stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(source)
+        q = start_view(flights_from_events(stream), f"delayed_by_origin_changes-{os.path.basename(base)}", "append",
+                       sink=retraction_sink(target), checkpoint=os.path.join(base, "ckpt"), trigger={"availableNow": True})
+        q.awaitTermination()
+    return target
+
+
 def delayed_by_origin_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = run_update(delayed_by_origin_stream(_flights_stream(spark, sf_dir)), "delayed_by_origin", "origin")
-    return out.select("origin", "delayed_count")
+    base = _run_dir(spark, "delayed_by_origin")
+    target = os.path.join(base, "table")
+    q = start_view(_flights_stream(spark, sf_dir), f"delayed_by_origin-{os.path.basename(base)}", "append",
+                   sink=retraction_sink(target), checkpoint=os.path.join(base, "ckpt"), trigger={"availableNow": True})
+    q.awaitTermination()
+    return read_delayed(spark, target)
+
+
+def delayed_by_origin_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signed change and new count per origin after each step."""
+    return read_changes(spark, _retracted(spark, sf_dir))
 
 
 def latest_flight_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,6 +153,7 @@ STREAM_QUERIES = {
     "hourly_flight_summary_stream": view_streamed("hourly_flight_summary", "window_start"),
     "airport_congestion_stream": view_streamed("airport_congestion", "airport"),
     "delayed_by_origin_stream": delayed_by_origin_streamed,
+    "delayed_by_origin_changes": delayed_by_origin_changes,
     "latest_flight_stream": latest_flight_streamed,
     "word_count_stream": word_count_streamed,
     "flight_status_sink_stream": flight_status_sink_streamed,

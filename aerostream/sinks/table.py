@@ -36,8 +36,8 @@ def upsert(batch: DataFrame, path: str, key: str, order: str, batch_id: int, gen
     new.write.mode("overwrite").parquet(f"{path}/{GENERATION}={generation}/{BATCH}={batch_id}")
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """All rows of a keyed table; None if no batch with rows has come yet. The
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """All rows of a table written batch by batch, with generation and batch; None if no batch with rows has come yet. The
     schema is given by the caller, so no footers are read to merge schemas."""
     full = T.StructType([*schema.fields, T.StructField(GENERATION, T.LongType()), T.StructField(BATCH, T.LongType())])
     try:
@@ -50,7 +50,7 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | N
 
 def read_keyed(spark: SparkSession, path: str, key: str, order: str, schema: T.StructType) -> DataFrame:
     """Current row per key: the newest by generation, ``order`` and batch."""
-    raw = _read(spark, path, schema)
+    raw = read_batches(spark, path, schema)
     if raw is None:
         return spark.createDataFrame([], schema)
     return _current(raw, key, order, schema)
@@ -65,7 +65,7 @@ def _current(raw: DataFrame, key: str, order: str, schema: T.StructType) -> Data
 def lookup(spark: SparkSession, path: str, key: str, value, order: str, schema: T.StructType) -> DataFrame:
     """Current row of one key, no row for an unknown one. The key predicate goes
     below the newest-row step and into the Parquet reader."""
-    raw = _read(spark, path, schema)
+    raw = read_batches(spark, path, schema)
     if raw is None:
         return spark.createDataFrame([], schema)
     return _current(raw.where(F.col(key).eqNullSafe(F.lit(value).cast(schema[key].dataType))), key, order, schema)

@@ -25,7 +25,7 @@ from aerostream.session import checkpoint_path
 from aerostream.sinks import kafka as ksink
 from aerostream.sinks import table as tbl
 from aerostream.sources import kafka as ksrc
-from aerostream.streaming.retract import delayed_by_origin_stream
+from aerostream.streaming.retract import delayed_by_origin_stream, retraction_sink
 from aerostream.streaming.views import start_view
 
 log = logging.getLogger("aerostream")
@@ -54,20 +54,19 @@ def flight_queries(flights: DataFrame) -> dict[str, DataFrame]:
 
 def start_flights(spark: SparkSession, kafka: dict[str, str], topic: str, table_root: str,
                   registry_framed: bool = True, checkpoint: str | None = None, generation: int = 0) -> dict[str, StreamingQuery]:
-    """Start both maintained tables, each upserted into a keyed Parquet table
-    under ``table_root`` (``flights`` keyed by flight, ``delayed`` by origin). A
-    replay with a fresh checkpoint passes the next ``generation``."""
+    """Start both maintained tables, Parquet tables written batch by batch
+    under ``table_root``: ``flights`` keyed by flight, and the contributions of
+    ``delayed``, read by ``retract.read_delayed`` and ``read_changes``. A replay
+    with a fresh checkpoint passes the next ``generation``."""
     src = ksrc.decode_flights_avro(ksrc.read_stream(spark, {**kafka, "subscribe": topic}), registry_framed)
-    qs = flight_queries(src)
     base = checkpoint or checkpoint_path(spark, "apps", "flights")
     return {
         "flights-store": start_view(
-            qs["flights-store"], "flights-store", "update",
+            state.latest_flight(src, keep_order=True), "flights-store", "update",
             sink=tbl.upsert_sink(f"{table_root}/flights", "flightNumber", "seq", generation),
             checkpoint=f"{base}/flights-store"),
         "delayed-by-origin-store": start_view(
-            qs["delayed-by-origin-store"], "delayed-by-origin-store", "update",
-            sink=tbl.upsert_sink(f"{table_root}/delayed", "origin", generation=generation),
+            src, "delayed-by-origin-store", "append", sink=retraction_sink(f"{table_root}/delayed", generation),
             checkpoint=f"{base}/delayed-by-origin-store"),
     }
 

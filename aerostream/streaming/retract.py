@@ -1,5 +1,9 @@
 """Retracting count of currently-delayed flights per origin, as a stream.
 
+``retraction_sink`` is the form for maintained tables: a ``foreachBatch``
+function that stays in the JVM. ``delayed_by_origin_stream`` is a streaming
+DataFrame for every other sink:
+
 Two chained streaming aggregations are refused by Spark, so the first stage is
 a keyed stateful processor: per flight it remembers the (origin, delayed, seq)
 it last contributed and, when newer records arrive, emits the retraction of
@@ -20,13 +24,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from aerostream.functions.flight import status_is
+from aerostream.operators.state import latest_by_key
 from aerostream.schema import DELAYED, FLIGHT_NUMBER, ORIGIN, SEQ, STATUS
 from aerostream.session import ship_package
+from aerostream.sinks import table as tbl
 
 _STATE = T.StructType([
     T.StructField("origin", T.StringType(), True),
@@ -134,3 +141,73 @@ def delayed_by_origin_stream(flights: DataFrame, prereduce: bool = True) -> Data
     """
     deltas = delayed_deltas(flights, prereduce)
     return deltas.groupBy(ORIGIN).agg(F.sum("delta").cast("long").alias("delayed_count"))
+
+
+CONTRIBUTION = T.StructType([
+    T.StructField(FLIGHT_NUMBER, T.StringType()), *_STATE.fields,
+    T.StructField("old_origin", T.StringType()), T.StructField("old_delayed", T.LongType()),
+])
+
+
+def contributions(batch: DataFrame, before: DataFrame) -> DataFrame:
+    """What each flight of a batch contributes now and contributed before
+    (``CONTRIBUTION``), given the rows of all earlier batches.
+
+    A flight's newest record is reduced map-side, so a hot flight costs one row
+    per task. Records not newer than the flight's last contribution change
+    nothing; a null origin contributes nothing; records without a flight or
+    ``seq`` are left out, as they have no place in the order of a flight.
+    """
+    rows = batch.where(F.col(FLIGHT_NUMBER).isNotNull() & F.col(SEQ).isNotNull())
+    new = latest_by_key(rows, FLIGHT_NUMBER, SEQ, [ORIGIN, STATUS, SEQ]).select(
+        FLIGHT_NUMBER, F.col(ORIGIN).alias("origin"),
+        F.when(status_is(DELAYED) & F.col(ORIGIN).isNotNull(), 1).otherwise(0).cast("long").alias("delayed"), F.col(SEQ).alias("seq"))
+    old = latest_by_key(before, FLIGHT_NUMBER, "seq", ["origin", "delayed", "seq"]).select(
+        F.col(FLIGHT_NUMBER).alias("_flight"), F.col("origin").alias("old_origin"), F.col("delayed").alias("old_delayed"),
+        F.col("seq").alias("_seq"))
+    return new.join(old, F.col(FLIGHT_NUMBER) == F.col("_flight"), "left") \
+        .where(F.col("_seq").isNull() | (F.col("seq") > F.col("_seq"))).select(*CONTRIBUTION.names)
+
+
+def _of_generation(spark, path: str, generation: int) -> DataFrame:
+    rows = tbl.read_batches(spark, path, CONTRIBUTION)
+    if rows is None:
+        return spark.createDataFrame([], T.StructType([*CONTRIBUTION.fields, T.StructField(tbl.BATCH, T.LongType())]))
+    return rows.where(F.col(tbl.GENERATION) == generation)
+
+
+def retraction_sink(path: str, generation: int = 0):
+    """``foreachBatch`` function that keeps under ``path`` what each flight
+    contributes, with what that replaced.
+
+    A batch writes only the flights it changes, once, to a folder of its own,
+    and looks at earlier batches only: delivered again, it replaces its rows by
+    the same ones. The last contributions are found by a scan of four columns.
+    """
+    def _sink(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        before = _of_generation(batch.sparkSession, path, generation).where(F.col(tbl.BATCH) < batch_id)
+        contributions(batch, before).write.mode("overwrite").parquet(f"{path}/{tbl.GENERATION}={generation}/{tbl.BATCH}={batch_id}")
+    return _sink
+
+
+def _signed(spark, path: str, generation: int) -> DataFrame:
+    """(batch, origin, delta): one row per contribution and per retraction."""
+    moves = F.array(F.struct(F.col("origin"), F.col("delayed").alias("delta")),
+                    F.struct(F.col("old_origin").alias("origin"), (-F.col("old_delayed")).alias("delta")))
+    return _of_generation(spark, path, generation).select(F.col(tbl.BATCH).cast("long").alias("batch"), F.explode(moves).alias("m")) \
+        .select("batch", "m.origin", "m.delta").where(F.col("origin").isNotNull())
+
+
+def read_changes(spark, path: str, generation: int = 0) -> DataFrame:
+    """(batch, origin, delta, delayed_count): the changelog of the counts, with
+    the count after each batch. An origin has one row per batch that names it."""
+    so_far = Window.partitionBy("origin").orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return _signed(spark, path, generation).groupBy("batch", "origin").agg(F.sum("delta").alias("delta")) \
+        .withColumn("delayed_count", F.sum("delta").over(so_far))
+
+
+def read_delayed(spark, path: str, generation: int = 0) -> DataFrame:
+    """(origin, delayed_count) now; origins that fell to 0 stay at 0."""
+    return _signed(spark, path, generation).groupBy("origin").agg(F.sum("delta").alias("delayed_count"))

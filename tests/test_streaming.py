@@ -55,10 +55,37 @@ def test_retraction_stream_sequence(spark, workdir):
     assert steps == RETRACTION_STEPS
 
 
+def test_retraction_sink_sequence(spark, workdir):
+    from aerostream.streaming.retract import CONTRIBUTION, contributions, read_changes, read_delayed, retraction_sink
+
+    src, target = os.path.join(workdir, "in"), os.path.join(workdir, "table")
+    # two more records that change nothing: an old one, and one without a flight
+    rows = [*RETRACTION_CASE, (2, "QX1", "QX", "RIX", "LIS", 1, 2, "DELAYED"), (9, None, "QX", "RIX", "LIS", 1, 2, "DELAYED")]
+    _write_json_batches(src, [[r] for r in rows])
+    stream = flight_file_stream(spark, src, max_files_per_trigger=1)
+    q = start_view(stream, f"retract-{os.path.basename(workdir)}", "append", sink=retraction_sink(target),
+                   checkpoint=os.path.join(workdir, "ck"), trigger={"availableNow": True})
+    q.awaitTermination(300)
+    assert len(glob.glob(os.path.join(workdir, "ck", "commits", "[0-9]*"))) == len(rows)
+    changes = read_changes(spark, target).collect()
+    state_now = {}
+    for step, want in enumerate(RETRACTION_STEPS):
+        state_now |= {r.origin: r.delayed_count for r in changes if r.batch == step}
+        assert state_now == want, step
+    assert min(r.delta for r in changes) == -1 and max(r.batch for r in changes) == len(RETRACTION_STEPS) - 1
+    want = {r.origin: r.delayed_count for r in read_delayed(spark, target).collect()}
+    assert want == RETRACTION_STEPS[-1]
+    retraction_sink(target)(spark.createDataFrame([RETRACTION_CASE[3]], stream.schema), 3)  # delivered again
+    assert {r.origin: r.delayed_count for r in read_delayed(spark, target).collect()} == want
+    assert read_delayed(spark, os.path.join(workdir, "nothing")).count() == 0
+    plan = contributions(stream, spark.createDataFrame([], CONTRIBUTION))._jdf.queryExecution().analyzed().toString()
+    assert "Python" not in plan and "InPandas" not in plan
+
+
 def test_retraction_ignores_older_records(spark, workdir):
     src = os.path.join(workdir, "in")
-    newer = (5, "AA100", "AA", "LAX", "JFK", 1, 2, "DELAYED")
-    older = (3, "AA100", "AA", "SFO", "JFK", 1, 2, "DELAYED")
+    newer = (5, "QX1", "QX", "LAX", "JFK", 1, 2, "DELAYED")
+    older = (3, "QX1", "QX", "SFO", "JFK", 1, 2, "DELAYED")
     _write_json_batches(src, [[newer], [older]])
     seen = _run(delayed_by_origin_stream(flight_file_stream(spark, src, max_files_per_trigger=1)),
                 "update", workdir, "late")
@@ -148,9 +175,9 @@ def test_upsert_sink_stream(spark, workdir):
                    checkpoint=os.path.join(workdir, "ck-up"), trigger={"availableNow": True})
     q.awaitTermination(300)
     got = {r["flightNumber"]: (r["origin"], r["status"]) for r in tbl.read_keyed(spark, target, "flightNumber", "seq", stream.schema).collect()}
-    assert got == {"AA100": ("SFO", "BOARDING"), "BA200": ("SFO", "ON_TIME"), "CA300": ("LAX", "DELAYED")}
-    hit = tbl.lookup(spark, target, "flightNumber", "BA200", "seq", stream.schema)
-    assert [r["status"] for r in hit.collect()] == ["ON_TIME"]
+    assert got == {"QX1": ("VIE", "ON_TIME"), "QX2": ("OSL", "DELAYED")}
+    hit = tbl.lookup(spark, target, "flightNumber", "QX2", "seq", stream.schema)
+    assert [r["status"] for r in hit.collect()] == ["DELAYED"]
     assert tbl.lookup(spark, target, "flightNumber", "ZZ1", "seq", stream.schema).count() == 0
     assert "flightNumber" in hit._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1]
 
@@ -266,11 +293,11 @@ def test_flight_app_tables(spark, workdir):
     _write_json_batches(src, [[r] for r in RETRACTION_CASE])
     qs = flight_queries(flight_file_stream(spark, src, max_files_per_trigger=3))
     latest = _final(_run(qs["flights-store"], "update", workdir, "fs"), [0])
-    assert {r[0]: r[6] for r in latest} == {"AA100": "BOARDING", "BA200": "ON_TIME", "CA300": "DELAYED"}
+    assert {r[0]: r[6] for r in latest} == {"QX1": "ON_TIME", "QX2": "DELAYED"}
     final = {}
     for _, (o, n) in sorted(_run(qs["delayed-by-origin-store"], "update", workdir, "dbo2"), key=lambda x: x[0]):
         final[o] = n
-    assert final == {"SFO": 0, "LAX": 1}
+    assert final == RETRACTION_STEPS[-1]
 
 
 def test_hourly_summary_with_watermark_append(spark, workdir):
