@@ -16,8 +16,8 @@ similarity of ``num / den`` or more; documents are grouped by reachability.
 * Keys are shared out in two steps. A task reduces its own chunks of documents
   first: of classes that share a key in a chunk only the smallest goes on, so a
   key that a third of all documents hold costs a row per chunk, not per document.
-* Every class is verified against the smallest class of its keys, which joins
-  most groups of near copies. The classes of keys that are not all connected yet
+* Every class is held against the smallest class of its keys, which joins most
+  groups of near copies: by bitmap first, exactly if that passes. The classes of keys that are not all connected yet
   make bundles, dealt into tiles of some ``TILE`` classes, compared two by two:
   the bit count of the exclusive or of two hashed bitmap signatures is a lower
   bound of the difference, so an upper bound of the overlap. The classes that
@@ -25,8 +25,10 @@ similarity of ``num / den`` or more; documents are grouped by reachability.
   which are intersected exactly. Pairs already connected are skipped; no
   other pair is dropped unless its bound or its intersection rules it out.
 
-Shingles are made again for the classes that share keys only: their row keys are
-sent to every task if they are at most ``SENT`` (16 MB), else joined.
+Shingles are made again, as bitmaps for the classes that share keys, as sorted
+arrays for the classes of passing pairs only, so that hashes of the others are
+never written: row keys of the classes wanted are sent to every task if they are
+at most ``SENT`` (16 MB), else joined.
 
 Defined results: null text, or text without words, is an empty set, linked with
 nothing; a text of fewer than n words is one shingle; a null id is kept, the
@@ -241,9 +243,10 @@ def leaders(docs: DataFrame, n: int, num: int, den: int, buckets: int) -> DataFr
     return docs.mapInArrow(run, "bucket long, cls long, low array<int>")
 
 
-def contents(docs: DataFrame, n: int, wanted: np.ndarray | None) -> DataFrame:
-    """(cls, size, hashes, bits) of (doc_id, text, row_key): sorted hashes and
-    bitmap signature, as bytes; of the rows whose key begins as a wanted one."""
+def contents(docs: DataFrame, n: int, wanted: np.ndarray | None, arrays: bool) -> DataFrame:
+    """(cls, size, hashes, bits) of (doc_id, text, row_key): sorted hashes (null
+    without ``arrays``) and bitmap signature, as bytes; of the rows whose key
+    begins as a wanted one."""
     out = pa.schema([("cls", pa.int64()), ("size", pa.int64()), ("hashes", pa.binary()), ("bits", pa.binary())])
     sent = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
 
@@ -260,8 +263,8 @@ def contents(docs: DataFrame, n: int, wanted: np.ndarray | None) -> DataFrame:
                 if cls is None or cls in seen:
                     continue
                 seen.add(cls)
-                held.append((cls, len(h), h.tobytes(), bitmap(h)))
-                size += 9 * len(h)
+                held.append((cls, len(h), h.tobytes() if arrays else None, bitmap(h)))
+                size += (9 if arrays else 1) * len(h)
                 if size > 8 << 20:
                     yield _rows(held, out)
                     held, size = [], 0
@@ -271,6 +274,14 @@ def contents(docs: DataFrame, n: int, wanted: np.ndarray | None) -> DataFrame:
     return docs.mapInArrow(run, "cls long, size long, hashes binary, bits binary")
 
 
+def contents_of(docs: DataFrame, ids: DataFrame, n: int, arrays: bool) -> DataFrame:
+    """Contents from the documents with the row keys of ``ids``, a written table."""
+    if ids.count() <= SENT:
+        few = np.array([key_prefix(r[0]) for r in ids.select("row_key").toLocalIterator()], np.int64)
+        return contents(docs, n, few, arrays)
+    return contents(docs.join(ids.select("row_key"), "row_key", "left_semi").select("doc_id", "text", "row_key"), n, None, arrays)
+
+
 def key_prefix(name: str) -> int:
     return int(name[:15], 16)
 
@@ -301,6 +312,31 @@ def alike(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * common >= num * (len(a) + len(b) - common)
 
 
+def within_bound(size_a: int, bits_a: bytes, size_b: int, bits_b: bytes, num: int, den: int) -> bool:
+    """Whether two sets can link, by their sizes and bitmaps."""
+    if min(size_a, size_b) * den < max(size_a, size_b) * num:
+        return False
+    words = min(len(bits_a), len(bits_b)) // 8
+    lower = int(np.bitwise_count(folded(bits_a, words) ^ folded(bits_b, words)).sum(dtype=np.int64))
+    return (den + num) * lower <= (den - num) * (size_a + size_b)
+
+
+def _bounded(pairs: DataFrame, signs: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that their bitmaps let pass."""
+    x = signs.select("cls", "size", "bits")
+    j = pairs.join(x.select(F.col("cls").alias("a"), F.col("size").alias("sa"), F.col("bits").alias("ba")), "a") \
+        .join(x.select(F.col("cls").alias("b"), F.col("size").alias("sb"), F.col("bits").alias("bb")), "b") \
+        .select("a", "b", "sa", "ba", "sb", "bb")
+
+    def run(batches):
+        for t in batches:
+            sa, ba, sb, bb = (t.column(i) for i in range(2, 6))
+            ok = [within_bound(sa[i].as_py(), ba[i].as_py(), sb[i].as_py(), bb[i].as_py(), num, den) for i in range(t.num_rows)]
+            yield t.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return j.mapInArrow(run, "a long, b long")
+
+
 def _verified(pairs: DataFrame, content: DataFrame, num: int, den: int) -> DataFrame:
     """Add ok to (a, b): whether they link."""
     x = content.select("cls", "hashes")
@@ -412,18 +448,19 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     edges = members.join(hubs, F.col("key") == F.col("_key")).where(F.col("cls") != F.col("hub")) \
         .groupBy(F.col("cls").alias("a")).agg(F.min("hub").alias("b"))
 
-    # contents of the classes that share keys, from one document of each
+    # bitmaps of the classes that share keys, from one document of each
     wanted = members.select("cls").distinct()
-    ids = saved(rows.select("cls", "row_key").join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("row_key").alias("row_key"))
-                .select("row_key"), "jac-ids")
-    if ids.count() <= SENT:
-        few = np.array([key_prefix(r[0]) for r in ids.toLocalIterator()], np.int64)
-        content = contents(src, n, few)
-    else:
-        content = contents(src.join(ids, "row_key", "left_semi").select("doc_id", "text", "row_key"), n, None)
-    content = saved(content, "jac-content")
+    ids = saved(rows.select("cls", "row_key").join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("row_key").alias("row_key")),
+                "jac-ids")
+    signs = saved(contents_of(src, ids, n, arrays=False).drop("hashes"), "jac-signs")
+
+    def arrays(classes: DataFrame, name: str) -> DataFrame:
+        few = saved(ids.join(classes.select("cls").distinct(), "cls", "left_semi"), f"{name}-ids")
+        return saved(contents_of(src, few, n, arrays=True), name)
 
-    stars = saved(_verified(edges, content, num, den).where("ok").select("a", "b"), "jac-stars")
+    near = saved(_bounded(edges, signs, num, den), "jac-near")
+    ends = near.select(F.col("a").alias("cls")).unionByName(near.select(F.col("b").alias("cls")))
+    stars = saved(_verified(near, arrays(ends, "jac-ends"), num, den).where("ok").select("a", "b"), "jac-stars")
     roots = components(stars, "jac-star")
     rooted = members.join(roots, F.col("cls") == F.col("node"), "left") \
         .select("key", "cls", F.coalesce("root", "cls").alias("root"))
@@ -434,9 +471,9 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .where(F.col("bundle") != F.col("_hi")).select("_key", "bundle")
     bundles = saved(rooted.join(pending, F.col("key") == F.col("_key")).select("bundle", "cls", "root").distinct(), "jac-bundles")
     root_of = bundles.select("cls", "root").distinct()
-    signed = root_of.join(content.select("cls", "size", "bits"), "cls")
+    signed = root_of.join(signs, "cls")
     live = saved(_live(tiled(bundles.select("bundle", "cls"), ["bundle"], "cls", TILE).join(signed, "cls"), num, den), "jac-live")
-    whole = root_of.join(content, "cls")
+    whole = root_of.join(arrays(live, "jac-content"), "cls")
     links = saved(_within(tiled(live, ["bundle"], "cls", TILE).join(whole, "cls"), num, den), "jac-links")
     roots = components(stars.unionByName(links), "jac")
 

@@ -259,6 +259,29 @@ def test_bitmap_bounds_difference():
         assert differ <= len(np.setxor1d(a, b))
 
 
+def test_bound_lets_links_pass():
+    rng = np.random.default_rng(3)
+    links = 0
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 2 ** 64, rng.integers(1, 400), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rng.integers(0, len(a) // 6 + 1):],
+                                      rng.integers(0, 2 ** 64, rng.integers(0, len(a) // 6 + 1), dtype=np.uint64)]))
+        if len(b) and ngrams.alike(a, b, 80, 100):
+            links += 1
+            assert ngrams.within_bound(len(a), ngrams.bitmap(a), len(b), ngrams.bitmap(b), 80, 100)
+    assert links > 50
+    a, b = (np.unique(rng.integers(0, 2 ** 64, 400, dtype=np.uint64)) for _ in range(2))
+    assert not ngrams.within_bound(len(a), ngrams.bitmap(a), len(b), ngrams.bitmap(b), 80, 100)
+
+
+def test_jaccard_groups_with_joined_row_keys(spark, monkeypatch):
+    """More classes than are sent to every task: row keys are joined."""
+    monkeypatch.setattr(ngrams, "SENT", 3)
+    rows = family_rows(5)
+    got = ngrams.jaccard_groups(docs_of(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_groups(rows, 3, 90, 100)
+
+
 def test_one_of_each(spark):
     rows = family_rows(7, 3)
     docs = docs_of(spark, rows)
