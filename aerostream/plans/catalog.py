@@ -70,6 +70,11 @@ def _word_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ksink.encode_word_counts(words.word_count(lines(spark, sf_dir))).select("key", F.hex("value").alias("value"))
 
 
+def _alert_records(f: DataFrame) -> DataFrame:
+    """The alert topic's records: the last alert of each flight as JSON, by flight."""
+    return ksink.encode_alerts(views.flight_alerts_table(f))
+
+
 def _severity(f: DataFrame) -> DataFrame:
     return state.latest_flight(f).select(FLIGHT_NUMBER, STATUS, status_severity(F.col(STATUS)).alias("severity"))
 
@@ -110,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "word_count_json": _word_count_json,
     "word_changelog": _word_changelog,
     "flight_severity": _f(_severity),
+    "flight_alert_records": _f(_alert_records),
     "get_flight_table": _flight_in_table(EXAMPLE_FLIGHT),
     "get_flight_unknown": _flight_in_table(UNKNOWN),
     "get_delayed_table": _delayed_in_table(EXAMPLE_AIRPORT),

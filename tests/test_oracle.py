@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from aerostream.plans.oracle import FLIGHTS_CTE
 from tests.conftest import SF_SMALL
 from tools.oracle_check import compare, duck
 
@@ -24,6 +25,26 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) <= set(entry.oracle_sql())
 
 
+def test_means_and_percentages_against_avg_and_round(spark, con):
+    """AVG in place of one division of an exact sum, ROUND in place of integer
+    rounding: equal but for the last bits, and a hundredth where doubles miss a tie."""
+    delay = 'CAST("actualDeparture" - "scheduledDeparture" AS DOUBLE) / 60000.0'
+    plain = con.sql(f"""WITH {FLIGHTS_CTE}
+      SELECT airline, ROUND(COUNT(*) FILTER (status = 'DELAYED') * 100.0 / NULLIF(COUNT(*), 0), 2) AS pct,
+        AVG(CASE WHEN "actualDeparture" > "scheduledDeparture" THEN {delay} ELSE 0 END) AS mean
+      FROM flights GROUP BY airline""").fetchall()
+    got = {r.airline: r for r in entry.queries()["airline_performance"](spark, SF_SMALL).collect()}
+    assert len(plain) == len(got)
+    for airline, pct, mean in plain:
+        assert got[airline].delay_percentage == pytest.approx(pct, abs=0.0101)
+        assert got[airline].avg_delay_minutes == pytest.approx(mean, rel=1e-12)
+    routes = con.sql(f"""WITH {FLIGHTS_CTE}
+      SELECT origin || ' → ' || destination, AVG({delay}) FROM flights GROUP BY origin, destination""").fetchall()
+    plain = dict(routes)
+    for r in entry.queries()["busiest_routes"](spark, SF_SMALL).collect():
+        assert r.avg_delay_minutes == pytest.approx(plain[r.route], rel=1e-12)
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
