@@ -125,30 +125,35 @@ class Forest:
         return True
 
 
-def components(edges: DataFrame, name: str, max_rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of ``edges(a, b)``, both long and not null.
 
     Returns (node, root), root being the smallest node of the component. Labels
     shrink by the least label among the neighbours (``min`` is summed up before
-    the shuffle, so a hub costs one row per task) and by pointer jumping; each
-    round is written to the shared folder. No links reach the driver, only the
-    number of labels that changed.
+    the shuffle, so a hub costs one row per task), by pointer jumping, and by
+    hooking: a node also sends its least label to the node it is labelled with,
+    so a whole tree moves at once and rounds grow with the logarithm of a chain's
+    length, not with the length. Each round is written to the shared folder, and rounds go on
+    until no label changes. No links reach the driver, only whether a label
+    changed.
     """
     e = edges.where(F.col("a") != F.col("b")).select("a", "b").distinct()
     both = saved(e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))), f"{name}-edges")
     labels = both.groupBy("a").agg(F.min("b").alias("_m")) \
         .select(F.col("a").alias("node"), F.least("a", "_m").alias("root"))
     labels = saved(labels, f"{name}-labels")
-    for _ in range(max_rounds):
+    own = F.struct(F.col("node"), F.least("_least", "_r").alias("root"), F.col("_old"))
+    hook = F.struct(F.col("_old").alias("node"), F.col("_least").alias("root"), F.lit(None).cast("long").alias("_old"))
+    while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("root").alias("_near"))
         step = labels.join(near, F.col("node") == F.col("a")) \
-            .select("node", F.col("root").alias("_old"), F.least("root", "_near").alias("root"))
+            .select("node", F.col("root").alias("_old"), F.least("root", "_near").alias("_least"))
         jump = labels.select(F.col("node").alias("_n"), F.col("root").alias("_r"))
-        new = step.join(jump, F.col("root") == F.col("_n")) \
-            .select("node", F.least("root", "_r").alias("root"), "_old")
+        sent = step.join(jump, F.col("_old") == F.col("_n")) \
+            .select(F.explode(F.when(F.col("_least") < F.col("_r"), F.array(own, hook)).otherwise(F.array(own))).alias("s"))
+        new = sent.groupBy("s.node").agg(F.min("s.root").alias("root"), F.max("s._old").alias("_old"))
         new = saved(new, f"{name}-labels")
         changed = new.where(F.col("root") != F.col("_old")).limit(1).count()
         labels = new.select("node", "root")
         if not changed:
             return labels
-    raise RuntimeError(f"components of {name} not settled in {max_rounds} rounds")

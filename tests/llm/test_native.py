@@ -3,6 +3,7 @@
 import hashlib
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -145,6 +146,14 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 0, 200: 200, 201: 200}
 
 
+def test_components_of_a_long_chain(spark):
+    """Chains of thousands of links settle, whatever the order of their ids."""
+    ids = list(range(5000))
+    random.Random(9).shuffle(ids)
+    got = components(spark.createDataFrame(list(zip(ids, ids[1:], strict=False)), "a long, b long"), "chain").collect()
+    assert sorted((r.node, r.root) for r in got) == [(i, 0) for i in range(5000)]
+
+
 # ------------------------------------------------------------------ fingerprints
 
 def brute_sketch(text):
