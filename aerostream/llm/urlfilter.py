@@ -9,12 +9,12 @@ on held-out labelled urls decides.
 Model: for each order k = 0..ORDER the counts of (k characters, next character)
 and of the k characters. P_k = (n(context, next) + BETA * P_(k-1)) /
 (n(context) + BETA), P_(-1) = 1 / ALPHABET: an unseen context falls back to the
-shorter one. Counts are hashed into two of 2**BITS cells, the smaller of which
-counts, and no event counts more than its context; so the model's size is fixed
-whatever the input (1 MB). It is a constant of the scoring expression, and no url
-is exploded or shuffled to be scored. About ``max_train`` labelled urls, chosen by hash, are
-counted (a bounded sample of labelled rows); a fifth of them is held out for the
-threshold.
+shorter one. Counts are exact, over all labelled urls but the fifth that is held
+out for the threshold, in a written table that grows with what the urls hold. A
+place of a url is its window: the character and up to ORDER before it. Windows are
+made distinct, joined to the table once each, and their values joined back to the
+distinct urls; common windows and characters are salted. Nothing of it
+reaches the driver but the threshold.
 
 Defined results: a null url or one without ``://`` has empty host and path; no
 rule fits it and its score is 0; without labelled urls of both classes every
@@ -30,9 +30,10 @@ from pyspark.sql import functions as F
 from aerostream.llm.common import lower_ascii, saved
 
 ORDER = 4
-BITS = 17
 BETA = 2.0
 ALPHABET = 128.0
+SALT = 8
+UNIT = 2.0 ** 40  # values are summed up as whole numbers, so in any order
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -53,75 +54,86 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
     return out
 
 
-def _codes(url: Column) -> Column:
-    """The url's characters as numbers; one is added in front as its start."""
-    chars = F.regexp_extract_all(F.coalesce(url, F.lit("")), F.lit(r"(?s)."), F.lit(0))
-    return F.transform(chars, F.ascii)
-
-
-def _cells(codes: Column, i: Column, k: int, with_next: bool) -> list[Column]:
-    """The two cells of the k characters before place i (from 0), with that at i
-    or not; places before the start count as null."""
-    before = [F.get(codes, i - j) for j in range(k, 0, -1)]
-    h = F.xxhash64(F.lit(k if with_next else -1 - k), *before, *([F.get(codes, i)] if with_next else []))
-    return [F.pmod(x, F.lit(2 ** BITS)).cast("int") for x in (h, F.shiftrightunsigned(h, 32))]
-
-
-def counts(labelled: DataFrame) -> DataFrame:
-    """(cell, good, bad): how often accepted and rejected urls hit each cell.
-
-    Cells are summed up within tasks before the shuffle: a task sends 2**BITS
-    rows at most, whatever host its urls share."""
-    codes = F.col("_codes")
-    cells = F.flatten(F.transform(
-        F.sequence(F.lit(0), F.size(codes) - 1),
-        lambda i: F.array(*[c for k in range(ORDER + 1) for w in (True, False) for c in _cells(codes, i, k, w)])))
-    rows = labelled.withColumn("_codes", _codes(F.col("url"))).where(F.size("_codes") > 0)
-    # the outer form: for a plain explode the optimizer infers a filter that computes every cell again
-    rows = rows.withColumn("_cells", cells).select("good", F.explode_outer("_cells").alias("cell")).where(F.col("cell").isNotNull())
-    return rows.groupBy("cell").agg(F.sum(F.col("good").cast("long")).alias("good"),
-                                    F.sum((~F.col("good")).cast("long")).alias("bad"))
-
-
-def model(labelled: DataFrame) -> str:
-    """The 2**BITS cells' counts, good * 2**31 + bad each, comma-separated: a
-    value of fixed size."""
-    every = labelled.sparkSession.range(2 ** BITS).select(F.col("id").cast("int").alias("_cell"))
-    most = 2 ** 31 - 1
-    packed = F.least(F.coalesce("good", F.lit(0)), F.lit(most)) * F.lit(2 ** 31) + F.least(F.coalesce("bad", F.lit(0)), F.lit(most))
-    c = every.join(counts(labelled), F.col("cell") == F.col("_cell"), "left").select("_cell", packed.alias("packed"))
-    cells = F.sort_array(F.collect_list(F.struct("_cell", "packed")))
-    return c.agg(F.array_join(F.transform(cells, lambda x: x["packed"].cast("string")), ",")).first()[0]
-
-
-def scored(df: DataFrame, table: str, url_col: str = "url") -> DataFrame:
-    """Add score: log P(url | accepted) - log P(url | rejected), per character."""
-    cells = F.split(F.lit(table), ",").cast("array<bigint>")  # folded to a constant
-    codes, width = F.col("_codes"), 2 * (ORDER + 1)
-    last = F.size(codes) - 1
-    low = 2 ** 31 - 1
-    look = F.flatten(F.transform(F.sequence(F.lit(0), last), lambda i: F.array(
-        *[F.struct(*[c.alias(n) for c, n in zip(_cells(codes, i, k, w), "ab", strict=True)])
-          for k in range(ORDER + 1) for w in (True, False)])))
-
-    def least(c: Column) -> Column:
-        a, b = F.get(cells, c["a"]), F.get(cells, c["b"])
-        return F.least(F.shiftright(a, 31), F.shiftright(b, 31)) * F.lit(2 ** 31) + F.least(a.bitwiseAND(low), b.bitwiseAND(low))
-
-    def place(i: Column) -> Column:
-        pa = pb = F.lit(1.0 / ALPHABET)
-        for k in range(ORDER + 1):
-            seen, context = F.get("_seen", i * width + 2 * k), F.get("_seen", i * width + (2 * k + 1))
-            ga, gb = F.shiftright(context, 31), context.bitwiseAND(low)
-            pa = (F.least(F.shiftright(seen, 31), ga) + F.lit(BETA) * pa) / (ga + F.lit(BETA))
-            pb = (F.least(seen.bitwiseAND(low), gb) + F.lit(BETA) * pb) / (gb + F.lit(BETA))
-        return F.log(pa) - F.log(pb)
-
-    total = F.aggregate(F.sequence(F.lit(0), last), F.lit(0.0), lambda acc, i: acc + place(i))
-    out = df.withColumn("_codes", _codes(F.col(url_col)))
-    out = out.withColumn("_seen", F.when(F.size(codes) > 0, F.transform(look, least)))
-    return out.withColumn("score", F.when(F.size(codes) > 0, total / F.size(codes)).otherwise(F.lit(0.0))) \
-        .drop("_codes", "_seen")
+def _windows(urls: DataFrame, *keep: str) -> DataFrame:
+    """keep and w: one row per character of ``url``, with up to ORDER before it.
+    Only windows at a url's start are shorter than ORDER + 1."""
+    url = F.col("url")
+    every = F.transform(F.sequence(F.lit(1), F.length(url)), lambda i: F.substring(
+        url, F.greatest(i - ORDER, F.lit(1)), F.least(i, F.lit(ORDER + 1))))
+    # the outer form: for a plain explode the optimizer infers a filter that computes every window again
+    return urls.where(F.length(url) > 0).select(*keep, F.explode_outer(every).alias("w"))
+
+
+def _grams(windows: DataFrame, *keep: str) -> DataFrame:
+    """keep, k and gram of every order k: a window's last k + 1 characters, fewer
+    only at a url's start, so that k and gram tell the places before it."""
+    return windows.select(*keep, F.explode(F.sequence(F.lit(0), F.lit(ORDER))).alias("k"), "w") \
+        .select(*keep, "k", F.expr("right(w, k + 1)").alias("gram"))
+
+
+def _salted(k: Column, every: bool) -> Column:
+    """All salts of a row of the model, or that of a window: one character ends many."""
+    if every:
+        return F.explode(F.sequence(F.lit(0), F.when(k < 2, F.lit(SALT - 1)).otherwise(F.lit(0))))
+    return F.when(k < 2, F.pmod(F.xxhash64("w"), F.lit(SALT))).otherwise(F.lit(0)).cast("int")
+
+
+def model(labelled: DataFrame) -> DataFrame:
+    """(k, gram, good, bad, all_good, all_bad): how often accepted and rejected
+    urls hold each gram, and its context (the gram but its last character) with
+    any next one. Counts are summed up within tasks before each shuffle."""
+    def total(df: DataFrame, *keys: str | Column) -> DataFrame:
+        return df.groupBy(*keys).agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+
+    n = F.col("n") if "n" in labelled.columns else F.lit(1)
+    one = labelled.select("url", F.when(F.col("good"), n).otherwise(0).cast("long").alias("good"),
+                          F.when(F.col("good"), 0).otherwise(n).cast("long").alias("bad"))
+    windows = total(_windows(one, "good", "bad"), "w")
+    events = saved(total(_grams(windows, "good", "bad"), "k", "gram"), "url-events")
+    context = F.expr("left(gram, length(gram) - 1)")
+    contexts = total(events.withColumn("context", context), F.col("k").alias("_k"), "context") \
+        .select("_k", F.col("context").alias("_context"), F.col("good").alias("all_good"), F.col("bad").alias("all_bad"))
+    return saved(events.join(contexts, (F.col("k") == F.col("_k")) & (context == F.col("_context")))
+                 .drop("_k", "_context"), "url-model")
+
+
+def _values(windows: DataFrame, table: DataFrame) -> DataFrame:
+    """(w, value): log P(last | before, accepted) - log P(last | before, rejected) of
+    distinct windows, in UNITs."""
+    t = table.select(F.col("k").alias("_k"), F.col("gram").alias("_gram"), "good", "bad",
+                     _salted(F.col("k"), True).alias("_salt"))
+    c = table.select("k", F.expr("left(gram, length(gram) - 1)").alias("context"), "all_good", "all_bad").distinct() \
+        .select(F.col("k").alias("_ck"), F.col("context").alias("_context"), "all_good", "all_bad",
+                _salted(F.col("k"), True).alias("_csalt"))
+    g = _grams(windows, "w").withColumn("salt", _salted(F.col("k"), False)) \
+        .withColumn("context", F.expr("left(gram, length(gram) - 1)"))
+    g = g.join(t, (F.col("k") == F.col("_k")) & (F.col("gram") == F.col("_gram")) & (F.col("salt") == F.col("_salt")), "left") \
+        .join(c, (F.col("k") == F.col("_ck")) & (F.col("context") == F.col("_context")) & (F.col("salt") == F.col("_csalt")), "left")
+    seen = [F.coalesce(x, F.lit(0)).alias(x) for x in ("good", "bad", "all_good", "all_bad")]
+    orders = g.groupBy("w").agg(F.sort_array(F.collect_list(F.struct("k", *seen))).alias("o"))
+
+    def p(event: str, context: str) -> Column:
+        return F.aggregate("o", F.lit(1.0 / ALPHABET), lambda acc, o: (o[event] + F.lit(BETA) * acc) / (o[context] + F.lit(BETA)))
+
+    return orders.select("w", F.round((F.log(p("good", "all_good")) - F.log(p("bad", "all_bad"))) * UNIT).cast("long").alias("value"))
+
+
+def scored(df: DataFrame, table: DataFrame, url_col: str = "url") -> DataFrame:
+    """Add score: log P(url | accepted) - log P(url | rejected), per character; 0
+    for null and empty urls."""
+    urls = saved(df.select(F.col(url_col).alias("url")).where(F.length("url") > 0).distinct()
+                 .withColumn("id", F.monotonically_increasing_id()), "url-distinct")
+    values = _values(_windows(urls).distinct(), table)
+    values = saved(values, "url-windows").select(F.col("w").alias("_w"), "value",
+                                                 F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("_salt"))
+    places = _windows(urls, "id").withColumn("salt", F.pmod("id", F.lit(SALT)).cast("int"))
+    # merged at every size: the values' table is not sent to every task by way of the driver
+    sums = places.join(values.hint("merge"), (F.col("w") == F.col("_w")) & (F.col("salt") == F.col("_salt"))) \
+        .groupBy(F.col("id").alias("_id")).agg(F.sum("value").alias("value"))
+    scores = urls.join(sums, F.col("id") == F.col("_id")) \
+        .select(F.col("url").alias("_url"), (F.col("value") / F.lit(UNIT) / F.length("url")).alias("_score"))
+    return df.join(saved(scores, "url-scores"), F.col(url_col) == F.col("_url"), "left") \
+        .withColumn("score", F.coalesce("_score", F.lit(0.0))).drop("_url", "_score")
 
 
 def threshold(held: DataFrame) -> float:
@@ -138,19 +150,17 @@ def threshold(held: DataFrame) -> float:
     return best[0] / 250 if best and best[0] > -1000 else 0.0
 
 
-def judged(pages: DataFrame, rules: list[tuple[str, str]], url_col: str = "url", max_train: int = 100_000) -> DataFrame:
+def judged(pages: DataFrame, rules: list[tuple[str, str]], url_col: str = "url") -> DataFrame:
     """pages with host, path, rule, verdict and score."""
     host, path = host_and_path(F.col(url_col))
     rows = pages.withColumn("host", host).withColumn("path", path)
     rows = rows.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
-    known = rows.where(F.col("_rule").isNotNull()).select(
-        F.col(url_col).alias("url"), (F.col("_rule.verdict") == "allow").alias("good"))
-    n = known.count()
-    draw = F.pmod(F.xxhash64("url", F.monotonically_increasing_id()), F.lit(1_000_000))
-    known = saved(known.where(draw < F.lit(min(1.0, max_train / max(n, 1)) * 1_000_000)), "url-labelled")
+    known = saved(rows.where(F.col("_rule").isNotNull()).groupBy(F.col(url_col).alias("url")).agg(
+        F.first(F.col("_rule.verdict") == "allow").alias("good"), F.count(F.lit(1)).alias("n")), "url-labelled")
     held = F.pmod(F.xxhash64("url", F.lit(7)), F.lit(5)) == 0
-    table = model(known.where(~held))
-    cut = threshold(scored(known.where(held), table))
-    rows = scored(rows, table, url_col)
+    rows = scored(rows, model(known.where(~held)), url_col)
+    judged_by_rule = rows.where(F.col("_rule").isNotNull()).select(
+        F.col(url_col).alias("url"), (F.col("_rule.verdict") == "allow").alias("good"), "score")
+    cut = threshold(judged_by_rule.where(held))
     verdict = F.coalesce(F.col("_rule.verdict"), F.when(F.col("score") >= F.lit(cut), "allow").otherwise("block"))
     return rows.withColumn("rule", F.col("_rule.rule")).withColumn("verdict", verdict).drop("_rule")

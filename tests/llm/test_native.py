@@ -257,6 +257,33 @@ def test_language_model_ratio(spark):
     assert got[0] > 0.2 and got[1] < -0.2 and got[2] == got[3] == 0.0
 
 
+def test_counts_are_exact_for_many_urls(spark):
+    """Hundreds of thousands of distinct contexts do not mix: unseen ones fall back."""
+    rng = random.Random(21)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789-_") for _ in range(n))
+    labelled = [(f"http://{word(60)}", i % 2 == 0) for i in range(4000)]
+    urls = [f"http://{word(40)}" for _ in range(20)]
+    table = urlfilter.model(spark.createDataFrame(labelled, "url string, good boolean"))
+    got = {r.url: r.score for r in urlfilter.scored(spark.createDataFrame([(u,) for u in urls], "url string"), table).collect()}
+    n = {True: {}, False: {}}
+    for u, y in labelled:
+        for i in range(len(u)):
+            for k in range(urlfilter.ORDER + 1):
+                ctx = tuple(u[j] if j >= 0 else None for j in range(i - k, i))
+                for key in ((k, ctx, u[i]), (k, ctx)):
+                    n[y][key] = n[y].get(key, 0) + 1
+    for u in urls:
+        total = 0.0
+        for i in range(len(u)):
+            p = {True: 1 / urlfilter.ALPHABET, False: 1 / urlfilter.ALPHABET}
+            for k in range(urlfilter.ORDER + 1):
+                ctx = tuple(u[j] if j >= 0 else None for j in range(i - k, i))
+                for y in p:
+                    p[y] = (n[y].get((k, ctx, u[i]), 0) + urlfilter.BETA * p[y]) / (n[y].get((k, ctx), 0) + urlfilter.BETA)
+            total += math.log(p[True]) - math.log(p[False])
+        assert got[u] == pytest.approx(total / len(u), abs=1e-9)
+
+
 def test_url_filter_of_nothing(spark):
     assert urlfilter.judged(spark.createDataFrame([], "page_id long, url string"), RULES).count() == 0
 
