@@ -85,6 +85,30 @@ def test_trees_add_spans_and_leave_clean_texts(spark):
     assert by[None]["_pii"].redacted == "[EMAIL]"
 
 
+@pytest.mark.parametrize("text,spans", [
+    ("tel 555 867 5309 555 867 5310", ["555 867 5309", "555 867 5310"]), ("on 2024-03-05 555-867-5309", ["555-867-5309"]),
+    ("2024-03-05 14 555.867.5309", ["555.867.5309"]), ("7 (555) 867-5309 1", ["(555) 867-5309"]),
+    ("555-867-5309 " * 9, ["555-867-5309"] * 9)])
+def test_numbers_beside_others_are_proposed(text, spans):
+    got, at = {c for c in pii.candidates(text) if c[0] == "phone"}, 0
+    for s in spans:
+        at = text.index(s, at)
+        assert ("phone", at, at + len(s)) in got
+        at += len(s)
+
+
+def test_cards_beside_each_other_are_proposed():
+    text = "4111/1111/1111/1111 4012.8888.8888.1881"
+    assert {("card", 0, 19), ("card", 20, 39)} <= set(pii.candidates(text))
+    assert len(pii.candidates("9 " * 60_000)) < 20 * 60_000
+
+
+def test_numbers_beside_others_are_redacted(spark):
+    model = pii.trained(docs_of(spark, corpus()))
+    for text in ("tel 555 867 5309 555 867 5310 now", "phone: 2024-03-05 555-867-5309 now"):
+        assert any(k == "phone" and text[a:b].endswith(("5309", "5310")) for k, a, b in pii.spans_of(text, model)[1]), text
+
+
 def test_no_model_without_base_spans(spark):
     assert pii.trained(docs_of(spark, [(1, "nothing 12 here"), (2, None)])) is None
     assert pii.trained(docs_of(spark, [])) is None
