@@ -132,7 +132,9 @@ def arc_records(lines: Iterator[bytes]) -> Iterator[tuple]:
     for line in lines:
         if not line:
             continue
-        if line.startswith(b"filedesc://"):
+        # a page's url may begin like that too: only plain text without an HTTP block describes the file
+        about = line.startswith(b"filedesc://") and line.split(b" ")[3:4] == [b"text/plain"]
+        if about:
             version = 2 if len(line.split(b" ")) >= 10 else 1
         fields = line.rsplit(b" ", len(ARC_FIELDS[version].split(" ")) - 1)
         if len(fields) != len(ARC_FIELDS[version].split(" ")) or not fields[-1].isdigit() or not fields[2].isdigit():
@@ -142,7 +144,7 @@ def arc_records(lines: Iterator[bytes]) -> Iterator[tuple]:
         url, ip, date, mime = (x.decode("utf-8", "replace") for x in fields[:4])
         if body is None:
             yield ("damaged", version, url, ip, date, mime, None, b"", b"")
-        elif url.startswith("filedesc://"):
+        elif about and not body.startswith(b"HTTP/"):
             yield ("filedesc", int(body[:1] or b"1"), url, ip, date, mime, None, b"", body)
         else:
             cut = body.find(b"\r\n\r\n") + 4 if body.startswith(b"HTTP/") else 0

@@ -60,6 +60,16 @@ def test_archives_round_trip(spark, version):
     assert heads == {"filedesc": version, "http": version}
 
 
+@pytest.mark.parametrize("version", [1, 2])
+def test_pages_named_like_a_file_description(spark, version):
+    rows = [(1, "filedesc://page", "x" * 200, None), (2, "http://a", "x" * 200, None), (3, "filedesc://part-00000.arc", "1 0 y", None)]
+    _, got = archived(spark, rows, version)
+    read = {r.ref: (r.record_type, r.target_uri, r.refers_to) for r in got if r.record_type != "warcinfo"}
+    assert read == {1: ("response", "filedesc://page", None), 2: ("revisit", "http://a", 1),
+                    3: ("response", "filedesc://part-00000.arc", None)}
+    assert len(got) == len(rows) + 1
+
+
 def test_arc_header_lines_by_version():
     one = [b"filedesc://a 0.0.0.0 20240101000000 text/plain 5", b"1 0 x", b"",
            b"dns:host 1.2.3.4 20240101000000 text/dns 2", b"ab", b"", b"broken line", b"ftp://x y 1.2.3.4 20240101000000 text/plain 0", b""]
