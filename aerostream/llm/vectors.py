@@ -1,6 +1,6 @@
 """Near-duplicate embeddings by cross-polytope hashing.
 
-Equal vectors of a label are one class. Each class is turned by ``TABLES`` times
+Equal vectors of a label are one class. Each class is turned by ``tables_for`` its dimension times
 ``HASHES`` fast pseudo-rotations (three rounds of random signs and a Hadamard
 transform); a hash is the signed axis nearest to the turned vector, a table's
 key joins its hashes. Multiprobe: a table also gets the key in which the hash
@@ -37,6 +37,12 @@ TILE = 1024
 SEED = 20240130
 
 
+def tables_for(dim: int) -> int:
+    """So many tables that of pairs at a cosine of 0.93 at least 0.99 share a key: a
+    table finds fewer of them in more dimensions."""
+    return TABLES if dim <= 64 else 16 if dim <= 128 else 20 if dim <= 256 else 32
+
+
 def signs(dim: int, tables: int, hashes: int, seed: int) -> np.ndarray:
     """(tables * hashes, 3, dim) random signs, the same in every task."""
     rng = np.random.default_rng((seed, dim))
@@ -85,7 +91,7 @@ def keys_of(vectors: np.ndarray, tables: int = TABLES, hashes: int = HASHES, see
     return np.concatenate([joined(best), joined(probe)], axis=1)
 
 
-def _hashed(classes: DataFrame, tables: int, hashes: int, seed: int) -> DataFrame:
+def _hashed(classes: DataFrame, tables: int | None, hashes: int, seed: int) -> DataFrame:
     """Add keys (array of long: every table's own one, then every probe) to
     classes (cls, label, vector, copies)."""
     schema = "cls long, label string, vector array<double>, copies long, keys array<long>"
@@ -98,7 +104,7 @@ def _hashed(classes: DataFrame, tables: int, hashes: int, seed: int) -> DataFram
             keys: list = [None] * len(vecs)
             for dim in {len(v) for v in vecs}:
                 at = [i for i, v in enumerate(vecs) if len(v) == dim]
-                for i, k in zip(at, keys_of(np.array([vecs[i] for i in at]), tables, hashes, seed), strict=True):
+                for i, k in zip(at, keys_of(np.array([vecs[i] for i in at]), tables or tables_for(dim), hashes, seed), strict=True):
                     keys[i] = k
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, out.field(4).type)], schema=out)
 
@@ -122,21 +128,22 @@ def _tile_links(t: pa.Table, least: float) -> list[tuple]:
     a class of the same component."""
     cls, side, copies = t["cls"].to_numpy(), t["side"].to_numpy(), t["copies"].to_numpy()
     key, one = t["key"][0].as_py(), t["tile_a"][0].as_py() == t["tile_b"][0].as_py()
-    keys = np.stack(t["keys"].to_numpy(zero_copy_only=False))
+    every = t["keys"].to_numpy(zero_copy_only=False)
     vecs = t["vector"].to_numpy(zero_copy_only=False)
     dims = np.array([len(v) for v in vecs])
     rows: list[tuple] = []
     for dim in np.unique(dims):
         at = np.flatnonzero(dims == dim)
+        keys = np.stack(every[at])
         x = np.stack(vecs[at]).astype(np.float64)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         p, q = np.nonzero(x @ x.T >= least)
         # within one tile each pair once; between two tiles only pairs across
         keep = p < q if one else (side[at][p] == 0) & (side[at][q] == 1)
-        p, q = at[p[keep]], at[q[keep]]
+        p, q = p[keep], q[keep]
         # a pair that shares an earlier key is counted there
         counted = first_shared(keys[p], keys[q]) == key
-        p, q = p[counted], q[counted]
+        p, q = at[p[counted]], at[q[counted]]
         gained = np.bincount(p, copies[q], len(cls)) + np.bincount(q, copies[p], len(cls))
         rows += [(int(cls[i]), None, int(gained[i])) for i in np.flatnonzero(gained)]
         root = np.arange(len(cls))
@@ -175,7 +182,7 @@ def _links(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-                    least: float = 0.93, tables: int = TABLES, hashes: int = HASHES, seed: int = SEED) -> DataFrame:
+                    least: float = 0.93, tables: int | None = None, hashes: int = HASHES, seed: int = SEED) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     v = F.col("_v")
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"),

@@ -365,6 +365,20 @@ def test_embeddings(spark):
     assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in got), key=repr) == want
 
 
+@pytest.mark.parametrize(("dim", "n"), [(64, 2000), (128, 2000), (256, 1000), (768, 400)])
+def test_pairs_just_above_the_threshold_share_a_key(dim, n):
+    rng = np.random.default_rng(1)
+    a, z = rng.normal(size=(2, n, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    z -= (z * a).sum(1, keepdims=True) * a
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    c = rng.uniform(0.93, 0.94, (n, 1))
+    x, y = (vectors.keys_of(v, tables=vectors.tables_for(dim)) for v in (a, c * a + np.sqrt(1 - c * c) * z))
+    found = (vectors.first_shared(x, y) < 2 ** 62).mean()
+    print(f"recall {dim} {found}")
+    assert found >= 0.99
+
+
 def test_hot_key_is_dealt_into_tiles(spark, monkeypatch):
     monkeypatch.setattr(vectors, "TILE", 16)
     rng = np.random.default_rng(9)
