@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerostream.llm import chat, fingerprint, langid, mixing, ngrams, packing, pii, urlfilter, vectors, warc
-from aerostream.llm.common import scratch, table
+from aerostream.llm import chat, fim, fingerprint, langid, merkle, mixing, ngrams, packing, pii, urlfilter, vectors, vptree, warc
+from aerostream.llm.common import lower_ascii, scratch, table
 
 
 def op1_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +105,33 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_arc_to_warc, op2_pii, op3_mix, op4_pack, op5_fingerprints, op6_url_filter, op7_ngram_jaccard, op8_embeddings, op9_chat, op10_language)}
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents cut into prefix, middle and suffix, and put together again."""
+    out = fim.transformed(table(spark, sf_dir, "documents"))
+    return out.select(
+        F.col("doc.doc_id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest embeddings of every hundredth one, exactly."""
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, factor=1.0)
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents' manifest, and every row's proof, some rows tampered with."""
+    changed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 0
+    text = F.when(changed, lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    m = merkle.build(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"],
+                     id_col="doc_id", group_col="lang", claimed={"text": text})
+    return merkle.proofs(spark, m).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_arc_to_warc, op2_pii, op3_mix, op4_pack, op5_fingerprints, op6_url_filter, op7_ngram_jaccard, op8_embeddings,
+    op9_chat, op10_language, op11_fill_in_middle, op12_nearest, op13_merkle)}
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -187,4 +213,67 @@ WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '')
                   sum(n) AS chars FROM e GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
        sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM g""",
+    "op11_fill_in_middle": r"""
+WITH b AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s FROM documents),
+     u AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units, CAST('0x' || s[1:8] AS BIGINT) AS h1,
+                  CAST('0x' || s[9:16] AS BIGINT) AS h2, CAST('0x' || s[17:24] AS BIGINT) AS h3, CAST('0x' || s[25:32] AS BIGINT) AS h4 FROM b),
+     c AS (SELECT *, CAST(len(units) AS BIGINT) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS c1,
+                  greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS c2 FROM u),
+     p AS (SELECT *, coalesce(array_to_string(units[1:c1], ''), '') AS pre, coalesce(array_to_string(units[c1 + 1:c2], ''), '') AS mid,
+                  coalesce(array_to_string(units[c2 + 1:], ''), '') AS suf,
+                  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+                       THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p""",
+    "op12_nearest": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+     g AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(e, lambda x: x <> 0)) > 0),
+     p AS (SELECT q.vec_id AS query_id, c.vec_id,
+                  sqrt(list_reduce(list_transform(list_zip(q.e, c.e), lambda t: (t[1] - t[2]) * (t[1] - t[2])), lambda a, b: a + b)) AS score
+           FROM g q JOIN g c ON len(q.e) = len(c.e) AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+     r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op13_merkle": r"""
+WITH RECURSIVE d AS (SELECT doc_id, lang, source, n_chars, text,
+                  xor(list_reduce(list_prepend(4294967295::BIGINT, [ord(x)::BIGINT FOR x IN string_split(coalesce(CAST(doc_id AS VARCHAR), ''), '') IF x <> '']),
+                      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda a, i: xor(a >> 1, (a & 1) * 3988292384))), 4294967295::BIGINT) AS crc FROM documents),
+     f AS (SELECT *, coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+                  || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS head,
+                  CASE WHEN crc % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS claim FROM d),
+     h AS (SELECT doc_id, lang, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+                  sha256(head || coalesce(octet_length(encode(claim)) || ':' || claim, '-')) AS claimed FROM f),
+     l AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+                  count(*) OVER (PARTITION BY lang) AS width, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM h),
+     t AS (SELECT tree, 0 AS level, idx, width, leaf AS digest FROM l
+           UNION ALL
+           SELECT tree, level + 1, idx // 8, (width + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx))
+           FROM t WHERE width > 1 GROUP BY tree, level, idx // 8, width),
+     s AS (SELECT tree, digest AS subroot FROM t WHERE width = 1),
+     o AS (SELECT 0 AS level, tree AS idx, count(*) OVER () AS width, subroot AS digest FROM s
+           UNION ALL
+           SELECT level + 1, idx // 8, (width + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx))
+           FROM o WHERE width > 1 GROUP BY level, idx // 8, width),
+     n AS (SELECT tree, level, idx // 8 AS up, list(digest ORDER BY idx) AS run FROM t WHERE width > 1 GROUP BY tree, level, idx // 8),
+     m AS (SELECT level, idx // 8 AS up, list(digest ORDER BY idx) AS run FROM o WHERE width > 1 GROUP BY level, idx // 8),
+     c AS (SELECT tree, idx AS place, 0 AS level, idx, width, claimed AS folded, '' AS beside FROM l
+           UNION ALL
+           SELECT c.tree, place, c.level + 1, idx // 8, (width + 7) // 8,
+                  sha256(array_to_string(run[:idx % 8], '') || folded || array_to_string(run[idx % 8 + 2:], '')),
+                  beside || array_to_string(run[:idx % 8], '') || array_to_string(run[idx % 8 + 2:], '')
+           FROM c JOIN n ON n.tree = c.tree AND n.level = c.level AND n.up = c.idx // 8 WHERE width > 1),
+     e AS (SELECT tree, place, 0 AS level, tree AS idx, (SELECT count(*) FROM s) AS width, folded, beside FROM c WHERE width = 1
+           UNION ALL
+           SELECT e.tree, place, e.level + 1, idx // 8, (width + 7) // 8,
+                  sha256(array_to_string(run[:idx % 8], '') || folded || array_to_string(run[idx % 8 + 2:], '')),
+                  beside || array_to_string(run[:idx % 8], '') || array_to_string(run[idx % 8 + 2:], '')
+           FROM e JOIN m ON m.level = e.level AND m.up = e.idx // 8 WHERE width > 1)
+SELECT l.doc_id, l.leaf, s.subroot, r.digest AS root, sha256(e.beside) AS proof_sha256,
+       e.folded AS folded_root, e.folded = r.digest AS verified
+FROM l JOIN s USING (tree) JOIN e ON e.tree = l.tree AND e.place = l.idx AND e.width = 1
+CROSS JOIN (SELECT digest FROM o WHERE width = 1) r""",
 }
