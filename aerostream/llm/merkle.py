@@ -9,13 +9,15 @@ digests and the link (tree, node, place) to its parent.
 ``proofs`` climbs by a recursive query: from each leaf, a step joins the parent,
 emits the siblings' digests and hashes the run with the leaf's claimed digest in
 its place. A step is a row of its own, so digests are not carried from step to
-step; one grouping per leaf at the end joins them. Spark keeps each step of a
-recursion as shuffle output, which lost executors' tasks rebuild.
+step. The siblings above a block of ``FAN ** BLOCK`` leaves are the same for all of
+them: the block's top node climbs too and emits them once. One grouping per block
+at the end joins a leaf's own siblings and its block's. Spark keeps each step of
+a recursion as shuffle output, which lost executors' tasks rebuild.
 
 Skew: positions come from ranges of (group, order, digest), so a group that
 holds most rows is numbered by many tasks. All leaves of a tree meet at its upper
-nodes: these are copied per block of ``FAN ** BLOCK`` leaves, which adds under a
-tenth of a row per leaf and step, and a join key never has more leaves than that.
+nodes: these are copied per block, which adds a sixty-fourth of a row per leaf and
+step, and a join key never has more leaves than a block.
 
 Defined results: a null value is hashed as ``-``; a null group is a group of its
 own and comes first; null ids come first, repeated ids in the order of their
@@ -27,14 +29,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aerostream.llm.common import running, saved
 
 FAN = 8
 BITS = 3  # FAN = 2 ** BITS
-BLOCK = 2  # upper nodes are copied per FAN ** BLOCK leaves
+BLOCK = 2  # a block is FAN ** BLOCK leaves
 LEVEL = 52  # a node's number: its level above this bit, its place in the level below
 TOP = -1  # the tree over the groups' roots
 
@@ -109,8 +111,7 @@ def build(docs: DataFrame, fields: list[str], id_col: str, group_col: str, claim
     ``group_col`` with leaves by ``id_col``. ``claimed`` gives fields the values
     to be verified later in place of the true ones."""
     leaf = lambda of: digest(F.concat(*[field(of.get(c, F.col(c))) for c in fields]))
-    rows = saved(docs.select(F.col(id_col).alias("id"), F.col(group_col).alias("grp"), leaf({}).alias("digest"),
-                             leaf(claimed or {}).alias("claimed")), "merkle-digests")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(group_col).alias("grp"), leaf({}).alias("digest"), leaf(claimed or {}).alias("claimed"))
     groups = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("width")).withColumn("_all", F.lit(0))
     trees = saved(_placed(groups, "_all", ["grp"], "merkle-groups").select("grp", F.col("idx").alias("tree"), "width"),
                   "merkle-trees")
@@ -173,41 +174,61 @@ def _by_block(m: Manifest) -> DataFrame:
 
 
 CLIMB = """
-WITH RECURSIVE climb (tree, idx, id, step, up_tree, up_node, pos, folded, beside) AS (
-  SELECT tree, idx, id, 0, up_tree, up_node, pos, claimed, digest FROM {leaves}
+WITH RECURSIVE climb (tree, block, idx, id, step, up_tree, up_node, pos, folded, beside) AS (
+  SELECT tree, block, idx, id, 0, up_tree, up_node, pos, claimed, digest FROM {climbers}
   UNION ALL
-  SELECT c.tree, c.idx, c.id, c.step + 1, n.up_tree, n.up_node, n.pos,
+  SELECT c.tree, c.block, c.idx, c.id, c.step + 1, n.up_tree, n.up_node, n.pos,
          unhex(sha2(lower(hex(concat(substr(n.children, 1, 32 * c.pos), c.folded, substr(n.children, 32 * c.pos + 33)))), 256)),
-         concat(substr(n.children, 1, 32 * c.pos), substr(n.children, 32 * c.pos + 33))
+         CASE WHEN c.idx IS NULL OR (n.tree = c.tree AND n.node < {above})
+              THEN concat(substr(n.children, 1, 32 * c.pos), substr(n.children, 32 * c.pos + 33)) END
   FROM climb c JOIN {nodes} n
-    ON n.leaf_tree = c.tree AND n.block = shiftright(c.idx, {shift}) AND n.tree = c.up_tree AND n.node = c.up_node)
-SELECT tree, idx, id, step, folded, beside FROM climb
+    ON n.leaf_tree = c.tree AND n.block = c.block AND n.tree = c.up_tree AND n.node = c.up_node)
+SELECT tree, block, idx, id, step, folded, beside FROM climb WHERE beside IS NOT NULL OR up_tree IS NULL
 """
 ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
 
 
+def _climbers(m: Manifest) -> DataFrame:
+    """Every leaf, and every block's top node (no ``idx``), with links."""
+    link = ["up_tree", "up_node", "pos"]
+    leaves = m.leaves.select("tree", F.shiftright("idx", BITS * BLOCK).alias("block"), "idx", "id", *link, "claimed", "digest")
+    none = F.lit(None).cast("long")
+    top = (F.col("level") == BLOCK) | ((F.col("width") == 1) & (F.col("level") < BLOCK))
+    blocks = m.nodes.where((F.col("tree") != TOP) & top).select("tree", "idx", *link, "digest") \
+        .unionByName(m.leaves.where(F.col("width") == 1).select("tree", "idx", *link, "digest"))
+    blocks = blocks.select("tree", F.col("idx").alias("block"), none.alias("idx"), none.alias("id").cast(m.leaves.schema["id"].dataType),
+                           *link, F.col("digest").alias("claimed"), F.lit(b"").alias("digest"))
+    return leaves.unionByName(blocks)
+
+
 def climbed(spark: SparkSession, m: Manifest) -> DataFrame:
-    """One row per leaf and step, written: the folded digest, and the siblings'
-    digests joined (at step 0 the leaf's own)."""
+    """(tree, id, leaf, siblings, folded) per leaf, written: all siblings'
+    digests joined, and what the climb from the claimed digest comes to."""
     nodes = saved(_by_block(m), "merkle-blocks")
-    names = {"leaves": m.leaves, "nodes": nodes}
+    sql = CLIMB.replace("{above}", f"{(BLOCK + 1) << LEVEL}L")
+    rows = spark.sql(sql, climbers=_climbers(m), nodes=nodes)
+    step = F.struct("step", "beside", "folded", "id")
+    per = rows.repartition("tree", "block").groupBy("tree", "block", "idx").agg(F.array_sort(F.collect_list(step)).alias("s"))
+    beside = lambda a, x: F.concat(a, F.coalesce(x["beside"], F.lit(b"")))
+    per = per.select("tree", "block", "idx", F.col("s")[0]["id"].alias("id"), F.col("s")[0]["beside"].alias("leaf"),
+                     F.aggregate(F.slice("s", 2, F.size("s")), F.lit(b""), beside).alias("own"),
+                     F.element_at("s", -1)["folded"].alias("folded"))
+    path = F.max(F.when(F.col("idx").isNull(), F.col("own"))).over(Window.partitionBy("tree", "block"))
+    per = per.withColumn("path", path).where(F.col("idx").isNotNull()) \
+        .select("tree", "id", "leaf", F.sha2(as_text(F.concat("own", "path")), 256).alias("proof"), "folded")
     # a recursion has one row per leaf and step, which the setting's default would refuse
     before = spark.conf.get(ROW_LIMIT)
     spark.conf.set(ROW_LIMIT, "-1")
     try:
-        return saved(spark.sql(CLIMB.replace("{shift}", str(BITS * BLOCK)), **names), "merkle-climb")
+        return saved(per, "merkle-proofs")
     finally:
         spark.conf.set(ROW_LIMIT, before)
 
 
 def proofs(spark: SparkSession, m: Manifest) -> DataFrame:
     """Per leaf: id, grp, leaf, subroot, root, proof_sha256, folded_root, verified."""
-    step = F.struct("step", "beside", "folded")
-    per = climbed(spark, m).groupBy("tree", "idx", "id").agg(F.array_sort(F.collect_list(step)).alias("s"))
-    siblings = F.aggregate(F.slice("s", 2, F.size("s")), F.lit(b""), lambda a, x: F.concat(a, x["beside"]))
-    per = per.select("tree", "id", as_text(F.col("s")[0]["beside"]).alias("leaf"), F.sha2(as_text(siblings), 256).alias("proof_sha256"),
-                     as_text(F.element_at("s", -1)["folded"]).alias("folded_root"))
     trees = m.trees.select(F.col("tree").alias("_t"), "grp", as_text(F.col("subroot")).alias("subroot"))
-    return per.join(trees, F.col("tree") == F.col("_t")).select(
-        "id", "grp", "leaf", "subroot", F.lit(m.root).cast("string").alias("root"), "proof_sha256", "folded_root",
-        (F.col("folded_root") == F.lit(m.root)).alias("verified"))
+    folded = as_text(F.col("folded"))
+    return climbed(spark, m).join(trees, F.col("tree") == F.col("_t")).select(
+        "id", "grp", as_text(F.col("leaf")).alias("leaf"), "subroot", F.lit(m.root).cast("string").alias("root"),
+        F.col("proof").alias("proof_sha256"), folded.alias("folded_root"), (folded == F.lit(m.root)).alias("verified"))
