@@ -14,12 +14,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerostream.functions.flight import count_severity, status_is
 from aerostream.schema import DELAYED, FLIGHT_FIELDS, FLIGHT_NUMBER, ORIGIN, SEQ
 
 
-def latest_by_key(df: DataFrame, key: str, order: str, payload: list[str]) -> DataFrame:
+# fixed values: fields of an arrival order read from a topic (see ``sources.kafka.arrival``)
+ARRIVAL_FIELDS = ["partition", "offset", "ms"]
+
+
+def _by_partition(df: DataFrame, order: str) -> bool:
+    dt = df.schema[order].dataType
+    return isinstance(dt, T.StructType) and dt.names == ARRIVAL_FIELDS
+
+
+def newest_per_partition(df: DataFrame, key: str, order: str, payload: list[str], first: tuple[str, ...] = (),
+                         last: tuple[str, ...] = ()) -> DataFrame:
+    """The rows that can still be a key's newest: one per key, or one per key
+    and topic partition where ``order`` is an arrival struct, as only offsets of
+    one partition tell which record came later. ``first`` and ``last`` are columns
+    that count before and after the order."""
+    by = [F.col(f"{order}.partition").alias("_partition")] if _by_partition(df, order) else []
+    rest = [c for c in payload if c not in (order, *first, *last)]
+    top = df.groupBy(key, *by).agg(F.max(F.struct(*first, order, *last, *rest)).alias("_last"))
+    return top.select(key, *[F.col(f"_last.{c}").alias(c) for c in dict.fromkeys([*payload, *first, order, *last])])
+
+
+def latest_by_key(df: DataFrame, key: str, order: str, payload: list[str], first: tuple[str, ...] = (),
+                  last: tuple[str, ...] = ()) -> DataFrame:
     """Row with the highest ``order`` per ``key``, one plan for every size.
 
     ``max(struct(order, payload))``: a null order loses against any other, equal
@@ -27,10 +50,18 @@ def latest_by_key(df: DataFrame, key: str, order: str, payload: list[str]) -> Da
     on the order of rows. A null key is a key of its own. Partial aggregation
     runs before the shuffle (a sort-based aggregate that spills), so a hot key
     costs one row per task. Works on batch and streaming input.
+
+    An arrival struct orders the records of a partition by offset; the newest of
+    each partition are then held against each other by time. That takes two
+    groupings, which streaming aggregations do not allow: such streams keep their
+    newest records in a sink (``streaming.maintained``, ``sinks.table``).
     """
-    rest = [c for c in payload if c != order]
-    last = df.groupBy(key).agg(F.max(F.struct(order, *rest)).alias("_last"))
-    return last.select(key, *[F.col(f"_last.{c}").alias(c) for c in payload])
+    rows = newest_per_partition(df, key, order, payload, first, last)
+    if not _by_partition(df, order):
+        return rows.select(key, *payload)
+    rest = [c for c in payload if c not in (order, *first, *last)]
+    top = rows.groupBy(key).agg(F.max(F.struct(*first, F.col(f"{order}.ms").alias("_ms"), order, *last, *rest)).alias("_last"))
+    return top.select(key, *[F.col(f"_last.{c}").alias(c) for c in payload])
 
 
 def latest_flight(flights: DataFrame, order: str = SEQ, keep_order: bool = False) -> DataFrame:

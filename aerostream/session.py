@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +27,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # 4.1 takes a union's sides as partitioned alike even where the adaptive
+        # plan coalesces them unlike each other, and groups such rows apart
+        "spark.sql.unionOutputPartitioning": "false",
         "spark.ui.enabled": "false",
         # remove checkpoint files of RDDs that are no longer referenced
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -90,40 +92,3 @@ def size_shuffle_partitions(spark: SparkSession, *inputs, bytes_per_partition: i
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(bytes_per_partition))
     return n
-
-
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``aerostream`` importable in the Python workers of this application.
-
-    Operators that run Python in tasks (``mapInPandas``, the stateful
-    processor) pickle their functions by reference to this package, so every
-    executor must be able to import it. The package's sources are zipped once
-    per application and added with ``addPyFile`` (served by the driver and
-    put on each worker's path), as one would pass ``--py-files`` to spark-submit.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # remote client: the package must be installed on the server side
-        return
-    app = sc.applicationId
-    if app in _SHIPPED:
-        return
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    base = os.path.dirname(pkg_dir)
-    out = os.path.join(tempfile.mkdtemp(prefix="aerostream-pyfiles-"), "aerostream.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for root, _, files in os.walk(pkg_dir):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(root, f)
-                    z.write(full, os.path.relpath(full, base))
-    sc.addPyFile(out)
-    # Python processes Spark starts on the driver for streaming operators (the
-    # stateful processor's driver-side worker) take PYTHONPATH from the
-    # functions' environment rather than from the added files.
-    current = sc.environment.get("PYTHONPATH", "")
-    sc.environment["PYTHONPATH"] = out + (os.pathsep + current if current else "")
-    _SHIPPED.add(app)

@@ -32,8 +32,10 @@ def encode_word_counts(counts: DataFrame) -> DataFrame:
 
 def encode_json_upsert(df: DataFrame, key: str) -> DataFrame:
     """key = ``key`` column as string, value = the whole row as JSON (upsert topic:
-    the last value per key wins on read / compaction)."""
-    return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
+    the last value per key wins on read / compaction). Nulls are written, so a
+    reader can tell a null from a field that was never there."""
+    value = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    return df.select(F.col(key).cast("string").alias("key"), value.alias("value"))
 
 
 def encode_alerts(alerts: DataFrame) -> DataFrame:

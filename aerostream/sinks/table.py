@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerostream.operators.state import latest_by_key
+from aerostream.operators.state import latest_by_key, newest_per_partition
 from aerostream.session import checkpoint_path
 
 GENERATION, BATCH = "gen", "batch"
@@ -28,11 +28,16 @@ def newest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     return latest_by_key(df, key, order, [c for c in df.columns if c != key])
 
 
+def candidates(df: DataFrame, key: str, order: str) -> DataFrame:
+    """The rows of a batch that a keyed table has to keep."""
+    return newest_per_partition(df, key, order, [c for c in df.columns if c != key])
+
+
 def upsert(batch: DataFrame, path: str, key: str, order: str, batch_id: int, generation: int = 0) -> None:
     """Add ``batch``'s newest row per key to the keyed table at ``path``."""
     if batch.isEmpty():
         return
-    new = newest_per_key(batch, key, order)
+    new = candidates(batch, key, order)
     new.write.mode("overwrite").parquet(f"{path}/{GENERATION}={generation}/{BATCH}={batch_id}")
 
 
@@ -57,9 +62,8 @@ def read_keyed(spark: SparkSession, path: str, key: str, order: str, schema: T.S
 
 
 def _current(raw: DataFrame, key: str, order: str, schema: T.StructType) -> DataFrame:
-    rank = F.struct(GENERATION, order, BATCH)
     names = [f.name for f in schema.fields]
-    return latest_by_key(raw.withColumn("_rank", rank), key, "_rank", [c for c in names if c != key]).select(*names)
+    return latest_by_key(raw, key, order, [c for c in names if c != key], first=(GENERATION,), last=(BATCH,)).select(*names)
 
 
 def lookup(spark: SparkSession, path: str, key: str, value, order: str, schema: T.StructType) -> DataFrame:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,25 +45,85 @@ def placeholder_flights(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], SEQUENCED_FLIGHT_SCHEMA)
 
 
+# fixed values: Spark's error conditions for a source that is not there
+NOTHING_TO_READ = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def _nothing_there(e: AnalysisException) -> bool:
+    return (e.getCondition() or "").split(".")[0] in NOTHING_TO_READ
+
+
 def read_or_placeholder(spark: SparkSession, read) -> DataFrame:
     """``read()`` or, if there is nothing to read (missing path or table, no
-    schema to be found, a source that does not answer in time), the placeholder
-    table. Any other failure is raised: a table that exists is never taken for an
-    empty one."""
+    schema to be found), the placeholder table. Any other failure is raised: a
+    table that exists is never taken for an empty one."""
     try:
         df = read()
         df.schema  # forces analysis: missing files or columns fail here
         return df
-    except TimeoutError:
-        return placeholder_flights(spark)
     except AnalysisException as e:
-        if (e.getCondition() or "").split(".")[0] in NOTHING_TO_READ:
+        if _nothing_there(e):
             return placeholder_flights(spark)
         raise
 
 
-# fixed values: Spark's error conditions for a source that is not there
-NOTHING_TO_READ = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+@dataclass(frozen=True)
+class Imported:
+    """An imported table; ``cut`` if it is the stand-in because time ran out,
+    ``missing`` if there was nothing to read."""
+
+    table: DataFrame
+    cut: bool = False
+    missing: bool = False
+
+
+def import_table(spark: SparkSession, read: Callable[[], DataFrame], path: str, seconds: float,
+                 stand_in: Callable[[SparkSession], DataFrame] = placeholder_flights) -> Imported:
+    """Copy ``read()`` to Parquet under ``path`` within a time limit.
+
+    All jobs of the copy run under a tag of their own. At the limit a timer
+    cancels that tag, so no job of the copy is left behind, and the stand-in
+    takes the table's place; what was written is uncommitted and never read. Any
+    failure that is not this cancellation is raised, as are failures that come
+    first.
+    """
+    sc = spark.sparkContext
+    tag = f"import-{uuid.uuid4().hex}"
+    ran_out = threading.Event()
+
+    def cancel() -> None:
+        ran_out.set()
+        # jobs may start after the limit, too: of a plan with several stages each is one
+        while not done.wait(0.2):
+            sc.cancelJobsWithTag(tag)
+
+    done = threading.Event()
+    timer = threading.Timer(seconds, cancel)
+    timer.daemon = True
+    sc.addJobTag(tag)
+    timer.start()
+    try:
+        df = read()
+        df.write.mode("overwrite").parquet(path)
+    except AnalysisException as e:
+        if _nothing_there(e):
+            return Imported(stand_in(spark), missing=True)
+        raise
+    except Exception as e:
+        if ran_out.is_set() and _cancelled(e, tag):
+            return Imported(stand_in(spark), cut=True)
+        raise
+    finally:
+        done.set()
+        timer.cancel()
+        sc.removeJobTag(tag)
+    return Imported(spark.read.schema(df.schema).parquet(path))
+
+
+def _cancelled(e: BaseException, tag: str) -> bool:
+    """Whether the failure says that the tag's jobs were cancelled."""
+    text = str(e) + str(getattr(e, "java_exception", ""))
+    return tag in text or "SPARK_JOB_CANCELLED" in text or "cancelled" in text
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

@@ -6,15 +6,18 @@ the classpath. Decoders take the connector's ``(key, value, topic, partition,
 offset, timestamp)`` rows and are plain column expressions, so they are unit
 tested on hand-made binary rows without a broker.
 
-Arrival order (``seq``) is the offset. It totally orders records of one topic
-partition, which is what "latest record wins" relies on; the flight topics are
-single-partition.
+Arrival order (``seq``) is the struct (partition, offset, ms): records of one topic
+partition are ordered by offset, which is what "latest record wins" relies on;
+see ``arrival`` for topics with several partitions.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerostream.schema import FLIGHT_AVRO_SCHEMA, FLIGHT_SCHEMA, MESSAGE_SCHEMA, SEQ, STATUS
 
@@ -100,17 +103,14 @@ def read_snapshot(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 # ------------------------------------------------------------------- decoders
 
 def arrival() -> Column:
-    """Arrival order over all partitions of a topic, as one long.
+    """Arrival order of a topic's records: (partition, offset, ms).
 
-    Offsets order the records of a partition only. Across partitions the
-    record's timestamp (ms) goes first, then offset and partition: 42 bits of
-    time, 11 of the offset's last digits, 10 of the partition. Records of one key
-    share a partition, so up to 2,048 of them within a millisecond keep their
-    order.
+    Offsets order the records of a partition, whatever their timestamps say;
+    timestamps only compare the newest records of different partitions. The
+    struct is kept whole: ``operators.state.latest_by_key`` applies that rule.
     """
-    ms = F.unix_millis("timestamp")
-    return (ms * F.lit(1 << 21) + F.pmod(F.col("offset"), F.lit(1 << 11)) * F.lit(1 << 10)
-            + F.pmod(F.col("partition"), F.lit(1 << 10))).cast("long")
+    return F.struct(F.col("partition").cast("int").alias("partition"), F.col("offset").cast("long").alias("offset"),
+                    F.unix_millis("timestamp").alias("ms"))
 
 
 def decode_text(records: DataFrame) -> DataFrame:
@@ -152,14 +152,104 @@ def decode_messages(records: DataFrame) -> DataFrame:
         F.from_json(F.col("value").cast("string"), MESSAGE_SCHEMA).getField("message").alias("message"))
 
 
-def decode(records: DataFrame, kind: str) -> DataFrame:
-    """Per-topic value decoder for snapshot tables: string, json, avro or binary."""
+# ------------------------------------------------------------------- declared topics
+
+# fixed values: the ways to read a key or a value
+KINDS = ("string", "json", "avro", "long", "binary")
+
+
+@dataclass(frozen=True)
+class Topic:
+    """How a topic's keys and values are written. JSON needs a struct type as
+    schema, Avro the schema's text."""
+
+    name: str
+    key: str = "string"
+    value: str = "string"
+    key_schema: T.StructType | str | None = None
+    value_schema: T.StructType | str | None = None
+
+    def __post_init__(self) -> None:
+        for kind, schema in ((self.key, self.key_schema), (self.value, self.value_schema)):
+            if kind not in KINDS:
+                raise ValueError(f"unknown decoder {kind!r}")
+            if kind in ("json", "avro") and schema is None:
+                raise ValueError(f"{self.name}: {kind} needs a schema")
+
+
+def long_of(c: Column) -> Column:
+    """8 big-endian bytes as a bigint."""
+    digits = F.hex(c)
+    high, low = F.conv(F.substring(digits, 1, 8), 16, 10).cast("long"), F.conv(F.substring(digits, 9, 8), 16, 10).cast("long")
+    return F.shiftleft(high, 32).bitwiseOR(low)
+
+
+_CORRUPT = "_corrupt"
+
+
+def _decoded(c: Column, kind: str, schema) -> tuple[Column, Column, str]:
+    """(what is read, whether it can be read, what to say if not)."""
     if kind == "string":
-        return decode_text(records)
+        return c.cast("string"), F.is_valid_utf8(c.cast("string")), "not utf-8"
+    if kind == "long":
+        return long_of(c), F.length(c) == 8, "not 8 bytes"
     if kind == "json":
-        return decode_flights_json(records)
+        wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+        read = F.from_json(c.cast("string"), wide, {"columnNameOfCorruptRecord": _CORRUPT})
+        return F.struct(*[read[n].alias(n) for n in schema.names]), read.isNotNull() & read[_CORRUPT].isNull(), "not json"
     if kind == "avro":
-        return decode_flights_avro(records)
-    if kind == "binary":
-        return records.select("key", "value", arrival().alias(SEQ))
-    raise ValueError(f"unknown decoder {kind!r}")
+        from pyspark.sql.avro.functions import from_avro
+
+        read = from_avro(registry_payload(c), schema, {"mode": "PERMISSIVE"})
+        return read, read.isNotNull(), "not avro"
+    return c, F.lit(True), ""
+
+
+def _read(records: DataFrame, topic: Topic) -> DataFrame:
+    """One projection over a topic's records: key, value, seq and, per field, why
+    it cannot be read. A null key or value (a tombstone) can."""
+    out = {"key": F.col("key"), "value": F.col("value")}
+    why = []
+    for name, kind, schema in (("key", topic.key, topic.key_schema), ("value", topic.value, topic.value_schema)):
+        read, fine, reason = _decoded(F.col(name), kind, schema)
+        there = F.col(name).isNotNull()
+        out[name] = F.when(there & fine, read)
+        why.append(F.when(there & ~F.coalesce(fine, F.lit(False)), F.struct(F.lit(name).alias("field"), F.lit(reason).alias("reason"))))
+    return records.where(F.col("topic") == topic.name).select(
+        F.col("topic"), F.col("partition"), F.col("offset"), out["key"].alias("key"), out["value"].alias("value"),
+        arrival().alias(SEQ), F.array_compact(F.array(*why)).alias("_bad"))
+
+
+def topic_rows(records: DataFrame, topic: Topic) -> DataFrame:
+    """(key, value, seq) of the topic's records that can be read."""
+    return _read(records, topic).where(F.size("_bad") == 0).select("key", "value", SEQ)
+
+
+def bad_records(records: DataFrame, topics: list[Topic]) -> DataFrame:
+    """(topic, partition, offset, field, reason): the side output of records that
+    cannot be read, one row per field, and of topics that nobody declared."""
+    known = [t.name for t in topics]
+    other = records.where(~F.coalesce(F.col("topic").isin(known), F.lit(False))).select(
+        "topic", "partition", "offset", F.lit("topic").alias("field"), F.lit("no decoder").alias("reason"))
+    for t in topics:
+        bad = _read(records, t).select("topic", "partition", "offset", F.explode("_bad").alias("b"))
+        other = other.unionByName(bad.select("topic", "partition", "offset", "b.field", "b.reason"))
+    return other
+
+
+def flight_rows(records: DataFrame, topic: Topic) -> DataFrame:
+    """Sequenced, normalised flight records of a topic whose values are flights."""
+    return _flatten(topic_rows(records, topic).select(F.col("value").alias("f"), SEQ))
+
+
+def register_topics(records: DataFrame, topics: list[Topic], prefix: str = "") -> list[str]:
+    """A view per topic over a bounded snapshot or a stream of records: the
+    fields of a struct value as columns, else ``key`` and ``value``, and ``seq``."""
+    names = []
+    for t in topics:
+        rows = topic_rows(records, t)
+        if isinstance(rows.schema["value"].dataType, T.StructType):
+            rows = rows.select("value.*", *[c for c in ("key", SEQ) if c not in rows.schema["value"].dataType.names])
+        names.append(prefix + t.name.replace("-", "_").replace(".", "_"))
+        rows.createOrReplaceTempView(names[-1])
+    return names

@@ -14,21 +14,17 @@ state stores of the original applications.
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from aerostream.operators import state, words
+from aerostream.operators import words
+from aerostream.schema import FLIGHT_NUMBER, SEQ
 from aerostream.session import checkpoint_path
 from aerostream.sinks import kafka as ksink
 from aerostream.sinks import table as tbl
 from aerostream.sources import kafka as ksrc
-from aerostream.streaming.retract import delayed_by_origin_stream, retraction_sink
-from aerostream.streaming.views import start_view
-
-log = logging.getLogger("aerostream")
+from aerostream.streaming.views import start_delayed_by_origin, start_view
 
 
 def word_count_query(lines: DataFrame, mode: str = "java") -> DataFrame:
@@ -44,31 +40,27 @@ def start_word_count(spark: SparkSession, kafka: dict[str, str], input_topic: st
     return ksink.write_stream(out, kafka, output_topic, ckpt, "update", name="word-count")
 
 
-def flight_queries(flights: DataFrame) -> dict[str, DataFrame]:
-    """The maintained tables of the flight application."""
+def start_flight_tables(flights: DataFrame, table_root: str, checkpoint: str, generation: int = 0,
+                        trigger: dict | None = None) -> dict[str, StreamingQuery]:
+    """Keep both tables of the flight application under ``table_root``:
+    ``flights``, the newest record per flight (``sinks.table``), and ``delayed``,
+    the retracting count (``retract.read_delayed`` and ``read_changes``)."""
     return {
-        "flights-store": state.latest_flight(flights, keep_order=True),
-        "delayed-by-origin-store": delayed_by_origin_stream(flights),
+        "flights-store": start_view(
+            flights, "flights-store", "append", sink=tbl.upsert_sink(f"{table_root}/flights", FLIGHT_NUMBER, SEQ, generation),
+            checkpoint=f"{checkpoint}/flights-store", trigger=trigger),
+        "delayed-by-origin-store": start_delayed_by_origin(
+            flights, f"{table_root}/delayed", "delayed-by-origin-store", generation,
+            checkpoint=f"{checkpoint}/delayed-by-origin-store", trigger=trigger),
     }
 
 
 def start_flights(spark: SparkSession, kafka: dict[str, str], topic: str, table_root: str,
                   registry_framed: bool = True, checkpoint: str | None = None, generation: int = 0) -> dict[str, StreamingQuery]:
-    """Start both maintained tables, Parquet tables written batch by batch
-    under ``table_root``: ``flights`` keyed by flight, and the contributions of
-    ``delayed``, read by ``retract.read_delayed`` and ``read_changes``. A replay
-    with a fresh checkpoint passes the next ``generation``."""
+    """Start both tables over an Avro topic. A replay with a fresh checkpoint
+    passes the next ``generation``."""
     src = ksrc.decode_flights_avro(ksrc.read_stream(spark, {**kafka, "subscribe": topic}), registry_framed)
-    base = checkpoint or checkpoint_path(spark, "apps", "flights")
-    return {
-        "flights-store": start_view(
-            state.latest_flight(src, keep_order=True), "flights-store", "update",
-            sink=tbl.upsert_sink(f"{table_root}/flights", "flightNumber", "seq", generation),
-            checkpoint=f"{base}/flights-store"),
-        "delayed-by-origin-store": start_view(
-            src, "delayed-by-origin-store", "append", sink=retraction_sink(f"{table_root}/delayed", generation),
-            checkpoint=f"{base}/delayed-by-origin-store"),
-    }
+    return start_flight_tables(src, table_root, checkpoint or checkpoint_path(spark, "apps", "flights"), generation)
 
 
 def start_flight_log(flights: DataFrame, path: str, name: str = "flight-log", unit: str = "ms",
@@ -96,13 +88,6 @@ def publish_lines(spark: SparkSession, path: str, kafka: dict[str, str], topic:
     ksink.write_batch(ksink.encode_lines(delimited_lines(spark, path, header)), kafka, topic)
 
 
-def peek(name: str):
-    """``foreachBatch`` observer: log how many rows changed in each batch."""
-    def _sink(batch: DataFrame, batch_id: int) -> None:
-        log.info("%s batch %d: %d changed rows", name, batch_id, batch.count())
-    return _sink
-
-
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     """The physical plan as text (the topology description)."""
     return df._jdf.queryExecution().explainString(

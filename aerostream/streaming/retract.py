@@ -1,213 +1,39 @@
-"""Retracting count of currently-delayed flights per origin, as a stream.
+"""Retracting count of currently delayed flights per origin, as a stream.
 
-``retraction_sink`` is the form for maintained tables: a ``foreachBatch``
-function that stays in the JVM. ``delayed_by_origin_stream`` is a streaming
-DataFrame for every other sink:
-
-Two chained streaming aggregations are refused by Spark, so the first stage is
-a keyed stateful processor: per flight it remembers the (origin, delayed, seq)
-it last contributed and, when newer records arrive, emits the retraction of
-the old contribution and the new one as signed deltas. The second stage is a
-plain streaming ``groupBy(origin).sum(delta)`` (partial aggregation before its
-shuffle, so hub airports are pre-summed map-side).
-
-Within one micro-batch only the newest record of a flight matters (the
-intermediate deltas cancel), so the processor reads its input chunk by chunk
-(Arrow batches) and keeps one running candidate: memory per flight is one
-chunk, however many updates a hot flight receives. Records older than the
-remembered ``seq`` are ignored, so out-of-order delivery cannot roll a flight
-back.
+The newest record of each flight is kept (``maintained.current_sink``); a record
+that replaces another takes the flight out of the old origin's count and adds it
+to the new one's. Older records, and records delivered again, change nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-from aerostream.functions.flight import status_is
-from aerostream.operators.state import latest_by_key
-from aerostream.schema import DELAYED, FLIGHT_NUMBER, ORIGIN, SEQ, STATUS
-from aerostream.session import ship_package
-from aerostream.sinks import table as tbl
-
-_STATE = T.StructType([
-    T.StructField("origin", T.StringType(), True),
-    T.StructField("delayed", T.LongType(), True),
-    T.StructField("seq", T.LongType(), True),
-])
-DELTA_SCHEMA = "origin string, delta long"
-
-
-def _newest(rows: Iterator[pd.DataFrame]) -> pd.Series | None:
-    best = None
-    for chunk in rows:
-        if chunk.empty:
-            continue
-        cand = chunk.loc[chunk[SEQ].idxmax()]
-        if best is None or cand[SEQ] > best[SEQ]:
-            best = cand
-    return best
-
-
-class DelayedContribution(StatefulProcessor):
-    """Per flight: emit (old_origin, -old) and (new_origin, +new) on change."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.current = handle.getValueState("current", _STATE)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        last = _newest(rows)
-        if last is None:
-            return
-        out = []
-        if self.current.exists():
-            origin, delayed, seq = self.current.get()
-            if seq is not None and seq >= last[SEQ]:
-                return  # nothing newer than what is already counted
-            if origin is not None:
-                out.append((origin, -int(delayed)))
-        status = last[STATUS]
-        now = 1 if isinstance(status, str) and status.upper() == DELAYED else 0
-        origin = last[ORIGIN]
-        if origin is not None and not (isinstance(origin, float) and pd.isna(origin)):
-            out.append((origin, now))
-        else:
-            origin, now = None, 0
-        self.current.update((origin, now, int(last[SEQ])))
-        if out:
-            yield pd.DataFrame(out, columns=["origin", "delta"])
-
-    def close(self) -> None:
-        pass
-
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
-
-
-def require_rocksdb(spark) -> None:
-    """The stateful processor API needs the RocksDB state store; select it for
-    queries started from now on if the session uses another provider."""
-    if spark.conf.get(_PROVIDER_CONF, None) != ROCKSDB:
-        spark.conf.set(_PROVIDER_CONF, ROCKSDB)
-
 
-def _newest_per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Keep the newest row per flight of one input partition (Arrow batches in,
-    memory bounded by the distinct flights of the partition)."""
-    acc = None
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        cur = pdf if acc is None else pd.concat([acc, pdf], ignore_index=True)
-        cur = cur.reset_index(drop=True)
-        acc = cur.loc[cur.groupby(FLIGHT_NUMBER, sort=False)[SEQ].idxmax()]
-    if acc is not None:
-        yield acc
+from aerostream.schema import FLIGHT_NUMBER, ORIGIN, SEQ, SEQUENCED_FLIGHT_SCHEMA
+from aerostream.streaming.flightviews import delayed_view
+from aerostream.streaming.log import FOLD_EVERY
+from aerostream.streaming.maintained import current_sink, read_view, read_view_changes
 
 
-def delayed_deltas(flights: DataFrame, prereduce: bool = True) -> DataFrame:
-    """Signed per-origin deltas (streaming or batch input with ``seq``).
-
-    With ``prereduce`` each input partition first keeps only its newest record
-    per flight (a stateless map-side step), so a flight updated millions of
-    times in one micro-batch ships at most one row per input partition to the
-    stateful processor.
-    """
-    require_rocksdb(flights.sparkSession)
-    ship_package(flights.sparkSession)  # the processor and the pre-reduction run in Python workers
-    src = flights.where(F.col(FLIGHT_NUMBER).isNotNull() & F.col(SEQ).isNotNull()) \
-        .select(FLIGHT_NUMBER, ORIGIN, STATUS, SEQ)
-    if prereduce:
-        src = src.mapInPandas(_newest_per_partition, src.schema)
-    return src.groupBy(FLIGHT_NUMBER).transformWithStateInPandas(
-        statefulProcessor=DelayedContribution(),
-        outputStructType=DELTA_SCHEMA,
-        outputMode="Update",
-        timeMode="None",
-    )
-
-
-def delayed_by_origin_stream(flights: DataFrame, prereduce: bool = True) -> DataFrame:
-    """(origin, delayed_count) — write with ``outputMode("update")``.
-
-    Origins whose flights all left or stopped being delayed stay at 0, as in
-    the keyed table of the original topology.
-    """
-    deltas = delayed_deltas(flights, prereduce)
-    return deltas.groupBy(ORIGIN).agg(F.sum("delta").cast("long").alias("delayed_count"))
-
-
-CONTRIBUTION = T.StructType([
-    T.StructField(FLIGHT_NUMBER, T.StringType()), *_STATE.fields,
-    T.StructField("old_origin", T.StringType()), T.StructField("old_delayed", T.LongType()),
-])
-
-
-def contributions(batch: DataFrame, before: DataFrame) -> DataFrame:
-    """What each flight of a batch contributes now and contributed before
-    (``CONTRIBUTION``), given the rows of all earlier batches.
-
-    A flight's newest record is reduced map-side, so a hot flight costs one row
-    per task. Records not newer than the flight's last contribution change
-    nothing; a null origin contributes nothing; records without a flight or
-    ``seq`` are left out, as they have no place in the order of a flight.
-    """
-    rows = batch.where(F.col(FLIGHT_NUMBER).isNotNull() & F.col(SEQ).isNotNull())
-    new = latest_by_key(rows, FLIGHT_NUMBER, SEQ, [ORIGIN, STATUS, SEQ]).select(
-        FLIGHT_NUMBER, F.col(ORIGIN).alias("origin"),
-        F.when(status_is(DELAYED) & F.col(ORIGIN).isNotNull(), 1).otherwise(0).cast("long").alias("delayed"), F.col(SEQ).alias("seq"))
-    old = latest_by_key(before, FLIGHT_NUMBER, "seq", ["origin", "delayed", "seq"]).select(
-        F.col(FLIGHT_NUMBER).alias("_flight"), F.col("origin").alias("old_origin"), F.col("delayed").alias("old_delayed"),
-        F.col("seq").alias("_seq"))
-    return new.join(old, F.col(FLIGHT_NUMBER) == F.col("_flight"), "left") \
-        .where(F.col("_seq").isNull() | (F.col("seq") > F.col("_seq"))).select(*CONTRIBUTION.names)
-
-
-def _of_generation(spark, path: str, generation: int) -> DataFrame:
-    rows = tbl.read_batches(spark, path, CONTRIBUTION)
-    if rows is None:
-        return spark.createDataFrame([], T.StructType([*CONTRIBUTION.fields, T.StructField(tbl.BATCH, T.LongType())]))
-    return rows.where(F.col(tbl.GENERATION) == generation)
-
-
-def retraction_sink(path: str, generation: int = 0):
-    """``foreachBatch`` function that keeps under ``path`` what each flight
-    contributes, with what that replaced.
-
-    A batch writes only the flights it changes, once, to a folder of its own,
-    and looks at earlier batches only: delivered again, it replaces its rows by
-    the same ones. The last contributions are found by a scan of four columns.
-    """
+def retraction_sink(path: str, generation: int = 0, every: int = FOLD_EVERY):
+    """``foreachBatch`` function that keeps the counts under ``path``."""
     def _sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        before = _of_generation(batch.sparkSession, path, generation).where(F.col(tbl.BATCH) < batch_id)
-        contributions(batch, before).write.mode("overwrite").parquet(f"{path}/{tbl.GENERATION}={generation}/{tbl.BATCH}={batch_id}")
+        current_sink(path, delayed_view(), FLIGHT_NUMBER, SEQ, every, generation)(batch, batch_id)
     return _sink
 
 
-def _signed(spark, path: str, generation: int) -> DataFrame:
-    """(batch, origin, delta): one row per contribution and per retraction."""
-    moves = F.array(F.struct(F.col("origin"), F.col("delayed").alias("delta")),
-                    F.struct(F.col("old_origin").alias("origin"), (-F.col("old_delayed")).alias("delta")))
-    return _of_generation(spark, path, generation).select(F.col(tbl.BATCH).cast("long").alias("batch"), F.explode(moves).alias("m")) \
-        .select("batch", "m.origin", "m.delta").where(F.col("origin").isNotNull())
-
-
-def read_changes(spark, path: str, generation: int = 0) -> DataFrame:
+def read_changes(spark: SparkSession, path: str, generation: int = 0, schema: T.StructType = SEQUENCED_FLIGHT_SCHEMA) -> DataFrame:
     """(batch, origin, delta, delayed_count): the changelog of the counts, with
     the count after each batch. An origin has one row per batch that names it."""
-    so_far = Window.partitionBy("origin").orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return _signed(spark, path, generation).groupBy("batch", "origin").agg(F.sum("delta").alias("delta")) \
+    so_far = Window.partitionBy(ORIGIN).orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = read_view_changes(spark, path, delayed_view(), "delayed", schema, generation)
+    return rows.select("batch", ORIGIN, F.col("delayed_count").cast("long").alias("delta")) \
         .withColumn("delayed_count", F.sum("delta").over(so_far))
 
 
-def read_delayed(spark, path: str, generation: int = 0) -> DataFrame:
+def read_delayed(spark: SparkSession, path: str, generation: int = 0, schema: T.StructType = SEQUENCED_FLIGHT_SCHEMA) -> DataFrame:
     """(origin, delayed_count) now; origins that fell to 0 stay at 0."""
-    return _signed(spark, path, generation).groupBy("origin").agg(F.sum("delta").alias("delayed_count"))
+    return read_view(spark, path, delayed_view(), "delayed", schema, generation=generation) \
+        .select(ORIGIN, F.col("delayed_count").cast("long").alias("delayed_count"))

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from aerostream.operators import state, views, words
 from aerostream.session import checkpoint_path
-from aerostream.streaming.retract import delayed_by_origin_stream
+from aerostream.streaming.retract import retraction_sink
 
 # view name -> (builder over the flight stream, output mode)
 FLIGHT_VIEWS: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
@@ -31,7 +31,6 @@ FLIGHT_VIEWS: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
     "airport_congestion": (views.airport_congestion, "update"),
     "flight_alerts": (views.flight_alerts, "append"),
     "latest_flight": (lambda f: state.latest_flight(f), "update"),
-    "delayed_by_origin": (delayed_by_origin_stream, "update"),
 }
 
 
@@ -62,6 +61,11 @@ def start_flight_view(flights: DataFrame, name: str, sink: str | Callable = "mem
     return start_view(build(flights), name, mode, sink, **kw)
 
 
+def start_delayed_by_origin(flights: DataFrame, path: str, name: str = "delayed_by_origin", generation: int = 0, **kw) -> StreamingQuery:
+    """Keep the retracting count under ``path``; see ``retract.read_delayed``."""
+    return start_view(flights, name, "append", sink=retraction_sink(path, generation), **kw)
+
+
 def word_count_stream(lines: DataFrame, mode: str = "java", value_col: str = "value") -> DataFrame:
     """Streaming (word, count); write with ``outputMode("update")``."""
     return words.word_count(lines, value_col, mode)

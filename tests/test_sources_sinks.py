@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from aerostream.sinks import kafka as ksink
@@ -51,7 +52,7 @@ def test_decode_flights_json(spark):
            "scheduledDeparture": 1000, "actualDeparture": None, "status": "delayed"}
     recs = _records(spark, [json.dumps(rec), "not json"])
     got = ksrc.decode_flights_json(recs).collect()
-    assert len(got) == 1 and got[0]["status"] == "DELAYED" and got[0]["seq"] == 1704067200000 * 2 ** 21
+    assert len(got) == 1 and got[0]["status"] == "DELAYED" and tuple(got[0]["seq"]) == (0, 0, 1704067200000)
 
 
 def test_registry_payload_strips_header(spark):
@@ -71,6 +72,8 @@ def test_json_upsert_encoding(spark):
     df = spark.createDataFrame([("hello", 2)], "word string, count long")
     r = ksink.encode_json_upsert(df, "word").first()
     assert r["key"] == "hello" and json.loads(r["value"]) == {"word": "hello", "count": 2}
+    none = spark.createDataFrame([("hello", None)], "word string, count long")
+    assert json.loads(ksink.encode_json_upsert(none, "word").first()["value"]) == {"word": "hello", "count": None}
     lines = ksink.encode_lines(spark.createDataFrame([("x",)], "value string")).first()
     assert lines["key"] is None and lines["value"] == "x"
 
@@ -101,12 +104,50 @@ def test_publish_lines_records(spark, workdir):
     assert [(r["key"], r["value"]) for r in recs] == [(None, "x,1"), (None, "y,2")]
 
 
-def test_arrival_order_over_partitions(spark):
-    rows = [(2, 7, 1000), (0, 9, 1001), (1, 3, 1001), (0, 10, 1001), (0, 2047, 1002), (0, 2048, 1003)]
-    df = spark.createDataFrame([(p, o, dt.datetime.fromtimestamp(ms / 1000, dt.timezone.utc)) for p, o, ms in rows],
-                               "partition int, offset long, timestamp timestamp")
-    got = [(r.partition, r.offset) for r in df.orderBy(ksrc.arrival()).collect()]
-    assert got == [(2, 7), (1, 3), (0, 9), (0, 10), (0, 2047), (0, 2048)]
+def _arrived(spark, rows):
+    """(key, partition, offset, ms, origin) as flight records with an arrival order."""
+    from aerostream.schema import FLIGHT_SCHEMA
+
+    values = [(json.dumps({"flightNumber": k, "origin": origin, "status": "delayed"}).encode(), p, o,
+               dt.datetime.fromtimestamp(ms / 1000, dt.timezone.utc)) for k, p, o, ms, origin in rows]
+    recs = spark.createDataFrame(values, "value binary, partition int, offset long, timestamp timestamp") \
+        .withColumns({"topic": F.lit("flights"), "key": F.lit(None).cast("binary")})
+    return ksrc.flight_rows(recs, ksrc.Topic("flights", value="json", value_schema=FLIGHT_SCHEMA))
+
+
+# per key, in order of delivery; the last one is the newest unless its origin says otherwise
+ARRIVALS = [
+    # offsets 2047 and 2048 in one millisecond
+    [("A", 0, 2047, 5, "A-old"), ("A", 0, 2048, 5, "A-new")],
+    # a clock that steps back
+    [("B", 0, 10, 900, "B-old"), ("B", 0, 11, 100, "B-new")],
+    # the key moves to another partition
+    [("C", 1, 7, 100, "C-old"), ("C", 0, 3, 200, "C-new")],
+    # by offset 80 is partition 0's newest; by time partition 1's newest is the newer of the two
+    [("D", 0, 1, 100, "D-old"), ("D", 1, 1, 90, "D-new"), ("D", 0, 2, 80, "D-old")],
+]
+NEWEST = {"A-new", "B-new", "C-new", "D-new"}
+
+
+def test_latest_by_arrival(spark, workdir):
+    from aerostream.operators.state import latest_flight
+    from aerostream.sinks import table as tbl
+    from aerostream.streaming.retract import read_delayed, retraction_sink
+
+    rows = [r for case in ARRIVALS for r in case]
+    for order in (rows, rows[::-1]):
+        assert {r.origin for r in latest_flight(_arrived(spark, order)).collect()} == NEWEST
+    target, keyed = f"{workdir}/t", f"{workdir}/k"
+    sink = retraction_sink(target, every=2)
+    for batch in range(3):  # each key's records in batches of their own, the second delivered twice
+        one = _arrived(spark, [case[batch] for case in ARRIVALS if batch < len(case)])
+        for _ in range(2 if batch == 1 else 1):
+            sink(one, batch)
+            tbl.upsert(one, keyed, "flightNumber", "seq", batch)
+    counts = {r.origin: r.delayed_count for r in read_delayed(spark, target, schema=one.schema).collect()}
+    assert {k for k, v in counts.items() if v} == NEWEST and sum(counts.values()) == 4
+    assert {r.origin for r in tbl.read_keyed(spark, keyed, "flightNumber", "seq", one.schema).collect()} == NEWEST
+    assert [r.origin for r in tbl.lookup(spark, keyed, "flightNumber", "D", "seq", one.schema).collect()] == ["D-new"]
 
 
 def test_registry_key_precedence():
@@ -140,3 +181,69 @@ def test_placeholder_only_where_there_is_nothing(spark, tmp_path):
     path = str(tmp_path / "flights")
     spark.createDataFrame([("F1", "delayed")], "flightNumber string, status string").write.parquet(path)
     assert parquet_view(spark, path).first().status == "DELAYED"
+
+
+def test_declared_topics(spark):
+    from aerostream.schema import MESSAGE_SCHEMA
+
+    t = dt.datetime(2024, 1, 1)
+    rows = [("a", 0, 0, b"k", b'{"message": "hi"}'), ("a", 0, 1, b"k", b'{"message"'), ("a", 0, 2, b"\xff", b""), ("a", 0, 3, None, None),
+            ("n", 1, 0, b"x", (5).to_bytes(8, "big")), ("n", 1, 1, b"x", (-5).to_bytes(8, "big", signed=True)), ("n", 1, 2, b"x", b"123"),
+            ("raw", 0, 0, b"\xff", b"\xff"), ("who", 0, 0, None, b"x")]
+    recs = spark.createDataFrame([(tp, p, o, k, v, t) for tp, p, o, k, v in rows],
+                                 "topic string, partition int, offset long, key binary, value binary, timestamp timestamp")
+    topics = [ksrc.Topic("a", value="json", value_schema=MESSAGE_SCHEMA), ksrc.Topic("n", value="long"), ksrc.Topic("raw", "binary", "binary")]
+    bad = sorted(tuple(r) for r in ksrc.bad_records(recs, topics).collect())
+    assert bad == [("a", 0, 1, "value", "not json"), ("a", 0, 2, "key", "not utf-8"), ("a", 0, 2, "value", "not json"),
+                   ("n", 1, 2, "value", "not 8 bytes"), ("who", 0, 0, "topic", "no decoder")]
+    names = ksrc.register_topics(recs, topics, "decl_")
+    assert names == ["decl_a", "decl_n", "decl_raw"]
+    assert sorted(spark.table("decl_n").select("value").toPandas()["value"]) == [-5, 5]
+    got = spark.sql("SELECT message, key FROM decl_a ORDER BY seq.offset").collect()
+    assert [tuple(r) for r in got] == [("hi", "k"), (None, None)]
+    assert spark.table("decl_raw").count() == 1
+    for wrong in (dict(value="xml"), dict(key="json"), dict(value="avro")):
+        with pytest.raises(ValueError):
+            ksrc.Topic("t", **wrong)
+
+
+def _stalling(df):
+    def stall(batches):
+        import time
+
+        yield from batches
+        while True:
+            time.sleep(0.05)
+
+    return df.mapInArrow(stall, df.schema)
+
+
+def test_import_within_a_limit(spark, workdir):
+    from aerostream.sources.files import import_table
+
+    tracker = spark.sparkContext.statusTracker()
+    df = spark.range(1000).withColumn("x", F.col("id") % 7)
+    fast = import_table(spark, lambda: df, f"{workdir}/fast", 120)
+    assert fast.table.count() == 1000 and not fast.cut and not fast.missing
+    # cut while it reads, and in a later stage of a plan with a shuffle
+    for name, slow in (("scan", lambda: _stalling(df)), ("stage", lambda: _stalling(df.groupBy("x").count()))):
+        got = import_table(spark, slow, f"{workdir}/{name}", 2)
+        assert got.cut and got.table.count() == 0 and "flightNumber" in got.table.columns
+        assert not tracker.getActiveJobsIds()
+    empty = import_table(spark, lambda: spark.read.parquet(f"{workdir}/none"), f"{workdir}/m", 60)
+    assert empty.missing and not empty.cut and empty.table.count() == 0
+    assert not spark.sparkContext.getJobTags()
+
+
+def test_import_raises_other_failures(spark, workdir):
+    from aerostream.sources.files import import_table
+
+    def refused():
+        raise PermissionError("no access")
+
+    with pytest.raises(PermissionError):
+        import_table(spark, refused, f"{workdir}/a", 60)
+    broken = spark.range(5).select(F.raise_error(F.lit("broken row")).cast("long").alias("x"))
+    with pytest.raises(Exception, match="broken row"):
+        import_table(spark, lambda: broken, f"{workdir}/b", 60)
+    assert not spark.sparkContext.getJobTags()
