@@ -6,7 +6,7 @@ row of each key (``read_keyed``). A batch costs what it holds, however large the
 table is; a batch that is delivered again replaces its own folder; a replay
 counts as a new generation, whose rows win over all older ones. Rows with a null
 key are the row of the key null. Schemas may grow: old rows read new columns as
-null. A batch without rows writes nothing.
+null. A batch without rows adds a folder without rows.
 """
 
 from __future__ import annotations
@@ -34,9 +34,8 @@ def candidates(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def upsert(batch: DataFrame, path: str, key: str, order: str, batch_id: int, generation: int = 0) -> None:
-    """Add ``batch``'s newest row per key to the keyed table at ``path``."""
-    if batch.isEmpty():
-        return
+    """Add ``batch``'s newest row per key to the keyed table at ``path``; the batch
+    runs once."""
     new = candidates(batch, key, order)
     new.write.mode("overwrite").parquet(f"{path}/{GENERATION}={generation}/{BATCH}={batch_id}")
 
@@ -108,8 +107,7 @@ def replay_sink(path: str, generation: int):
     """``foreachBatch`` that writes each batch to its own folder of the
     generation; a batch delivered again replaces it."""
     def _sink(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            batch.write.mode("overwrite").parquet(f"{path}/{GENERATION}={generation}/{BATCH}={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/{GENERATION}={generation}/{BATCH}={batch_id}")
     return _sink
 
 

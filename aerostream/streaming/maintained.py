@@ -140,9 +140,11 @@ def _advance(path: str, views: Views, signed: DataFrame, schema: T.StructType, b
 def log_sink(path: str, views: Views, every: int = FOLD_EVERY, generation: int = 0):
     """``foreachBatch`` function that keeps ``views`` over all records."""
     def _sink(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            signed = batch.withColumn(SIGN, F.lit(1).cast("long"))
-            _advance(path, views, signed, batch.schema, batch_id, every, generation)
+        kept = batch.persist() if len(views) > 1 else batch  # every view reads it
+        try:
+            _advance(path, views, kept.withColumn(SIGN, F.lit(1).cast("long")), batch.schema, batch_id, every, generation)
+        finally:
+            kept.unpersist()
     return _sink
 
 
@@ -156,13 +158,10 @@ def changed(batch: DataFrame, before: DataFrame, key: str, order: str) -> DataFr
     """(key, new, old) for every key whose newest record is another one after
     ``batch``: the records as structs, ``old`` null for a key not seen before.
 
-    A key's newest records are reduced map-side, so a hot key costs one row per
-    task. Records that are not newer change nothing; records without a key or
-    an order are left out, as they have no place in the order of a key.
+    ``batch`` holds a batch's newest records per key (and topic partition).
+    Records that are not newer than what is held change nothing.
     """
-    names = [n for n in batch.columns if n != key]
-    rows = batch.where(F.col(key).isNotNull() & F.col(order).isNotNull())
-    mine = newest_per_partition(rows, key, order, names).select(*batch.columns)
+    names, mine = [n for n in batch.columns if n != key], batch
     touched = mine.select(F.col(key).alias("_key")).distinct()
     held = before.join(touched, F.col(key) == F.col("_key")).select(*batch.columns, F.lit(True).alias("_held"))
     # dealt out anew: the partitions of a union's sides may be coalesced unlike each other
@@ -178,12 +177,12 @@ def current_sink(path: str, views: Views, key: str, order: str, every: int = FOL
     """``foreachBatch`` function that keeps, under ``path``, each key's newest
     record, the changes of every batch, and ``views`` over the newest records.
 
-    The last records are found by one scan of the folded state, joined to the
-    keys of the batch.
+    The batch's records are reduced map-side, so a hot key costs one row per task;
+    records without a key or an order are left out, as they have no place in the
+    order of a key. The last records are found by one scan of the folded state,
+    joined to the keys of the batch.
     """
     def _sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         spark, schema = batch.sparkSession, batch.schema
         state = _state(path, schema, key, order, every, generation)
         if not state.begin(spark, batch_id):
@@ -191,9 +190,10 @@ def current_sink(path: str, views: Views, key: str, order: str, every: int = FOL
         row = T.StructType([T.StructField("_key", schema[key].dataType), T.StructField("new", schema), T.StructField("old", schema)])
         moves = FoldedLog(f"{path}/changes", row, lambda rows: rows.limit(0), every, generation)
         moves.begin(spark, batch_id)
-        moves.write(changed(batch, state.rows(spark, batch_id), key, order), batch_id)
+        # the batch itself runs once; what follows reads what it left
         rows = batch.where(F.col(key).isNotNull() & F.col(order).isNotNull())
         state.write(newest_per_partition(rows, key, order, [n for n in schema.names if n != key]), batch_id)
+        moves.write(changed(state.of_batch(spark, batch_id), state.rows(spark, batch_id), key, order), batch_id)
         _advance(path, views, signed_rows(moves.of_batch(spark, batch_id)), schema, batch_id, every, generation)
     return _sink
 
