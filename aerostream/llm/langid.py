@@ -21,19 +21,19 @@ handled one by one, so repeated ones agree.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TOP = 300
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
 
 
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:

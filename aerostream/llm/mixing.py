@@ -74,6 +74,10 @@ def targets(sizes: DataFrame, share: float = 1.5, most: int = 2, weights: tuple
     return per.select("source", "idx", "source_size", "target", F.floor(F.col("target") + 0.5).cast("long").alias("take"))
 
 
+# slots of a small table's schedule; large tables have more, of ``block_words`` words
+SLOTS = 16_384
+
+
 def schedule(docs: DataFrame, block_words: int = 4096, cells: int = 4096, share: float = 1.5, most: int = 2,
              weights: tuple = WEIGHTS, **cols: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(schedule, documents, sources).
@@ -82,14 +86,14 @@ def schedule(docs: DataFrame, block_words: int = 4096, cells: int = 4096, share:
     order), idx (source), start (its document's first word on the source's
     line), piece_from (word of the document), words. Documents carry idx and
     start as the key to it. A block has ``block_words`` words, or fewer so that
-    the smallest source gets some 256 blocks.
+    the whole schedule has some ``SLOTS`` slots; a source that takes less than a
+    block has its one slot cut at its target.
     """
     spark = docs.sparkSession
     rows = saved(sized(docs, **cols), "mix-sizes")
     src = saved(targets(rows, share, most, weights), "mix-sources")
-    total, least = src.agg(F.sum("take"), F.min(F.when(F.col("take") > 0, F.col("take")))).first()
-    total, least = total or 0, least or 1
-    block = max(1, -(-total // POINTS), min(block_words, least // 256))
+    total = src.agg(F.sum("take")).first()[0] or 0
+    block = max(1, -(-total // POINTS), min(block_words, total // SLOTS))
 
     s = src.withColumnRenamed("source", "_source")
     d = rows.join(s, F.col("source").eqNullSafe(F.col("_source"))).drop("_source") \

@@ -429,3 +429,40 @@ def test_language_of_nothing(spark):
     profiles = langid.learn(docs_of(spark, []))
     assert langid.identified(docs_of(spark, [(1, "abc")]), profiles).collect()[0].lang_pred == "und"
     assert langid.identified(docs_of(spark, []), profiles).count() == 0
+
+
+@pytest.mark.parametrize("text", ["½ ②", "Ⅷ 12", "__", "²³", "5", ""])
+def test_no_letter_is_no_language(text):
+    grams, _ = langid.gram_counts("the and of")
+    profiles = langid.Profiles({"en": grams})
+    assert profiles.predict(text) == (langid.UNKNOWN, 0.0) and profiles.predict("the ½ and")[0] == "en"
+
+
+def test_predictions_by_hand(spark):
+    """Against a plain out-of-place distance over dictionaries."""
+    from collections import Counter
+
+    def ranked(texts):
+        total = Counter()
+        for t in texts:
+            words = re.findall(r"[^\W\d_]+", t.lower())
+            for w in words:
+                padded = f" {w} "
+                total.update(w)
+                total.update(padded[i:i + 2] for i in range(len(padded) - 1))
+                total.update(padded[i:i + 3] for i in range(len(padded) - 2))
+        pack = lambda g: sum(ord(c) << 21 * k for k, c in enumerate(reversed(g)))
+        return [g for g, _ in sorted(total.items(), key=lambda x: (-x[1], pack(x[0])))][:langid.TOP]
+
+    rng = random.Random(4)
+    words = {"aa": ["stra", "dom", "vlk", "pes"], "bb": ["casa", "perro", "sol", "mar"], "cc": ["haus", "hund", "und", "der"]}
+    text_of = lambda lang, n: " ".join(rng.choice(words[lang] + words["aa"][:2]) for _ in range(n))
+    train = [(i, text_of(lang, 30), lang) for i, lang in enumerate(list(words) * 20)]
+    profiles = langid.learn(docs_of(spark, train))
+    plain = {lang: ranked([t for _, t, x in train if x == lang]) for lang in words}
+    tests = [(i, text_of(rng.choice(list(words)), rng.randrange(1, 12))) for i in range(80)]
+    got = {r.doc_id: r.lang_pred for r in langid.identified(docs_of(spark, tests), profiles).collect()}
+    for i, t in tests:
+        own = ranked([t])
+        far = {lang: sum(min(langid.TOP, abs(p.index(g) - k)) if g in p else langid.TOP for k, g in enumerate(own)) for lang, p in plain.items()}
+        assert got[i] == min(sorted(far), key=far.get), (t, far)

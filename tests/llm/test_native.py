@@ -331,3 +331,13 @@ def test_schema_is_stable(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     out = chat.formatted(chat.canonical(chat.as_records(chat.grouped(empty))))
     assert out.count() == 0 and isinstance(out.schema["loss_spans"].dataType, T.ArrayType)
+
+
+def test_a_tiny_source_leaves_the_schedule_as_it_is(spark):
+    rows = [(i, "word " * 900, f"s{i % 3}") for i in range(60)]
+    plain = mixing.schedule(docs_of(spark, rows))[0]
+    more = mixing.schedule(docs_of(spark, [*rows, (99, "one", "tiny")]))[0]
+    a, b = plain.select("slot").distinct().count(), more.select("slot").distinct().count()
+    assert abs(a - b) <= 0.01 * a
+    taken = {r.doc_id: (r.taken, r.target) for r in mixing.mix(docs_of(spark, [*rows, (99, "one", "tiny")])).collect()}
+    assert taken[99][0] == round(taken[99][1]) and sum(t for t, _ in taken.values()) == pytest.approx(1.5 * 54001, abs=4)

@@ -38,3 +38,22 @@ def test_stages(spark, encode):  # noqa: F811
 def test_run_of_an_empty_table(spark, tmp_path):
     spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_of_any_name_pass_through(spark):
+    import corpus_pipeline as cp
+
+    extra = ["score", "lang_pred", "_apart", "_size", "_row_key", "_pii", "_key", "_rest", "key", "row_key", "taken", "a.b"]
+    rows = [(i, f"the quick brown fox number {i} jumps over the lazy dog " * 3 + f"call +1 (555) 555-{1000 + i}", "en", f"s{i % 2}", 0, *[f"{c}{i}" for c in extra])
+            for i in range(12)]
+    rows += [(90, rows[3][1], "en", "s1", 0, *[None] * len(extra)), (91, None, None, None, None, *["x"] * len(extra))]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in extra)
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in cp.STAGES[:-1]:
+        out = cp.saved(stage(spark, docs, ""), f"extra-{name}")
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            if r.doc_id < 90:
+                assert [r[c] for c in extra] == [f"{c}{r.doc_id}" for c in extra], name
+        docs = out
+    assert docs.count() > 0
