@@ -21,9 +21,13 @@ def flight_count(flights: DataFrame) -> DataFrame:
     return flights.agg(F.count(F.lit(1)).alias("flight_count"))
 
 
-def describe(flights: DataFrame) -> list[tuple[str, str, bool]]:
-    """(column, type, nullable) of the table — metadata only, no job runs."""
-    return [(f.name, f.dataType.simpleString(), f.nullable) for f in flights.schema.fields]
+def described(df: DataFrame) -> DataFrame:
+    """One row per column: place, column, type, the table's rows and those in
+    which the column is not null; one scan and one aggregation."""
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{f.name}`")).alias(f"_n{i}") for i, f in enumerate(df.schema.fields)])
+    rows = [F.struct(F.lit(i).alias("place"), F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
+                     F.col("_rows").alias("rows"), F.col(f"_n{i}").alias("filled")) for i, f in enumerate(df.schema.fields)]
+    return counts.select(F.explode(F.array(*rows)).alias("c")).select("c.*")
 
 
 def _mean_delay(unit: str, cond=None, count=None):
@@ -72,21 +76,15 @@ def delay_by_hour(flights: DataFrame, unit: str = "ms") -> DataFrame:
 
 
 def airport_comparison(flights: DataFrame, unit: str = "ms", min_flights: int = 10,
-                       limit: int | None = 15, plan: str = "roles") -> DataFrame:
+                       limit: int | None = 15) -> DataFrame:
     """Per airport: departure delay (as origin), "arrival" delay (the departure
     delay of flights with that destination), their unweighted mean, and flights
     counted once per role.
 
     One scan: each departed record is emitted twice (origin role, destination
     role) and a single aggregation per airport keeps both roles' sums apart, so
-    the union of two aggregates and the second grouping collapse into one
-    shuffle. ``plan="union"`` runs the statement as written instead: two
-    per-role aggregates, ``UNION ALL``, re-aggregation with a sum of counts, an
-    unweighted mean of the means and a ``max(CASE ...)`` pivot (two scans, two
-    more shuffles of the small aggregates); both give the same rows.
+    there is one shuffle.
     """
-    if plan == "union":
-        return _airport_comparison_union(flights, unit, min_flights, limit)
     roles = F.explode(F.array(
         F.struct(F.col(ORIGIN).alias("airport"), F.lit(True).alias("dep")),
         F.struct(F.col(DESTINATION).alias("airport"), F.lit(False).alias("dep")),
@@ -116,30 +114,6 @@ def airport_comparison(flights: DataFrame, unit: str = "ms", min_flights: int =
     return _top(out, [F.desc("overall_avg_delay"), F.asc("airport")], limit)
 
 
-def _airport_comparison_union(flights: DataFrame, unit: str, min_flights: int, limit: int | None) -> DataFrame:
-    departed_rows = flights.where(departed())
-
-    def per_role(col: str, role: str) -> DataFrame:
-        return departed_rows.groupBy(F.col(col).alias("airport")).agg(
-            F.lit(role).alias("operation_type"),
-            F.count(F.lit(1)).alias("flight_count"),
-            _mean_delay(unit).alias("avg_delay"),
-        )
-
-    stats = per_role(ORIGIN, "departure").unionAll(per_role(DESTINATION, "arrival"))
-    is_dep = F.col("operation_type") == F.lit("departure")
-    agg = stats.groupBy("airport").agg(
-        F.sum("flight_count").cast("long").alias("total_flights"),
-        F.max(F.when(is_dep, F.col("avg_delay"))).alias("departure_delay"),
-        F.max(F.when(~is_dep, F.col("avg_delay"))).alias("arrival_delay"),
-    )
-    dep, arr = F.col("departure_delay"), F.col("arrival_delay")
-    overall = F.when(dep.isNotNull() & arr.isNotNull(), (dep + arr) / F.lit(2.0)).otherwise(F.coalesce(dep, arr))
-    out = agg.select("airport", "total_flights", overall.alias("overall_avg_delay"), "departure_delay",
-                     "arrival_delay").where(F.col("total_flights") >= F.lit(min_flights))
-    return _top(out, [F.desc("overall_avg_delay"), F.asc("airport")], limit)
-
-
 def status_share(flights: DataFrame, unit: str = "ms") -> DataFrame:
     """Per status: count, share of all records (%), mean delay of DELAYED rows.
 

@@ -60,20 +60,13 @@ def register_catalogue_views(spark: SparkSession, flights: DataFrame, lines: Dat
     return list(defs)
 
 
-def list_tables(spark: SparkSession) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables())
-
-
-def list_streams(spark: SparkSession) -> list[str]:
-    return sorted(q.name or q.id for q in spark.streams.active)
-
-
-def view_status(spark: SparkSession, name: str) -> dict | None:
-    """Last progress of the running view (streaming query) called ``name``."""
-    for q in spark.streams.active:
-        if q.name == name:
-            return q.lastProgress
-    return None
+def catalogue(spark: SparkSession) -> DataFrame:
+    """Tables, views and running streams of the session: name, kind and, per column,
+    name, type and place; a stream has one row without a column."""
+    rows = [(t.name, "view" if t.isTemporary or t.tableType == "VIEW" else "table", f.name, f.dataType.simpleString(), i)
+            for t in spark.catalog.listTables() for i, f in enumerate(spark.table(t.name).schema.fields)]
+    rows += [(q.name or str(q.id), "stream", None, None, None) for q in spark.streams.active]
+    return spark.createDataFrame(rows, "name string, kind string, column string, type string, place int")
 
 
 def drop_view(spark: SparkSession, name: str) -> None:

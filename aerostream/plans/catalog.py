@@ -139,6 +139,7 @@ QUERIES: dict[str, Query] = {
     "enriched_flights": _f(lambda f: recent.enriched_flights(f, as_of_ms=TEST_AS_OF_MS)),
     # snapshot analytics
     "flight_count": _f(analytics.flight_count),
+    "flight_columns": _f(analytics.described),
     "delay_by_airline": _f(analytics.delay_by_airline),
     "busiest_routes": _f(analytics.busiest_routes),
     "delay_by_hour": _f(analytics.delay_by_hour),
@@ -151,6 +152,7 @@ QUERIES: dict[str, Query] = {
     "flight_status_sink": _sink(lambda t: t),
     "sink_overview": _sink(sinktable.overview),
     "sink_count": _sink(sinktable.table_count),
+    "sink_columns": _sink(analytics.described),
     "sink_recent": _sink(sinktable.recent, keep_seq=True),
     "sink_by_status": _sink(sinktable.by_status),
     "sink_by_airline": _sink(sinktable.by_airline),

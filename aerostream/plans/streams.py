@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from aerostream.operators import state, views, words
 from aerostream.operators.sinktable import SINK_COLUMNS, flatten_for_table
-from aerostream.schema import FLIGHT_FIELDS, FLIGHT_NUMBER, FLIGHT_SCHEMA, SCHEDULED, SEQ, SINK_KEY
+from aerostream.schema import FLIGHT_FIELDS, FLIGHT_NUMBER, FLIGHT_SCHEMA, SCHEDULED, SEQ, SEQUENCED_FLIGHT_SCHEMA, SINK_KEY
 from aerostream.session import checkpoint_path
 from aerostream.sinks import kafka as ksink
 from aerostream.sinks import table as tbl
@@ -39,6 +39,7 @@ from aerostream.streaming.maintained import SumView, current_sink, log_sink, rea
 from aerostream.streaming.metrics import ViewMetrics, counted, read_metrics
 from aerostream.streaming.retract import read_changes, read_delayed, retraction_sink
 from aerostream.streaming.views import start_view
+from aerostream.streaming.windows import ClosingWindows
 
 # micro-batches, or steps, in which a table arrives
 STEPS = 4
@@ -311,6 +312,48 @@ def view_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_metrics(spark, path)
 
 
+# fixed values: windows of an hour, rows may be a day late; every tenth event comes half the table late
+HOUR_MS, DAY_MS, LATE = 3_600_000, 86_400_000, 10
+
+
+def closing_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flights per hour from events that come out of order: closed and open
+    windows, and how many rows of an hour came after it had closed."""
+    events = read_table(spark, sf_dir, "events")
+    first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
+    span = 0 if first is None else last - first + 1
+    events = events.withColumn("arrives", F.col("event_id") + F.when(F.col("event_id") % LATE == 0, F.lit(span // 2)).otherwise(F.lit(0)))
+    kept = {}
+
+    def sink(path: str):
+        kept["windows"] = ClosingWindows(path, SEQUENCED_FLIGHT_SCHEMA, SCHEDULED, HOUR_MS, DAY_MS, every=FOLD_EVERY)
+        return kept["windows"].sink()
+
+    stepped(events, "arrives", "closing_windows", flights_from_events, sink)
+    if not kept:
+        return spark.createDataFrame([], "state string, window_start_ms long, flights long")
+    w = kept["windows"]
+    state_of = F.when(F.col("closed"), "closed").otherwise("open")
+    late = w.read_late(spark).select(((F.col(SCHEDULED) - F.pmod(SCHEDULED, F.lit(HOUR_MS)))).alias("window_start_ms")) \
+        .groupBy("window_start_ms").agg(F.count(F.lit(1)).alias("flights"))
+    return w.read(spark).select(state_of.alias("state"), "window_start_ms", F.col("_rows").alias("flights")) \
+        .unionByName(late.select(F.lit("late").alias("state"), "window_start_ms", "flights"))
+
+
+def evolving_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose columns grow from step to step, in a table that keeps its
+    schema: new columns, an int that becomes a bigint, a float that becomes a double."""
+    shapes = [("event_id int", "event_type string"), ("event_id int", "event_type string", "value float"),
+              ("event_id bigint", "event_type string", "value double", "user_id int"), ("event_id int", "user_id bigint")]
+
+    def shaped(batch: DataFrame, batch_id: int) -> DataFrame:
+        return batch.selectExpr(*[f"CAST({c.split()[0]} AS {c.split()[1]}) AS {c.split()[0]}" for c in shapes[batch_id % len(shapes)]])
+
+    target = stepped(read_table(spark, sf_dir, "events"), "event_id", "evolving_table", lambda ev: ev,
+                     lambda path: tbl.evolving_sink(path, shaped))
+    return tbl.read_evolving(spark, target)
+
+
 def import_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A read of the events that ends in time and one that never does: rows
     imported, and whether the stand-in took the table's place."""
@@ -367,6 +410,8 @@ STREAM_QUERIES = {
     "sql_flight_alerts_stream": sql_streamed("sql_flight_alerts", ALERTS_SQL, None),
     "sql_airline_performance_stream": sql_streamed("sql_airline_performance", AIRLINES_SQL, "airline"),
     "view_metrics": view_metrics,
+    "closing_windows": closing_windows,
+    "evolving_table": evolving_table,
     "import_limits": import_limits,
 }
 

@@ -42,7 +42,7 @@ DELAYED = "DELAYED"
 ON_TIME = "ON_TIME"
 CANCELLED = "CANCELLED"
 
-# Avro schema of the flight value, for ``from_avro`` / ``to_avro``.
+# --- fixed values: wire format of the flight value, for ``from_avro`` / ``to_avro`` ---
 FLIGHT_AVRO_SCHEMA = """{
   "type": "record",
   "name": "Flight",

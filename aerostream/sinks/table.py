@@ -1,4 +1,4 @@
-"""Keyed tables, table creation/evolution, export and replay.
+"""Keyed tables, tables that keep a growing schema, table creation and replay.
 
 A keyed table is a folder of Parquet files to which every batch adds its newest
 row per key under ``gen=<generation>/batch=<batch id>``; readers keep the newest
@@ -11,6 +11,7 @@ null. A batch without rows adds a folder without rows.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -40,23 +41,25 @@ def upsert(batch: DataFrame, path: str, key: str, order: str, batch_id: int, gen
     new.write.mode("overwrite").parquet(f"{path}/{GENERATION}={generation}/{BATCH}={batch_id}")
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """All rows of a table written batch by batch, with generation and batch; None if no batch with rows has come yet. The
-    schema is given by the caller, so no footers are read to merge schemas."""
-    full = T.StructType([*schema.fields, T.StructField(GENERATION, T.LongType()), T.StructField(BATCH, T.LongType())])
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The Parquet rows under ``path``, none if nothing was written there yet."""
     try:
-        return spark.read.schema(full).option("basePath", path).parquet(path)
+        return spark.read.schema(schema).option("basePath", path).parquet(path)
     except AnalysisException as e:
         if (e.getCondition() or "").split(".")[0] == "PATH_NOT_FOUND":
-            return None
+            return spark.createDataFrame([], schema)
         raise
 
 
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows of a table written batch by batch, with generation and batch. The
+    schema is given by the caller, so no footers are read to merge schemas."""
+    return read_if_there(spark, path, T.StructType([*schema.fields, T.StructField(GENERATION, T.LongType()), T.StructField(BATCH, T.LongType())]))
+
+
 def read_keyed(spark: SparkSession, path: str, key: str, order: str, schema: T.StructType) -> DataFrame:
     """Current row per key: the newest by generation, ``order`` and batch."""
     raw = read_batches(spark, path, schema)
-    if raw is None:
-        return spark.createDataFrame([], schema)
     return _current(raw, key, order, schema)
 
 
@@ -69,8 +72,6 @@ def lookup(spark: SparkSession, path: str, key: str, value, order: str, schema:
     """Current row of one key, no row for an unknown one. The key predicate goes
     below the newest-row step and into the Parquet reader."""
     raw = read_batches(spark, path, schema)
-    if raw is None:
-        return spark.createDataFrame([], schema)
     return _current(raw.where(F.col(key).eqNullSafe(F.lit(value).cast(schema[key].dataType))), key, order, schema)
 
 
@@ -91,10 +92,77 @@ def create_table_if_absent(spark: SparkSession, name: str, schema_ddl: str, usin
     spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({schema_ddl}) USING {using}")
 
 
-def append_evolving(df: DataFrame, path: str) -> None:
-    """Append rows, adding columns the table does not have yet (readers merge
-    schemas; old rows read the new columns as null)."""
-    df.write.mode("append").parquet(path)
+# ------------------------------------------------------------------- tables whose schema grows
+
+# fixed values: types that may take the place of the ones before them
+WIDER = (("tinyint", "smallint", "int", "bigint"), ("float", "double"))
+
+
+def _wider(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The one of two types that holds the values of both, None if none does."""
+    if a == b:
+        return a
+    for row in WIDER:
+        if a.simpleString() in row and b.simpleString() in row:
+            return max(a, b, key=lambda t: row.index(t.simpleString()))
+    return None
+
+
+def merged_schema(stored: T.StructType, new: T.StructType) -> T.StructType:
+    """The table's schema after a batch: columns are added at the end, integers
+    and floats may widen, anything else is refused."""
+    fields = {f.name: f.dataType for f in stored.fields}
+    for f in new.fields:
+        wider = _wider(fields.get(f.name, f.dataType), f.dataType)
+        if wider is None:
+            raise ValueError(f"column {f.name} holds {fields[f.name].simpleString()}, not {f.dataType.simpleString()}")
+        fields[f.name] = wider
+    return T.StructType([T.StructField(n, t) for n, t in fields.items()])
+
+
+SCHEMAS = T.StructType([T.StructField("schema", T.StringType()), T.StructField(BATCH, T.LongType())])
+
+
+def stored_schema(spark: SparkSession, path: str, before: int | None = None) -> T.StructType:
+    """The schema kept with the table (as it was before a batch, if given)."""
+    kept = read_if_there(spark, f"{path}/schemas", SCHEMAS)
+    if before is not None:
+        kept = kept.where(F.col(BATCH) < before)
+    last = kept.orderBy(F.desc(BATCH)).first()
+    return T.StructType.fromJson(json.loads(last.schema)) if last else T.StructType([])
+
+
+def append_evolving(df: DataFrame, path: str, batch_id: int) -> None:
+    """Append a batch to a table that keeps its own schema.
+
+    The schema after the batch is written before its rows, once per change, so
+    readers never meet a column they do not know. A batch delivered again
+    replaces its rows; one whose columns cannot be merged is refused and writes
+    nothing.
+    """
+    spark = df.sparkSession
+    stored = stored_schema(spark, path, batch_id)
+    merged = merged_schema(stored, df.schema)
+    if merged != stored:
+        row = spark.createDataFrame([(json.dumps(merged.jsonValue()),)], "schema string")
+        row.coalesce(1).write.mode("overwrite").parquet(f"{path}/schemas/{BATCH}={batch_id}")
+    df.select(*[F.col(c).cast(merged[c].dataType).alias(c) for c in df.columns]) \
+        .write.mode("overwrite").parquet(f"{path}/rows/{BATCH}={batch_id}")
+
+
+def read_evolving(spark: SparkSession, path: str) -> DataFrame:
+    """All rows by the stored schema: older rows read new columns as null, and
+    narrower values as the wider type."""
+    schema = stored_schema(spark, path)
+    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    return read_if_there(spark, f"{path}/rows", full).select(*schema.names)
+
+
+def evolving_sink(path: str, transform: Callable[[DataFrame, int], DataFrame] | None = None):
+    """``foreachBatch`` function that appends each micro-batch to ``path``."""
+    def _sink(batch: DataFrame, batch_id: int) -> None:
+        append_evolving(transform(batch, batch_id) if transform else batch, path, batch_id)
+    return _sink
 
 
 def replay_checkpoint(spark: SparkSession, name: str, generation: int) -> str:
@@ -168,8 +236,3 @@ def _execute_jdbc(spark: SparkSession, url: str, properties: dict, sql: str) ->
         st.close()
     finally:
         conn.close()
-
-
-def export_parquet(df: DataFrame, path: str) -> None:
-    """COPY ... TO 'x.parquet': write the table as Parquet."""
-    df.write.mode("overwrite").parquet(path)

@@ -22,26 +22,17 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerostream.sinks.table import read_if_there
+
 BATCH, EPOCH = "batch", "epoch"
 # batches between two folds
 FOLD_EVERY = 16
 
 
-def read_if_there(spark: SparkSession, path: str, schema: T.StructType, base: str | None = None) -> DataFrame:
-    """The Parquet rows under ``path``, none if nothing was written there yet."""
-    try:
-        return spark.read.schema(schema).option("basePath", base or path).parquet(path)
-    except AnalysisException as e:
-        if (e.getCondition() or "").split(".")[0] == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
-
-
 def with_long(schema: T.StructType, *names: str) -> T.StructType:
     return T.StructType([*schema.fields, *[T.StructField(n, T.LongType()) for n in names]])
 

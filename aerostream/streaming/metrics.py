@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
-from aerostream.streaming.log import read_if_there
+from aerostream.sinks.table import read_if_there
 
 ROWS_IN, ROWS_CHANGED = "rows_in", "rows_changed"
 ROW = T.StructType([T.StructField(n, T.LongType()) for n in (ROWS_IN, ROWS_CHANGED, "state_rows")])

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from aerostream.sinks import table as tbl
-from aerostream.streaming.log import read_if_there, with_long
+from aerostream.streaming.log import with_long
 from aerostream.streaming.views import start_view
 
 # column of a keyed table that orders what the batches wrote
@@ -48,9 +48,9 @@ class SqlQuery:
 
     def result(self) -> DataFrame:
         """What the committed batches have made of the statement so far."""
-        spark = self.query.sparkSession if hasattr(self.query, "sparkSession") else SparkSession.active()
+        spark = SparkSession.active()
         if self.key is None:
-            return read_if_there(spark, self.path, self.schema)
+            return tbl.read_if_there(spark, self.path, self.schema)
         return tbl.read_keyed(spark, self.path, self.key, ORDER, with_long(self.schema, ORDER)).select(*self.schema.names)
 
 

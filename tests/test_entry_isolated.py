@@ -1,6 +1,6 @@
 """The driver contract works from a foreign working directory with a bare
-session: Python workers must still import the package (shipped with
-addPyFile / the functions' PYTHONPATH)."""
+session: streams, and functions that run in Python workers, must not need the
+package there."""
 
 import os
 import subprocess
@@ -17,6 +17,7 @@ entry = importlib.util.module_from_spec(spec); spec.loader.exec_module(entry)
 spark = (SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2")
          .config("spark.ui.enabled", "false").getOrCreate())
 print("entry_rows", len(entry.entry(spark).collect()))
+print("import_rows", sorted(tuple(r) for r in entry.queries()["import_limits"](spark, "/root/testdata/sf0.001").collect()))
 rows = entry.queries()["delayed_by_origin_stream"](spark, "/root/testdata/sf0.001").collect()
 print("stream_rows", len(rows))
 '''
@@ -29,5 +30,6 @@ def test_entry_from_foreign_cwd():
                          env=env, capture_output=True, text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
     assert "entry_rows " in out.stdout
+    assert "import_rows [('in time', 1000, False), ('too slow', 0, True)]" in out.stdout  # the slow read stalls in a Python worker
     n = int(out.stdout.split("stream_rows ")[1].split()[0])
     assert n > 0

@@ -200,3 +200,47 @@ def test_view_metrics_count_a_batch_once(spark):
     rows = view_metrics(spark, SF_SMALL).orderBy("batch").collect()
     # were the batch run twice, rows in and state rows would be counted twice
     assert [(r.batch, r.rows_in, r.rows_changed, r.state_rows) for r in rows] == [(b, 250, 7, 7) for b in range(4)]
+
+
+# ------------------------------------------------------------------- windows that close, tables that grow
+
+def test_windows_close_and_late_rows_are_kept(spark, workdir):
+    from aerostream.schema import SEQUENCED_FLIGHT_SCHEMA
+    from aerostream.streaming.windows import ClosingWindows
+
+    w = ClosingWindows(workdir, SEQUENCED_FLIGHT_SCHEMA, "scheduledDeparture", 10, 5, (("seqs", "seq"),), every=2)
+    row = lambda i, t: (i, f"F{i}", "A", "X", "Y", t, None, "S")
+    batches = [[row(1, 3), row(2, 12), row(3, None)], [row(4, 9), row(5, 26)], [row(6, 19), row(7, 20), row(8, 8)], [row(9, 21), row(10, -4)], []]
+    for b, rows in enumerate(batches):
+        for _ in range(2 if b == 3 else 1):  # delivered twice, after a fold
+            w.sink()(flights_df(spark, rows), b)
+        if b == 1:
+            assert {(r.window_start_ms, r.closed, r["_rows"], int(r.seqs)) for r in w.read(spark).collect()} \
+                == {(0, True, 2, 5), (10, True, 1, 2), (20, False, 1, 5)}
+    got = {(r.window_start_ms, r.closed, r["_rows"], int(r.seqs)) for r in w.read(spark).collect()}
+    # the watermark of the third batch is 21: windows up to 20 had ended
+    assert got == {(0, True, 2, 5), (10, True, 1, 2), (20, False, 3, 21)}
+    late = {(r.seq, r.batch) for r in w.read_late(spark).collect()}
+    assert late == {(6, 2), (8, 2), (10, 3)}
+    assert sum(n for *_, n, _ in got) + len(late) == 9  # all rows with a time
+    w.sink()(flights_df(spark, [row(99, 3)]), 0)  # folded long ago
+    assert w.read_late(spark).count() == 3
+
+
+def test_a_table_keeps_its_growing_schema(spark, workdir):
+    from aerostream.sinks.table import append_evolving, merged_schema, read_evolving, stored_schema
+
+    assert stored_schema(spark, workdir).names == []
+    for b, (rows, ddl) in enumerate([([(1, "a")], "k int, v string"), ([(2, "b", 1.5)], "k int, v string, x float"),
+                                     ([(2 ** 40, 2.5)], "k bigint, x double"), ([(4,)], "k int")]):
+        for _ in range(2):  # each batch is delivered twice
+            append_evolving(spark.createDataFrame(rows, ddl), workdir, b)
+    out = read_evolving(spark, workdir)
+    assert [(f.name, f.dataType.simpleString()) for f in out.schema.fields] == [("k", "bigint"), ("v", "string"), ("x", "double")]
+    assert rows_of(out) == sorted([(1, "a", None), (2, "b", 1.5), (2 ** 40, None, 2.5), (4, None, None)], key=repr)
+    assert len(glob.glob(f"{workdir}/schemas/batch=*")) == 3  # only changes are stored
+    with pytest.raises(ValueError, match="holds bigint, not string"):
+        append_evolving(spark.createDataFrame([("x",)], "k string"), workdir, 4)
+    assert read_evolving(spark, workdir).count() == 4
+    with pytest.raises(ValueError):
+        merged_schema(out.schema, spark.createDataFrame([], "x bigint").schema)

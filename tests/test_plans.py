@@ -14,7 +14,7 @@ BATCH = sorted(n for n in QUERIES if n not in STREAM_QUERIES)
 # aggregation levels per query beyond the first: latest record per flight
 # followed by a grouping, or the distinct-count level
 TWO_LEVEL = {"busiest_routes", "delay_buckets", "delayed_by_origin", "get_delayed", "all_delayed",
-             "sink_by_status", "sink_by_airline", "sink_count"}
+             "sink_by_status", "sink_by_airline", "sink_count", "sink_columns"}
 
 
 def _plan(spark, name):
