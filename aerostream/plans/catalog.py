@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerostream.functions.flight import status_severity
+from aerostream.functions.flight import status_severity, trunc_div
 from aerostream.operators import analytics, catalog, recent, sinktable, state, views, words
-from aerostream.schema import FLIGHT_FIELDS, FLIGHT_NUMBER, ORIGIN, SCHEDULED, SEQ, STATUS
+from aerostream.schema import ACTUAL, FLIGHT_FIELDS, FLIGHT_NUMBER, ORIGIN, SCHEDULED, SEQ, STATUS
 from aerostream.session import checkpoint_path
 from aerostream.sinks import kafka as ksink
 from aerostream.sinks import table as tbl
@@ -79,6 +79,11 @@ def _severity(f: DataFrame) -> DataFrame:
     return state.latest_flight(f).select(FLIGHT_NUMBER, STATUS, status_severity(F.col(STATUS)).alias("severity"))
 
 
+def _in_seconds(f: DataFrame) -> DataFrame:
+    """The records with their times in epoch seconds."""
+    return f.withColumns({c: trunc_div(F.col(c), 1000) for c in (SCHEDULED, ACTUAL)})
+
+
 def _kept(df: DataFrame, key: str, order: str) -> Callable[[object], DataFrame]:
     """Point lookup in a keyed table that holds ``df``: the rows are added as a
     batch, then the key's row is read from the table."""
@@ -143,6 +148,7 @@ QUERIES: dict[str, Query] = {
     "delay_by_airline": _f(analytics.delay_by_airline),
     "busiest_routes": _f(analytics.busiest_routes),
     "delay_by_hour": _f(analytics.delay_by_hour),
+    "delay_by_hour_seconds": _f(lambda f: analytics.delay_by_hour(_in_seconds(f), unit="s")),
     "airport_comparison": _f(analytics.airport_comparison),
     "status_share": _f(analytics.status_share),
     "delay_by_weekday": _f(analytics.delay_by_weekday),

@@ -24,16 +24,18 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from aerostream.operators import state, views, words
+from aerostream.operators.catalog import export_parquet
 from aerostream.operators.sinktable import SINK_COLUMNS, flatten_for_table
 from aerostream.schema import FLIGHT_FIELDS, FLIGHT_NUMBER, FLIGHT_SCHEMA, SCHEDULED, SEQ, SEQUENCED_FLIGHT_SCHEMA, SINK_KEY
 from aerostream.session import checkpoint_path
 from aerostream.sinks import kafka as ksink
 from aerostream.sinks import table as tbl
 from aerostream.sources import kafka as ksrc
-from aerostream.sources.files import import_table
+from aerostream.sources.files import import_table, parquet_view
 from aerostream.sources.tables import flights_from_events, read_table, text_lines
 from aerostream.streaming import flightviews
 from aerostream.streaming import sql as streamsql
+from aerostream.streaming.apps import read_state
 from aerostream.streaming.log import with_long
 from aerostream.streaming.maintained import SumView, current_sink, log_sink, read_view_changes
 from aerostream.streaming.metrics import ViewMetrics, counted, read_metrics
@@ -312,6 +314,32 @@ def view_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_metrics(spark, path)
 
 
+def state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per airline, read from the state of a stopped query's checkpoint."""
+    base = _run_dir(spark, "state_rows")
+    counts = _flights_stream(spark, sf_dir).groupBy("airline").agg(F.count(F.lit(1)).alias("records"))
+    start_view(counts, f"state_rows-{os.path.basename(base)}", "update", sink=tbl.upsert_sink(os.path.join(base, "table"), "airline"),
+               checkpoint=os.path.join(base, "ckpt"), trigger={"availableNow": True}).awaitTermination()
+    rows = read_state(spark, os.path.join(base, "ckpt"))
+    return rows.select(F.col("key.airline").alias("airline"), F.col("value.count").alias("records"))
+
+
+def replayed_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record log after a reset: a second generation, replayed from the start."""
+    name = f"replayed-{uuid.uuid4().hex}"
+    stream, target = _flights_stream(spark, sf_dir), os.path.join(_run_dir(spark, "replayed_flights"), "table")
+    for generation in (1, 2):
+        tbl.replay(lambda: stream, name, generation, target, trigger={"availableNow": True}).awaitTermination()
+    return tbl.read_replayed(spark, target, 2)
+
+
+def exported_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flights, exported to Parquet by airline and read back as a view."""
+    path = os.path.join(_run_dir(spark, "exported_flights"), "parquet")
+    export_parquet(flights_from_events(read_table(spark, sf_dir, "events")), path, partition_by=["airline"])
+    return parquet_view(spark, path, f"exported_{uuid.uuid4().hex}").select(SEQ, *FLIGHT_FIELDS)
+
+
 # fixed values: windows of an hour, rows may be a day late; every tenth event comes half the table late
 HOUR_MS, DAY_MS, LATE = 3_600_000, 86_400_000, 10
 
@@ -411,6 +439,9 @@ STREAM_QUERIES = {
     "sql_airline_performance_stream": sql_streamed("sql_airline_performance", AIRLINES_SQL, "airline"),
     "view_metrics": view_metrics,
     "closing_windows": closing_windows,
+    "state_rows": state_rows,
+    "replayed_flights": replayed_flights,
+    "exported_flights": exported_flights,
     "evolving_table": evolving_table,
     "import_limits": import_limits,
 }
