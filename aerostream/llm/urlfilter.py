@@ -58,8 +58,10 @@ def _windows(urls: DataFrame, *keep: str) -> DataFrame:
     """keep and w: one row per character of ``url``, with up to ORDER before it.
     Only windows at a url's start are shorter than ORDER + 1."""
     url = F.col("url")
-    every = F.transform(F.sequence(F.lit(1), F.length(url)), lambda i: F.substring(
-        url, F.greatest(i - ORDER, F.lit(1)), F.least(i, F.lit(ORDER + 1))))
+    start = F.transform(F.sequence(F.lit(1), F.least(F.lit(ORDER), F.length(url))), lambda i: F.substring(url, F.lit(1), i))
+    # one pass over the url: a match takes one character and looks ahead for the window it begins
+    rest = F.regexp_extract_all(url, F.lit(rf"(?s)(?=(.{{{ORDER + 1}}}))."), F.lit(1))
+    every = F.concat(start, rest)
     # the outer form: for a plain explode the optimizer infers a filter that computes every window again
     return urls.where(F.length(url) > 0).select(*keep, F.explode_outer(every).alias("w"))
 

@@ -341,3 +341,15 @@ def test_a_tiny_source_leaves_the_schedule_as_it_is(spark):
     assert abs(a - b) <= 0.01 * a
     taken = {r.doc_id: (r.taken, r.target) for r in mixing.mix(docs_of(spark, [*rows, (99, "one", "tiny")])).collect()}
     assert taken[99][0] == round(taken[99][1]) and sum(t for t, _ in taken.values()) == pytest.approx(1.5 * 54001, abs=4)
+
+
+def test_windows_of_urls_by_hand(spark):
+    from collections import Counter
+
+    urls = ["a", "ab", "abcd", "abcde", "http://x/é\n𝄞𝄞y\r\nz", "𝄞" * 9, "", "x" * 300_000 + "end"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "id long, url string")
+    got = {r.id: Counter() for r in df.collect()}
+    for r in urlfilter._windows(df, "id").groupBy("id", "w").count().collect():
+        got[r.id][r.w] = r["count"]
+    for i, u in enumerate(urls):
+        assert got[i] == Counter(u[max(0, k - 4):k + 1] for k in range(len(u))), u[:20]
