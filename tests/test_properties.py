@@ -106,15 +106,16 @@ def test_integer_division_is_exact(spark):
     assert [r.f for r in got] == [9007199254740993, -9007199254740994, 1, -1, 0, None]
 
 
-def test_newest_per_partition_chunks():
-    from aerostream.streaming.retract import _newest_per_partition
-
-    chunks = [
-        pd.DataFrame({"flightNumber": ["HOT", "HOT", "A"], "origin": ["X", "Y", "Z"], "status": ["D"] * 3,
-                      "seq": [1, 5, 2]}),
-        pd.DataFrame({"flightNumber": ["HOT", "A"], "origin": ["W", "V"], "status": ["D"] * 2, "seq": [3, 9]}),
-    ]
-    out = pd.concat(list(_newest_per_partition(iter(chunks))))
-    got = dict(zip(out.flightNumber, zip(out.origin, out.seq)))
-    assert got == {"HOT": ("Y", 5), "A": ("V", 9)}
-    assert list(_newest_per_partition(iter([]))) == []
+def test_newest_per_partition_keeps_what_can_still_be_newest(spark):
+    from aerostream.operators.state import latest_by_key, newest_per_partition
+
+    rows = [("HOT", "X", 1, 0, 9), ("HOT", "Y", 5, 0, 1), ("A", "Z", 2, 1, 1), ("HOT", "W", 3, 1, 4), ("A", "V", 9, 1, 0), (None, "N", 1, 0, 0)]
+    df = spark.createDataFrame(rows, "k string, origin string, offset long, partition int, ms long").repartition(3)
+    plain = {r.k: r.origin for r in newest_per_partition(df, "k", "offset", ["origin"]).collect()}
+    assert plain == {"HOT": "Y", "A": "V", None: "N"}
+    arrived = df.select("k", "origin", F.struct("partition", "offset", "ms").alias("seq"))
+    kept = {(r.k, r.origin) for r in newest_per_partition(arrived, "k", "seq", ["origin"]).collect()}
+    assert kept == {("HOT", "Y"), ("HOT", "W"), ("A", "V"), (None, "N")}
+    last = {r.k: r.origin for r in latest_by_key(arrived, "k", "seq", ["origin"]).collect()}
+    assert last == {"HOT": "W", "A": "V", None: "N"}
+    assert newest_per_partition(arrived.limit(0), "k", "seq", ["origin"]).count() == 0
