@@ -53,7 +53,7 @@ class FoldedLog:
     def epoch(self, spark: SparkSession) -> int:
         """First batch that is not in the base."""
         heads = read_if_there(spark, self._at("heads"), T.StructType([T.StructField("note", T.StringType())]))
-        return max((int(m) for f in heads.inputFiles() for m in re.findall(rf"/{EPOCH}=(\d+)/", f)), default=0)
+        return max((int(m) for f in heads.inputFiles() for m in re.findall(rf"/heads/gen={self.generation}/{EPOCH}=(\d+)/", f)), default=0)
 
     def rows(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """What the batches (those ``before`` one, if given) come to."""
