@@ -1,4 +1,4 @@
-"""Helpers shared by the operators: scratch tables, running sums, components."""
+"""Helpers shared by the operators: scratch tables, running sums, key filters, components."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -125,6 +126,53 @@ class Forest:
         return True
 
 
+class KeyFilter:
+    """Bloom filter of the keys in a column of a written table: two bits a key, 16
+    to 32 bits of room a key up to ``MOST_BITS`` in all (16 MB). It is put together
+    by Spark, so the driver sees its words only, never keys. Whatever it turns away
+    is no key; of more keys than there is room for it lets more through, so callers
+    hold what passes against the table itself.
+    """
+
+    MOST_BITS = 1 << 27
+
+    def __init__(self, keys: DataFrame, col: str):
+        bits = 1 << max(6, (16 * keys.count() - 1).bit_length())
+        self.mask = min(bits, self.MOST_BITS) - 1
+        place = F.explode(F.array(*[h.bitwiseAND(F.lit(self.mask)) for h in (self.hashed(col), F.shiftrightunsigned(self.hashed(col), 32))]))
+        words = keys.select(place.alias("p")).select(F.shiftright("p", 6).alias("w"), F.expr("shiftleft(1L, int(p & 63))").alias("b")) \
+            .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+        room = np.zeros((self.mask + 1) // 64, np.int64)
+        room[words["w"].to_numpy()] = words["b"].to_numpy()
+        self.sent = keys.sparkSession.sparkContext.broadcast(room)
+
+    @staticmethod
+    def hashed(col: str) -> Column:
+        """What ``test`` takes, of a key column."""
+        return F.xxhash64(F.col(col))
+
+    def test(self):
+        """A function for tasks: hashes to whether each may be of a key."""
+        mask, sent = self.mask, self.sent
+
+        def passes(hashes: np.ndarray) -> np.ndarray:
+            room, ok = sent.value, np.ones(len(hashes), bool)
+            for h in (hashes, hashes.view(np.uint64) >> np.uint64(32)):
+                p = h.astype(np.int64) & mask
+                ok &= (room[p >> 6] >> (p & 63)) & 1 == 1
+            return ok
+        return passes
+
+    def __call__(self, col: str) -> Column:
+        """Whether a row's key may be one of the keys."""
+        passes = self.test()
+
+        @F.pandas_udf("boolean")
+        def may_be(h: pd.Series) -> pd.Series:
+            return pd.Series(passes(h.to_numpy()))
+        return may_be(self.hashed(col))
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of ``edges(a, b)``, both long and not null.
 

@@ -27,8 +27,9 @@ similarity of ``num / den`` or more; documents are grouped by reachability.
 
 Shingles are made again, as bitmaps for the classes that share keys, as sorted
 arrays for the classes of passing pairs only, so that hashes of the others are
-never written: row keys of the classes wanted are sent to every task if they are
-at most ``SENT`` (16 MB), else joined.
+never written. The documents wanted are found by one plan at every size: a Bloom
+filter of bounded size (``common.KeyFilter``) is sent to every task, and what
+passes is held against the table of row keys. Texts are not shuffled for it.
 
 Defined results: null text, or text without words, is an empty set, linked with
 nothing; a text of fewer than n words is one shingle; a null id is kept, the
@@ -47,12 +48,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerostream.llm.common import Forest, components, runs, saved, tiled, together
+from aerostream.llm.common import Forest, KeyFilter, components, runs, saved, tiled, together
 
 RATIO = 1.5
 TILE = 1024
 CHUNK = 250_000  # keys
-SENT = 2_000_000
 
 # fixed values: multipliers of 64-bit hashing
 _M1, _M2, _BASE = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15
@@ -243,27 +243,22 @@ def leaders(docs: DataFrame, n: int, num: int, den: int, buckets: int) -> DataFr
     return docs.mapInArrow(run, "bucket long, cls long, low array<int>")
 
 
-def contents(docs: DataFrame, n: int, wanted: np.ndarray | None, arrays: bool) -> DataFrame:
-    """(cls, size, hashes, bits) of (doc_id, text, row_key): sorted hashes (null
-    without ``arrays``) and bitmap signature, as bytes; of the rows whose key
-    begins as a wanted one."""
-    out = pa.schema([("cls", pa.int64()), ("size", pa.int64()), ("hashes", pa.binary()), ("bits", pa.binary())])
-    sent = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
+def contents(docs: DataFrame, ids: DataFrame, n: int, arrays: bool) -> DataFrame:
+    """(cls, size, hashes, bits) of the documents (doc_id, text, row_key) with the
+    row keys of ``ids``, a written table with one row per class: sorted hashes
+    (null without ``arrays``) and bitmap signature, as bytes."""
+    out = pa.schema([("cls", pa.int64()), ("row_key", pa.string()), ("size", pa.int64()), ("hashes", pa.binary()),
+                     ("bits", pa.binary())])
+    passes = KeyFilter(ids, "row_key").test()
 
     def run(batches):
-        held, size, seen = [], 0, set()
-        chosen = None if sent is None else frozenset(sent.value.tolist())
+        held, size = [], 0
         for b in batches:
-            names = b.column(2).to_pylist()
-            for i, name in enumerate(names):
-                if chosen is not None and key_prefix(name) not in chosen:
-                    continue
+            for i in np.flatnonzero(passes(b.column(2).to_numpy())):
                 h = shingles(b.column(1)[i].as_py(), n)
-                cls = class_of(h) if len(h) else None
-                if cls is None or cls in seen:
+                if not len(h):
                     continue
-                seen.add(cls)
-                held.append((cls, len(h), h.tobytes() if arrays else None, bitmap(h)))
+                held.append((class_of(h), b.column(0)[i].as_py(), len(h), h.tobytes() if arrays else None, bitmap(h)))
                 size += (9 if arrays else 1) * len(h)
                 if size > 8 << 20:
                     yield _rows(held, out)
@@ -271,19 +266,10 @@ def contents(docs: DataFrame, n: int, wanted: np.ndarray | None, arrays: bool) -
         if held:
             yield _rows(held, out)
 
-    return docs.mapInArrow(run, "cls long, size long, hashes binary, bits binary")
-
-
-def contents_of(docs: DataFrame, ids: DataFrame, n: int, arrays: bool) -> DataFrame:
-    """Contents from the documents with the row keys of ``ids``, a written table."""
-    if ids.count() <= SENT:
-        few = np.array([key_prefix(r[0]) for r in ids.select("row_key").toLocalIterator()], np.int64)
-        return contents(docs, n, few, arrays)
-    return contents(docs.join(ids.select("row_key"), "row_key", "left_semi").select("doc_id", "text", "row_key"), n, None, arrays)
-
-
-def key_prefix(name: str) -> int:
-    return int(name[:15], 16)
+    found = docs.select("row_key", "text", KeyFilter.hashed("row_key").alias("hash")) \
+        .mapInArrow(run, "cls long, row_key string, size long, hashes binary, bits binary")
+    # a row may be there more than once
+    return found.join(ids.select("row_key"), "row_key", "left_semi").dropDuplicates(["row_key"]).drop("row_key")
 
 
 def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -452,11 +438,11 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = members.select("cls").distinct()
     ids = saved(rows.select("cls", "row_key").join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("row_key").alias("row_key")),
                 "jac-ids")
-    signs = saved(contents_of(src, ids, n, arrays=False).drop("hashes"), "jac-signs")
+    signs = saved(contents(src, ids, n, arrays=False).drop("hashes"), "jac-signs")
 
     def arrays(classes: DataFrame, name: str) -> DataFrame:
         few = saved(ids.join(classes.select("cls").distinct(), "cls", "left_semi"), f"{name}-ids")
-        return saved(contents_of(src, few, n, arrays=True), name)
+        return saved(contents(src, few, n, arrays=True), name)
 
     near = saved(_bounded(edges, signs, num, den), "jac-near")
     ends = near.select(F.col("a").alias("cls")).unionByName(near.select(F.col("b").alias("cls")))
@@ -496,13 +482,16 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = groups.groupBy("row_key", F.col("root").isNull().alias("empty")).agg(F.count(F.lit(1)).alias("n"))
     rows = rows.join(first.withColumn("kept", F.lit(True)), "row_key", "left") \
         .withColumn("kept", F.col("empty") | F.coalesce("kept", F.lit(False)))
-    # rows that go, and rows that stay but are there more than once; all others stay as they are
-    apart = saved(rows.where(~F.col("kept") | (F.col("n") > 1))
-                  .select(F.conv(F.substring("row_key", 1, 15), 16, 10).cast("long").alias("_apart"), "kept"), "jac-apart")
-    few = F.broadcast if apart.count() <= SENT else (lambda x: x)
+    rows = saved(rows.select("row_key", "kept", (F.col("kept") & (F.col("n") == 1)).alias("plain")), "jac-rows")
+    # Rows that go, or stay but are there more than once, pass the first filter. Of those, rows that
+    # the second turns away go, as it holds every row that passed and stays; the few others are held
+    # against the table.
+    apart = KeyFilter(saved(rows.where(~F.col("plain")).select("row_key"), "jac-apart"), "row_key")
+    unsure = KeyFilter(saved(rows.where(F.col("kept")).withColumn("hit", apart("row_key")).where("hit").select("row_key"),
+                             "jac-unsure"), "row_key")
     key = row_key(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    named = docs.withColumn("_row_key", F.conv(F.substring(key, 1, 15), 16, 10).cast("long"))
-    stay = named.join(few(apart.select("_apart")), F.col("_row_key") == F.col("_apart"), "left_anti")
-    once = named.join(few(apart.where("kept").select("_apart")), F.col("_row_key") == F.col("_apart"), "left_semi") \
-        .dropDuplicates(["_row_key"])
-    return stay.unionByName(once).select(*docs.columns)
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("row_key"))
+    hit = named.withColumn("apart", apart("row_key")).withColumn("unsure", unsure("row_key"))
+    once = hit.where(F.col("apart") & F.col("unsure")).dropDuplicates(["row_key"]) \
+        .join(rows.where(~F.col("kept")).select("row_key"), "row_key", "left_anti")
+    return hit.where(~F.col("apart")).select("row.*").unionByName(once.select("row.*"))

@@ -9,8 +9,10 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from aerostream.llm import langid, ngrams, packing, pii, vectors
+from aerostream.llm.common import KeyFilter
 from aerostream.llm.queries import tokenizer
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, cls long, row_key string"
@@ -298,18 +300,35 @@ def test_bound_lets_links_pass():
     assert not ngrams.within_bound(len(a), ngrams.bitmap(a), len(b), ngrams.bitmap(b), 80, 100)
 
 
-def test_jaccard_groups_with_joined_row_keys(spark, monkeypatch):
-    """More classes than are sent to every task: row keys are joined."""
-    monkeypatch.setattr(ngrams, "SENT", 3)
+def test_key_filter(spark):
+    keys = spark.createDataFrame([(f"k{i}",) for i in range(5000)], "k string")
+    f = KeyFilter(keys, "k")
+    assert keys.where(f("k")).count() == 5000  # no key is turned away
+    others = spark.range(50000).selectExpr("'x' || id AS k")
+    assert others.where(f("k")).count() < 50000 * 0.03
+    assert keys.where(KeyFilter(keys.where("false"), "k")("k")).count() == 0
+
+
+@pytest.mark.parametrize("bits", [64, 4096, KeyFilter.MOST_BITS])
+def test_groups_do_not_depend_on_the_filter(spark, monkeypatch, bits):
+    """A full filter lets all rows through: the result is the same."""
+    monkeypatch.setattr(KeyFilter, "MOST_BITS", bits)
     rows = family_rows(5)
     got = ngrams.jaccard_groups(docs_of(spark, rows)).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_groups(rows, 3, 90, 100)
 
 
-def test_one_of_each(spark):
+@pytest.mark.parametrize("bits", [64, 512, KeyFilter.MOST_BITS])
+def test_one_of_each(spark, monkeypatch, bits):
+    monkeypatch.setattr(KeyFilter, "MOST_BITS", bits)
     rows = family_rows(7, 3)
-    docs = docs_of(spark, rows)
-    got = [(r.doc_id, r.text) for r in ngrams.one_of_each(docs, n=5, num=80).collect()]
+    rows += [rows[i] for i in range(0, len(rows), 5)]  # rows of one id and text count once
+    docs = docs_of(spark, rows).withColumn("apart", F.lit("a")).withColumn("row", F.lit("b")).withColumn("kept", F.lit("c"))
+    out = ngrams.one_of_each(docs, n=5, num=80)
+    assert out.schema == docs.schema
+    all_of = out.collect()
+    assert {(r.apart, r.row, r.kept, r.row_key) for r in all_of} == {("a", "b", "c", "k")}
+    got = [(r.doc_id, r.text) for r in all_of]
     groups = {(i, c) for i, _, c in brute_groups(rows, 5, 80, 100) if i is not None}
     kept_ids = {i for i, _ in got if i is not None}
     assert {i for i, c in groups if i == c and i < 9000} == {i for i in kept_ids if i < 9000}
