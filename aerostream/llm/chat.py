@@ -131,6 +131,21 @@ def unescaped(c: Column) -> Column:
     return F.regexp_replace(c, r"<(\\*)\\\|", r"<$1|")
 
 
+def _running(xs: Column) -> Column:
+    """(total, before) of an array of longs: before lists the sum of those before each."""
+    zero = F.struct(F.lit(0).cast("long").alias("total"), F.array().cast("array<bigint>").alias("before"))
+    return F.aggregate(xs, zero, lambda acc, x: F.struct(
+        (acc["total"] + x).alias("total"), F.concat(acc["before"], F.array(acc["total"])).alias("before")))
+
+
+def _stretches(xs: Column) -> Column:
+    """An array cut into stretches, as many as a stretch has items: work that grows
+    with the square of a stretch grows only little faster than the array."""
+    n = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(xs)))).cast("int")
+    return F.when(F.size(xs) == 0, F.array(xs)).otherwise(
+        F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / n).cast("int")), lambda i: F.slice(xs, i * n + 1, n)))
+
+
 def formatted(convs: DataFrame) -> DataFrame:
     """Add formatted (text) and loss_spans (start, length; from 0) to turns."""
     safe = F.transform("turns", lambda x: F.struct(
@@ -138,22 +153,25 @@ def formatted(convs: DataFrame) -> DataFrame:
         escaped(F.coalesce(x["text"], F.lit(""))).alias("t")))
     rendered = F.transform(F.col("_safe"), lambda x: F.concat(
         F.lit(START), x["r"], F.lit(SEP), x["t"], F.lit(END + "\n")))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
-
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["r"]) + len(START) + len(SEP)
-        n = F.length(x["t"]).cast("long")
-        span = F.array(F.struct(begin.cast("long").alias("start"), n.alias("length")))
-        return F.struct((begin + n + len(END) + 1).cast("long").alias("at"),
-                        F.when(x["role"] == "assistant", F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
-
-    return convs.withColumn("_safe", safe) \
-        .withColumn("formatted", F.array_join(rendered, "")) \
-        .withColumn("loss_spans", F.aggregate(F.col("_safe"), zero, step, lambda a: a["spans"])).drop("_safe")
+    around = len(START) + len(SEP) + len(END) + 1
+    width = F.transform("_safe", lambda x: (F.length(x["r"]) + F.length(x["t"]) + around).cast("long"))
+    starts = F.flatten(F.zip_with(_running(F.transform("_runs", lambda x: x["total"]))["before"], "_runs",
+                                  lambda at, x: F.transform(x["before"], lambda y: y + at)))
+    spans = F.zip_with("_safe", "_starts", lambda x, at: F.struct(
+        (at + F.length(x["r"]) + len(START) + len(SEP)).cast("long").alias("start"),
+        F.length(x["t"]).cast("long").alias("length"), x["role"].alias("role")))
+    loss = F.transform(F.filter("_spans", lambda x: x["role"] == "assistant"),
+                       lambda x: F.struct(x["start"].alias("start"), x["length"].alias("length")))
+    return convs.withColumn("_safe", safe).withColumn("_width", width) \
+        .withColumn("_runs", F.transform(_stretches(F.col("_width")), _running)) \
+        .withColumn("_starts", starts).withColumn("_spans", spans) \
+        .withColumn("formatted", F.array_join(rendered, "")).withColumn("loss_spans", loss) \
+        .drop("_safe", "_width", "_runs", "_starts", "_spans")
 
 
 def read_back(out: DataFrame) -> DataFrame:
-    """Parse formatted text and loss mask: add turns_read and loss_text."""
+    """Parse formatted text and loss mask, each span of which lies in one turn:
+    add turns_read and loss_text."""
     parts = F.filter(F.split("formatted", r"<\|im_start\|>"), lambda x, i: i > 0)  # the first piece is empty
 
     def turn(p: Column) -> Column:
@@ -161,5 +179,15 @@ def read_back(out: DataFrame) -> DataFrame:
         return F.struct(unescaped(two[0]).alias("role"),
                         unescaped(F.substring_index(two[1], END, 1)).alias("text"))
 
-    loss = F.transform("loss_spans", lambda s: unescaped(F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int"))))
-    return out.withColumn("turns_read", F.transform(parts, turn)).withColumn("loss_text", F.array_join(loss, ""))
+    # spans are read from the stretch of turns they lie in: reading from the text's start takes ever longer
+    some = F.transform(_stretches(F.col("_parts")), lambda x: F.concat(F.lit(START), F.array_join(x, START)))
+    at = _running(F.transform("_some", lambda x: F.length(x).cast("long")))["before"]
+
+    def said(text: Column, at: Column) -> Column:
+        inside = F.filter("loss_spans", lambda s: (s["start"] >= at) & (s["start"] < at + F.length(text)))
+        return F.array_join(F.transform(inside, lambda s: unescaped(
+            F.substring(text, (s["start"] - at + 1).cast("int"), s["length"].cast("int")))), "")
+
+    return out.withColumn("_parts", parts).withColumn("_some", some).withColumn("_at", at) \
+        .withColumn("turns_read", F.transform("_parts", turn)) \
+        .withColumn("loss_text", F.array_join(F.zip_with("_some", "_at", said), "")).drop("_parts", "_some", "_at")

@@ -327,6 +327,25 @@ def test_template_round_trip(spark, text):
     assert got[None].loss_text == "null conversation"
 
 
+def test_conversations_of_any_length(spark):
+    """Offsets and masks go over stretches of turns; 30,000 turns are read in about linear time."""
+    sizes = [1, 2, 3, 4, 5, 8, 9, 10, 17, 100, 30_000]
+    t = spark.createDataFrame([(n, i, ("user", "assistant")[i * 7 % 5 % 2], f"<|{i}\U0001f600" + "x" * (i % 11)) for n in sizes for i in range(n)],
+                              "conv_id long, turn long, role string, text string").repartition(4)
+    out = chat.read_back(chat.formatted(chat.canonical(chat.as_records(chat.grouped(t)))))
+    got = {r.conv_id: r for r in out.collect()}
+    for n in sizes:
+        turns = [(("user", "assistant")[i * 7 % 5 % 2], f"<|{i}\U0001f600" + "x" * (i % 11)) for i in range(n)]
+        assert [tuple(x) for x in got[n].turns_read] == turns
+        assert got[n].loss_text == "".join(x for r, x in turns if r == "assistant")
+        assert [got[n].formatted[a:a + m] for a, m in got[n].loss_spans] == [x.replace("<|", "<\\|") for r, x in turns if r == "assistant"]
+
+
+def test_a_record_of_no_known_layout_is_not_formatted(spark):
+    out = chat.read_back(chat.formatted(chat.canonical(spark.createDataFrame([('{"a": 1}',), ('{"messages": []}',)], "record string"))))
+    assert [(r.formatted, r.loss_spans) for r in out.collect()] == [(None, None)] * 2
+
+
 def test_schema_is_stable(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     out = chat.formatted(chat.canonical(chat.as_records(chat.grouped(empty))))
