@@ -8,7 +8,8 @@ profile). The nearest language wins; the score compares it with the runner-up
 and with the largest distance there can be.
 
 Profiles are learnt from about ``max_docs`` labelled documents of each language
-(a bounded sample of labelled rows, chosen by hash); tasks send all their n-gram
+(a bounded sample of labelled rows, chosen by the text's hash, so it does not
+depend on how files are split; a repeated text counts once); tasks send all their n-gram
 counts, summed up per language before the shuffle. Whole
 texts are compared, however long; no source, label or id is an input of a
 prediction.
@@ -93,12 +94,12 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", m
     most frequent ones (a bound on the model's size), some ``max_docs`` rows each."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-        F.pmod(F.xxhash64(text_col, F.monotonically_increasing_id()), F.lit(1_000_000)).alias("draw"))
+        F.pmod(F.xxhash64(text_col), F.lit(1_000_000)).alias("draw"))
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()
     if not sizes:
         return Profiles({}, top)
     rate = F.create_map(*[F.lit(x) for lang, n in sizes for x in (lang, min(1_000_000, max_docs * 1_000_000 // n + 1))])
-    rows = rows.where(F.col("draw") < F.coalesce(rate[F.col("lang")], F.lit(0))).select("lang", "text")
+    rows = rows.where(F.col("draw") < F.coalesce(rate[F.col("lang")], F.lit(0))).select("lang", "text").distinct()
     out = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -99,6 +99,13 @@ def test_numbers_beside_others_are_proposed(text, spans):
         at += len(s)
 
 
+def test_model_does_not_depend_on_file_splits(spark):
+    docs = docs_of(spark, [*corpus(), (900, "call 555 867 5309 or " * 3000), *corpus()[:50]])
+    a, b = (pii.trained(d, max_rows=900) for d in (docs.repartition(5), docs.coalesce(1)))
+    assert a.thresholds == b.thresholds
+    assert all(np.array_equal(x, y) for s, t in zip(a.trees, b.trees, strict=True) for x, y in zip(s, t, strict=True))
+
+
 def test_cards_beside_each_other_are_proposed():
     text = "4111/1111/1111/1111 4012.8888.8888.1881"
     assert {("card", 0, 19), ("card", 20, 39)} <= set(pii.candidates(text))
@@ -444,6 +451,13 @@ def test_out_of_place_distance():
     assert np.where(place < 0, 3, np.abs(place - np.arange(3))).sum(axis=1).tolist() == [off["a"], off["b"]]
 
 
+def test_profiles_do_not_depend_on_file_splits(spark):
+    rows = [(i, " ".join(f"{w}{i * 7 % 13}{w}" for w in ("abc", "xyz") for _ in range(i % 5 + 1)) + f" q{i}", ("en", "fr")[i % 2]) for i in range(400)]
+    docs = docs_of(spark, [*rows, *[(1000 + i, "copied text of many rows", "en") for i in range(300)]])
+    a, b = (langid.learn(d, max_docs=60) for d in (docs.repartition(5), docs.coalesce(1)))
+    assert a.langs == b.langs and np.array_equal(a.grams, b.grams) and np.array_equal(a.place, b.place)
+
+
 def test_language_of_nothing(spark):
     profiles = langid.learn(docs_of(spark, []))
     assert langid.identified(docs_of(spark, [(1, "abc")]), profiles).collect()[0].lang_pred == "und"
