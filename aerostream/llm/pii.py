@@ -8,14 +8,15 @@ Features of format (digits, runs, separators, checksum, ranges) and context
 by Spark ML; per kind, a threshold calibrated on held-out candidates selects
 those to redact.
 
-The trees learn from the corpus itself, from a sample of at most ``max_rows``
-labelled candidates: base spans, and copies of them rewritten into the loose
-formats people use, are positive; other candidates, and copies whose digits no
-longer pass the checks, are negative. A corpus sample without base spans, or
-without negatives, gives no model, and base spans only.
+The trees learn from the corpus itself, from the labelled candidates of every
+text: base spans, and copies of them rewritten into the loose formats people
+use, are positive; other candidates, and copies whose digits no longer pass the
+checks, are negative. A corpus without base spans, or without negatives, gives
+no model, and base spans only.
 
 Texts are read whole, by linear scans (no pattern backtracks over a long run of
-characters), row by row inside tasks; nothing is shuffled.
+characters), row by row inside tasks; of training only feature rows are
+shuffled, of detection nothing.
 
 Defined results: null text counts as empty (and stays null when redacted);
 spans are code points, end exclusive; of overlapping added spans the likelier
@@ -27,11 +28,11 @@ from __future__ import annotations
 
 import bisect
 import hashlib
-import heapq
+import math
 import random
 import re
-import zlib
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pandas as pd
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerostream.llm.common import saved
+from aerostream.llm.common import running, saved
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -282,7 +283,7 @@ def training_rows(text: str) -> Iterator[tuple[list[float], float]]:
             yield features(text, c), 1.0 if c in known else 0.0
     rng = random.Random(hashlib.sha256(text.encode("utf-8", "replace")).digest())
     cue = {"email": "mail", "phone": "phone", "card": "card", "ip": "server"}
-    for kind, start, end in base[:20]:
+    for kind, start, end in base:
         left, right = text[max(0, start - NEAR):start], text[end:end + 8]
         for made, label in ((_loosened(kind, text[start:end], rng), 1.0), (_spoiled(kind, text[start:end], rng), 0.0)):
             hint = f" {cue[kind]}: " if label and rng.random() < 0.7 else ""
@@ -330,58 +331,71 @@ def _flattened(weight: float, root) -> tuple:
     return weight, np.array(cols[0]), *(np.array(c) for c in cols[1:])
 
 
-def trained(docs: DataFrame, text_col: str = "text", max_rows: int = 6000, trees: int = 20, depth: int = 4,
-            precision: float = 0.95, seed: int = 7, max_per_text: int = 500) -> Trees | None:
-    """Trees from at most ``max_rows`` labelled candidates of the documents, of one
-    text at most ``max_per_text``. Texts and rows are drawn by their hashes, so
-    the model does not depend on how files are split; a repeated text counts once."""
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.linalg import Vectors
+MADE = 4096
+CELLS = 12  # bits of a hash that make a cell
+A_TASK = 20_000  # rows that one task fits
+MOST_BINS = 46_340  # its square is the largest an int holds
 
-    spark = docs.sparkSession
 
+def labelled(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(r): every labelled feature row that comes up in any text, the label last;
+    equal rows count once."""
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for t in b.column(0):
-                made = (np.array([*x, y]).tobytes() for x, y in training_rows(t.as_py()))
-                drawn = heapq.nsmallest(max_per_text, made, key=lambda x: (zlib.crc32(x), x))
-                yield pa.RecordBatch.from_arrays([pa.array([np.frombuffer(x).tolist() for x in drawn], pa.list_(pa.float64()))], ["r"])
-
-    with_digits = docs.select(F.col(text_col).cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
-    n = with_digits.count()
-    # texts by hash, some more than it takes to fill the bound; their rows are made in the tasks
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
-    drawn = with_digits.where(draw < F.lit(min(1.0, 4.0 * max_rows / max(n, 1)) * 1_000_000)).distinct()
-    made = saved(drawn.mapInArrow(rows_of, "r array<double>").distinct(), "pii-rows")
-    # no more than about two times the bound goes to the driver
-    few = F.pmod(F.xxhash64("r"), F.lit(1_000_000)) < F.lit(min(1.0, 2.0 * max_rows / max(made.count(), 1)) * 1_000_000)
-    got = made.where(few).orderBy(F.xxhash64("r"), "r").limit(max_rows).collect()
-    rows = np.array([r[0] for r in got], float)
-    if not len(rows) or not 0 < rows[:, -1].sum() < len(rows):
-        return None
-    held = np.arange(len(rows)) % 3 == 2
-    fit, hold = rows[~held], rows[held]
-    if not 0 < fit[:, -1].sum() < len(fit):
+            made = ((*x, y) for t in b.column(0) for x, y in training_rows(t.as_py()))
+            for part in batched(made, MADE):
+                yield pa.RecordBatch.from_arrays([pa.array(list(dict.fromkeys(part)), pa.list_(pa.float64()))], ["r"])
+
+    texts = docs.select(F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
+    return texts.mapInArrow(rows_of, "r array<double>").distinct()
+
+
+def trained(docs: DataFrame, text_col: str = "text", max_rows: int | None = None, trees: int = 20, depth: int = 4,
+            precision: float = 0.95, seed: int = 7) -> Trees | None:
+    """Trees from every labelled candidate of the documents. In the order of their
+    hashes, each third row is held out and sets the thresholds, the others are fit.
+    Rows stay in the cluster; the driver has the trees and thresholds only. The
+    order does not depend on how files are split, nor do the tasks that rows are
+    dealt to. ``max_rows``, if given, bounds the rows, by the same order.
+    """
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector
+
+    made = labelled(docs, text_col).select("r", F.xxhash64("r").alias("h"), F.lit(1).alias("one"), F.lit(0).alias("all"))
+    made = running(saved(made.withColumn("cell", F.shiftright("h", 64 - CELLS)), "pii-made"), "all", "cell", ["h", "r"], "one", "at")
+    if max_rows is not None:
+        made = made.where(F.col("at") < max_rows)
+    made = saved(made.select(F.slice("r", 1, F.size("r") - 1).alias("x"), F.element_at("r", -1).alias("label"), "h", "at"), "pii-rows")
+    fit, held = made.where("at % 3 < 2"), made.where("at % 3 = 2")
+    n, labels = fit.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
+    if labels < 2:
         return None
-    frame = spark.createDataFrame([(Vectors.dense(r[:-1]), float(r[-1])) for r in fit], ["features", "label"])
-    m = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed, maxBins=32).fit(frame.coalesce(1))
+    frame = fit.repartition(n // A_TASK + 1, "h").sortWithinPartitions("h", "at").select(array_to_vector("x").alias("features"), "label")
+    # beyond 10,000 rows and the square of maxBins Spark ML would place the cuts by a draw of rows
+    bins = 32 if n <= 10_000 else min(math.isqrt(n - 1) + 1, MOST_BINS)
+    m = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed, maxBins=bins).fit(frame)
     jt, weights = m._java_obj.trees(), list(m.treeWeights)
     model = Trees([_flattened(float(w), jt[i].rootNode()) for i, w in enumerate(weights)], {})
-    for k, kind in enumerate(KINDS):
-        of = hold[hold[:, 0] == k]
-        model.thresholds[kind] = _threshold(model.score(of[:, :-1]), of[:, -1], precision) if len(of) else 2.0
+    model.thresholds = _thresholds(held, model, precision)
     return model
 
 
-def _threshold(p: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """The lowest score from which held-out precision (one error added) stays
-    at ``precision``; above 1 if there is none."""
-    order = np.argsort(-p, kind="stable")
-    good = np.cumsum(y[order])
-    n = np.arange(1, len(y) + 1)
-    last = np.append(p[order][1:] != p[order][:-1], True)  # equal scores stand or fall together
-    ok = (good / (n + 1) >= precision) & last
-    return max(0.5, float(p[order][np.flatnonzero(ok)[-1]])) if ok.any() else 2.0
+def _thresholds(held: DataFrame, model: Trees, precision: float) -> dict[str, float]:
+    """Per kind the lowest score from which held-out precision (one error added)
+    stays at ``precision``, 0.5 at least; above 1 if there is none."""
+    @F.pandas_udf("double")
+    def score(x: pd.Series) -> pd.Series:
+        return pd.Series(model.score(np.array(x.tolist(), float).reshape(len(x), -1)))
+
+    scored = held.select(F.element_at("x", 1).cast("int").alias("kind"), score("x").alias("p"), F.col("label").cast("long").alias("good"))
+    # equal scores stand or fall together
+    scored = saved(scored.groupBy("kind", "p").agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"))
+                   .withColumn("cell", F.floor((1 - F.col("p")) * (1 << CELLS))), "pii-scores")
+    down = [F.col("p").desc()]
+    sums = running(running(scored, "kind", "cell", down, "n", "_n"), "kind", "cell", down, "good", "_good")
+    ok = (F.col("_good") + F.col("good")) / (F.col("_n") + F.col("n") + 1) >= precision
+    least = dict(sums.where(ok).groupBy("kind").agg(F.min("p")).collect())
+    return {kind: max(0.5, least.get(k, 2.0)) for k, kind in enumerate(KINDS)}
 
 
 # ------------------------------------------------------------------ detection

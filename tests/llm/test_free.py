@@ -106,6 +106,30 @@ def test_model_does_not_depend_on_file_splits(spark):
     assert all(np.array_equal(x, y) for s, t in zip(a.trees, b.trees, strict=True) for x, y in zip(s, t, strict=True))
 
 
+def test_every_text_and_row_is_learned_from(spark, monkeypatch):
+    from pyspark.ml.classification import GBTClassifier
+
+    texts = [t for _, t in corpus(3000)] + ["".join(f"call 555 {i} 5309 or " for i in range(200, 999)), "write to jane (at) mail (dot) com", "", None]
+    expected = {(*x, y) for t in texts if t for x, y in pii.training_rows(t)}
+    assert len(expected) > 6000
+    seen, fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, frame: seen.extend(frame.collect()) or fit(self, frame))
+    model = pii.trained(docs_of(spark, [*enumerate(texts), *enumerate(texts[:50])]), trees=3, depth=3)
+    rows = [(*r.features, r.label) for r in seen]
+    assert len(rows) == len(set(rows)) == len(expected) - len(expected) // 3 and set(rows) < expected
+    rest = np.array(sorted(expected - set(rows)))
+    for k, kind in enumerate(pii.KINDS):
+        of = rest[rest[:, 0] == k]
+        p = model.score(of[:, :-1])
+        ok = [x for x in p if of[p >= x, -1].sum() / ((p >= x).sum() + 1) >= 0.95]
+        assert model.thresholds[kind] == max(0.5, min(ok, default=2.0))
+
+
+def test_every_base_span_is_learned_from():
+    text = " and ".join(f"bob{i}@mail.example.com" for i in range(40))
+    assert sum(y for _, y in pii.training_rows(text)) == 80  # each as it stands and loosened
+
+
 def test_cards_beside_each_other_are_proposed():
     text = "4111/1111/1111/1111 4012.8888.8888.1881"
     assert {("card", 0, 19), ("card", 20, 39)} <= set(pii.candidates(text))
